@@ -113,14 +113,15 @@ def arrival_velocity(df: DataFrame, window_s: int, *, user: str = "user_id",
 
 
 def feature_vector(df: DataFrame, cfg: FeatureConfig = FeatureConfig(), *,
-                   metadata_col: str | None = None, skew_safe: bool = True) -> DataFrame:
+                   metadata_col: str | None = None, skew_safe: bool = True,
+                   precomputed: bool = False) -> DataFrame:
     """The 12 raw model features in the reference's header order.
 
     Currency and merchant are lower-cased here; product code, card network and e-mail
     domain are taken as given (the encoder lower-cases them, Q7). With ``metadata_col``
     (a VARIANT), the three categoricals are read from it and only JSON strings count.
     """
-    f = asof_features(df, cfg=cfg, skew_safe=skew_safe)
+    f = df if precomputed else asof_features(df, cfg=cfg, skew_safe=skew_safe)
     if metadata_col:
         def meta(k: str) -> Column:
             v = F.variant_get(F.col(metadata_col), f"$.{k}", "variant")

@@ -159,3 +159,39 @@ FROM txn_m WHERE us IS NOT NULL"""
 
 
 view("features", ("txn_m",), _features_sql())
+
+view("txn_meta", ("txn_m",), """
+SELECT t.*, '{"product_code":"' || product_code || '","card_network":'
+  || CASE WHEN event_no % 17 = 0 THEN '4' ELSE '"' || card_network || '"' END
+  || ',"email_domain":"' || email_domain || '"'
+  || CASE WHEN event_no % 13 = 0 THEN ''
+          WHEN event_no % 11 = 0 THEN ',"is_fraud_ground_truth":' || label
+          WHEN event_no % 19 = 0 THEN ',"is_fraud_ground_truth":null'
+          ELSE ',"is_fraud_ground_truth":"' || label || '"' END || '}' AS metadata_json
+FROM txn_m t""")
+
+view("labelled", ("txn_meta",), """
+SELECT t.*, CASE WHEN json_type(metadata_json, '$.is_fraud_ground_truth') = 'VARCHAR'
+    AND metadata_json->>'$.is_fraud_ground_truth' <> ''
+    THEN metadata_json->>'$.is_fraud_ground_truth' ELSE '0' END AS gt_label
+FROM txn_meta t WHERE metadata_json->>'$.is_fraud_ground_truth' IS NOT NULL""")
+
+
+def _meta_str(k: str) -> str:
+    return (f"CASE WHEN json_type(metadata_json, '$.{k}') = 'VARCHAR' "
+            f"THEN metadata_json->>'$.{k}' ELSE '' END")
+
+
+view("export_features", ("labelled", "features"), f"""
+SELECT f.event_id, f.user_id, f.us, f.amount, f.velocity_60s, f.velocity_3600s,
+  f.velocity_86400s, f.secs_since_prev, f.user_amt_sum_3600s, f.user_amt_max_3600s,
+  f.currency, {_meta_str('product_code')} AS product_code,
+  {_meta_str('card_network')} AS card_network, f.merchant,
+  {_meta_str('email_domain')} AS email_domain, l.gt_label AS label
+FROM features f JOIN labelled l ON f.event_id = l.event_id""")
+
+view("split", ("export_features",), """
+SELECT e.*, CASE WHEN rn < CAST(floor(n * CAST(0.70 AS DOUBLE)) AS BIGINT) THEN 'train'
+                 WHEN rn < CAST(floor(n * CAST(0.85 AS DOUBLE)) AS BIGINT) THEN 'val' ELSE 'test' END AS split
+FROM (SELECT *, row_number() OVER (ORDER BY us, event_id) - 1 AS rn,
+        count(*) OVER () AS n FROM export_features) e""")

@@ -127,3 +127,24 @@ def ops_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 def now_us(df: DataFrame, col: str = "created_us") -> Column:
     """"Now" of a job = max arrival time of its input, as a lazy scalar subquery."""
     return df.agg(F.max(col)).scalar()
+
+
+def txn_meta(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """txn_m with the wire ``metadata`` as JSON text: the ground-truth label is a string,
+    except a number at ``event_no % 11 = 0``, JSON null at ``% 19 = 0`` and absent at
+    ``% 13 = 0``; the card network is a number at ``% 17 = 0``."""
+    t = txn_m(spark, sf_dir)
+    n = F.col("event_no")
+
+    def s(c: str) -> Column:
+        return F.concat(F.lit('"'), F.col(c), F.lit('"'))
+
+    network = F.when(n % 17 == 0, F.lit("4")).otherwise(s("card_network"))
+    label = (F.when(n % 13 == 0, F.lit(""))
+             .when(n % 11 == 0, F.concat(F.lit(',"is_fraud_ground_truth":'), F.col("label")))
+             .when(n % 19 == 0, F.lit(',"is_fraud_ground_truth":null'))
+             .otherwise(F.concat(F.lit(',"is_fraud_ground_truth":'), s("label"))))
+    meta = F.concat(F.lit('{"product_code":'), s("product_code"),
+                    F.lit(',"card_network":'), network,
+                    F.lit(',"email_domain":'), s("email_domain"), label, F.lit("}"))
+    return t.withColumn("metadata_json", meta)
