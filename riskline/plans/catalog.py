@@ -9,6 +9,7 @@ from riskline.plans.registry import REGISTRY, Entry
 _MODULES = (
     "riskline.plans.catalog_rules",
     "riskline.plans.catalog_features",
+    "riskline.plans.catalog_ingest",
 )
 
 for _m in _MODULES:

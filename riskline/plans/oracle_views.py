@@ -195,3 +195,69 @@ SELECT e.*, CASE WHEN rn < CAST(floor(n * CAST(0.70 AS DOUBLE)) AS BIGINT) THEN
                  WHEN rn < CAST(floor(n * CAST(0.85 AS DOUBLE)) AS BIGINT) THEN 'val' ELSE 'test' END AS split
 FROM (SELECT *, row_number() OVER (ORDER BY us, event_id) - 1 AS rn,
         count(*) OVER () AS n FROM export_features) e""")
+
+# --- wire fixtures (twins of riskline.sources.wire) -----------------------------------
+view("wire_events", ("txn_m",), """
+SELECT event_id, event_no, correlation_id, created_us,
+  '{"event_id":"' || event_id || '","user_id":"' || user_id || '","amount":'
+  || CASE WHEN event_no % 89 = 7 THEN '0.00' ELSE CAST(amount AS VARCHAR) END
+  || ',"currency":"' || currency || '","merchant":"' || merchant
+  || '","timestamp":"' || strftime(make_timestamp(us), '%Y-%m-%dT%H:%M:%SZ')
+  || '","metadata":{"product_code":"' || product_code || '","card_network":"' || card_network
+  || '","email_domain":"' || email_domain || '"}'
+  || CASE WHEN event_no % 997 = 0 THEN ',"pad":"' || repeat('x', 300000) || '"'
+          WHEN event_no % 997 = 1 THEN ',"pad":"' || repeat('x', 250000) || '"' ELSE '' END
+  || '}' AS payload
+FROM txn_m""")
+
+view("built_envelopes", ("wire_events",), """
+SELECT *, sha256(payload) AS payload_sha256, CAST(octet_length(encode(payload)) AS BIGINT) AS payload_bytes,
+  CASE WHEN octet_length(encode(payload)) <= 262144 THEN 'INLINE' ELSE 'S3' END AS payload_mode,
+  CASE WHEN octet_length(encode(payload)) <= 262144 THEN payload END AS payload_inline,
+  CASE WHEN octet_length(encode(payload)) > 262144 THEN 'raw/' || strftime(make_timestamp(created_us), '%Y-%m-%d')
+    || '/' || event_id || '.json' END AS s3_key,
+  created_us AS received_us
+FROM wire_events""")
+
+view("envelopes", ("built_envelopes",), """
+SELECT event_id, event_no, correlation_id,
+  CASE WHEN event_no % 89 = 1 THEN 'BOGUS' WHEN event_no % 89 IN (3, 6) THEN 'S3' ELSE payload_mode END AS payload_mode,
+  CASE WHEN event_no % 89 IN (2, 3, 6) THEN NULL WHEN event_no % 89 = 5 THEN '{not json' ELSE payload_inline END AS payload_inline,
+  CASE WHEN event_no % 89 = 4 THEN 'bad-hash' WHEN event_no % 89 = 5 THEN sha256('{not json') ELSE payload_sha256 END AS payload_sha256,
+  CASE WHEN event_no % 89 = 3 THEN NULL WHEN event_no % 89 = 6 THEN 'raw/missing/' || event_id || '.json' ELSE s3_key END AS s3_key,
+  received_us
+FROM built_envelopes""")
+
+view("objects", ("built_envelopes",), """
+SELECT s3_key AS key, payload AS content FROM built_envelopes WHERE payload_mode = 'S3'""")
+
+view("resolved", ("envelopes", "objects"), """
+SELECT e.*, CASE WHEN e.payload_mode = 'INLINE' THEN
+      CASE WHEN e.payload_inline IS NULL THEN 'missing_payload' END
+    WHEN e.payload_mode = 'S3' THEN
+      CASE WHEN e.s3_key IS NULL THEN 'missing_s3_key' WHEN o.key IS NULL THEN 'storage_fetch_failed' END
+    ELSE 'invalid_payload_mode' END AS fetch_error,
+  CASE WHEN e.payload_mode = 'INLINE' THEN e.payload_inline WHEN e.payload_mode = 'S3' THEN o.content END AS payload
+FROM envelopes e LEFT JOIN objects o ON e.payload_mode = 'S3' AND e.s3_key = o.key""")
+
+view("parsed", ("resolved",), """
+SELECT r.* EXCLUDE (ok), CASE WHEN fetch_error IS NULL THEN sha256(payload) = payload_sha256 END AS hash_ok,
+  CASE WHEN fetch_error IS NULL AND sha256(payload) = payload_sha256 THEN json_valid(payload) END AS parse_ok,
+  CASE WHEN ok THEN payload->>'$.user_id' END AS p_user_id,
+  CASE WHEN ok THEN TRY_CAST(payload->>'$.amount' AS DOUBLE) END AS p_amount,
+  CASE WHEN ok THEN payload->>'$.currency' END AS p_currency,
+  CASE WHEN ok THEN payload->>'$.merchant' END AS p_merchant,
+  CASE WHEN ok THEN epoch_us(strptime(payload->>'$.timestamp', '%Y-%m-%dT%H:%M:%SZ')) END AS p_us,
+  CASE WHEN ok THEN CAST(len(json_keys(payload->'$.metadata')) AS INTEGER) END AS p_metadata_keys
+FROM (SELECT *, fetch_error IS NULL AND sha256(payload) = payload_sha256 AND json_valid(payload) AS ok
+      FROM resolved) r""")
+
+view("csv_rows", ("txn_m",), """
+SELECT event_no,
+  CASE WHEN event_no % 37 = 0 THEN 'bad' ELSE CAST(CAST(floor((us - 1704067200000000) / 1000000) AS BIGINT) AS VARCHAR)
+    || CASE WHEN event_no % 3 = 0 THEN '.75' ELSE '' END END AS TransactionDT,
+  CASE WHEN event_no % 41 = 0 THEN 'n/a' WHEN event_no % 43 = 0 THEN '-5.00' ELSE CAST(amount AS VARCHAR) END AS TransactionAmt,
+  CASE WHEN event_no % 47 = 0 THEN '' ELSE substring(user_id, 2, 20) END AS card1,
+  product_code AS ProductCD, card_network AS card4, email_domain AS P_emaildomain,
+  CASE WHEN event_no % 53 = 0 THEN '' ELSE label END AS isFraud
+FROM txn_m""")

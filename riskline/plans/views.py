@@ -41,3 +41,12 @@ def features(spark: SparkSession, sf_dir: str, skew_safe: bool = True) -> DataFr
 
 
 __all__ = ["scored_txn", "flags", "flag_events", "features", "F"]
+
+
+def processed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every envelope through the processor stages (reason null = good event)."""
+    from riskline.plans.pipeline import process_envelopes
+    from riskline.sources import wire
+
+    now = fx.now_us(fx.txn(spark, sf_dir))
+    return process_envelopes(wire.envelopes(spark, sf_dir), wire.objects(spark, sf_dir), now)
