@@ -65,3 +65,29 @@ def global_prefix_sums(df: DataFrame, order_cols: list[str], sums: dict[str, Col
         out = out.withColumn(k, F.col(f"_o_{k}") + F.col(f"_l_{k}"))
     drop = ["_rid"] + [f"_{p}_{k}" for k in sums for p in ("v", "l", "o")]
     return out.drop(*drop)
+
+
+def exact_percentiles(df: DataFrame, value: str, probs: dict[str, float], tie: str,
+                      n_ranges: int | None = None) -> DataFrame:
+    """Exact ``percentile_cont`` of ``value`` for each named probability, as one row.
+
+    Spark's exact ``percentile`` buffers every value of the group in one task; here the
+    values are ranked by :func:`global_ordinal` (range-partitioned) and only the two
+    neighbouring ranks of each probability are kept, so no task holds more than its own
+    range. ``tie`` makes the order total.
+    """
+    v = df.select(value, tie).filter(F.col(value).isNotNull())
+    n = v.agg(F.count(F.lit(1))).scalar()
+    ranked = global_ordinal(v, [value, tie], "_k", n_ranges)
+    outs = []
+    wanted = None
+    for name, p in probs.items():
+        pos = (n - 1) * F.lit(p)
+        lo, hi = F.floor(pos), F.ceil(pos)
+        cond = (F.col("_k") == lo) | (F.col("_k") == hi)
+        wanted = cond if wanted is None else wanted | cond
+        vlo = F.max(F.when(F.col("_k") == lo, F.col(value)))
+        vhi = F.max(F.when(F.col("_k") == hi, F.col(value)))
+        outs.append((vlo.cast("double") + (vhi.cast("double") - vlo.cast("double"))
+                     * (pos - lo)).alias(name))
+    return ranked.filter(wanted).agg(*outs)

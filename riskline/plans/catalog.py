@@ -10,6 +10,7 @@ _MODULES = (
     "riskline.plans.catalog_rules",
     "riskline.plans.catalog_features",
     "riskline.plans.catalog_ingest",
+    "riskline.plans.catalog_ledger",
 )
 
 for _m in _MODULES:
