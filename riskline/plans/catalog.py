@@ -11,6 +11,7 @@ _MODULES = (
     "riskline.plans.catalog_features",
     "riskline.plans.catalog_ingest",
     "riskline.plans.catalog_ledger",
+    "riskline.plans.catalog_metrics",
 )
 
 for _m in _MODULES:

@@ -85,7 +85,10 @@ def with_views(body: str, *names: str) -> str:
     if not order:
         return body.strip()
     ctes = ",\n".join(f"{n} AS (\n{VIEWS[n][1]}\n)" for n in order)
-    return f"WITH {ctes}\n{body.strip()}"
+    body = body.strip()
+    if body[:5].upper() == "WITH ":      # merge the body's own CTEs into the list
+        return f"WITH {ctes},\n{body[5:]}"
+    return f"WITH {ctes}\n{body}"
 
 
 # --- derived views (DuckDB twins of riskline.plans.views) ------------------------------
