@@ -12,6 +12,7 @@ _MODULES = (
     "riskline.plans.catalog_ingest",
     "riskline.plans.catalog_ledger",
     "riskline.plans.catalog_metrics",
+    "riskline.plans.catalog_ml",
 )
 
 for _m in _MODULES:
