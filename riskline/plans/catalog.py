@@ -13,6 +13,7 @@ _MODULES = (
     "riskline.plans.catalog_ledger",
     "riskline.plans.catalog_metrics",
     "riskline.plans.catalog_ml",
+    "riskline.plans.catalog_pipeline",
 )
 
 for _m in _MODULES:

@@ -92,7 +92,7 @@ def with_views(body: str, *names: str) -> str:
 
 
 # --- derived views (DuckDB twins of riskline.plans.views) ------------------------------
-def _flags_sql() -> str:
+def _flags_sql(src: str = "scored_txn") -> str:
     from riskline.config import TEST_RULES as C
 
     thr = f"{C.amount_threshold:.2f}"
@@ -106,24 +106,24 @@ SELECT sha256(event_id || '|' || rule_name) AS flag_id, event_id, user_id, rule_
   rule_value, created_us AS flagged_us, ml_score FROM (
   SELECT {cols}, 'amount_threshold' AS rule_name,
     'amount=' || CAST(amount AS VARCHAR) || ' > threshold={thr}' AS rule_value
-  FROM scored_txn WHERE amount > {thr}
+  FROM {src} WHERE amount > {thr}
   UNION ALL
   SELECT {cols}, 'velocity', 'count=' || CAST(velocity_count AS VARCHAR) || ' in {w}s >= max={mx}'
-  FROM scored_txn WHERE velocity_count >= {mx}
+  FROM {src} WHERE velocity_count >= {mx}
   UNION ALL
   SELECT {cols}, 'blocked_merchant', 'merchant=' || {q.format(c='merchant')} || ' is blocked'
-  FROM scored_txn WHERE merchant IN ({merch})
+  FROM {src} WHERE merchant IN ({merch})
   UNION ALL
   SELECT {cols}, 'high_risk_currency', 'currency=' || {q.format(c='currency')} || ' is high-risk'
-  FROM scored_txn WHERE currency IN ({cur})
+  FROM {src} WHERE currency IN ({cur})
   UNION ALL
   SELECT {cols}, 'ml_risk', 'ml_score=' || CAST(CAST(round(ml_score, 4) AS DECIMAL(20,4)) AS VARCHAR)
     || ' >= tau={C.tau:.4f} (model=' || model_version || ')'
-  FROM scored_txn WHERE ml_score >= {C.tau}
+  FROM {src} WHERE ml_score >= {C.tau}
 ) f"""
 
 
-def _scored_sql() -> str:
+def _scored_sql(src: str = "txn_m") -> str:
     from riskline.config import TEST_RULES as C
 
     w = C.velocity_window_seconds * 1_000_000
@@ -132,7 +132,7 @@ SELECT t.*, count(*) OVER (PARTITION BY t.user_id ORDER BY t.created_us
     RANGE BETWEEN {w} PRECEDING AND CURRENT ROW) AS velocity_count,
   coalesce(s.ml_score, 0.0) AS ml_score,
   CASE WHEN s.ml_score IS NULL THEN 'unavailable' ELSE '{C.model_version}' END AS model_version
-FROM txn_m t LEFT JOIN (SELECT event_id, ml_score FROM scores) s ON t.event_id = s.event_id"""
+FROM {src} t LEFT JOIN (SELECT event_id, ml_score FROM scores) s ON t.event_id = s.event_id"""
 
 
 view("scored_txn", ("txn_m", "scores"), _scored_sql())
