@@ -50,6 +50,9 @@ def temporal_split(df: DataFrame, order_cols: list[str] | None = None,
                    train: float = 0.70, val: float = 0.85) -> DataFrame:
     """M4: 70 / 15 / 15 by position in time order, boundaries ``int(n * f)``."""
     order_cols = order_cols or ["us", "event_id"]
+    # The ordinal runs several jobs over the input (sampling, counts, numbering): cut the
+    # lineage once into the shared checkpoint folder instead of recomputing the features.
+    df = df.checkpoint(eager=True)
     n = df.agg(F.count(F.lit(1))).scalar()
     o = global_ordinal(df, order_cols, "_rn")
     return o.withColumn(

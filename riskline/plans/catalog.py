@@ -14,6 +14,7 @@ _MODULES = (
     "riskline.plans.catalog_metrics",
     "riskline.plans.catalog_ml",
     "riskline.plans.catalog_pipeline",
+    "riskline.plans.catalog_streaming",
 )
 
 for _m in _MODULES:
