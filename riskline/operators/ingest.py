@@ -250,8 +250,8 @@ def read_transactions_csv(spark: SparkSession, path: str,
     """Header CSV read by name, all strings; rows whose field count differs from the
     header are split off as failed (``_corrupt_record``), missing columns read as ''.
 
-    Spark flags a wrong field count only when every column is parsed, so both outputs
-    keep all columns (with CSV column pruning a narrow projection would not see it).
+    Spark flags a wrong field count only when every column is parsed (CSV column
+    pruning would hide it from a narrow projection), hence the checkpoint below.
     """
     raw = (spark.read.option("header", True).option("mode", "PERMISSIVE")
            .option("columnNameOfCorruptRecord", "_corrupt_record")
@@ -259,6 +259,10 @@ def read_transactions_csv(spark: SparkSession, path: str,
            .schema(T.StructType([T.StructField(c, T.StringType()) for c in columns]
                                 + [T.StructField("_corrupt_record", T.StringType())]))
            .csv(path))
+    # Materialise the parsed rows once (shared checkpoint folder): every column is parsed,
+    # so the field-count check sees every row, and later narrow queries (a count) are
+    # allowed on the result.
+    raw = raw.checkpoint(eager=True)
     bad = raw.filter(F.col("_corrupt_record").isNotNull())
     good = raw.filter(F.col("_corrupt_record").isNull()).drop("_corrupt_record")
     good = good.select(*[F.coalesce(F.col(c), F.lit("")).alias(c) for c in columns])
