@@ -102,16 +102,25 @@ def histogram_quantile(hist: DataFrame, q: float, series: str = "service") -> Da
 
 
 def period_stats(samples: DataFrame, us: str = "us", value: str = "latency_s",
-                 series: str = "service", period_s: int = 300) -> DataFrame:
-    """p50 / p95 (exact, continuous), sum and count per series and period. A group
-    is one series' period (bounded by its rate x period), so exact ``percentile`` is
-    safe here."""
-    return samples.groupBy(series, _win(us, period_s).alias("w")).agg(
-        F.percentile(F.col(value), 0.5).alias("p50"),
-        F.percentile(F.col(value), 0.95).alias("p95"),
-        F.sum(value).alias("total"), F.count(F.lit(1)).alias("n")) \
-        .select(series, micros(F.col("w.start")).alias("period_us"), "p50", "p95",
-                "total", "n")
+                 series: str = "service", period_s: int = 300,
+                 tie: str = "event_id") -> DataFrame:
+    """p50 / p95 (exact, continuous), sum and count per series and period.
+
+    The percentiles rank rows with a sorted window per (series, period) instead of
+    Spark's exact ``percentile`` (which buffers a whole group in one task's memory);
+    sum and count are ordinary partial aggregates. Both sides are keyed by
+    (series, period) and joined.
+    """
+    from riskline.operators.ordinal import grouped_exact_percentiles
+
+    per = F.floor(F.col(us) / F.lit(period_s * MICROS)) * F.lit(period_s * MICROS)
+    s = samples.select(series, per.cast("bigint").alias("period_us"), value, tie)
+    pct = grouped_exact_percentiles(s, [series, "period_us"], value,
+                                    {"p50": 0.5, "p95": 0.95}, tie)
+    tot = s.groupBy(series, "period_us").agg(F.sum(value).alias("total"),
+                                              F.count(F.lit(1)).alias("n"))
+    return tot.join(pct, [series, "period_us"]).select(series, "period_us", "p50", "p95",
+                                                       "total", "n")
 
 
 def alarm_states(values: DataFrame, rules: DataFrame, series: str = "service") -> DataFrame:

@@ -91,3 +91,27 @@ def exact_percentiles(df: DataFrame, value: str, probs: dict[str, float], tie: s
         outs.append((vlo.cast("double") + (vhi.cast("double") - vlo.cast("double"))
                      * (pos - lo)).alias(name))
     return ranked.filter(wanted).agg(*outs)
+
+
+def grouped_exact_percentiles(df: DataFrame, groups: list[str], value: str,
+                              probs: dict[str, float], tie: str) -> DataFrame:
+    """Exact ``percentile_cont`` per group without buffering a group in memory: rows are
+    ranked by a sorted window (external sort, spills) and only the two neighbouring ranks
+    of each probability survive to the aggregate."""
+    w = Window.partitionBy(*groups).orderBy(value, tie)
+    r = df.filter(F.col(value).isNotNull()).select(
+        *groups, value, (F.row_number().over(w) - 1).alias("_k"),
+        F.count(F.lit(1)).over(Window.partitionBy(*groups)).alias("_n"))
+    keep = None
+    outs = []
+    for name, p in probs.items():
+        pos = (F.col("_n") - 1) * F.lit(p)
+        cond = (F.col("_k") == F.floor(pos)) | (F.col("_k") == F.ceil(pos))
+        keep = cond if keep is None else keep | cond
+        pos_a = (F.first("_n") - 1) * F.lit(p)
+        vlo = F.max(F.when(F.col("_k") == F.floor((F.col("_n") - 1) * F.lit(p)),
+                           F.col(value))).cast("double")
+        vhi = F.max(F.when(F.col("_k") == F.ceil((F.col("_n") - 1) * F.lit(p)),
+                           F.col(value))).cast("double")
+        outs.append((vlo + (vhi - vlo) * (pos_a - F.floor(pos_a))).alias(name))
+    return r.filter(keep).groupBy(*groups).agg(*outs)
