@@ -267,3 +267,19 @@ def read_transactions_csv(spark: SparkSession, path: str,
     good = raw.filter(F.col("_corrupt_record").isNull()).drop("_corrupt_record")
     good = good.select(*[F.coalesce(F.col(c), F.lit("")).alias(c) for c in columns])
     return good, bad
+
+
+def request_to_event(req: DataFrame) -> DataFrame:
+    """Synchronous evaluation requests -> events. ``event_id`` and the transaction
+    time are required (rows without them are rejected with the reason); the string map
+    metadata becomes JSON text, an empty map becomes null."""
+    md = F.col("metadata")
+    missing = (F.when(F.coalesce(F.col("event_id"), F.lit("")) == "",
+                      F.lit("event_id is required"))
+                .when(F.col("transaction_us").isNull(), F.lit("transaction_time is required")))
+    return req.select(
+        "event_id", "user_id", "amount", "currency", "merchant",
+        F.col("transaction_us").alias("us"),
+        F.when(F.coalesce(F.size(md), F.lit(0)) > 0, F.to_json(md)).alias("metadata_json"),
+        F.coalesce(F.size(md), F.lit(0)).alias("metadata_keys"),
+        missing.alias("invalid_argument"))

@@ -76,3 +76,17 @@ def activity_by_minute(ledger: DataFrame, now_us: Column, horizon_us: int = 3_60
             .groupBy(minute.cast("bigint").alias("minute_us"), "status")
             .agg(F.count(F.lit(1)).alias("events_processed"))
             .orderBy(F.desc("minute_us"), "status"))
+
+
+def get_event(stored: DataFrame, event_id: str) -> DataFrame:
+    """S7 point lookup: an equality filter on the key, pushed to the Parquet scan (min/max
+    statistics and bloom filters prune row groups); empty result = NotFound."""
+    return stored.filter(F.col("event_id") == F.lit(event_id))
+
+
+def lookup_events(stored: DataFrame, ids: DataFrame) -> DataFrame:
+    """S7 batch form: many lookups at once as one left join on the key; ``found`` is
+    false for ids the store does not hold."""
+    s = stored.withColumn("_hit", F.lit(True))
+    return (ids.select("event_id").distinct().join(s, "event_id", "left")
+               .withColumn("found", F.coalesce(F.col("_hit"), F.lit(False))).drop("_hit"))

@@ -111,3 +111,8 @@ def read_binary_objects(spark: SparkSession, pattern: str) -> DataFrame:
     return spark.read.format("binaryFile").load(pattern).select(
         F.regexp_extract("path", r"(raw/.*)$", 1).alias("key"),
         F.col("content").cast("string").alias("content"))
+
+
+def write_report(df: DataFrame, path: str) -> None:
+    """A report (e.g. the SLO verdict) as JSON lines; rendering is not built."""
+    df.coalesce(1).write.mode("overwrite").json(path)

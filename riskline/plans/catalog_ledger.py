@@ -198,3 +198,19 @@ def persist_flags(spark, sf_dir):
     stored = f.filter(F.col("flagged_us") <= cut + F.lit(3_600_000_000))  # overlaps 1 h
     second = f.filter(F.col("flagged_us") > cut)
     return S.insert_if_absent(stored, second, "flag_id", ["flagged_us"]).drop("flagged_us")
+
+
+@register("event_lookup", with_views(f"""
+SELECT t.event_id, s.user_id, s.amount, s.currency, s.merchant, s.us,
+  s.event_id IS NOT NULL AS found
+FROM txn t LEFT JOIN (SELECT event_id, user_id, amount, currency, merchant, us FROM txn_m
+                      WHERE created_us <= {_CUT}) s ON t.event_id = s.event_id""",
+                                    "txn", "txn_m"))
+def event_lookup(spark, sf_dir):
+    """S7 (batch form): every event id looked up in the store as it was one day before
+    "now"; ids arriving later are NotFound (``found = false``)."""
+    t = fx.txn_m(spark, sf_dir)
+    cut = fx.now_us(t) - F.lit(86_400_000_000)
+    stored = t.filter(F.col("created_us") <= cut).select(
+        "event_id", "user_id", "amount", "currency", "merchant", "us")
+    return RP.lookup_events(stored, fx.txn(spark, sf_dir).select("event_id"))

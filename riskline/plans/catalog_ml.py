@@ -266,3 +266,19 @@ def score_drift(spark, sf_dir):
     loaded = GBTClassificationModel.load(path)
     test = enc.filter(F.col("split") == "test")
     return TR.score_drift(TR.score(model, test, "a"), TR.score(loaded, test, "b"))
+
+
+@register("freq_encode", with_views("""
+SELECT s.event_id, coalesce(m.freq, 0.0) AS merchant_freq, coalesce(e.freq, 0.0) AS email_domain_freq
+FROM split s
+LEFT JOIN (SELECT value, freq FROM freqs WHERE "column" = 'merchant') m
+  ON lower(coalesce(s.merchant, '')) = m.value
+LEFT JOIN (SELECT value, freq FROM freqs WHERE "column" = 'email_domain') e
+  ON lower(coalesce(s.email_domain, '')) = e.value""", "freqs"))
+def freq_encode(spark, sf_dir):
+    """Frequency encoding of every split row from the train-fitted tables (left join,
+    unseen -> 0.0)."""
+    s = split_df(spark, sf_dir)
+    freq = EN.fit_frequencies(s.filter(F.col("split") == "train"))
+    return EN.frequency_columns(s, freq).select("event_id", "merchant_freq",
+                                                 "email_domain_freq")

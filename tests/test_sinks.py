@@ -39,3 +39,48 @@ def test_validation_order(spark):
                                      "merchant string, us long, metadata_keys int")
     e = I.validate(df, F.lit(0)).first()["error"]
     assert (e["field"], e["code"]) == ("user_id", "MISSING_FIELD")
+
+
+def test_payload_objects_round_trip(spark):
+    from riskline.operators.sinks import read_payload_objects, write_payload_objects
+
+    root = tempfile.mkdtemp(prefix="riskline-objects-")
+    env = spark.createDataFrame(
+        [("S3", "raw/2024-01-02/e1.json", "big-1"), ("INLINE", None, "small")],
+        "payload_mode string, s3_key string, payload string")
+    write_payload_objects(env, root)
+    got = {r["key"]: r["content"] for r in read_payload_objects(spark, root).collect()}
+    assert got == {"raw/2024-01-02/e1.json": "big-1"}
+
+
+def test_encoder_artifact_round_trip(spark):
+    from riskline.operators import encode as EN
+
+    train = spark.createDataFrame(
+        [("USD", "W", "visa", "Walmart", "g.com"), ("XMR", "C", "visa", "Target", "")],
+        "currency string, product_code string, card_network string, merchant string, "
+        "email_domain string")
+    path = tempfile.mkdtemp(prefix="riskline-enc-")
+    EN.save_encoder(EN.fit_vocab(train), EN.fit_frequencies(train), path, tau=0.87)
+    vocab, freq = EN.load_encoder(spark, path)
+    assert sorted(r["value"] for r in vocab.filter("column = 'currency'").collect()) == \
+        ["usd", "xmr"]
+    assert {r["value"]: r["freq"] for r in freq.filter("column = 'merchant'").collect()} == \
+        {"walmart": 0.5, "target": 0.5}
+
+
+def test_request_to_event_and_default_ids(spark):
+    req = spark.createDataFrame(
+        [("e1", "u", 1.0, "USD", "m", 5, {"a": "b"}), ("", "u", 1.0, "USD", "m", 5, {}),
+         ("e3", "u", 1.0, "USD", "m", None, None)],
+        "event_id string, user_id string, amount double, currency string, merchant string, "
+        "transaction_us long, metadata map<string,string>")
+    out = {r["event_id"]: r for r in I.request_to_event(req).collect()}
+    assert out["e1"]["metadata_json"] == '{"a":"b"}' and out["e1"]["invalid_argument"] is None
+    assert out[""]["invalid_argument"] == "event_id is required"
+    assert out[""]["metadata_json"] is None
+    assert out["e3"]["invalid_argument"] == "transaction_time is required"
+    p = spark.createDataFrame([("", "", "{}")], "event_id string, correlation_id string, "
+                                               "payload string")
+    r = I.default_ids(p).first()
+    assert r["event_id"] == r["correlation_id"] and len(r["event_id"]) == 64
