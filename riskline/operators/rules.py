@@ -159,3 +159,23 @@ def membership_join(df: DataFrame, values: DataFrame, col: str, value_col: str)
     """J3 for lists of data size: semi join; Spark broadcasts the list side only when
     its measured size is under ``spark.sql.autoBroadcastJoinThreshold``."""
     return df.join(values.select(F.col(value_col).alias(col)).distinct(), col, "left_semi")
+
+
+def evaluate_decisions(scored: DataFrame, cfg: RulesConfig, with_score: bool = True
+                       ) -> DataFrame:
+    """P16 in one pass over the scored events: the per-event flag array is already in
+    rule order, so the decision needs neither a group-by of flags nor a join back to the
+    events (use :func:`decisions` when flags come from a store)."""
+    triples = rule_triples(cfg)
+    if with_score:
+        ml = ml_triple(cfg)
+        if ml is not None:
+            triples.append(ml)
+    fl = flag_array(triples)
+    by = F.when(F.col("model_version") == "unavailable", F.lit(SERVICE_VERSION)) \
+        .otherwise(F.concat(F.lit(SERVICE_VERSION + "+ml-"), F.col("model_version")))
+    return scored.select(
+        "event_id", "user_id",
+        F.when(F.size(fl) == 0, F.lit("ALLOW")).otherwise(F.lit("FLAG")).alias("decision"),
+        fl.alias("flags"), F.size(fl).cast("bigint").alias("n_flags"),
+        by.alias("evaluated_by"), "ml_score")

@@ -76,9 +76,7 @@ FROM scored_txn t LEFT JOIN flags f ON t.event_id = f.event_id
 GROUP BY t.event_id, t.user_id, t.model_version, t.ml_score""", "flags"))
 def decisions_q(spark, sf_dir):
     """ALLOW / FLAG per event with the rule list in rule order and ``evaluated_by``."""
-    ev = V.scored_txn(spark, sf_dir)
-    d = R.decisions(ev.select("event_id", "user_id", "ml_score", "model_version"),
-                    V.flags(spark, sf_dir))
+    d = R.evaluate_decisions(V.scored_txn(spark, sf_dir), C)
     return d.select("event_id", "user_id", "decision", "n_flags",
                     F.array_join(F.transform("flags", lambda x: x["rule_name"]), ",")
                      .alias("rules"), "evaluated_by", "ml_score")

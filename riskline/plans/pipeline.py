@@ -62,8 +62,7 @@ def evaluate_batch(new_events: DataFrame, history: DataFrame, scores: DataFrame
     with_v = R.with_velocity(stored, cfg, history=history)
     scored = R.attach_scores(with_v, scores, cfg.model_version)
     flags = R.evaluate_rules(scored, cfg, with_score=scores is not None)
-    decisions = R.decisions(scored.select("event_id", "user_id", "ml_score", "model_version"),
-                            flags)
+    decisions = R.evaluate_decisions(scored, cfg, with_score=scores is not None)
     return {"stored": stored, "flags": flags, "decisions": decisions,
             "rejected": v.filter(F.col("error").isNotNull())}
 
