@@ -28,11 +28,26 @@ def windowed_counts(df: DataFrame, us: str, size_s: int, slide_s: int | None = N
                     by: tuple[str, ...] = (), per_second: bool = False) -> DataFrame:
     """Count per window (and labels); ``per_second`` divides by the window length
     (a PromQL ``rate``; ``increase`` is the plain count)."""
-    g = df.groupBy(_win(us, size_s, slide_s).alias("w"), *by).agg(
-        F.count(F.lit(1)).alias("n"))
+    if slide_s and size_s % slide_s == 0:
+        # Batch form of a sliding window: count per slide slot first (partial aggregate,
+        # one row per label and slot), then expand only the slot counts into the
+        # size / slide windows that contain the slot -- the raw rows are never copied.
+        slide = slide_s * MICROS
+        k = size_s // slide_s
+        slots = df.groupBy(*by, F.floor(F.col(us) / F.lit(slide)).cast("bigint")
+                           .alias("_slot")).agg(F.count(F.lit(1)).alias("_c"))
+        g = slots.select(*by, "_slot", "_c", F.explode(F.sequence(F.lit(0), F.lit(k - 1)))
+                         .alias("_j")) \
+            .withColumn("window_start_us", (F.col("_slot") - F.col("_j")) * F.lit(slide)) \
+            .drop("_slot", "_j") \
+            .groupBy("window_start_us", *by).agg(F.sum("_c").alias("n"))
+    else:
+        g = df.groupBy(_win(us, size_s, slide_s).alias("w"), *by).agg(
+            F.count(F.lit(1)).alias("n")) \
+            .select(micros(F.col("w.start")).alias("window_start_us"), *by, "n")
     val = (F.col("n") / F.lit(float(size_s))) if per_second else F.col("n")
-    return g.select(micros(F.col("w.start")).alias("window_start_us"), *by,
-                    val.alias("rate" if per_second else "n"))
+    return g.select("window_start_us", *by, val.cast("double" if per_second else "bigint")
+                    .alias("rate" if per_second else "n"))
 
 
 def volume_by_day(df: DataFrame, us: str = "us") -> DataFrame:

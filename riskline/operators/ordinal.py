@@ -76,7 +76,8 @@ def exact_percentiles(df: DataFrame, value: str, probs: dict[str, float], tie: s
     neighbouring ranks of each probability are kept, so no task holds more than its own
     range. ``tie`` makes the order total.
     """
-    v = df.select(value, tie).filter(F.col(value).isNotNull())
+    # three jobs read the values (count, sampled cuts, ranks): materialise them once
+    v = df.select(value, tie).filter(F.col(value).isNotNull()).checkpoint(eager=True)
     n = v.agg(F.count(F.lit(1))).scalar()
     ranked = global_ordinal(v, [value, tie], "_k", n_ranges)
     outs = []
