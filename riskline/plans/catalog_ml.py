@@ -70,6 +70,8 @@ def _onehot_sql(col: str) -> str:
 
 
 @register("encoded_features", with_views(f"""
+SELECT event_id, CAST(generate_subscripts(features, 1) - 1 AS INTEGER) AS position,
+  unnest(features) AS value FROM (
 SELECT s.event_id, list_concat(
   [CAST(s.amount AS FLOAT), CAST(s.velocity_60s AS FLOAT), CAST(s.velocity_3600s AS FLOAT),
    CAST(s.velocity_86400s AS FLOAT), CAST(s.secs_since_prev AS FLOAT),
@@ -80,13 +82,14 @@ FROM split s
 LEFT JOIN (SELECT value, freq FROM freqs WHERE "column" = 'merchant') m
   ON lower(coalesce(s.merchant, '')) = m.value
 LEFT JOIN (SELECT value, freq FROM freqs WHERE "column" = 'email_domain') e
-  ON lower(coalesce(s.email_domain, '')) = e.value""", "vocab", "freqs"))
+  ON lower(coalesce(s.email_domain, '')) = e.value) enc""", "vocab", "freqs"))
 def encoded_features(spark, sf_dir):
-    """M3 + J6: float32 vector in column order for every split row (unseen -> zeros)."""
+    """M3 + J6: float32 vector in column order for every split row (unseen -> zeros),
+    listed as (event_id, position, value)."""
     s = split_df(spark, sf_dir)
     train = s.filter(F.col("split") == "train")
     enc = EN.encode(s, EN.fit_vocab(train), EN.fit_frequencies(train))
-    return enc.select("event_id", "features")
+    return enc.select("event_id", F.posexplode("features").alias("position", "value"))
 
 
 @register("class_weight", with_views("""
