@@ -1,12 +1,12 @@
 """Claim ledger and delivery handling: T1 duplicate suppression, T2 claim state machine,
 T3 lease expiry, T6 retry / dead-letter routing, T7 safe redrive, A21 retry profile.
 
-Batch form of the ledger: deliveries are grouped per event id and folded in arrival
-order with ``aggregate`` over the sorted array (JVM-side higher-order function, one pass).
-A group is one event's deliveries, bounded by the broker's receive limit (a message is
-dead-lettered after ``MAX_RECEIVES``), so the array stays a handful of structs; a hot
-*user* never concentrates here because the key is the event id. Streaming form:
-:mod:`riskline.streaming.ledger_state`.
+Batch form of the ledger: a map-side combined summary (first delivery, receive count)
+settles every event whose first delivery succeeded -- success is final, so any number of
+later copies is skipped without being collected. Only events whose first delivery failed
+are folded in arrival order with ``aggregate`` over their sorted deliveries (JVM-side
+higher-order function); that group is bounded by the broker's receive limit (dead letter
+after ``MAX_RECEIVES``). Streaming form: :mod:`riskline.streaming.ledger_state`.
 """
 
 from __future__ import annotations
@@ -43,10 +43,25 @@ def claim_ledger(deliveries: DataFrame, lease_s: int = LEASE_S) -> DataFrame:
     claims (deliveries that were claimed), receives (all deliveries).
     """
     lease = F.lit(lease_s * MICROS)
-    grouped = deliveries.groupBy("event_id").agg(
-        F.array_sort(F.collect_list(F.struct("received_us", "delivery_no", "outcome")))
-         .alias("_d"),
+    d = deliveries.select("event_id", "received_us", "delivery_no", "outcome")
+    # Map-side combinable summary: first delivery and receive count per event. When the
+    # first delivery succeeded, every later copy is skipped (success is final), so such
+    # events -- including any flood of duplicates -- never reach the array fold.
+    summary = d.groupBy("event_id").agg(
+        F.min_by(F.struct("received_us", "outcome"),
+                 F.struct("received_us", "delivery_no")).alias("_first"),
         F.count(F.lit(1)).alias("receives"))
+    done = summary.filter(F.col("_first.outcome") == "ok").select(
+        "event_id", F.lit("success").alias("status"),
+        F.col("_first.received_us").alias("first_seen_us"),
+        F.col("_first.received_us").alias("last_seen_us"),
+        F.lit(1).alias("attempts"), F.lit(None).cast("string").alias("error_reason"),
+        F.lit(1).cast("bigint").alias("claims"), F.col("receives").cast("bigint"))
+    todo = summary.filter(F.col("_first.outcome") != "ok").select("event_id", "receives")
+    grouped = d.join(todo.select("event_id"), "event_id", "left_semi") \
+        .groupBy("event_id").agg(
+            F.array_sort(F.collect_list(F.struct("received_us", "delivery_no", "outcome")))
+             .alias("_d")).join(todo, "event_id")
     init = F.lit(None).cast(STATE)
 
     def step(s: Column, d: Column) -> Column:
@@ -68,14 +83,14 @@ def claim_ledger(deliveries: DataFrame, lease_s: int = LEASE_S) -> DataFrame:
 
     folded = grouped.select("event_id", "receives",
                             F.aggregate("_d", init, step).alias("_s"))
-    return folded.select(
+    return done.unionByName(folded.select(
         "event_id", F.col("_s.status").alias("status"),
         F.col("_s.first_seen_us").alias("first_seen_us"),
         F.col("_s.last_seen_us").alias("last_seen_us"),
         F.col("_s.attempts").cast("int").alias("attempts"),
         F.col("_s.error_reason").alias("error_reason"),
         F.col("_s.claimed").cast("bigint").alias("claims"),
-        F.col("receives").cast("bigint").alias("receives"))
+        F.col("receives").cast("bigint").alias("receives")))
 
 
 def stuck_events(ledger: DataFrame, now_us: Column, lease_s: int = LEASE_S) -> DataFrame:
@@ -110,11 +125,11 @@ def redrive(routes: DataFrame, ledger: DataFrame, now_us: Column) -> DataFrame:
 
 
 def suppress_duplicates(deliveries: DataFrame, order: list[str]) -> DataFrame:
-    """T1 batch form: the first delivery per event id (row_number = 1 by ``order``)."""
-    from pyspark.sql import Window
+    """T1 batch form: the first delivery per event id by ``order`` (a map-side combined
+    ``min_by``, so a flood of copies of one id is reduced before the shuffle)."""
+    from riskline.operators.sinks import first_writer
 
-    w = Window.partitionBy("event_id").orderBy(*order)
-    return deliveries.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
+    return first_writer(deliveries, "event_id", order)
 
 
 def retry_profile(ledger: DataFrame) -> DataFrame:

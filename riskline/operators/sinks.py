@@ -17,9 +17,16 @@ from pyspark.sql import functions as F
 
 
 def first_writer(batch: DataFrame, key: str, order: list[str]) -> DataFrame:
-    """One row per key, the earliest by ``order``."""
-    w = Window.partitionBy(key).orderBy(*order)
-    return batch.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
+    """One row per key, the earliest by ``order``.
+
+    A ``min_by`` aggregate rather than a ``row_number`` window: it is combined map-side,
+    so a key with millions of copies leaves each task as one row before the shuffle
+    (a window would sort every copy of the key in one task).
+    """
+    cols = [c for c in batch.columns if c != key]
+    best = batch.groupBy(key).agg(
+        F.min_by(F.struct(*cols), F.struct(*order)).alias("_w"))
+    return best.select(key, *[F.col(f"_w.{c}").alias(c) for c in cols])
 
 
 def new_rows(batch: DataFrame, stored_keys: DataFrame | None, key: str,
