@@ -99,16 +99,22 @@ def asof_features(df: DataFrame, *, user: str = "user_id", time_us: str = "us",
 
 def arrival_velocity(df: DataFrame, window_s: int, *, user: str = "user_id",
                      arrival_us: str = "created_us", out: str = "velocity_count",
-                     skew_safe: bool = True, bucket_s: int | None = None) -> DataFrame:
-    """Events of the user that *arrived* in ``[c - w, c]`` (closed lower bound)."""
+                     skew_safe: bool = True, bucket_s: int | None = None,
+                     counted: str | None = None) -> DataFrame:
+    """Events of the user that *arrived* in ``[c - w, c]`` (closed lower bound).
+
+    With ``counted`` (a boolean column) only those rows are counted; the other rows
+    still pass through (with ``out`` computed over the counted ones).
+    """
     w_us = window_s * MICROS
+    one = F.when(F.col(counted), F.lit(1)) if counted else F.lit(1)
     if not skew_safe:
         spec = Window.partitionBy(user).orderBy(arrival_us).rangeBetween(-w_us, 0)
-        return df.withColumn(out, F.count(F.lit(1)).over(spec).cast("bigint"))
+        return df.withColumn(out, F.count(one).over(spec).cast("bigint"))
     bucket_us = max(bucket_s or 86400, window_s) * MICROS
     rows = _bucketed(df, user, arrival_us, bucket_us, w_us)
     spec = Window.partitionBy(user, _B).orderBy(arrival_us).rangeBetween(-w_us, 0)
-    return (rows.withColumn(out, F.count(F.lit(1)).over(spec).cast("bigint"))
+    return (rows.withColumn(out, F.count(one).over(spec).cast("bigint"))
                 .filter(F.col(_HOME)).drop(_B, _HOME))
 
 

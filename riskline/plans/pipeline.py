@@ -77,20 +77,35 @@ def process_batch(env: DataFrame, objects: DataFrame, scores: DataFrame | None,
     evaluated after they are stored (T10: a failing evaluation never loses the event).
     """
     from riskline.operators import rules as R
+    from riskline.operators.features import arrival_velocity
 
     p = process_envelopes(env, objects, now_us)
-    good = p.filter(F.col("reason").isNull()).select(
-        "event_id", F.col("p_user_id").alias("user_id"),
+    ok = F.col("reason").isNull()
+    # One pass over the processed envelopes: the velocity window runs over every row but
+    # counts only stored (good) events; failed rows are keyed by their own id so they do
+    # not pile up in one null-user partition. The outcome then needs no join back.
+    rows = p.select(
+        "event_id", F.when(ok, F.col("p_user_id"))
+        .otherwise(F.concat(F.lit("\u0000"), F.col("event_id"))).alias("user_id"),
         F.col("p_amount").cast("decimal(18,2)").alias("amount"),
         F.col("p_currency").alias("currency"), F.col("p_merchant").alias("merchant"),
-        F.col("p_us").alias("us"), F.col("received_us").alias("created_us"))
-    scored = R.attach_scores(R.with_velocity(good, cfg), scores, cfg.model_version)
-    flags = R.evaluate_rules(scored, cfg, with_score=scores is not None)
-    n_flags = flags.groupBy("event_id").agg(F.count(F.lit(1)).alias("n_flags"))
-    status = F.when(F.col("reason").isNull(), F.lit("success")) \
+        F.col("p_us").alias("us"), F.col("received_us").alias("created_us"),
+        "reason", "error_class", ok.alias("_ok"))
+    counted = arrival_velocity(rows, cfg.velocity_window_seconds, counted="_ok") \
+        if cfg.velocity_window_seconds > 0 and cfg.velocity_max_count > 0 else rows
+    scored = R.attach_scores(counted, scores, cfg.model_version)
+    triples = R.rule_triples(cfg)
+    if scores is not None and R.ml_triple(cfg) is not None:
+        triples.append(R.ml_triple(cfg))
+    status = F.when(F.col("_ok"), F.lit("success")) \
         .when(F.col("error_class") == "retryable", F.lit("processing")) \
         .otherwise(F.lit("failed"))
-    outcome = p.select("event_id", status.alias("status"), "reason") \
-        .join(n_flags, "event_id", "left") \
-        .withColumn("n_flags", F.coalesce(F.col("n_flags"), F.lit(0)).cast("bigint"))
+    outcome = scored.select(
+        "event_id", status.alias("status"), "reason",
+        F.when(F.col("_ok"), F.size(R.flag_array(triples))).otherwise(F.lit(0))
+         .cast("bigint").alias("n_flags"))
+    good = scored.filter("_ok")
+    flags = R.evaluate_rules(good, cfg, with_score=scores is not None)
+    good = good.select("event_id", "user_id", "amount", "currency", "merchant", "us",
+                       "created_us")
     return {"events": good, "flags": flags, "outcome": outcome}
