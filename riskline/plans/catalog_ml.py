@@ -163,7 +163,7 @@ def recall_at_precision(spark, sf_dir):
     """Best ML recall at the precision of the amount rule."""
     test = _scored_split(spark, sf_dir, "test")
     rp = EV.confusion(test, F.col("amount") > C.amount_threshold).select("precision")
-    return EV.recall_at_precision(_curve(spark, sf_dir), rp.scalar())
+    return EV.recall_at_precision(EV.pr_curve(test), rp.scalar())
 
 
 @register("model_report", with_views(f"""
@@ -194,7 +194,7 @@ def model_report(spark, sf_dir):
     blend = EV.confusion(test, rules_pred | (F.col("ml_score") >= C.tau)).select(
         F.lit("blend").alias("approach"), "precision", "recall",
         F.lit(None).cast("double").alias("average_precision"))
-    ml = EV.average_precision(_curve(spark, sf_dir)).select(
+    ml = EV.average_precision(EV.pr_curve(test)).select(
         F.lit("ml").alias("approach"), F.lit(None).cast("double").alias("precision"),
         F.lit(None).cast("double").alias("recall"), "average_precision")
     return rules.unionByName(blend).unionByName(ml).withColumn("base_rate", base)

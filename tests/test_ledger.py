@@ -41,3 +41,21 @@ def test_stream_step_matches_fold():
     assert not claimed2 and st2 == st
     st3, claimed3 = _step(st, 61 * S, "ok", 60 * S)
     assert claimed3 and st3[0] == "success" and st3[3] == 2
+
+
+def test_duplicate_flood_is_settled_without_folding(spark):
+    from pyspark.sql import functions as F
+
+    from riskline.operators.sinks import first_writer
+
+    flood = spark.range(20000).select(
+        F.lit("hot").alias("event_id"), (F.col("id") * 1000).alias("received_us"),
+        F.col("id").cast("int").alias("delivery_no"), F.lit("ok").alias("outcome"))
+    other = spark.createDataFrame([("cold", 0, 1, "retryable"), ("cold", 61 * S, 2, "ok")],
+                                  SCHEMA)
+    led = {r["event_id"]: r for r in claim_ledger(flood.unionByName(other)).collect()}
+    assert (led["hot"]["status"], led["hot"]["claims"], led["hot"]["receives"]) == \
+        ("success", 1, 20000)
+    assert (led["cold"]["status"], led["cold"]["attempts"]) == ("success", 2)
+    first = first_writer(flood, "event_id", ["received_us", "delivery_no"]).collect()
+    assert len(first) == 1 and first[0]["delivery_no"] == 0
