@@ -5,8 +5,10 @@ Batch form of the ledger: a map-side combined summary (first delivery, receive c
 settles every event whose first delivery succeeded -- success is final, so any number of
 later copies is skipped without being collected. Only events whose first delivery failed
 are folded in arrival order with ``aggregate`` over their sorted deliveries (JVM-side
-higher-order function); that group is bounded by the broker's receive limit (dead letter
-after ``MAX_RECEIVES``). Streaming form: :mod:`riskline.streaming.ledger_state`.
+higher-order function); that group is normally bounded by the broker's receive limit
+(dead letter after ``MAX_RECEIVES``). An event with more deliveries than a threshold is
+never collected: its deliveries are hash-partitioned, sorted (external sort) and folded
+as a stream with constant state. Streaming form: :mod:`riskline.streaming.ledger_state`.
 """
 
 from __future__ import annotations
@@ -33,7 +35,45 @@ def _failure_text(outcome: Column) -> Column:
     return F.left(F.concat(F.lit("non-retryable: "), outcome), F.lit(ERROR_REASON_MAX))
 
 
-def claim_ledger(deliveries: DataFrame, lease_s: int = LEASE_S) -> DataFrame:
+LEDGER_COLS = ("event_id string, status string, first_seen_us long, last_seen_us long, "
+               "attempts int, error_reason string, claims long, receives long")
+
+
+def _fold_sorted(lease_s: int):
+    """mapInPandas function: deliveries arrive sorted by (event_id, received, no) within
+    the partition; fold each event with O(1) state, carried across Arrow batches."""
+    from riskline.streaming.ledger_state import _step
+
+    lease_us = lease_s * MICROS
+
+    def run(batches):
+        import pandas as pd
+
+        cols = ["event_id", "status", "first_seen_us", "last_seen_us", "attempts",
+                "error_reason", "claims", "receives"]
+        key, state, claims, receives = None, None, 0, 0
+        for pdf in batches:
+            out = []
+            for eid, rec, outcome in zip(pdf["event_id"].tolist(),
+                                         pdf["received_us"].tolist(),
+                                         pdf["outcome"].tolist()):
+                if eid != key:
+                    if key is not None:
+                        out.append((key, *state, claims, receives))
+                    key, state, claims, receives = eid, None, 0, 0
+                state, claimed = _step(state, int(rec), outcome, lease_us)
+                claims += int(claimed)
+                receives += 1
+            if out:
+                yield pd.DataFrame(out, columns=cols)
+        if key is not None:
+            yield pd.DataFrame([(key, *state, claims, receives)], columns=cols)
+
+    return run
+
+
+def claim_ledger(deliveries: DataFrame, lease_s: int = LEASE_S,
+                 hot_threshold: int = 10_000) -> DataFrame:
     """T2 (Q9): fold each event's deliveries (``received_us``, ``outcome``) in order.
 
     new -> claim; success -> skip; processing younger than the lease -> skip; stale
@@ -57,7 +97,14 @@ def claim_ledger(deliveries: DataFrame, lease_s: int = LEASE_S) -> DataFrame:
         F.col("_first.received_us").alias("last_seen_us"),
         F.lit(1).alias("attempts"), F.lit(None).cast("string").alias("error_reason"),
         F.lit(1).cast("bigint").alias("claims"), F.col("receives").cast("bigint"))
-    todo = summary.filter(F.col("_first.outcome") != "ok").select("event_id", "receives")
+    todo_all = summary.filter(F.col("_first.outcome") != "ok").select("event_id", "receives")
+    # Events with more than ``hot_threshold`` deliveries are not collected into an array:
+    # their deliveries are hash-partitioned, sorted and folded as a stream (O(1) state).
+    hot = todo_all.filter(F.col("receives") > hot_threshold).select("event_id")
+    hot_rows = (d.join(hot, "event_id", "left_semi").repartition("event_id")
+                .sortWithinPartitions("event_id", "received_us", "delivery_no")
+                .mapInPandas(_fold_sorted(lease_s), LEDGER_COLS))
+    todo = todo_all.filter(F.col("receives") <= hot_threshold)
     grouped = d.join(todo.select("event_id"), "event_id", "left_semi") \
         .groupBy("event_id").agg(
             F.array_sort(F.collect_list(F.struct("received_us", "delivery_no", "outcome")))
@@ -90,7 +137,8 @@ def claim_ledger(deliveries: DataFrame, lease_s: int = LEASE_S) -> DataFrame:
         F.col("_s.attempts").cast("int").alias("attempts"),
         F.col("_s.error_reason").alias("error_reason"),
         F.col("_s.claimed").cast("bigint").alias("claims"),
-        F.col("receives").cast("bigint").alias("receives")))
+        F.col("receives").cast("bigint").alias("receives"))).unionByName(
+        hot_rows.withColumn("attempts", F.col("attempts").cast("int")))
 
 
 def stuck_events(ledger: DataFrame, now_us: Column, lease_s: int = LEASE_S) -> DataFrame:

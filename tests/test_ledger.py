@@ -59,3 +59,23 @@ def test_duplicate_flood_is_settled_without_folding(spark):
     assert (led["cold"]["status"], led["cold"]["attempts"]) == ("success", 2)
     first = first_writer(flood, "event_id", ["received_us", "delivery_no"]).collect()
     assert len(first) == 1 and first[0]["delivery_no"] == 0
+
+
+def test_hot_failing_event_uses_streaming_fold(spark):
+    from pyspark.sql import functions as F
+
+    # 500 deliveries of one event: first fails retryably, copies 1 s apart; the lease
+    # makes every 60th copy a reclaim, and the first reclaim (ok) settles it.
+    hot = spark.range(500).select(
+        F.lit("hot").alias("event_id"), (F.col("id") * S).alias("received_us"),
+        F.col("id").cast("int").alias("delivery_no"),
+        F.when(F.col("id") < 60, F.lit("retryable")).otherwise(F.lit("ok")).alias("outcome"))
+    small = spark.createDataFrame([("cold", 0, 1, "retryable"), ("cold", 61 * S, 2, "ok")],
+                                  SCHEMA)
+    both = hot.unionByName(small)
+    streamed = {r["event_id"]: r for r in claim_ledger(both, hot_threshold=100).collect()}
+    folded = {r["event_id"]: r for r in claim_ledger(both, hot_threshold=10_000).collect()}
+    assert streamed == folded
+    assert (streamed["hot"]["status"], streamed["hot"]["attempts"],
+            streamed["hot"]["last_seen_us"], streamed["hot"]["receives"]) == \
+        ("success", 2, 60 * S, 500)
