@@ -6,7 +6,6 @@ The DuckDB twins are registered in :mod:`riskline.plans.oracle_views` under the
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from riskline.config import TEST_RULES, RulesConfig
 from riskline.operators import rules as R
@@ -40,9 +39,6 @@ def features(spark: SparkSession, sf_dir: str, skew_safe: bool = True) -> DataFr
     return feature_vector(fx.txn_m(spark, sf_dir), skew_safe=skew_safe)
 
 
-__all__ = ["scored_txn", "flags", "flag_events", "features", "F"]
-
-
 def processed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every envelope through the processor stages (reason null = good event)."""
     from riskline.plans.pipeline import process_envelopes
