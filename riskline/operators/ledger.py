@@ -97,18 +97,20 @@ def claim_ledger(deliveries: DataFrame, lease_s: int = LEASE_S,
         F.col("_first.received_us").alias("last_seen_us"),
         F.lit(1).alias("attempts"), F.lit(None).cast("string").alias("error_reason"),
         F.lit(1).cast("bigint").alias("claims"), F.col("receives").cast("bigint"))
-    todo_all = summary.filter(F.col("_first.outcome") != "ok").select("event_id", "receives")
+    todo = summary.filter(F.col("_first.outcome") != "ok").select("event_id", "receives")
+    # One inner join brings the receive count to the deliveries of unsettled events (an
+    # inner join, unlike a semi join, is not copied into every branch of a union input).
+    pending = d.join(todo, "event_id")
     # Events with more than ``hot_threshold`` deliveries are not collected into an array:
     # their deliveries are hash-partitioned, sorted and folded as a stream (O(1) state).
-    hot = todo_all.filter(F.col("receives") > hot_threshold).select("event_id")
-    hot_rows = (d.join(hot, "event_id", "left_semi").repartition("event_id")
+    hot_rows = (pending.filter(F.col("receives") > hot_threshold).drop("receives")
+                .repartition("event_id")
                 .sortWithinPartitions("event_id", "received_us", "delivery_no")
                 .mapInPandas(_fold_sorted(lease_s), LEDGER_COLS))
-    todo = todo_all.filter(F.col("receives") <= hot_threshold)
-    grouped = d.join(todo.select("event_id"), "event_id", "left_semi") \
+    grouped = pending.filter(F.col("receives") <= hot_threshold) \
         .groupBy("event_id").agg(
             F.array_sort(F.collect_list(F.struct("received_us", "delivery_no", "outcome")))
-             .alias("_d")).join(todo, "event_id")
+             .alias("_d"), F.first("receives").alias("receives"))
     init = F.lit(None).cast(STATE)
 
     def step(s: Column, d: Column) -> Column:
