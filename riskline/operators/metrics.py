@@ -89,31 +89,33 @@ def latency_histogram(samples: DataFrame, value: str = "latency_s", series: str
     return dense.select(series, "b", "le", F.sum("c").over(w).alias("cumulative"))
 
 
-def histogram_quantile(hist: DataFrame, q: float, series: str = "service") -> DataFrame:
+def histogram_quantile(hist: DataFrame, qs: float | list[float], series: str = "service"
+                       ) -> DataFrame:
     """Prometheus ``histogram_quantile`` over cumulative buckets: the first finite
     bucket whose cumulative count reaches ``q * total``, linear interpolation inside it
     (lower bound 0 for the first bucket); if only ``+Inf`` reaches it, the largest finite
-    bound is reported (censored, Q15)."""
-    tot = hist.groupBy(series).agg(F.max("cumulative").alias("total"),
-                                   F.max(F.when(F.col("le") != float("inf"), F.col("b")))
-                                    .alias("last_finite"))
+    bound is reported (censored, Q15). All quantiles in one pass over one histogram."""
+    qs = [qs] if isinstance(qs, (int, float)) else list(qs)
     w = Window.partitionBy(series).orderBy("b")
-    h = hist.withColumn("prev_c", F.coalesce(F.lag("cumulative").over(w), F.lit(0))) \
-            .withColumn("prev_le", F.coalesce(F.lag("le").over(w), F.lit(0.0))) \
-            .join(tot, series)
-    rank = F.col("total") * F.lit(q)
-    hit = h.filter((F.col("b") <= F.col("last_finite")) & (F.col("cumulative") >= rank))
-    first = hit.groupBy(series).agg(F.min_by(F.struct(
-        "b", "le", "prev_le", "cumulative", "prev_c", "total"), F.col("b")).alias("h"))
+    per = Window.partitionBy(series)
+    h = hist.select(
+        series, "b", "le", "cumulative",
+        F.coalesce(F.lag("cumulative").over(w), F.lit(0)).alias("prev_c"),
+        F.coalesce(F.lag("le").over(w), F.lit(0.0)).alias("prev_le"),
+        F.max("cumulative").over(per).alias("total"),
+        F.max(F.when(F.col("le") != float("inf"), F.col("le"))).over(per).alias("top_le"))
+    # the quantiles fan out only after the bucket windows (lag must see one row per bucket)
+    h = h.select("*", F.explode(F.array(*[F.lit(float(q)) for q in qs])).alias("q"))
+    reach = (F.col("le") != float("inf")) & (F.col("cumulative") >= F.col("total") * F.col("q"))
     interp = F.col("h.prev_le") + (F.col("h.le") - F.col("h.prev_le")) * (
-        (F.col("h.total") * F.lit(q) - F.col("h.prev_c"))
+        (F.col("h.total") * F.col("q") - F.col("h.prev_c"))
         / (F.col("h.cumulative") - F.col("h.prev_c")))
-    top = hist.filter(F.col("le") != float("inf")).groupBy(series).agg(
-        F.max("le").alias("top_le"))
-    return (tot.select(series).join(first, series, "left").join(top, series, "left")
-            .select(series, F.lit(q).alias("q"),
-                    F.when(F.col("h").isNull(), F.col("top_le")).otherwise(interp)
-                     .alias("value")))
+    best = h.groupBy(series, "q").agg(
+        F.min_by(F.when(reach, F.struct("le", "prev_le", "cumulative", "prev_c", "total")),
+                 F.when(reach, F.col("b"))).alias("h"),
+        F.first("top_le").alias("top_le"))
+    return best.select(series, "q", F.when(F.col("h").isNull(), F.col("top_le"))
+                       .otherwise(interp).alias("value"))
 
 
 def period_stats(samples: DataFrame, us: str = "us", value: str = "latency_s",

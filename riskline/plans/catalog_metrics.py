@@ -134,11 +134,7 @@ def histogram_quantile(spark, sf_dir):
     """p50 / p95 / p99 per service from the cumulative buckets (linear in bucket,
     censored at the top finite bound)."""
     h = M.latency_histogram(fx.ops_log(spark, sf_dir))
-    parts = [M.histogram_quantile(h, q) for q in (0.5, 0.95, 0.99)]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return M.histogram_quantile(h, [0.5, 0.95, 0.99])
 
 
 @register("period_stats", with_views("""
