@@ -37,19 +37,53 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Apply the package's required SQL settings to an existing session."""
+    """Apply the package's required SQL settings to an existing session and make the
+    package importable by the Python workers (pandas UDFs, mapInPandas)."""
     for k, v in _REQUIRED.items():
         if k == "spark.sql.execution.arrow.pyspark.enabled":
             continue
         spark.conf.set(k, v)
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
+_SHIPPED: set[int] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Zip this package into the shared checkpoint folder once per SparkContext and add it
+    with ``addPyFile``, so executors can unpickle functions defined in it."""
+    import hashlib
+    import zipfile
+
+    sc = spark.sparkContext
+    if id(sc) in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg)
+    files = sorted(os.path.join(d, f) for d, _, fs in os.walk(pkg) for f in fs
+                   if f.endswith(".py"))
+    digest = hashlib.sha1(b"".join(open(f, "rb").read() for f in files)).hexdigest()[:12]
+    target = checkpoint_path(spark, f"pkg/{digest}")
+    local_target = target[len("file:"):] if target.startswith("file:") else target
+    zpath = os.path.join(local_target, "riskline.zip")
+    if "://" not in local_target and not os.path.exists(zpath):
+        os.makedirs(local_target, exist_ok=True)
+        tmp = zpath + f".{os.getpid()}.tmp"
+        with zipfile.ZipFile(tmp, "w") as z:
+            for f in files:
+                z.write(f, os.path.relpath(f, root))
+        os.replace(tmp, zpath)
+    sc.addPyFile(zpath)
+    _SHIPPED.add(id(sc))
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
