@@ -7,6 +7,7 @@ that are unset, so a cluster's own configuration always wins.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -53,41 +54,43 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
-_SHIPPED: set[int] = set()
+_SHIPPED: dict[str, str] = {}
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Zip this package into the shared checkpoint folder once per SparkContext and add it
-    with ``addPyFile``, so executors can unpickle functions defined in it."""
+    """Zip this package once per application on the driver and hand it to Spark with
+    ``addPyFile``; Spark itself distributes the file to the executors, so the checkpoint
+    folder may be on any file system."""
     import hashlib
     import zipfile
 
     sc = spark.sparkContext
-    if id(sc) in _SHIPPED:
-        return
     pkg = os.path.dirname(os.path.abspath(__file__))
-    root = os.path.dirname(pkg)
     files = sorted(os.path.join(d, f) for d, _, fs in os.walk(pkg) for f in fs
                    if f.endswith(".py"))
+    if sc.applicationId in _SHIPPED:
+        return
     digest = hashlib.sha1(b"".join(open(f, "rb").read() for f in files)).hexdigest()[:12]
-    target = checkpoint_path(spark, f"pkg/{digest}")
-    local_target = target[len("file:"):] if target.startswith("file:") else target
-    zpath = os.path.join(local_target, "riskline.zip")
-    if "://" not in local_target and not os.path.exists(zpath):
-        os.makedirs(local_target, exist_ok=True)
-        tmp = zpath + f".{os.getpid()}.tmp"
-        with zipfile.ZipFile(tmp, "w") as z:
-            for f in files:
-                z.write(f, os.path.relpath(f, root))
-        os.replace(tmp, zpath)
+    folder = tempfile.mkdtemp(prefix="riskline-pkg-")
+    zpath = os.path.join(folder, f"riskline-{digest}.zip")
+    with zipfile.ZipFile(zpath, "w") as z:
+        for f in files:
+            z.write(f, os.path.relpath(f, os.path.dirname(pkg)))
     sc.addPyFile(zpath)
-    _SHIPPED.add(id(sc))
+    _SHIPPED[sc.applicationId] = zpath
+
+
+def is_local(spark: SparkSession) -> bool:
+    """True if driver and executors are one process (``local``, ``local[n]``)."""
+    return re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master) is not None
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
-    Only when the session names none (a local test run) do we create one.
+    Only a session with a local master (a test run) gets a folder of its own when the
+    setting is missing; on a cluster executors could not see such a folder, so the missing
+    setting is an error there.
     """
     sc = spark.sparkContext
     configured = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get(
@@ -96,6 +99,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if sc._jsc.sc().getCheckpointDir().isEmpty():
             sc.setCheckpointDir(configured)
         return configured
+    if not is_local(spark):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all "
+                         f"executors share (master is {sc.master})")
     local = tempfile.mkdtemp(prefix="riskline-ckpt-")
     sc.setCheckpointDir(local)
     spark.conf.set("spark.checkpoint.dir", local)
