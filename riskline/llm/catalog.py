@@ -6,7 +6,7 @@ from typing import Callable, NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskline.llm import decontaminate, licenses, oracles, quality
+from riskline.llm import decontaminate, licenses, neardup, oracles, quality, subdedup
 from riskline.sources.tables import read_table
 
 
@@ -24,6 +24,14 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                                       read_table(spark, sf_dir, "benchmark"))
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return subdedup.remove_repeats(read_table(spark, sf_dir, "documents"))
+
+
+def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
 def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_scan(read_table(spark, sf_dir, "documents"))
 
@@ -32,5 +40,7 @@ def entries() -> dict[str, Entry]:
     return {
         "op1_quality_rules": Entry(op1_quality_rules, oracles.quality_sql()),
         "op2_decontamination": Entry(op2_decontamination, oracles.decontamination_sql()),
+        "op6_substring_dedup": Entry(op6_substring_dedup, oracles.substring_sql()),
+        "op7_minhash_near_dedup": Entry(op7_minhash_near_dedup, oracles.near_duplicate_sql()),
         "op8_license_scan": Entry(op8_license_scan, oracles.license_sql()),
     }

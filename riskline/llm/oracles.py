@@ -80,3 +80,36 @@ h AS (SELECT doc_id, count(*) FILTER (base AND cover = 1) n_base,
 SELECT doc_id, len(w) n_words, coalesce(n_base, 0) n_base, first_word, last_word,
        coalesce(base_labels, '') base_labels, coalesce(labels, '') labels, coalesce(score, 0.0) score
 FROM d LEFT JOIN h USING (doc_id)"""
+
+
+WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
+
+
+def substring_sql() -> str:
+    words = WORDS.format("coalesce(text, '')")
+    return rf"""
+WITH d AS (SELECT doc_id, {words} w FROM documents),
+win AS (SELECT doc_id, i, array_to_string(w[i:i+12], ' ') g
+        FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) i FROM d WHERE len(w) >= 13)),
+f AS (SELECT g, min(doc_id) m FROM win GROUP BY 1),
+cov AS (SELECT DISTINCT doc_id, unnest(range(i, i + 13)) p FROM win JOIN f USING (g) WHERE m < doc_id),
+kept AS (SELECT doc_id, count(*) n, string_agg(w[p], ' ' ORDER BY p) t
+         FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) p FROM d) a ANTI JOIN cov USING (doc_id, p) GROUP BY 1)
+SELECT doc_id, len(w) n_words, len(w) - coalesce(n, 0) n_removed, sha256(coalesce(t, '')) kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)"""
+
+
+def near_duplicate_sql() -> str:
+    words = WORDS.format(f"translate(coalesce(text, ''), '{UPPER}', '{LOWER}')")
+    return rf"""
+WITH RECURSIVE d AS (SELECT doc_id, {words} w FROM documents),
+sh AS (SELECT DISTINCT doc_id, array_to_string(w[i:i+4], ' ') s
+       FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) i FROM d WHERE len(w) > 0)),
+c AS (SELECT doc_id, count(*) n FROM sh GROUP BY 1),
+pr AS (SELECT a.doc_id a, b.doc_id b, count(*) n FROM sh a JOIN sh b USING (s) WHERE a.doc_id < b.doc_id GROUP BY 1, 2),
+ln AS (SELECT a, b FROM pr JOIN c x ON x.doc_id = a JOIN c y ON y.doc_id = b WHERE 100 * pr.n >= 75 * (x.n + y.n - pr.n)),
+sy AS (SELECT a, b FROM ln UNION ALL SELECT b, a FROM ln),
+r(d, x) AS (SELECT doc_id, doc_id FROM d UNION SELECT r.d, sy.b FROM r JOIN sy ON r.x = sy.a),
+m AS (SELECT d doc_id, min(x) component_id FROM r GROUP BY 1)
+SELECT doc_id, coalesce(n, 0) n_shingles, component_id, doc_id = component_id kept
+FROM d JOIN m USING (doc_id) LEFT JOIN c USING (doc_id)"""
