@@ -4,12 +4,16 @@ from __future__ import annotations
 
 from typing import Callable, NamedTuple
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from riskline.llm import decontaminate, licenses, neardup, oracles, quality, subdedup
+from riskline.llm import bpe, decontaminate, licenses, neardup, oracles, quality, subdedup
 from riskline.sources.tables import read_table
 
 
+VOCABULARY = "byte_bpe_multi_50k.tiktoken"
+
+
 class Entry(NamedTuple):
     fn: Callable[[SparkSession, str], DataFrame]
     oracle: str | None = None
@@ -36,6 +40,11 @@ def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_scan(read_table(spark, sf_dir, "documents"))
 
 
+def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encode_documents(read_table(spark, sf_dir, "documents"),
+                                public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN)
+
+
 def entries() -> dict[str, Entry]:
     return {
         "op1_quality_rules": Entry(op1_quality_rules, oracles.quality_sql()),
@@ -43,4 +52,5 @@ def entries() -> dict[str, Entry]:
         "op6_substring_dedup": Entry(op6_substring_dedup, oracles.substring_sql()),
         "op7_minhash_near_dedup": Entry(op7_minhash_near_dedup, oracles.near_duplicate_sql()),
         "op8_license_scan": Entry(op8_license_scan, oracles.license_sql()),
+        "op9_byte_bpe": Entry(op9_byte_bpe),
     }
