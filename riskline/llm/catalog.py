@@ -4,10 +4,9 @@ from __future__ import annotations
 
 from typing import Callable, NamedTuple
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from riskline.llm import bpe, decontaminate, licenses, neardup, oracles, quality, subdedup
+from riskline.llm import bpe, decontaminate, licenses, neardup, oracles, quality, subdedup, toxicity
 from riskline.sources.tables import read_table
 
 
@@ -41,10 +40,17 @@ def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
     return bpe.encode_documents(read_table(spark, sf_dir, "documents"),
                                 public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN)
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity_scores(read_table(spark, sf_dir, "documents"),
+                                    read_table(spark, sf_dir, "labels"))
+
+
 def entries() -> dict[str, Entry]:
     return {
         "op1_quality_rules": Entry(op1_quality_rules, oracles.quality_sql()),
@@ -53,4 +59,5 @@ def entries() -> dict[str, Entry]:
         "op7_minhash_near_dedup": Entry(op7_minhash_near_dedup, oracles.near_duplicate_sql()),
         "op8_license_scan": Entry(op8_license_scan, oracles.license_sql()),
         "op9_byte_bpe": Entry(op9_byte_bpe),
+        "op10_toxicity": Entry(op10_toxicity),
     }

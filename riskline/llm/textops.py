@@ -17,6 +17,9 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
+#: every ASCII byte but letters separates words
+NOT_LETTERS = np.arange(256) < 128
+NOT_LETTERS[65:91] = NOT_LETTERS[97:123] = False
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -55,14 +58,15 @@ _SEQUENCE = (_Powers(0xD1342543DE82EF95), _Powers(0xAF251AF3B0F025B5))
 class Words:
     """Words of the rows ``row0 ..`` of a column: 64-bit hashes and byte places."""
 
-    def __init__(self, data: np.ndarray, offsets: np.ndarray, row0: int, lower: bool):
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, row0: int, lower: bool,
+                 separators: np.ndarray = _SPACE):
         self.row0, self.rows = row0, len(offsets) - 1
         a = data[offsets[0]:offsets[-1]]
         at = offsets - offsets[0]
         if lower:
             a = _LOWER[a]
         self.data = a
-        inside = ~_SPACE[a]
+        inside = ~separators[a]
         first, last = inside.copy(), inside.copy()
         first[1:] &= ~inside[:-1]
         last[:-1] &= ~inside[1:]
@@ -74,8 +78,15 @@ class Words:
         self.first = np.searchsorted(self.starts, at)
         up, down = _BYTES(len(a) + 1)
         total = np.concatenate([np.zeros(1, _U), np.cumsum(_BYTE[a] * up[:-1])])
+        self._total, self._down = total, down
         self.hashes = mix((total[self.ends] - total[self.starts]) * down[self.starts])
 
+    def prefixes(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """Which words are longer than ``n`` bytes, and hashes of their first ``n``."""
+        longer = np.flatnonzero(self.ends - self.starts > n)
+        at = self.starts[longer]
+        return longer, mix((self._total[at + n] - self._total[at]) * self._down[at] + _U(n))
+
     def counts(self) -> np.ndarray:
         return np.diff(self.first)
 
@@ -115,13 +126,14 @@ def text_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return (np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)), at
 
 
-def word_runs(column: pa.Array, lower: bool = False) -> Iterator[Words]:
+def word_runs(column: pa.Array, lower: bool = False,
+              separators: np.ndarray = _SPACE) -> Iterator[Words]:
     """The column's rows in order, in runs of at most RUN_BYTES or of one longer text."""
     data, at = text_buffers(column)
     row, n = 0, len(at) - 1
     while row < n:
         end = max(row + 1, int(np.searchsorted(at, at[row] + RUN_BYTES, "right")) - 1)
-        yield Words(data, at[row:end + 1], row, lower)
+        yield Words(data, at[row:end + 1], row, lower, separators)
         row = end
 
 
