@@ -6,7 +6,7 @@ from typing import Callable, NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskline.llm import bpe, decontaminate, licenses, neardup, oracles, quality, subdedup, toxicity
+from riskline.llm import bpe, decontaminate, licenses, neardup, oracles, quality, subdedup, toxicity, urlfilter, warc
 from riskline.sources.tables import read_table
 
 
@@ -27,6 +27,15 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                                       read_table(spark, sf_dir, "benchmark"))
 
 
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read_table(spark, sf_dir, "pages", ["page_id", "url"])
+    return urlfilter.url_filter(pages, urlfilter.listed_on_hosts(pages))
+
+
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_round_trip(spark, read_table(spark, sf_dir, "pages")).drop("digest_ok")
+
+
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return subdedup.remove_repeats(read_table(spark, sf_dir, "documents"))
 
@@ -55,6 +64,8 @@ def entries() -> dict[str, Entry]:
     return {
         "op1_quality_rules": Entry(op1_quality_rules, oracles.quality_sql()),
         "op2_decontamination": Entry(op2_decontamination, oracles.decontamination_sql()),
+        "op3_url_filter": Entry(op3_url_filter, oracles.url_sql()),
+        "op4_warc": Entry(op4_warc, oracles.warc_sql()),
         "op6_substring_dedup": Entry(op6_substring_dedup, oracles.substring_sql()),
         "op7_minhash_near_dedup": Entry(op7_minhash_near_dedup, oracles.near_duplicate_sql()),
         "op8_license_scan": Entry(op8_license_scan, oracles.license_sql()),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from riskline.llm import licenses, quality
+from riskline.llm import licenses, quality, urlfilter
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 PLAIN = rf"regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
@@ -113,3 +113,36 @@ r(d, x) AS (SELECT doc_id, doc_id FROM d UNION SELECT r.d, sy.b FROM r JOIN sy O
 m AS (SELECT d doc_id, min(x) component_id FROM r GROUP BY 1)
 SELECT doc_id, coalesce(n, 0) n_shingles, component_id, doc_id = component_id kept
 FROM d JOIN m USING (doc_id) LEFT JOIN c USING (doc_id)"""
+
+
+def url_sql() -> str:
+    fits = [(k, h, p, f"(host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}')")
+            for k, h, p in sorted(urlfilter.RULES, key=lambda r: -len(r[1] + r[2]))]
+    rule = " ".join(f"WHEN {c} THEN '{h}{p}'" for _, h, p, c in fits)
+    verdict = " ".join(f"WHEN {c} THEN '{k}'" for k, _, _, c in fits)
+    labels = ", ".join(f"'{x}'" for x in urlfilter.LISTED_LABELS)
+    return rf"""
+WITH r AS (SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END rest FROM pages),
+p AS (SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), '{UPPER}', '{LOWER}') host,
+             regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) path,
+             regexp_extract(rest, '^[^?#]*\?([^#]*)', 1) query FROM r),
+q AS (SELECT *, list_sort(list_filter(string_split(query, '&'), lambda x: x <> '' AND NOT regexp_matches(x, '{urlfilter.TRACKING}'))) ps FROM p),
+c AS (SELECT *, CASE WHEN host <> '' THEN regexp_replace(regexp_replace(host, '^www\.', ''), ':(80|443)$', '')
+                || regexp_replace(path, '/+$', '') || CASE WHEN len(ps) > 0 THEN '?' || array_to_string(ps, '&') ELSE '' END END canonical FROM q),
+l AS (SELECT DISTINCT canonical FROM c WHERE list_has_any(string_split(host, '.'), [{labels}]) AND canonical IS NOT NULL)
+SELECT page_id, host, path, CASE {rule} END AS rule,
+       coalesce(CASE {verdict} END, CASE WHEN l.canonical IS NOT NULL THEN 'block' ELSE 'allow' END) AS verdict,
+       l.canonical IS NOT NULL AS listed
+FROM c LEFT JOIN l ON c.canonical = l.canonical"""
+
+
+def warc_sql() -> str:
+    return """
+WITH p AS (SELECT page_id, coalesce(html, '') t, sha1(coalesce(html, '')) h FROM pages),
+f AS (SELECT h, max(page_id) m FROM p GROUP BY 1),
+b AS (SELECT page_id, strlen(t) payload_bytes, m, array_to_string(list_transform(range(0, 32), lambda k:
+             substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                    1 + ((('0x' || substr(h, 1 + 5 * (k // 4), 5))::BIGINT >> (15 - 5 * (k % 4))::BIGINT) & 31)::INT, 1)), '') payload_digest
+      FROM p JOIN f USING (h))
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = m THEN 'response' ELSE 'revisit' END record_type,
+       CASE WHEN page_id <> m THEN m END refers_to FROM b"""
