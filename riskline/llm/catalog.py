@@ -6,7 +6,7 @@ from typing import Callable, NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskline.llm import bpe, decontaminate, licenses, neardup, oracles, quality, subdedup, toxicity, urlfilter, warc
+from riskline.llm import bpe, decontaminate, licenses, neardup, oracles, pii, quality, subdedup, toxicity, urlfilter, warc
 from riskline.sources.tables import read_table
 
 
@@ -18,6 +18,13 @@ class Entry(NamedTuple):
     oracle: str | None = None
 
 
+def tokenizer() -> tuple[str, str]:
+    """Path of the vocabulary and the pattern of the installed public tokenizer."""
+    import public_tokenizers
+
+    return public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN
+
+
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(read_table(spark, sf_dir, "documents"))
 
@@ -36,6 +43,10 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_round_trip(spark, read_table(spark, sf_dir, "pages")).drop("digest_ok")
 
 
+def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.personal_data(read_table(spark, sf_dir, "documents"))
+
+
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return subdedup.remove_repeats(read_table(spark, sf_dir, "documents"))
 
@@ -49,10 +60,7 @@ def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    import public_tokenizers
-
-    return bpe.encode_documents(read_table(spark, sf_dir, "documents"),
-                                public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN)
+    return bpe.encode_documents(read_table(spark, sf_dir, "documents"), *tokenizer())
 
 
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,6 +74,7 @@ def entries() -> dict[str, Entry]:
         "op2_decontamination": Entry(op2_decontamination, oracles.decontamination_sql()),
         "op3_url_filter": Entry(op3_url_filter, oracles.url_sql()),
         "op4_warc": Entry(op4_warc, oracles.warc_sql()),
+        "op5_personal_data": Entry(op5_personal_data),
         "op6_substring_dedup": Entry(op6_substring_dedup, oracles.substring_sql()),
         "op7_minhash_near_dedup": Entry(op7_minhash_near_dedup, oracles.near_duplicate_sql()),
         "op8_license_scan": Entry(op8_license_scan, oracles.license_sql()),
