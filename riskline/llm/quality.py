@@ -8,8 +8,9 @@ hold it. Boilerplate lines are removed; a document that keeps less than ``min_le
 words is depleted and rejected, as are documents that fail the base rules.
 
 Defined results: null or empty text has no words and no lines (base_failed); a null host is
-a host of its own; repeated rows are judged one by one and give equal rows; an empty table
-gives an empty result; only doc_id, text and source are read, other columns are ignored.
+a host of its own; repeated rows are judged one by one and give equal rows; rows with a
+null doc_id are judged, but lose no lines; an empty table gives an empty result; only doc_id,
+text and source are read, other columns are ignored (``clean`` hands them on).
 """
 
 from __future__ import annotations
@@ -106,38 +107,43 @@ def removed_lines(docs: DataFrame, **limits) -> DataFrame:
         F.sum(F.col("line_words") * F.col("times")).alias("gone"))
 
 
-def quality_rules(docs: DataFrame, min_left: float = MIN_LEFT, **limits) -> DataFrame:
-    """Base measures and verdict per row of ``docs``; see the module text."""
+def judged(docs: DataFrame, min_left: float = MIN_LEFT, **limits) -> DataFrame:
+    """Measures and verdict per distinct (doc_id, text_hash), with the set of line hashes to
+    remove (null: none) and the number of rows (copies) it stands for."""
     base = base_measures(docs)
     rows = base.groupBy("doc_id", "text_hash").agg(
         F.count(F.lit(1)).alias("copies"), *[F.first(c).alias(c) for c in (
             "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")])
-    gone = removed_lines(docs, **limits).drop("removed")
-    out = rows.join(gone, ["doc_id", "text_hash"], "left")
+    out = rows.join(removed_lines(docs, **limits), ["doc_id", "text_hash"], "left")
     failed = (F.col("n_words") < MIN_WORDS) | (
         100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     left = F.col("n_words") - F.coalesce(F.expr("gone div copies"), F.lit(0))
-    out = out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines",
-                     "n_repeat_words", failed.alias("base_failed"),
-                     (~failed & (left >= min_left * F.col("n_words"))).alias("kept"),
-                     left.alias("n_words_left"), "copies")
+    return out.select("doc_id", "text_hash", "n_words", "word_chars", "n_symbols", "n_dup_lines",
+                      "n_repeat_words", failed.alias("base_failed"),
+                      (~failed & (left >= min_left * F.col("n_words"))).alias("kept"),
+                      left.alias("n_words_left"), "removed", "copies")
+
+
+def quality_rules(docs: DataFrame, **limits) -> DataFrame:
+    """Base measures and verdict per row of ``docs``; see the module text."""
+    out = judged(docs, **limits).drop("text_hash", "removed")
     return out.withColumn("copies", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))) \
         .drop("copies")
 
 
 def clean(docs: DataFrame, **limits) -> DataFrame:
     """The kept documents without their boilerplate lines, all columns of ``docs``."""
-    verdict = quality_rules(docs, **limits).groupBy("doc_id").agg(F.bool_and("kept").alias("ok"))
-    gone = removed_lines(docs, **limits).select("doc_id", F.col("text_hash").alias("_hash"), "removed")
-    kept = docs.join(verdict.filter("ok").select("doc_id"), "doc_id", "left_semi") \
-        .withColumn("_hash", F.xxhash64(text_or_empty()))
-    j = kept.join(gone, ["doc_id", "_hash"], "left")
+    good = judged(docs, **limits).filter("kept").select(
+        F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), F.col("removed").alias("_removed"))
+    own = docs.select(F.struct("*").alias("_row"), F.xxhash64(text_or_empty()).alias("_own"))
+    j = own.join(good, F.col("_row.doc_id").eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_hash")))
     norm = lambda x: F.lower(F.trim(F.regexp_replace(x, SPACES, " ")))
-    text = F.when(F.col("removed").isNull(), F.col("text")).otherwise(F.array_join(F.filter(
-        F.split("text", "\n"),
-        lambda x: ~F.array_contains(F.col("removed"), F.xxhash64(norm(x)))), "\n"))
-    out = j.withColumn("text", text)
+    text = F.when(F.col("_removed").isNull(), F.col("_row.text")).otherwise(F.array_join(F.filter(
+        F.split("_row.text", "\n"),
+        lambda x: ~F.array_contains(F.col("_removed"), F.xxhash64(norm(x)))), "\n"))
+    j = j.select("_row", "_removed", text.alias("_text"))
+    new = {"text": F.col("_text")}
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("removed").isNull(), F.col("n_chars"))
-                             .otherwise(F.length("text")).cast(docs.schema["n_chars"].dataType))
-    return out.select(*docs.columns)
+        new["n_chars"] = F.when(F.col("_removed").isNull(), F.col("_row.n_chars")).otherwise(
+            F.length("_text")).cast(docs.schema["n_chars"].dataType)
+    return j.select(*[new.get(c, F.col(f"_row.`{c}`")).alias(c) for c in docs.columns])

@@ -183,3 +183,33 @@ def remove_repeats(docs: DataFrame, length: int = WINDOW) -> DataFrame:
     return full.select("doc_id", "text", "starts", "is_copy").mapInArrow(
         partial(_digests, length=length),
         "doc_id long, n_words long, n_removed long, kept_sha256 string")
+
+
+def longest_repeats(docs: DataFrame, length: int = WINDOW) -> DataFrame:
+    """doc_id, start, length of every window that repeats in another document: the largest of
+    ``length``, twice, four times, ... at which the window that starts there repeats.
+
+    A window of twice the length is the pair of the windows at its start and its middle, so
+    every level joins the one before with itself; it ends when no candidate survives.
+    """
+    spark = docs.sparkSession
+    small_batches(spark)
+    d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
+    none = spark.createDataFrame([], "doc_id long, is_copy boolean")
+
+    def surviving(windows: DataFrame) -> DataFrame:
+        alive = windows.groupBy("h").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")) \
+            .filter("a < b").select("h")
+        return stored(join_split(windows, alive, ["h"], "left_semi"), "windows")
+
+    level, out = surviving(repeated_windows(d, none, length)), None
+    while level.limit(1).count():
+        middle = level.select("doc_id", (F.col("start") - length).alias("start"), F.col("h").alias("h2"))
+        double = level.join(middle, ["doc_id", "start"]).select(
+            F.xxhash64("h", "h2").alias("h"), "doc_id", "start")
+        longer = surviving(double)
+        ended = level.join(longer, ["doc_id", "start"], "left_anti").select(
+            "doc_id", "start", F.lit(length).alias("length"))
+        out = ended if out is None else out.union(ended)
+        level, length = longer, 2 * length
+    return out if out is not None else level.select("doc_id", "start", F.lit(length).alias("length"))
