@@ -9,7 +9,8 @@ FEATURE_WINDOWS_S = (60, 3600, 86400)          # as-of count windows; sum/max us
 AMOUNT_STATS_WINDOW_S = 3600
 INLINE_LIMIT_BYTES = 262144                    # strictly greater goes to the object store
 LEASE_S = 60                                   # in-flight claim lease
-ERROR_REASON_MAX = 500                         # error reason cut
+ERROR_REASON_MAX = 500                         # error reason cut, in bytes of UTF-8
+UNKNOWN_OUTCOME = "unknown"                    # reason of a delivery without an outcome
 FUTURE_DRIFT_S = 300                           # ts may lie at most 5 min in the future
 MAX_METADATA_KEYS = 10
 FEED_LIMIT_DEFAULT = 50

@@ -45,6 +45,11 @@ def flag_id(event_id: Column, rule_name: Column) -> Column:
     return F.sha2(F.concat_ws("|", event_id, rule_name), 256)
 
 
-def safe_ratio(num: Column, den: Column) -> Column:
-    """num / den as DOUBLE, 0.0 when den is 0 (the reference's zero-safe divide)."""
-    return F.when(den == 0, F.lit(0.0)).otherwise(num.cast("double") / den.cast("double"))
+def byte_cut(text: Column, n: int) -> Column:
+    """At most the first ``n`` bytes of UTF-8 text, without a character cut in half."""
+    whole = F.octet_length(text) <= n
+    cut = F.substring(text.cast("binary"), 1, n)
+    # drop the bytes of an incomplete last character (at most three)
+    valid = F.coalesce(*[F.try_validate_utf8(F.substring(text.cast("binary"), 1, n - k).cast("string"))
+                         for k in range(4)], cut.cast("string"))
+    return F.when(whole, text).otherwise(valid)

@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from riskline.config import (ERROR_REASON_MAX, FUTURE_DRIFT_S, INLINE_LIMIT_BYTES,
                              MAX_METADATA_KEYS, MERCHANT_TABLE, NON_RETRYABLE_REASONS,
                              RETRYABLE_REASONS)
-from riskline.functions.exprs import MICROS, from_micros, micros
+from riskline.functions.exprs import MICROS, byte_cut, from_micros, micros
 
 EVENT_SCHEMA = T.StructType([
     T.StructField("event_id", T.StringType()),
@@ -193,11 +193,11 @@ def reason_classes(spark: SparkSession) -> DataFrame:
 
 
 def failure_message(reason: Column, error_class: Column, cause: Column) -> Column:
-    """``<class>: <reason>[: cause]`` cut to 500 characters (the ledger's limit)."""
+    """``<class>: <reason>[: cause]`` cut to 500 bytes (the ledger's limit)."""
     msg = F.concat(error_class, F.lit(": "), reason,
                    F.when(cause.isNotNull(), F.concat(F.lit(": "), cause))
                     .otherwise(F.lit("")))
-    return F.left(msg, F.lit(ERROR_REASON_MAX))
+    return byte_cut(msg, ERROR_REASON_MAX)
 
 
 # --- J4 / P1: CSV rows -> events --------------------------------------------------------

@@ -3,12 +3,10 @@ T3 lease expiry, T6 retry / dead-letter routing, T7 safe redrive, A21 retry prof
 
 Batch form of the ledger: a map-side combined summary (first delivery, receive count)
 settles every event whose first delivery succeeded -- success is final, so any number of
-later copies is skipped without being collected. Only events whose first delivery failed
-are folded in arrival order with ``aggregate`` over their sorted deliveries (JVM-side
-higher-order function); that group is normally bounded by the broker's receive limit
-(dead letter after ``MAX_RECEIVES``). An event with more deliveries than a threshold is
-never collected: its deliveries are hash-partitioned, sorted (external sort) and folded
-as a stream with constant state. Streaming form: :mod:`riskline.streaming.ledger_state`.
+later copies is skipped without being moved. The deliveries of all other events are
+hash-partitioned, sorted (external sort) and folded as a stream with constant state per
+event, whatever their number: one path for every event. Streaming form, with the same
+transition function: :mod:`riskline.streaming.ledger_state`.
 """
 
 from __future__ import annotations
@@ -16,25 +14,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskline.config import ERROR_REASON_MAX, LEASE_S, MAX_RECEIVES
+from riskline.config import LEASE_S, MAX_RECEIVES, UNKNOWN_OUTCOME
 from riskline.functions.exprs import MICROS
 
-STATE = ("struct<status:string,first_seen_us:bigint,last_seen_us:bigint,attempts:int,"
-         "error_reason:string,claimed:int>")
-
-
-def _outcome_status(outcome: Column) -> Column:
-    """Status after a claimed delivery was processed: ok -> success, a retryable failure
-    leaves the claim ``processing`` (NACK), anything else is a non-retryable failure."""
-    return (F.when(outcome == "ok", F.lit("success"))
-             .when(outcome == "retryable", F.lit("processing"))
-             .otherwise(F.lit("failed")))
-
-
-def _failure_text(outcome: Column) -> Column:
-    return F.left(F.concat(F.lit("non-retryable: "), outcome), F.lit(ERROR_REASON_MAX))
-
-
 LEDGER_COLS = ("event_id string, status string, first_seen_us long, last_seen_us long, "
                "attempts int, error_reason string, claims long, receives long")
 
@@ -72,75 +54,34 @@ def _fold_sorted(lease_s: int):
     return run
 
 
-def claim_ledger(deliveries: DataFrame, lease_s: int = LEASE_S,
-                 hot_threshold: int = 10_000) -> DataFrame:
+def claim_ledger(deliveries: DataFrame, lease_s: int = LEASE_S) -> DataFrame:
     """T2 (Q9): fold each event's deliveries (``received_us``, ``outcome``) in order.
 
     new -> claim; success -> skip; processing younger than the lease -> skip; stale
     processing or failed -> reclaim with attempts + 1. Processing of a claimed delivery
-    is taken as instantaneous: its outcome is applied at ``received_us``.
+    is taken as instantaneous: its outcome is applied at ``received_us``. A null outcome is
+    a non-retryable failure with the reason ``unknown``.
     Output: event_id, status, first_seen_us, last_seen_us, attempts, error_reason,
     claims (deliveries that were claimed), receives (all deliveries).
     """
-    lease = F.lit(lease_s * MICROS)
-    d = deliveries.select("event_id", "received_us", "delivery_no", "outcome")
-    # Map-side combinable summary: first delivery and receive count per event. When the
-    # first delivery succeeded, every later copy is skipped (success is final), so such
-    # events -- including any flood of duplicates -- never reach the array fold.
+    d = deliveries.select("event_id", "received_us", "delivery_no",
+                          F.coalesce("outcome", F.lit(UNKNOWN_OUTCOME)).alias("outcome"))
     summary = d.groupBy("event_id").agg(
         F.min_by(F.struct("received_us", "outcome"),
                  F.struct("received_us", "delivery_no")).alias("_first"),
         F.count(F.lit(1)).alias("receives"))
-    done = summary.filter(F.col("_first.outcome") == "ok").select(
+    first_ok = F.col("_first.outcome") == "ok"
+    done = summary.filter(first_ok).select(
         "event_id", F.lit("success").alias("status"),
         F.col("_first.received_us").alias("first_seen_us"),
         F.col("_first.received_us").alias("last_seen_us"),
         F.lit(1).alias("attempts"), F.lit(None).cast("string").alias("error_reason"),
         F.lit(1).cast("bigint").alias("claims"), F.col("receives").cast("bigint"))
-    todo = summary.filter(F.col("_first.outcome") != "ok").select("event_id", "receives")
-    # One inner join brings the receive count to the deliveries of unsettled events (an
-    # inner join, unlike a semi join, is not copied into every branch of a union input).
-    pending = d.join(todo, "event_id")
-    # Events with more than ``hot_threshold`` deliveries are not collected into an array:
-    # their deliveries are hash-partitioned, sorted and folded as a stream (O(1) state).
-    hot_rows = (pending.filter(F.col("receives") > hot_threshold).drop("receives")
-                .repartition("event_id")
-                .sortWithinPartitions("event_id", "received_us", "delivery_no")
-                .mapInPandas(_fold_sorted(lease_s), LEDGER_COLS))
-    grouped = pending.filter(F.col("receives") <= hot_threshold) \
-        .groupBy("event_id").agg(
-            F.array_sort(F.collect_list(F.struct("received_us", "delivery_no", "outcome")))
-             .alias("_d"), F.first("receives").alias("receives"))
-    init = F.lit(None).cast(STATE)
-
-    def step(s: Column, d: Column) -> Column:
-        new = s.isNull()
-        reclaim = (~new) & ((s["status"] == "failed") | (
-            (s["status"] == "processing") & (d["received_us"] - s["last_seen_us"] >= lease)))
-        claim = new | reclaim
-        after = _outcome_status(d["outcome"])
-        reason = F.when(after == "failed", _failure_text(d["outcome"])) \
-            .otherwise(s["error_reason"])
-        claimed = F.struct(
-            after.alias("status"),
-            F.when(new, d["received_us"]).otherwise(s["first_seen_us"]).alias("first_seen_us"),
-            d["received_us"].alias("last_seen_us"),
-            F.when(new, F.lit(1)).otherwise(s["attempts"] + 1).alias("attempts"),
-            reason.alias("error_reason"),
-            (F.coalesce(s["claimed"], F.lit(0)) + 1).alias("claimed"))
-        return F.when(claim, claimed).otherwise(s)
-
-    folded = grouped.select("event_id", "receives",
-                            F.aggregate("_d", init, step).alias("_s"))
-    return done.unionByName(folded.select(
-        "event_id", F.col("_s.status").alias("status"),
-        F.col("_s.first_seen_us").alias("first_seen_us"),
-        F.col("_s.last_seen_us").alias("last_seen_us"),
-        F.col("_s.attempts").cast("int").alias("attempts"),
-        F.col("_s.error_reason").alias("error_reason"),
-        F.col("_s.claimed").cast("bigint").alias("claims"),
-        F.col("receives").cast("bigint").alias("receives"))).unionByName(
-        hot_rows.withColumn("attempts", F.col("attempts").cast("int")))
+    folded = (d.join(summary.filter(~first_ok).select("event_id"), "event_id")
+              .repartition("event_id")
+              .sortWithinPartitions("event_id", "received_us", "delivery_no")
+              .mapInPandas(_fold_sorted(lease_s), LEDGER_COLS))
+    return done.unionByName(folded)
 
 
 def stuck_events(ledger: DataFrame, now_us: Column, lease_s: int = LEASE_S) -> DataFrame:
@@ -163,6 +104,14 @@ def route_failures(ledger: DataFrame, max_receives: int = MAX_RECEIVES) -> DataF
     return ledger.select("event_id", "status", "receives", route.alias("route"))
 
 
+def with_redriven(deliveries: DataFrame, redriven: DataFrame, outcome: Column) -> DataFrame:
+    """The delivery log with the redriven dead letters as further deliveries, whose
+    processing ends with ``outcome``."""
+    cols = ["event_id", "received_us", "delivery_no", "outcome"]
+    return deliveries.select(*cols).unionByName(
+        redriven.withColumn("outcome", outcome).select(*cols))
+
+
 def redrive(routes: DataFrame, ledger: DataFrame, now_us: Column) -> DataFrame:
     """T7 + U2: dead letters whose failure is transient go back into the input as new
     deliveries; hash / schema failures never do; events already successful are skipped

@@ -44,28 +44,17 @@ def status_share(ledger: DataFrame) -> DataFrame:
     The share's window runs over the aggregated result (one row per status), never
     over the raw rows.
     """
-    counts = ledger.groupBy("status").agg(F.count(F.lit(1)).alias("total_events"))
-    total = F.sum("total_events").over(Window.partitionBy())
-    return counts.select("status", "total_events",
-                         F.round(F.col("total_events") * 100.0 / total, 2).alias("percentage"))
+    counts = ledger.groupBy("status").agg(F.count(F.lit(1)).alias("n_events"))
+    everything = F.sum("n_events").over(Window.partitionBy())
+    return counts.withColumn("share_pct", F.round(F.col("n_events") * 100.0 / everything, 2))
 
 
 def failure_pareto(ledger: DataFrame) -> DataFrame:
     """A2: failure reasons of failed events, most frequent first."""
-    return (ledger.filter(F.col("status") == "failed").groupBy("error_reason")
-            .agg(F.count(F.lit(1)).alias("frequency"))
-            .orderBy(F.desc("frequency"), "error_reason"))
-
-
-def ingest_latency(ledger: DataFrame, events: DataFrame) -> DataFrame:
-    """A3 + J10: p50 / p95 (continuous) and max of completion - arrival, in seconds, for
-    successful events."""
-    j = (ledger.filter(F.col("status") == "success").select("event_id", "last_seen_us")
-         .join(events.select("event_id", "created_us"), "event_id"))
-    lat = (F.col("last_seen_us") - F.col("created_us")).cast("double") / 1e6
-    return j.agg(F.percentile(lat, 0.5).alias("p50_latency_sec"),
-                 F.percentile(lat, 0.95).alias("p95_latency_sec"),
-                 F.max(lat).alias("max_latency_sec"))
+    return (ledger.filter(F.col("status") == "failed")
+            .groupBy(F.col("error_reason").alias("reason"))
+            .agg(F.count(F.lit(1)).alias("n_failed"))
+            .orderBy(F.desc("n_failed"), "reason"))
 
 
 def activity_by_minute(ledger: DataFrame, now_us: Column, horizon_us: int = 3_600_000_000
@@ -74,7 +63,7 @@ def activity_by_minute(ledger: DataFrame, now_us: Column, horizon_us: int = 3_60
     minute = F.floor(F.col("last_seen_us") / 60_000_000) * 60_000_000
     return (ledger.filter(F.col("last_seen_us") > now_us - F.lit(horizon_us))
             .groupBy(minute.cast("bigint").alias("minute_us"), "status")
-            .agg(F.count(F.lit(1)).alias("events_processed"))
+            .agg(F.count(F.lit(1)).alias("n_events"))
             .orderBy(F.desc("minute_us"), "status"))
 
 

@@ -49,12 +49,21 @@ FROM txn_m""")
 
 view("deliveries", ("txn",), """
 SELECT event_id, event_no, created_us AS received_us, 1 AS delivery_no,
-  CASE WHEN event_no % 10 = 0 THEN 'retryable' WHEN event_no % 25 = 3 THEN 'hash_mismatch' ELSE 'ok' END AS outcome FROM txn
+  CASE WHEN event_no % 10 = 0 THEN 'retryable' WHEN event_no % 25 = 3 THEN 'hash_mismatch'
+       WHEN event_no % 70 = 11 THEN NULL ELSE 'ok' END AS outcome FROM txn
 UNION ALL
 SELECT event_id, event_no, created_us + CASE WHEN event_no % 20 = 0 THEN 5000000 ELSE 90000000 END, 2,
   CASE WHEN event_no % 100 = 10 THEN 'retryable' ELSE 'ok' END FROM txn WHERE event_no % 10 = 0
 UNION ALL
-SELECT event_id, event_no, created_us + 30000000, 2, 'ok' FROM txn WHERE event_no % 30 = 7""")
+SELECT event_id, event_no, created_us + 30000000, 2, 'ok' FROM txn WHERE event_no % 30 = 7
+UNION ALL
+SELECT event_id, event_no, created_us + 10000000, 2, 'ok' FROM txn WHERE event_no % 140 = 11
+UNION ALL
+SELECT event_id, event_no, created_us + CASE WHEN event_no % 400 = 10 THEN 100000000 ELSE 200000000 END, 3,
+  CASE WHEN event_no % 200 = 10 THEN 'retryable' ELSE 'ok' END FROM txn WHERE event_no % 100 = 10
+UNION ALL
+SELECT event_id, event_no, created_us + 300000000, 4,
+  CASE WHEN event_no % 600 = 10 THEN NULL ELSE 'ok' END FROM txn WHERE event_no % 200 = 10""")
 
 view("scores", ("txn",), """
 SELECT event_id, label, CAST(least(999, (event_no * 7919) % 800 + CASE WHEN label = '1' THEN 150 ELSE 0 END) AS DOUBLE) / 1000 AS ml_score FROM txn""")
@@ -87,8 +96,8 @@ def with_views(body: str, *names: str) -> str:
     ctes = ",\n".join(f"{n} AS (\n{VIEWS[n][1]}\n)" for n in order)
     body = body.strip()
     if body[:5].upper() == "WITH ":      # merge the body's own CTEs into the list
-        return f"WITH {ctes},\n{body[5:]}"
-    return f"WITH {ctes}\n{body}"
+        return f"WITH RECURSIVE {ctes},\n{body[5:]}"
+    return f"WITH RECURSIVE {ctes}\n{body}"
 
 
 # --- derived views (DuckDB twins of riskline.plans.views) ------------------------------

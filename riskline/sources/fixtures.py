@@ -83,24 +83,27 @@ def raw_txn(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """At-least-once delivery log for the claim ledger (<= 2 deliveries per event)."""
+    """At-least-once delivery log for the claim ledger: up to four deliveries per event,
+    some without an outcome."""
     t = txn(spark, sf_dir).select("event_id", "event_no", "created_us")
     n = F.col("event_no")
-    first = t.select(
-        "event_id", "event_no", F.col("created_us").alias("received_us"),
-        F.lit(1).alias("delivery_no"),
-        F.when(n % 10 == 0, F.lit("retryable")).when(n % 25 == 3, F.lit("hash_mismatch"))
-         .otherwise(F.lit("ok")).alias("outcome"))
-    redelivered = t.filter(n % 10 == 0).select(
-        "event_id", "event_no",
-        (F.col("created_us") + F.when(n % 20 == 0, F.lit(5_000_000))
-         .otherwise(F.lit(90_000_000))).alias("received_us"),
-        F.lit(2).alias("delivery_no"),
-        F.when(n % 100 == 10, F.lit("retryable")).otherwise(F.lit("ok")).alias("outcome"))
-    duplicate = t.filter(n % 30 == 7).select(
-        "event_id", "event_no", (F.col("created_us") + 30_000_000).alias("received_us"),
-        F.lit(2).alias("delivery_no"), F.lit("ok").alias("outcome"))
-    return first.unionByName(redelivered).unionByName(duplicate)
+
+    def later(rows, no: int, delay_s: Column, outcome: Column) -> DataFrame:
+        return t.filter(rows).select(
+            "event_id", "event_no", (F.col("created_us") + delay_s * 1_000_000).alias("received_us"),
+            F.lit(no).alias("delivery_no"), outcome.alias("outcome"))
+
+    first = later(F.lit(True), 1, F.lit(0), F.when(n % 10 == 0, "retryable")
+                  .when(n % 25 == 3, "hash_mismatch").when(n % 70 == 11, F.lit(None)).otherwise("ok"))
+    again = later(n % 10 == 0, 2, F.when(n % 20 == 0, 5).otherwise(90),
+                  F.when(n % 100 == 10, "retryable").otherwise("ok"))
+    duplicate = later(n % 30 == 7, 2, F.lit(30), F.lit("ok"))
+    unknown = later(n % 140 == 11, 2, F.lit(10), F.lit("ok"))
+    third = later(n % 100 == 10, 3, F.when(n % 400 == 10, 100).otherwise(200),
+                  F.when(n % 200 == 10, "retryable").otherwise("ok"))
+    fourth = later(n % 200 == 10, 4, F.lit(300), F.when(n % 600 == 10, F.lit(None)).otherwise("ok"))
+    return first.unionByName(again).unionByName(duplicate).unionByName(unknown) \
+        .unionByName(third).unionByName(fourth)
 
 
 def scores(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming.state import GroupStateTimeout
 
-from riskline.config import ERROR_REASON_MAX, LEASE_S
+from riskline.config import ERROR_REASON_MAX, LEASE_S, UNKNOWN_OUTCOME
 
 OUT_SCHEMA = ("event_id string, status string, first_seen_us long, last_seen_us long, "
               "attempts int, error_reason string, claimed boolean, received_us long")
@@ -22,8 +22,9 @@ STATE_SCHEMA = ("status string, first_seen_us long, last_seen_us long, attempts
                 "error_reason string")
 
 
-def _step(state: tuple | None, received: int, outcome: str, lease_us: int):
+def _step(state: tuple | None, received: int, outcome: str | None, lease_us: int):
     """One delivery: returns (new_state, claimed)."""
+    outcome = UNKNOWN_OUTCOME if outcome is None else outcome
     if state is None:
         claim, first, attempts, reason = True, received, 1, None
     else:
@@ -39,7 +40,7 @@ def _step(state: tuple | None, received: int, outcome: str, lease_us: int):
         status = "processing"
     else:
         status = "failed"
-        reason = f"non-retryable: {outcome}"[:ERROR_REASON_MAX]
+        reason = f"non-retryable: {outcome}".encode()[:ERROR_REASON_MAX].decode("utf-8", "ignore")
     return (status, first, received, attempts, reason), claim
 
 

@@ -61,7 +61,7 @@ def test_duplicate_flood_is_settled_without_folding(spark):
     assert len(first) == 1 and first[0]["delivery_no"] == 0
 
 
-def test_hot_failing_event_uses_streaming_fold(spark):
+def test_hot_failing_event_like_any_other(spark):
     from pyspark.sql import functions as F
 
     # 500 deliveries of one event: first fails retryably, copies 1 s apart; the lease
@@ -72,10 +72,24 @@ def test_hot_failing_event_uses_streaming_fold(spark):
         F.when(F.col("id") < 60, F.lit("retryable")).otherwise(F.lit("ok")).alias("outcome"))
     small = spark.createDataFrame([("cold", 0, 1, "retryable"), ("cold", 61 * S, 2, "ok")],
                                   SCHEMA)
-    both = hot.unionByName(small)
-    streamed = {r["event_id"]: r for r in claim_ledger(both, hot_threshold=100).collect()}
-    folded = {r["event_id"]: r for r in claim_ledger(both, hot_threshold=10_000).collect()}
-    assert streamed == folded
-    assert (streamed["hot"]["status"], streamed["hot"]["attempts"],
-            streamed["hot"]["last_seen_us"], streamed["hot"]["receives"]) == \
+    led = {r["event_id"]: r for r in claim_ledger(hot.unionByName(small)).collect()}
+    assert (led["hot"]["status"], led["hot"]["attempts"],
+            led["hot"]["last_seen_us"], led["hot"]["receives"]) == \
         ("success", 2, 60 * S, 500)
+    assert (led["cold"]["status"], led["cold"]["claims"]) == ("success", 2)
+
+
+def test_null_outcome_is_a_failure_and_loses_no_event(spark):
+    rows = [("only", 0, 1, None), ("then_ok", 0, 1, None), ("then_ok", S, 2, "ok"),
+            ("late_null", 0, 1, "retryable"), ("late_null", 70 * S, 2, None)]
+    led = _ledger(spark, rows)
+    assert set(led) == {"only", "then_ok", "late_null"}
+    assert (led["only"]["status"], led["only"]["error_reason"]) == ("failed", "non-retryable: unknown")
+    assert (led["then_ok"]["status"], led["then_ok"]["attempts"]) == ("success", 2)
+    assert (led["late_null"]["status"], led["late_null"]["attempts"]) == ("failed", 2)
+
+
+def test_error_reason_is_cut_in_bytes(spark):
+    led = _ledger(spark, [("e", 0, 1, "é" * 400)])
+    assert len(led["e"]["error_reason"].encode()) <= 500
+    assert led["e"]["error_reason"].startswith("non-retryable: é")
