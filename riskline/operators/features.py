@@ -1,7 +1,15 @@
 """Point-in-time (as-of) per-user features: W1-W5, P19, J7-J9.
 
-The reference runs 5-6 correlated SQL statements per event. Here each feature is a range
-frame over one window spec, so all of them share one exchange and one sort.
+The reference runs 5-6 correlated SQL statements per event. Here the features are range
+frames over one window spec, so all of them share one exchange.
+
+Frames only ever grow: Spark evaluates a frame that starts at UNBOUNDED PRECEDING with one
+update per row, but a sliding frame by aggregating its whole buffer again for every row,
+which is quadratic in a burst of one user. Counts and sums of ``(t - w, t]`` are therefore the
+difference of the running values at ``t`` and at ``t - w``. The maximum has no difference: the
+time axis is cut into blocks of the window's width, so a window lies in two of them; it is the
+larger of the running maximum of its own block and the maximum of the later part of the block
+before, both growing frames (the latter in descending time).
 
 Skew: a window partitioned by user alone puts a hot user (e.g. the ``unknown`` card) in
 one task. Rows are therefore partitioned by ``(user, time bucket)`` where the bucket is
@@ -63,28 +71,50 @@ def asof_features(df: DataFrame, *, user: str = "user_id", time_us: str = "us",
     bucket_us = cfg.bucket_s * MICROS
     widest_us = max(max(cfg.count_windows_s), cfg.stats_window_s) * MICROS
 
-    def frames(w_spec: Window) -> list[Column]:
-        cols = []
-        for s in cfg.count_windows_s:
-            fr = w_spec.rangeBetween(-(s * MICROS - 1), 0)
-            cols.append(F.count(F.lit(1)).over(fr).cast("bigint").alias(f"velocity_{s}s"))
-        fr = w_spec.rangeBetween(-(cfg.stats_window_s * MICROS - 1), 0)
-        cols.append(F.coalesce(F.sum(amount).over(fr), F.lit(0).cast("decimal(28,2)"))
-                    .alias(f"user_amt_sum_{cfg.stats_window_s}s"))
-        cols.append(F.coalesce(F.max(amount).over(fr), F.lit(0).cast("decimal(18,2)"))
-                    .alias(f"user_amt_max_{cfg.stats_window_s}s"))
-        cols.append(F.max(time_us).over(w_spec.rangeBetween(Window.unboundedPreceding, -1))
+    up_to_now = (Window.unboundedPreceding, 0)
+    stats_us = cfg.stats_window_s * MICROS
+
+    def since(agg: Column, spec: Window, w_us: int) -> Column:
+        """``agg`` over (t - w, t]: running value at t less that at t - w."""
+        gone = agg.over(spec.rangeBetween(Window.unboundedPreceding, -w_us))
+        return agg.over(spec.rangeBetween(*up_to_now)) - F.coalesce(gone, F.lit(0))
+
+    def frames(spec: Window) -> list[Column]:
+        cols = [since(F.count(F.lit(1)), spec, s * MICROS).cast("bigint").alias(f"velocity_{s}s")
+                for s in cfg.count_windows_s]
+        cols.append(F.coalesce(since(F.sum(amount), spec, stats_us), F.lit(0))
+                    .cast("decimal(28,2)").alias(f"user_amt_sum_{cfg.stats_window_s}s"))
+        cols.append(F.max(time_us).over(spec.rangeBetween(Window.unboundedPreceding, -1))
                     .alias("prev_us"))
         return cols
 
+    max_col = f"user_amt_max_{cfg.stats_window_s}s"
+
+    def with_max(rows: DataFrame, keys: list[str]) -> DataFrame:
+        """Add the maximum over the stats window; every row also appears, as history only,
+        in the block after its own, shifted by one window."""
+        block = F.floor(F.col(time_us) / F.lit(stats_us)).cast("bigint")
+        own = F.struct(block.alias("b"), F.lit(True).alias("own"))
+        after = F.struct((block + 1).alias("b"), F.lit(False).alias("own"))
+        x = rows.withColumn("_x", F.explode(F.array(own, after)))
+        x = x.withColumn("_blk", F.col("_x.b")).withColumn("_own", F.col("_x.own")).drop("_x")
+        x = x.withColumn("_key", F.col(time_us) + F.when(F.col("_own"), 0).otherwise(stats_us))
+        w = Window.partitionBy(*keys, "_blk")
+        here = F.max(F.when(F.col("_own"), F.col(amount))).over(
+            w.orderBy("_key").rangeBetween(*up_to_now))
+        before = F.max(F.when(~F.col("_own"), F.col(amount))).over(
+            w.orderBy(F.desc("_key")).rangeBetween(Window.unboundedPreceding, -1))
+        best = F.coalesce(F.greatest(here, before), F.lit(0)).cast("decimal(18,2)")
+        return x.withColumn(max_col, best).filter("_own").drop("_blk", "_own", "_key")
+
     timed = df.filter(F.col(time_us).isNotNull())
     if not skew_safe:
         spec = Window.partitionBy(user).orderBy(time_us)
-        out = timed.select("*", *frames(spec))
+        out = with_max(timed.select("*", *frames(spec)), [user])
     else:
         rows = _bucketed(timed, user, time_us, bucket_us, widest_us)
         spec = Window.partitionBy(user, _B).orderBy(time_us)
-        win = rows.select("*", *frames(spec)).filter(F.col(_HOME))
+        win = with_max(rows.select("*", *frames(spec)), [user, _B]).filter(F.col(_HOME))
         fb = _prev_fallback(timed, user, time_us, bucket_us)
         out = (win.join(fb, [user, _B], "left")
                   .withColumn("prev_us", F.coalesce("prev_us", "_prev_before"))
@@ -108,14 +138,19 @@ def arrival_velocity(df: DataFrame, window_s: int, *, user: str = "user_id",
     """
     w_us = window_s * MICROS
     one = F.when(F.col(counted), F.lit(1)) if counted else F.lit(1)
+
+    def in_window(spec: Window) -> Column:
+        """Running count at c less the one just before c - w: frames that only grow."""
+        n = F.count(one)
+        return (n.over(spec.rangeBetween(Window.unboundedPreceding, 0))
+                - n.over(spec.rangeBetween(Window.unboundedPreceding, -w_us - 1))).cast("bigint")
+
     if not skew_safe:
-        spec = Window.partitionBy(user).orderBy(arrival_us).rangeBetween(-w_us, 0)
-        return df.withColumn(out, F.count(one).over(spec).cast("bigint"))
+        return df.withColumn(out, in_window(Window.partitionBy(user).orderBy(arrival_us)))
     bucket_us = max(bucket_s or 86400, window_s) * MICROS
     rows = _bucketed(df, user, arrival_us, bucket_us, w_us)
-    spec = Window.partitionBy(user, _B).orderBy(arrival_us).rangeBetween(-w_us, 0)
-    return (rows.withColumn(out, F.count(one).over(spec).cast("bigint"))
-                .filter(F.col(_HOME)).drop(_B, _HOME))
+    spec = Window.partitionBy(user, _B).orderBy(arrival_us)
+    return rows.withColumn(out, in_window(spec)).filter(F.col(_HOME)).drop(_B, _HOME)
 
 
 def feature_vector(df: DataFrame, cfg: FeatureConfig = FeatureConfig(), *,
@@ -165,10 +200,19 @@ def asof_probe(probes: DataFrame, history: DataFrame, cfg: FeatureConfig = Featu
     run once over the union, and only probe rows are kept: one shuffle, no range join.
     """
     cols = ["event_id", "user_id", "us", "amount"]
+    # Only the probes' users matter, and of their history only what a window can reach; of
+    # everything older, "previous event" needs the latest time per user.
+    reach = max(max(cfg.count_windows_s), cfg.stats_window_s) * MICROS
+    oldest = probes.agg(F.min("us")).scalar() - F.lit(reach)
+    own = history.select(*cols).join(probes.select("user_id").distinct(), "user_id", "left_semi")
+    recent = own.filter((F.col("us") > oldest) | F.col("us").isNull())
+    last_seen = own.filter(F.col("us") <= oldest).groupBy("user_id").agg(F.max("us").alias("us")) \
+        .select(F.lit(None).cast("string").alias("event_id"), "user_id", "us",
+                F.lit(None).cast(probes.schema["amount"].dataType).alias("amount"))
     probe_ids = probes.select("event_id").distinct().withColumn("_probe", F.lit(True))
     # Probes already stored are marked in place (first writer wins, Q10) ...
-    hist = (history.select(*cols).join(probe_ids, "event_id", "left")
-                   .withColumn("_probe", F.coalesce("_probe", F.lit(False))))
+    hist = (recent.select(*cols).unionByName(last_seen).join(probe_ids, "event_id", "left")
+                  .withColumn("_probe", F.coalesce("_probe", F.lit(False))))
     # ... the others are added once.
     new = (probes.select(*cols).dropDuplicates(["event_id"])
                  .join(history.select("event_id"), "event_id", "left_anti")
