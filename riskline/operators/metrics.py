@@ -119,21 +119,18 @@ def histogram_quantile(hist: DataFrame, qs: float | list[float], series: str = "
 
 
 def period_stats(samples: DataFrame, us: str = "us", value: str = "latency_s",
-                 series: str = "service", period_s: int = 300,
-                 tie: str = "event_id") -> DataFrame:
+                 series: str = "service", period_s: int = 300) -> DataFrame:
     """p50 / p95 (exact, continuous), sum and count per series and period.
 
-    The percentiles rank rows with a sorted window per (series, period) instead of
-    Spark's exact ``percentile`` (which buffers a whole group in one task's memory);
-    sum and count are ordinary partial aggregates. Both sides are keyed by
-    (series, period) and joined.
+    The percentiles come from running counts over distinct values (no group is sorted or
+    buffered in one task); sum and count are ordinary partial aggregates. Both sides are
+    keyed by (series, period) and joined.
     """
     from riskline.operators.ordinal import grouped_exact_percentiles
 
     per = F.floor(F.col(us) / F.lit(period_s * MICROS)) * F.lit(period_s * MICROS)
-    s = samples.select(series, per.cast("bigint").alias("period_us"), value, tie)
-    pct = grouped_exact_percentiles(s, [series, "period_us"], value,
-                                    {"p50": 0.5, "p95": 0.95}, tie)
+    s = samples.select(series, per.cast("bigint").alias("period_us"), value)
+    pct = grouped_exact_percentiles(s, [series, "period_us"], value, {"p50": 0.5, "p95": 0.95})
     tot = s.groupBy(series, "period_us").agg(F.sum(value).alias("total"),
                                               F.count(F.lit(1)).alias("n"))
     return tot.join(pct, [series, "period_us"]).select(series, "period_us", "p50", "p95",

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskline.operators.ordinal import global_ordinal
+from riskline.session import written
 
 LABEL_KEY = "is_fraud_ground_truth"
 
@@ -50,11 +51,10 @@ def temporal_split(df: DataFrame, order_cols: list[str] | None = None,
                    train: float = 0.70, val: float = 0.85) -> DataFrame:
     """M4: 70 / 15 / 15 by position in time order, boundaries ``int(n * f)``."""
     order_cols = order_cols or ["us", "event_id"]
-    # The ordinal runs several jobs over the input (sampling, counts, numbering): cut the
-    # lineage once into the shared checkpoint folder instead of recomputing the features.
-    df = df.checkpoint(eager=True)
-    n = df.agg(F.count(F.lit(1))).scalar()
-    o = global_ordinal(df, order_cols, "_rn")
+    # The range partitioning samples its input before it reads it: write the input once
+    # instead of computing the features twice.
+    o = global_ordinal(written(df, "split-input"), order_cols, "_rn")
+    n = o.agg(F.count(F.lit(1))).scalar()
     return o.withColumn(
         "split",
         F.when(F.col("_rn") < F.floor(n * F.lit(train)).cast("bigint"), F.lit("train"))

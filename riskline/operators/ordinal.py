@@ -1,12 +1,11 @@
-"""Scalable global order operations: W7 global ordinal, W8 global prefix sums.
-
-A window without ``partitionBy`` moves every row into one task. Instead the order key is
-cut into ``n`` ranges at sampled quantiles (``approxQuantile``: ``n - 1`` numbers reach
-the driver, never rows). Rows are numbered inside their range by an ordinary
-partitioned window, and each range's offset is the running total of the per-range
-counts -- a table with one row per range, bounded by ``n``, so broadcasting it is safe.
-The cut points are literals in the plan, so a recomputed task after an executor loss
-sees exactly the same ranges.
+"""Scalable global order operations: W7 global ordinal, W8 global prefix sums, exact
+percentiles.
+
+A window without ``partitionBy`` moves every row into one task. Instead the rows are range
+partitioned on the whole order key (ties of its first column are split by the next one) and
+sorted within the ranges; a generated id then holds range and place of each row. The result
+is written once, so the ids stay fixed whatever is recomputed later. Each range's offset is
+the running total over a table with one row per range, so broadcasting it is safe.
 """
 
 from __future__ import annotations
@@ -14,105 +13,89 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from riskline.session import written
 
-def _range_id(df: DataFrame, key: str, n: int, rel_err: float = 0.001) -> Column:
-    """Range index of ``key`` (numeric) among ``n`` sampled quantile ranges."""
-    probs = [i / n for i in range(1, n)]
-    cuts = sorted(set(df.approxQuantile(key, probs, rel_err))) if n > 1 else []
-    rid = F.lit(0)
-    for c in cuts:                       # n is small (about the task count)
-        rid = rid + (F.col(key) >= F.lit(c)).cast("int")
-    return rid
+_PLACE_BITS = 33        # of monotonically_increasing_id: the place within the partition
 
 
 def _n_ranges(df: DataFrame, n: int | None) -> int:
     return n or max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
+def _ranged(df: DataFrame, order_cols: list[str], n: int) -> DataFrame:
+    """``df`` with ``_rid`` (range, ascending in the order) and ``_pos`` (place in it)."""
+    ids = (df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
+             .withColumn("_id", F.monotonically_increasing_id()))
+    return written(ids, "ranged").withColumn("_rid", F.shiftright("_id", _PLACE_BITS)) \
+        .withColumn("_pos", F.col("_id").bitwiseAND(F.lit((1 << _PLACE_BITS) - 1))).drop("_id")
+
+
+def _prior(totals: DataFrame, sums: dict[str, str]) -> DataFrame:
+    """Per range the totals of all ranges before it (at most one row per range)."""
+    before = Window.orderBy("_rid").rowsBetween(Window.unboundedPreceding, -1)
+    return F.broadcast(totals.select("_rid", *[
+        F.coalesce(F.sum(c).over(before), F.lit(0)).alias(out) for out, c in sums.items()]))
+
+
 def global_ordinal(df: DataFrame, order_cols: list[str], out: str = "ordinal",
                    n_ranges: int | None = None) -> DataFrame:
-    """0-based position of each row in the total order ``order_cols`` (unique); the first
-    order column must be numeric."""
-    n = _n_ranges(df, n_ranges)
-    r = df.withColumn("_rid", _range_id(df, order_cols[0], n))
+    """0-based position of each row in the total order ``order_cols`` (unique)."""
+    r = _ranged(df, order_cols, _n_ranges(df, n_ranges))
     sizes = r.groupBy("_rid").agg(F.count(F.lit(1)).alias("_n"))
-    offsets = sizes.select("_rid", F.coalesce(F.sum("_n").over(
-        Window.orderBy("_rid").rowsBetween(Window.unboundedPreceding, -1)),
-        F.lit(0)).alias("_off"))
-    local = Window.partitionBy("_rid").orderBy(*order_cols)
-    return (r.withColumn("_pos", F.row_number().over(local) - 1)
-             .join(F.broadcast(offsets), "_rid")
-             .withColumn(out, F.col("_off") + F.col("_pos"))
-             .drop("_rid", "_pos", "_off"))
+    return (r.join(_prior(sizes, {"_off": "_n"}), "_rid")
+             .withColumn(out, F.col("_off") + F.col("_pos")).drop("_rid", "_pos", "_off"))
 
 
 def global_prefix_sums(df: DataFrame, order_cols: list[str], sums: dict[str, Column],
                        n_ranges: int | None = None) -> DataFrame:
-    """Inclusive running sums down the total order ``order_cols`` (unique, first column
-    numeric), e.g. cumulative TP / FP counts of a PR curve."""
-    n = _n_ranges(df, n_ranges)
-    r = df.select("*", *[v.alias(f"_v_{k}") for k, v in sums.items()]) \
-          .withColumn("_rid", _range_id(df, order_cols[0], n))
+    """Inclusive running sums down the total order ``order_cols`` (unique), e.g. cumulative
+    TP / FP counts of a PR curve."""
+    r = _ranged(df.select("*", *[v.alias(f"_v_{k}") for k, v in sums.items()]), order_cols,
+                _n_ranges(df, n_ranges))
     totals = r.groupBy("_rid").agg(*[F.sum(f"_v_{k}").alias(f"_t_{k}") for k in sums])
-    prior = Window.orderBy("_rid").rowsBetween(Window.unboundedPreceding, -1)
-    offs = totals.select("_rid", *[F.coalesce(F.sum(f"_t_{k}").over(prior), F.lit(0))
-                                   .alias(f"_o_{k}") for k in sums])
-    local = Window.partitionBy("_rid").orderBy(*order_cols).rowsBetween(
-        Window.unboundedPreceding, 0)
+    local = Window.partitionBy("_rid").orderBy("_pos").rowsBetween(Window.unboundedPreceding, 0)
     out = r.select("*", *[F.sum(f"_v_{k}").over(local).alias(f"_l_{k}") for k in sums])
-    out = out.join(F.broadcast(offs), "_rid")
+    out = out.join(_prior(totals, {f"_o_{k}": f"_t_{k}" for k in sums}), "_rid")
     for k in sums:
         out = out.withColumn(k, F.col(f"_o_{k}") + F.col(f"_l_{k}"))
-    drop = ["_rid"] + [f"_{p}_{k}" for k in sums for p in ("v", "l", "o")]
-    return out.drop(*drop)
+    return out.drop("_rid", "_pos", *[f"_{p}_{k}" for k in sums for p in ("v", "l", "o")])
+
+
+def _percentile(n: Column, p: float, first: Column, end: Column, value: Column) -> Column:
+    """Aggregate: continuous percentile from distinct values that hold ranks
+    ``first <= rank < end`` of ``n``."""
+    pos = (n - 1) * F.lit(p)
+    at = lambda rank: F.max(F.when((first <= rank) & (rank < end), value)).cast("double")
+    lo, hi = at(F.floor(pos)), at(F.ceil(pos))
+    share = F.max(pos - F.floor(pos))
+    return lo + (hi - lo) * share
 
 
-def exact_percentiles(df: DataFrame, value: str, probs: dict[str, float], tie: str,
+def exact_percentiles(df: DataFrame, value: str, probs: dict[str, float],
                       n_ranges: int | None = None) -> DataFrame:
     """Exact ``percentile_cont`` of ``value`` for each named probability, as one row.
 
-    Spark's exact ``percentile`` buffers every value of the group in one task; here the
-    values are ranked by :func:`global_ordinal` (range-partitioned) and only the two
-    neighbouring ranks of each probability are kept, so no task holds more than its own
-    range. ``tie`` makes the order total.
+    Spark's exact ``percentile`` buffers every value of the group in one task; here values
+    are counted first (map-side combined), and running counts over the distinct values give
+    the ranks each of them holds.
     """
-    # three jobs read the values (count, sampled cuts, ranks): materialise them once
-    v = df.select(value, tie).filter(F.col(value).isNotNull()).checkpoint(eager=True)
-    n = v.agg(F.count(F.lit(1))).scalar()
-    ranked = global_ordinal(v, [value, tie], "_k", n_ranges)
-    outs = []
-    wanted = None
-    for name, p in probs.items():
-        pos = (n - 1) * F.lit(p)
-        lo, hi = F.floor(pos), F.ceil(pos)
-        cond = (F.col("_k") == lo) | (F.col("_k") == hi)
-        wanted = cond if wanted is None else wanted | cond
-        vlo = F.max(F.when(F.col("_k") == lo, F.col(value)))
-        vhi = F.max(F.when(F.col("_k") == hi, F.col(value)))
-        outs.append((vlo.cast("double") + (vhi.cast("double") - vlo.cast("double"))
-                     * (pos - lo)).alias(name))
-    return ranked.filter(wanted).agg(*outs)
+    counts = df.filter(F.col(value).isNotNull()).groupBy(value).agg(F.count(F.lit(1)).alias("_c"))
+    cum = global_prefix_sums(counts, [value], {"_end": F.col("_c")}, n_ranges)
+    n = cum.agg(F.max("_end")).scalar()
+    return cum.agg(*[_percentile(n, p, F.col("_end") - F.col("_c"), F.col("_end"), F.col(value)).alias(k)
+                     for k, p in probs.items()])
 
 
 def grouped_exact_percentiles(df: DataFrame, groups: list[str], value: str,
-                              probs: dict[str, float], tie: str) -> DataFrame:
-    """Exact ``percentile_cont`` per group without buffering a group in memory: rows are
-    ranked by a sorted window (external sort, spills) and only the two neighbouring ranks
-    of each probability survive to the aggregate."""
-    w = Window.partitionBy(*groups).orderBy(value, tie)
-    r = df.filter(F.col(value).isNotNull()).select(
-        *groups, value, (F.row_number().over(w) - 1).alias("_k"),
-        F.count(F.lit(1)).over(Window.partitionBy(*groups)).alias("_n"))
-    keep = None
-    outs = []
-    for name, p in probs.items():
-        pos = (F.col("_n") - 1) * F.lit(p)
-        cond = (F.col("_k") == F.floor(pos)) | (F.col("_k") == F.ceil(pos))
-        keep = cond if keep is None else keep | cond
-        pos_a = (F.first("_n") - 1) * F.lit(p)
-        vlo = F.max(F.when(F.col("_k") == F.floor((F.col("_n") - 1) * F.lit(p)),
-                           F.col(value))).cast("double")
-        vhi = F.max(F.when(F.col("_k") == F.ceil((F.col("_n") - 1) * F.lit(p)),
-                           F.col(value))).cast("double")
-        outs.append((vlo + (vhi - vlo) * (pos_a - F.floor(pos_a))).alias(name))
-    return r.filter(keep).groupBy(*groups).agg(*outs)
+                              probs: dict[str, float], n_ranges: int | None = None) -> DataFrame:
+    """Exact ``percentile_cont`` per group: one running count over the distinct (group,
+    value) pairs in order, so a large group is spread over many ranges."""
+    counts = df.filter(F.col(value).isNotNull()).groupBy(*groups, value).agg(
+        F.count(F.lit(1)).alias("_c"))
+    cum = global_prefix_sums(counts, [*groups, value], {"_end": F.col("_c")}, n_ranges)
+    per = cum.groupBy(*groups).agg(F.min(F.col("_end") - F.col("_c")).alias("_before"),
+                                   F.sum("_c").alias("_n"))
+    j = cum.join(per, groups).withColumn("_last", F.col("_end") - F.col("_before"))
+    return j.groupBy(*groups).agg(*[
+        _percentile(F.col("_n"), p, F.col("_last") - F.col("_c"), F.col("_last"), F.col(value)).alias(k)
+        for k, p in probs.items()])

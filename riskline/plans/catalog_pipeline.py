@@ -181,8 +181,8 @@ def slo_report(spark, sf_dir):
     each compared (the reference prints a pass mark unconditionally)."""
     ops = fx.ops_log(spark, sf_dir).withColumn("ms", F.col("latency_s") * 1000)
     ing = exact_percentiles(ops.filter(F.col("service") == "ingest"), "ms",
-                            {"ingest_p95_ms": 0.95}, "event_id")
-    e2e = exact_percentiles(ops, "ms", {"e2e_p95_ms": 0.95}, "event_id")
+                            {"ingest_p95_ms": 0.95})
+    e2e = exact_percentiles(ops, "ms", {"e2e_p95_ms": 0.95})
     err = ops.agg((F.count_if(F.col("status") == "failure") * 100.0 / F.count(F.lit(1)))
                   .alias("error_rate_pct"))
     # three one-row results: stack them and pivot with one global aggregate (no join)

@@ -112,3 +112,14 @@ def checkpoint_path(spark: SparkSession, name: str) -> str:
     """A path below the shared checkpoint folder for a written intermediate table."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/riskline/{name}"
+
+
+def written(df, name: str):
+    """Write ``df`` below the shared checkpoint folder and read it back: cuts the lineage
+    with a table that survives lost executors (values that depend on the partitioning, such
+    as generated ids, stay fixed) and that later readers can prune."""
+    import uuid
+
+    path = checkpoint_path(df.sparkSession, f"tables/{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
