@@ -15,16 +15,6 @@ from riskline.config import (ERROR_REASON_MAX, FUTURE_DRIFT_S, INLINE_LIMIT_BYTE
                              RETRYABLE_REASONS)
 from riskline.functions.exprs import MICROS, byte_cut, from_micros, micros
 
-EVENT_SCHEMA = T.StructType([
-    T.StructField("event_id", T.StringType()),
-    T.StructField("user_id", T.StringType()),
-    T.StructField("amount", T.DoubleType()),
-    T.StructField("currency", T.StringType()),
-    T.StructField("merchant", T.StringType()),
-    T.StructField("timestamp", T.StringType()),
-    T.StructField("metadata", T.MapType(T.StringType(), T.StringType())),
-])
-
 ENVELOPE_SCHEMA = T.StructType([
     T.StructField("event_id", T.StringType()),
     T.StructField("correlation_id", T.StringType()),
@@ -101,25 +91,58 @@ def verify_hash(df: DataFrame) -> DataFrame:
     return df.withColumn("hash_ok", F.sha2(F.col("payload"), 256) == F.col("payload_sha256"))
 
 
+#: JSON types each field may have; a missing or null field keeps its zero value
+FIELD_TYPES = {
+    "user_id": ("STRING",), "currency": ("STRING",), "merchant": ("STRING",),
+    "timestamp": ("STRING",), "amount": ("BIGINT", "DOUBLE", "DECIMAL"), "metadata": ("OBJECT",),
+}
+_RFC3339 = r"^([0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}:[0-9]{2})(?:\.([0-9]{1,9}))?(Z|[+-][0-9]{2}:[0-9]{2})$"
+
+
+def rfc3339_micros(text: Column) -> Column:
+    """Zone-free µs of an RFC 3339 time with up to nine fraction digits (cut to µs) and any
+    offset; null when it is none."""
+    fraction = F.rpad(F.substring(F.regexp_extract(text, _RFC3339, 2), 1, 6), 6, "0")
+    whole = F.concat(F.regexp_extract(text, _RFC3339, 1), F.lit("."), fraction,
+                     F.regexp_extract(text, _RFC3339, 3))
+    return micros(F.try_to_timestamp(whole, F.lit("yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"))
+                  .cast("timestamp_ntz"))
+
+
 def parse_events(df: DataFrame, payload: str = "payload") -> DataFrame:
-    """Decode the JSON body into event fields; undecodable -> ``parse_ok = false``.
+    """Decode the JSON body into event fields; ``parse_ok = false`` for a body that is
+    no JSON object, has a field of a wrong type, or a timestamp that is not RFC 3339.
 
-    The body is parsed once into a struct column (a separate projection, so Catalyst
-    does not re-inline the parser into every field access); fields are then read from it.
-    The timestamp is RFC 3339 (``...Z``); the event time is kept as zone-free µs.
+    The body is parsed once into a variant column (a separate projection, so Catalyst does
+    not re-inline the parser into every field access); fields are then read from it.
     """
-    staged = df.select("*", F.try_parse_json(F.col(payload)).isNotNull().alias("parse_ok"),
-                       F.from_json(F.col(payload), EVENT_SCHEMA).alias("_ev"))
+    staged = df.select("*", F.try_parse_json(F.col(payload)).alias("_v"))
+
+    def kind(path: str) -> Column:
+        return F.schema_of_variant(F.try_variant_get(F.col("_v"), path, "variant"))
+
+    typed = F.lit(True)
+    for name, allowed in FIELD_TYPES.items():
+        k = F.regexp_extract(kind(f"$.{name}"), "^[A-Z]+", 0)
+        typed = typed & F.coalesce(k.isin("VOID", *allowed), F.lit(True))
+    text = lambda c: F.try_variant_get(F.col("_v"), f"$.{c}", "string")
+    fields = staged.select(
+        *df.columns, "_v", F.col("_v").isNotNull()
+        & F.regexp_extract(F.schema_of_variant("_v"), "^[A-Z]+", 0).isin("OBJECT", "VOID") & typed,
+        text("timestamp").alias("_ts"), rfc3339_micros(text("timestamp")).alias("_us"))
+    fields = fields.toDF(*df.columns, "_v", "_typed", "_ts", "_us")
+    staged = fields.withColumn("parse_ok", F.coalesce(F.col("_typed"), F.lit(False))
+                               & (F.col("_ts").isNull() | F.col("_us").isNotNull()))
     ok = F.col("parse_ok")
-    ts = F.try_to_timestamp(F.col("_ev.timestamp"), F.lit("yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]X"))
+    keys = F.map_keys(F.try_variant_get(F.col("_v"), "$.metadata", "map<string,variant>"))
     return staged.select(
-        *[c for c in df.columns], "parse_ok",
-        F.when(ok, F.col("_ev.user_id")).alias("p_user_id"),
-        F.when(ok, F.col("_ev.amount")).alias("p_amount"),
-        F.when(ok, F.col("_ev.currency")).alias("p_currency"),
-        F.when(ok, F.col("_ev.merchant")).alias("p_merchant"),
-        F.when(ok, micros(ts.cast("timestamp_ntz"))).alias("p_us"),
-        F.when(ok, F.size(F.col("_ev.metadata"))).alias("p_metadata_keys"))
+        *df.columns, F.when(F.col(payload).isNotNull(), ok).alias("parse_ok"),
+        F.when(ok, text("user_id")).alias("p_user_id"),
+        F.when(ok, F.try_variant_get(F.col("_v"), "$.amount", "double")).alias("p_amount"),
+        F.when(ok, text("currency")).alias("p_currency"),
+        F.when(ok, text("merchant")).alias("p_merchant"),
+        F.when(ok, F.col("_us")).alias("p_us"),
+        F.when(ok, F.size(keys)).alias("p_metadata_keys"))
 
 
 # --- P2: validation -------------------------------------------------------------------
@@ -168,19 +191,17 @@ VARCHAR_LIMITS = (("event_id", 255), ("correlation_id", 255), ("user_id", 255),
                   ("currency", 3), ("merchant", 255))
 
 
-def constraint_violation(df: DataFrame) -> Column:
+def constraint_violation(columns: dict[str, Column]) -> Column:
     """First violated store constraint (column name) or null: VARCHAR lengths, NOT NULL
-    and the DECIMAL(18,2) range."""
-    out = None
+    and the DECIMAL(18,2) range. ``columns``: store column -> value, absent ones unchecked."""
+    out = F.when(F.lit(False), F.lit(""))
     for c, n in VARCHAR_LIMITS:
-        if c not in df.columns:
-            continue
-        cond = F.col(c).isNull() if c in ("event_id", "user_id", "currency", "merchant") \
-            else F.lit(False)
-        cond = cond | (F.char_length(F.col(c)) > n)
-        out = F.when(cond, F.lit(c)) if out is None else out.when(cond, F.lit(c))
-    amt = F.col("amount").isNull() | (F.abs(F.col("amount")) >= F.lit(10 ** 16))
-    out = out.when(amt, F.lit("amount"))
+        if c in columns:
+            bad = F.coalesce(F.char_length(columns[c]) > n, F.lit(c != "correlation_id"))
+            out = out.when(bad, F.lit(c))
+    if "amount" in columns:
+        out = out.when(F.coalesce(F.abs(columns["amount"]) >= F.lit(10 ** 16), F.lit(True)),
+                       F.lit("amount"))
     return out
 
 
@@ -247,25 +268,24 @@ CSV_COLUMNS = ("TransactionDT", "TransactionAmt", "card1", "ProductCD", "card4",
 
 def read_transactions_csv(spark: SparkSession, path: str,
                           columns: tuple[str, ...] = CSV_COLUMNS) -> tuple[DataFrame, DataFrame]:
-    """Header CSV read by name, all strings; rows whose field count differs from the
-    header are split off as failed (``_corrupt_record``), missing columns read as ''.
+    """Header CSV read by column name, all strings; the file may hold any further
+    columns in any order, and a column it lacks reads as ''. Rows whose field count differs
+    from the header are split off as failed (``_corrupt_record``).
 
-    Spark flags a wrong field count only when every column is parsed (CSV column
-    pruning would hide it from a narrow projection), hence the checkpoint below.
+    Spark flags a wrong field count only when every column is parsed, so the reader's own
+    column pruning is off.
     """
+    header = spark.read.option("header", True).csv(path).columns
     raw = (spark.read.option("header", True).option("mode", "PERMISSIVE")
            .option("columnNameOfCorruptRecord", "_corrupt_record")
-           .option("enforceSchema", False)
-           .schema(T.StructType([T.StructField(c, T.StringType()) for c in columns]
+           .option("enforceSchema", False).option("columnPruning", False)
+           .schema(T.StructType([T.StructField(c, T.StringType()) for c in header]
                                 + [T.StructField("_corrupt_record", T.StringType())]))
            .csv(path))
-    # Materialise the parsed rows once (shared checkpoint folder): every column is parsed,
-    # so the field-count check sees every row, and later narrow queries (a count) are
-    # allowed on the result.
-    raw = raw.checkpoint(eager=True)
+    own = [F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) if c in header
+           else F.lit("").alias(c) for c in columns]
     bad = raw.filter(F.col("_corrupt_record").isNotNull())
-    good = raw.filter(F.col("_corrupt_record").isNull()).drop("_corrupt_record")
-    good = good.select(*[F.coalesce(F.col(c), F.lit("")).alias(c) for c in columns])
+    good = raw.filter(F.col("_corrupt_record").isNull()).select(*own)
     return good, bad
 
 

@@ -100,12 +100,17 @@ def write_feature_export(df: DataFrame, path: str, fmt: str = "parquet") -> None
 
 
 def write_payload_objects(envelopes: DataFrame, root: str) -> None:
-    """Oversized payloads under ``<root>/raw/<date>/``, one text file set per date
-    (the object key's date part is the partition)."""
+    """Oversized payloads under ``<root>/raw/<date>/`` (the object key's date part is
+    the partition). Appends the keys that are not stored yet: objects of earlier calls
+    stay, and a repeated call writes nothing."""
+    spark = envelopes.sparkSession
     big = envelopes.filter(F.col("payload_mode") == "S3").select(
         F.regexp_extract("s3_key", r"^raw/([^/]+)/", 1).alias("date"),
         F.col("s3_key").alias("key"), F.col("payload").alias("content"))
-    big.write.mode("overwrite").partitionBy("date").parquet(os.path.join(root, "raw"))
+    stored = read_payload_objects(spark, root) if _exists(spark, os.path.join(root, "raw/_SUCCESS")) \
+        else None
+    new_rows(big, stored, "key", ["content"]).select("date", "key", "content") \
+        .write.mode("append").partitionBy("date").parquet(os.path.join(root, "raw"))
 
 
 def read_payload_objects(spark: SparkSession, root: str) -> DataFrame:

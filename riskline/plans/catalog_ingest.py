@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from riskline.config import MERCHANT_TABLE
 from riskline.operators import ingest as I
 from riskline.plans.oracle_views import view, with_views
 from riskline.plans.registry import register
@@ -22,9 +25,7 @@ SELECT event_no,
   CASE WHEN TRY_CAST(TransactionAmt AS DOUBLE) > 0 THEN TRY_CAST(TransactionAmt AS DOUBLE) ELSE 1.0 END AS amount,
   'USD' AS currency,
   CASE lower(ProductCD) || '+' || lower(card4)
-    WHEN 'w+visa' THEN 'Amazon Marketplace' WHEN 'w+mastercard' THEN 'Walmart Online'
-    WHEN 'c+mastercard' THEN 'Walmart' WHEN 'c+visa' THEN 'Target' WHEN 'r+discover' THEN 'Target RedCard'
-    WHEN 'h+amex' THEN 'Best Buy' WHEN 's+visa' THEN 'Steam Games' WHEN 's+mastercard' THEN 'PlayStation Store'
+    {" ".join(f"WHEN '{k}' THEN '{v}'" for k, v in MERCHANT_TABLE)}
     ELSE 'merchant_' || ProductCD || '_' || card4 END AS merchant,
   coalesce(1704067200000000 + CAST(trunc(TRY_CAST(TransactionDT AS DOUBLE)) AS BIGINT) * 1000000,
            {_NOW_SQL}) AS us,
@@ -52,14 +53,16 @@ def merchant_lookup(spark, sf_dir):
 
 def _write_csv(spark, sf_dir) -> str:
     """Write the CSV rows as a headered CSV file set in the shared checkpoint folder; rows
-    at ``event_no % 59 = 0`` carry an unquoted comma (one field too many)."""
+    at ``event_no % 59 = 0`` carry an unquoted comma (one field too many). The file has two
+    further columns and another column order than the reader's list."""
     rows = wire.csv_rows(spark, sf_dir)
     card1 = F.when(F.col("event_no") % 59 == 0, F.concat(F.col("card1"), F.lit(",x"))) \
         .otherwise(F.col("card1"))
     out = rows.withColumn("card1", card1).drop("event_no")
-    sf_tag = sf_dir.rstrip("/").split("/")[-1]
-    path = checkpoint_path(spark, f"csv_source/{sf_tag}")
-    (out.write.mode("overwrite").option("header", True).option("quote", "\u0000")
+    out = out.select("isFraud", F.lit("x").alias("V1"), *[c for c in out.columns if c != "isFraud"],
+                     F.lit("9").alias("TransactionID"))
+    path = checkpoint_path(spark, f"csv_source/{uuid.uuid4().hex}")
+    (out.write.option("header", True).option("quote", "\u0000")
         .option("emptyValue", "").csv(path))
     return path
 
@@ -135,7 +138,8 @@ def constraint_check(spark, sf_dir):
     """Valid events the store would reject (VARCHAR lengths, NOT NULL, DECIMAL range)
     -> quarantine reason ``constraint_violation`` (non-retryable)."""
     v = _validated(spark, sf_dir).filter(F.col("error").isNull())
-    col = I.constraint_violation(v)
+    col = I.constraint_violation({c: F.col(c) for c in (
+        "event_id", "correlation_id", "user_id", "currency", "merchant", "amount")})
     return v.select("event_id", col.alias("column_name"),
                     F.lit("constraint_violation").alias("reason")) \
             .filter(F.col("column_name").isNotNull())
@@ -199,7 +203,7 @@ def parse_events(spark, sf_dir):
 _QUARANTINE_SQL = f"""
 SELECT event_id, reason, CASE WHEN reason IN ('idempotency_check_failed',
     'storage_fetch_failed', 'db_insert_failed') THEN 'retryable' ELSE 'non-retryable' END AS error_class,
-  cause FROM (
+  cause, received_us, delivery_no FROM (
   SELECT event_id, CASE
       WHEN fetch_error IS NOT NULL THEN fetch_error
       WHEN NOT hash_ok THEN 'hash_mismatch'
@@ -207,7 +211,7 @@ SELECT event_id, reason, CASE WHEN reason IN ('idempotency_check_failed',
       WHEN coalesce(p_user_id, '') = '' OR coalesce(p_amount, 0) <= 0 OR coalesce(p_currency, '') = ''
         OR coalesce(p_merchant, '') = '' OR p_us IS NULL OR p_us > {_NOW_SQL} + 300000000
         OR coalesce(p_metadata_keys, 0) > 10 THEN 'validation_error'
-      WHEN length(p_currency) > 3 THEN 'constraint_violation' END AS reason,
+      WHEN length(p_currency) > 3 OR abs(p_amount) >= 1e16 THEN 'constraint_violation' END AS reason,
     CASE WHEN fetch_error IS NOT NULL OR NOT hash_ok THEN NULL
       WHEN NOT parse_ok THEN 'malformed JSON'
       WHEN coalesce(p_user_id, '') = '' THEN 'invalid event: [MISSING_FIELD] user_id cannot be empty'
@@ -217,8 +221,8 @@ SELECT event_id, reason, CASE WHEN reason IN ('idempotency_check_failed',
       WHEN p_us IS NULL THEN 'invalid event: [MISSING_FIELD] timestamp must be set'
       WHEN p_us > {_NOW_SQL} + 300000000 THEN 'invalid event: [INVALID_VALUE] timestamp cannot be in the future'
       WHEN coalesce(p_metadata_keys, 0) > 10 THEN 'invalid event: [INVALID_VALUE] metadata too many keys (max 10)'
-      WHEN length(p_currency) > 3 THEN 'currency'
-    END AS cause
+      WHEN length(p_currency) > 3 THEN 'currency' WHEN abs(p_amount) >= 1e16 THEN 'amount'
+    END AS cause, received_us, delivery_no
   FROM parsed) q
 WHERE reason IS NOT NULL"""
 view("quarantine", ("parsed", "txn"), _QUARANTINE_SQL)
@@ -232,7 +236,7 @@ def quarantine_df(spark, sf_dir) -> DataFrame:
         "event_id", "reason", "error_class", "cause")
 
 
-@register("quarantine", with_views("SELECT * FROM quarantine", "quarantine"))
+@register("quarantine", with_views("SELECT event_id, reason, error_class, cause FROM quarantine", "quarantine"))
 def quarantine(spark, sf_dir):
     """Every failing envelope with its first failing stage (reason), class and
     cause; the ledger message is ``<class>: <reason>[: cause]``."""

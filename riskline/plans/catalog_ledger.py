@@ -11,36 +11,16 @@ from riskline.operators import reports as RP
 from riskline.operators import sinks as S
 from riskline.operators.ordinal import exact_percentiles
 from riskline.plans import views as V
-from riskline.plans.oracle_views import view, with_views
+from riskline.plans.oracle_views import claim_views, view, with_views
 from riskline.plans.registry import register
 from riskline.sources import fixtures as fx
 
 DLQ_RECEIVES = 2          # the routing key runs with max receives = 2
 
-# DuckDB twin of the ledger fold: a recursive CTE that applies one delivery per step.
-_STATUS = "CASE {0} WHEN 'ok' THEN 'success' WHEN 'retryable' THEN 'processing' ELSE 'failed' END"
-_REASON = "'non-retryable: ' || {0}"
 view("delivery_steps", ("deliveries",), """
 SELECT event_id, received_us, coalesce(outcome, 'unknown') AS outcome,
   row_number() OVER (PARTITION BY event_id ORDER BY received_us, delivery_no) AS k FROM deliveries""")
-view("claim_steps", ("delivery_steps",), f"""
-SELECT event_id, k, {_STATUS.format('outcome')} AS status, received_us AS first_us, received_us AS last_us,
-  1 AS tries, CASE WHEN outcome NOT IN ('ok', 'retryable') THEN {_REASON.format('outcome')} END AS reason
-FROM delivery_steps WHERE k = 1
-UNION ALL
-SELECT c.event_id, c.k, CASE WHEN again THEN {_STATUS.format('c.outcome')} ELSE c.status END, c.first_us,
-  CASE WHEN again THEN c.received_us ELSE c.last_us END, CASE WHEN again THEN c.tries + 1 ELSE c.tries END,
-  CASE WHEN again AND c.outcome NOT IN ('ok', 'retryable') THEN {_REASON.format('c.outcome')} ELSE c.reason END
-FROM (SELECT s.*, d.k AS dk, d.received_us, d.outcome, s.status = 'failed' OR
-             (s.status = 'processing' AND d.received_us - s.last_us >= 60000000) AS again
-      FROM claim_steps s JOIN delivery_steps d ON d.event_id = s.event_id AND d.k = s.k + 1) c""".replace(
-    "SELECT c.event_id, c.k,", "SELECT c.event_id, c.dk,"))
-view("ledger", ("claim_steps",), """
-SELECT event_id, arg_max(status, k) AS status, min(first_us) AS first_seen_us,
-  arg_max(last_us, k) AS last_seen_us, CAST(arg_max(tries, k) AS INTEGER) AS attempts,
-  arg_max(reason, k) FILTER (k = n) AS error_reason, CAST(arg_max(tries, k) AS BIGINT) AS claims,
-  CAST(max(k) AS BIGINT) AS receives
-FROM (SELECT *, max(k) OVER (PARTITION BY event_id) AS n FROM claim_steps) c GROUP BY event_id""")
+claim_views("delivery_steps", "")
 
 _NOW_LEDGER = "(SELECT max(received_us) FROM deliveries)"
 
@@ -53,7 +33,7 @@ def _now(spark, sf_dir):
     return fx.now_us(fx.deliveries(spark, sf_dir), "received_us")
 
 
-@register("claim_ledger", with_views("SELECT * FROM ledger", "ledger"))
+@register("claim_ledger", with_views("SELECT * EXCLUDE (last_k) FROM ledger", "ledger"))
 def claim_ledger(spark, sf_dir):
     """T2 (Q9): claim / skip / reclaim fold over the at-least-once delivery log."""
     return ledger_df(spark, sf_dir)

@@ -13,7 +13,7 @@ from riskline.operators import sinks as S
 from riskline.operators.ordinal import exact_percentiles
 from riskline.plans import pipeline as PL
 from riskline.plans import views as V
-from riskline.plans.oracle_views import _flags_sql, _scored_sql, view, with_views
+from riskline.plans.oracle_views import _flags_sql, _scored_sql, claim_views, view, with_views
 from riskline.plans.registry import register
 from riskline.sources import fixtures as fx
 from riskline.sources import wire
@@ -31,14 +31,16 @@ SELECT t.event_id, t.user_id,
   CASE WHEN t.model_version = 'unavailable' THEN 'v1' ELSE 'v1+ml-' || t.model_version END
     AS evaluated_by, t.ml_score
 FROM scored_txn t LEFT JOIN flags f ON t.event_id = f.event_id
-WHERE t.created_us > (SELECT max(created_us) - 86400000000 FROM txn)
+WHERE t.created_us > (SELECT max(created_us) - 86400000000 FROM txn) OR t.event_no % 200 = 3
 GROUP BY t.event_id, t.user_id, t.model_version, t.ml_score""", "flags"))
 def evaluate_batch(spark, sf_dir):
-    """The last day's arrivals evaluated as one micro-batch against the stored
-    history: validate, insert-if-absent, velocity over history + batch, flags, decision."""
+    """The last day's arrivals, and requests for events stored long ago, evaluated as
+    one micro-batch against the stored history: validate, insert-if-absent, velocity over
+    history + batch, flags, decision."""
     t = fx.txn_m(spark, sf_dir).withColumn("metadata_keys", F.lit(4))
     cut = fx.now_us(t) - F.lit(86_400_000_000)
-    new, history = t.filter(F.col("created_us") > cut), t.filter(F.col("created_us") <= cut)
+    history = t.filter(F.col("created_us") <= cut)
+    new = t.filter((F.col("created_us") > cut) | (F.col("event_no") % 200 == 3))
     out = PL.evaluate_batch(new, history, fx.scores(spark, sf_dir), C, fx.now_us(t))
     d = out["decisions"]
     return d.select("event_id", "user_id", "decision", "n_flags",
@@ -46,18 +48,23 @@ def evaluate_batch(spark, sf_dir):
                      .alias("rules"), "evaluated_by", "ml_score")
 
 
-view("good_events", ("quarantine",), """
-SELECT event_id, p_user_id AS user_id, CAST(p_amount AS DECIMAL(18,2)) AS amount,
-  p_currency AS currency, p_merchant AS merchant, p_us AS us, received_us AS created_us
-FROM parsed WHERE event_id NOT IN (SELECT event_id FROM quarantine)""")
+view("envelope_steps", ("parsed", "quarantine"), """
+SELECT p.event_id, p.received_us, p.delivery_no, q.reason,
+  CASE WHEN q.reason IS NULL THEN 'ok' WHEN q.error_class = 'retryable' THEN 'retryable' ELSE q.reason END AS outcome,
+  row_number() OVER (PARTITION BY p.event_id ORDER BY p.received_us, p.delivery_no) AS k
+FROM parsed p LEFT JOIN quarantine q ON p.event_id = q.event_id AND p.delivery_no = q.delivery_no""")
+claim_views("envelope_steps", "envelope_")
+view("good_events", ("envelope_ledger", "envelope_steps", "parsed"), """
+SELECT p.event_id, p_user_id AS user_id, CAST(p_amount AS DECIMAL(18,2)) AS amount,
+  p_currency AS currency, p_merchant AS merchant, p_us AS us, p.received_us AS created_us
+FROM envelope_ledger l JOIN envelope_steps s ON s.event_id = l.event_id AND s.k = l.last_k
+JOIN parsed p ON p.event_id = s.event_id AND p.delivery_no = s.delivery_no WHERE l.status = 'success'""")
 view("good_scored", ("good_events", "scores"), _scored_sql("good_events"))
 view("good_flags", ("good_scored",), _flags_sql("good_scored"))
-view("outcomes", ("good_flags",), """
-SELECT e.event_id, CASE WHEN q.reason IS NULL THEN 'success'
-    WHEN q.error_class = 'retryable' THEN 'processing' ELSE 'failed' END AS status,
-  q.reason, CAST(coalesce(f.n, 0) AS BIGINT) AS n_flags
-FROM envelopes e LEFT JOIN quarantine q ON e.event_id = q.event_id
-LEFT JOIN (SELECT event_id, count(*) AS n FROM good_flags GROUP BY 1) f ON e.event_id = f.event_id""")
+view("outcomes", ("good_flags", "envelope_ledger", "envelope_steps"), """
+SELECT l.event_id, l.status, s.reason, CAST(coalesce(f.n, 0) AS BIGINT) AS n_flags
+FROM envelope_ledger l JOIN envelope_steps s ON s.event_id = l.event_id AND s.k = l.last_k
+LEFT JOIN (SELECT event_id, count(*) AS n FROM good_flags GROUP BY 1) f ON l.event_id = f.event_id""")
 
 
 def _process(spark, sf_dir):
@@ -69,7 +76,7 @@ def _process(spark, sf_dir):
 @register("process_batch", with_views("SELECT * FROM outcomes", "outcomes"))
 def process_batch(spark, sf_dir):
     """T9 (batch twin) + T10: envelope -> fetch -> hash -> decode -> validate -> store ->
-    evaluate; per envelope the ledger status, failure reason and number of flags."""
+    evaluate; per event the ledger status, failure reason and number of flags."""
     return _process(spark, sf_dir)["outcome"]
 
 

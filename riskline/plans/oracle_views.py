@@ -100,6 +100,32 @@ def with_views(body: str, *names: str) -> str:
     return f"WITH RECURSIVE {ctes}\n{body}"
 
 
+def claim_views(steps: str, prefix: str) -> None:
+    """Views of the claim fold over ``steps`` (event_id, received_us, outcome, k): a recursive
+    CTE that applies one delivery per step, and the ledger it ends in."""
+    status = "CASE {0} WHEN 'ok' THEN 'success' WHEN 'retryable' THEN 'processing' ELSE 'failed' END"
+    fold, result = f"{prefix}claim_steps", f"{prefix}ledger"
+    view(fold, (steps,), f"""
+SELECT event_id, k, {status.format('outcome')} AS status, received_us AS first_us, received_us AS last_us,
+  k AS last_k, 1 AS tries, CASE WHEN outcome NOT IN ('ok', 'retryable') THEN 'non-retryable: ' || outcome END AS reason
+FROM {steps} WHERE k = 1
+UNION ALL
+SELECT c.event_id, c.dk, CASE WHEN again THEN {status.format('c.outcome')} ELSE c.status END, c.first_us,
+  CASE WHEN again THEN c.received_us ELSE c.last_us END, CASE WHEN again THEN c.dk ELSE c.last_k END,
+  CASE WHEN again THEN c.tries + 1 ELSE c.tries END,
+  CASE WHEN again AND c.outcome NOT IN ('ok', 'retryable') THEN 'non-retryable: ' || c.outcome ELSE c.reason END
+FROM (SELECT s.*, d.k AS dk, d.received_us, d.outcome, s.status = 'failed' OR
+             (s.status = 'processing' AND d.received_us - s.last_us >= 60000000) AS again
+      FROM {fold} s JOIN {steps} d ON d.event_id = s.event_id AND d.k = s.k + 1) c""")
+    view(result, (fold,), f"""
+SELECT event_id, arg_max(status, k) AS status, min(first_us) AS first_seen_us,
+  arg_max(last_us, k) AS last_seen_us, arg_max(last_k, k) AS last_k,
+  CAST(arg_max(tries, k) AS INTEGER) AS attempts,
+  arg_max(reason, k) FILTER (k = n) AS error_reason, CAST(arg_max(tries, k) AS BIGINT) AS claims,
+  CAST(max(k) AS BIGINT) AS receives
+FROM (SELECT *, max(k) OVER (PARTITION BY event_id) AS n FROM {fold}) c GROUP BY event_id""")
+
+
 # --- derived views (DuckDB twins of riskline.plans.views) ------------------------------
 def _flags_sql(src: str = "scored_txn") -> str:
     from riskline.config import TEST_RULES as C
@@ -211,15 +237,19 @@ FROM (SELECT *, row_number() OVER (ORDER BY us, event_id) - 1 AS rn,
 # --- wire fixtures (twins of riskline.sources.wire) -----------------------------------
 view("wire_events", ("txn_m",), """
 SELECT event_id, event_no, correlation_id, created_us,
-  '{"event_id":"' || event_id || '","user_id":"' || user_id || '","amount":'
-  || CASE WHEN event_no % 89 = 7 THEN '0.00' ELSE CAST(amount AS VARCHAR) END
+  CASE WHEN event_no % 89 = 10 THEN '[]' ELSE '{"event_id":"' || event_id || '","user_id":"' || user_id || '","amount":'
+  || CASE event_no % 89 WHEN 7 THEN '0.00' WHEN 8 THEN '"5"' WHEN 13 THEN '100000000000000000'
+          ELSE CAST(amount AS VARCHAR) END
   || ',"currency":"' || currency || '","merchant":"' || merchant
-  || '","timestamp":"' || strftime(make_timestamp(us), '%Y-%m-%dT%H:%M:%SZ')
+  || '","timestamp":"' || CASE event_no % 89 WHEN 9 THEN 'yesterday'
+       WHEN 11 THEN strftime(make_timestamp(us), '%Y-%m-%dT%H:%M:%S.123456789Z')
+       WHEN 12 THEN strftime(make_timestamp(us + 7200000000), '%Y-%m-%dT%H:%M:%S+02:00')
+       ELSE strftime(make_timestamp(us), '%Y-%m-%dT%H:%M:%SZ') END
   || '","metadata":{"product_code":"' || product_code || '","card_network":"' || card_network
   || '","email_domain":"' || email_domain || '"}'
   || CASE WHEN event_no % 997 = 0 THEN ',"pad":"' || repeat('x', 300000) || '"'
           WHEN event_no % 997 = 1 THEN ',"pad":"' || repeat('x', 250000) || '"' ELSE '' END
-  || '}' AS payload
+  || '}' END AS payload
 FROM txn_m""")
 
 view("built_envelopes", ("wire_events",), """
@@ -231,14 +261,22 @@ SELECT *, sha256(payload) AS payload_sha256, CAST(octet_length(encode(payload))
   created_us AS received_us
 FROM wire_events""")
 
-view("envelopes", ("built_envelopes",), """
+view("first_envelopes", ("built_envelopes",), """
 SELECT event_id, event_no, correlation_id,
   CASE WHEN event_no % 89 = 1 THEN 'BOGUS' WHEN event_no % 89 IN (3, 6) THEN 'S3' ELSE payload_mode END AS payload_mode,
   CASE WHEN event_no % 89 IN (2, 3, 6) THEN NULL WHEN event_no % 89 = 5 THEN '{not json' ELSE payload_inline END AS payload_inline,
   CASE WHEN event_no % 89 = 4 THEN 'bad-hash' WHEN event_no % 89 = 5 THEN sha256('{not json') ELSE payload_sha256 END AS payload_sha256,
   CASE WHEN event_no % 89 = 3 THEN NULL WHEN event_no % 89 = 6 THEN 'raw/missing/' || event_id || '.json' ELSE s3_key END AS s3_key,
-  received_us
+  received_us, 1 AS delivery_no
 FROM built_envelopes""")
+view("envelopes", ("first_envelopes",), """
+SELECT * FROM first_envelopes
+UNION ALL
+SELECT * REPLACE (received_us + 30000000 AS received_us, 2 AS delivery_no) FROM first_envelopes WHERE event_no % 31 = 4
+UNION ALL
+SELECT event_id, event_no, correlation_id, payload_mode, payload_inline, payload_sha256, s3_key,
+  received_us + CASE WHEN event_no % 89 = 6 THEN 90000000 ELSE 10000000 END, 3
+FROM built_envelopes WHERE (event_no % 89 = 6 AND event_no % 3 = 0) OR (event_no % 89 = 5 AND event_no % 2 = 0)""")
 
 view("objects", ("built_envelopes",), """
 SELECT s3_key AS key, payload AS content FROM built_envelopes WHERE payload_mode = 'S3'""")
@@ -253,16 +291,19 @@ SELECT e.*, CASE WHEN e.payload_mode = 'INLINE' THEN
 FROM envelopes e LEFT JOIN objects o ON e.payload_mode = 'S3' AND e.s3_key = o.key""")
 
 view("parsed", ("resolved",), """
-SELECT r.* EXCLUDE (ok), CASE WHEN fetch_error IS NULL THEN sha256(payload) = payload_sha256 END AS hash_ok,
-  CASE WHEN fetch_error IS NULL AND sha256(payload) = payload_sha256 THEN json_valid(payload) END AS parse_ok,
-  CASE WHEN ok THEN payload->>'$.user_id' END AS p_user_id,
-  CASE WHEN ok THEN TRY_CAST(payload->>'$.amount' AS DOUBLE) END AS p_amount,
-  CASE WHEN ok THEN payload->>'$.currency' END AS p_currency,
-  CASE WHEN ok THEN payload->>'$.merchant' END AS p_merchant,
-  CASE WHEN ok THEN epoch_us(strptime(payload->>'$.timestamp', '%Y-%m-%dT%H:%M:%SZ')) END AS p_us,
-  CASE WHEN ok THEN CAST(len(json_keys(payload->'$.metadata')) AS INTEGER) END AS p_metadata_keys
-FROM (SELECT *, fetch_error IS NULL AND sha256(payload) = payload_sha256 AND json_valid(payload) AS ok
-      FROM resolved) r""")
+SELECT r.* EXCLUDE (sound, typed, ts), CASE WHEN fetch_error IS NULL THEN sha256(payload) = payload_sha256 END AS hash_ok,
+  CASE WHEN fetch_error IS NULL AND sha256(payload) = payload_sha256 THEN typed END AS parse_ok,
+  CASE WHEN typed THEN payload->>'$.user_id' END AS p_user_id,
+  CASE WHEN typed THEN TRY_CAST(payload->>'$.amount' AS DOUBLE) END AS p_amount,
+  CASE WHEN typed THEN payload->>'$.currency' END AS p_currency,
+  CASE WHEN typed THEN payload->>'$.merchant' END AS p_merchant,
+  CASE WHEN typed THEN epoch_us(ts) END AS p_us,
+  CASE WHEN typed THEN CAST(len(json_keys(payload->'$.metadata')) AS INTEGER) END AS p_metadata_keys
+FROM (SELECT *, CASE WHEN NOT sound THEN false ELSE json_type(payload) = 'OBJECT'
+        AND coalesce(json_type(payload, '$.amount') IN ('DOUBLE', 'BIGINT', 'UBIGINT'), true) AND ts IS NOT NULL END AS typed
+      FROM (SELECT *, CASE WHEN sound THEN TRY_CAST(payload->>'$.timestamp' AS TIMESTAMPTZ) END AS ts
+            FROM (SELECT *, fetch_error IS NULL AND sha256(payload) = payload_sha256 AND json_valid(payload) AS sound
+                  FROM resolved) x) y) r""")
 
 view("csv_rows", ("txn_m",), """
 SELECT event_no,

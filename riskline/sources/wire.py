@@ -6,13 +6,17 @@ SHA-256 integrity check depends on it). A few rows are padded to 250 000 / 300 0
 to exercise the object-store route, and one corruption per residue of ``event_no % 89``
 produces each quarantine reason:
 1 unknown mode, 2 missing inline payload, 3 missing object key, 4 wrong hash,
-5 undecodable JSON, 6 object missing from the store, 7 amount 0 (fails validation).
+5 undecodable JSON, 6 object missing from the store, 7 amount 0 (fails validation),
+8 amount as a string, 9 timestamp that is none, 10 body that is no object, 11 nanoseconds,
+12 an offset of two hours, 13 amount beyond the store's range.
+
+Envelopes are delivered at least once: plain copies 30 s later, and for some of the failing
+ones a sound delivery later (a missing object that arrived, a repaired body).
 """
 
 from __future__ import annotations
 
 import hashlib
-import os
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,9 +24,10 @@ from pyspark.sql import functions as F
 from riskline.functions.exprs import from_micros
 from riskline.operators.ingest import build_envelopes
 from riskline.sources import fixtures as fx
+from riskline.sources.tables import table_path
 
 IEEE_EPOCH_US = 1_704_067_200_000_000     # 2024-01-01T00:00:00Z
-WIRE_VERSION = "v2"                       # bump when the fixture definition changes
+WIRE_VERSION = "v3"                       # bump when the fixture definition changes
 
 
 def _q(c: Column) -> Column:
@@ -34,8 +39,14 @@ def wire_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = fx.txn_m(spark, sf_dir)
     n = F.col("event_no")
     r = n % 89
-    amount = F.when(r == 7, F.lit("0.00")).otherwise(F.col("amount").cast("string"))
-    ts = F.date_format(from_micros("us"), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    amount = F.when(r == 7, F.lit("0.00")).when(r == 8, F.lit('"5"')) \
+        .when(r == 13, F.lit("100000000000000000")).otherwise(F.col("amount").cast("string"))
+    second = "yyyy-MM-dd'T'HH:mm:ss"
+    ts = F.when(r == 9, F.lit("yesterday")) \
+        .when(r == 11, F.concat(F.date_format(from_micros("us"), second), F.lit(".123456789Z"))) \
+        .when(r == 12, F.concat(F.date_format(from_micros(F.col("us") + 7_200_000_000), second),
+                                F.lit("+02:00"))) \
+        .otherwise(F.concat(F.date_format(from_micros("us"), second), F.lit("Z")))
     pad = (F.when(n % 997 == 0, F.concat(F.lit(',"pad":"'), F.repeat(F.lit("x"), 300000),
                                          F.lit('"')))
             .when(n % 997 == 1, F.concat(F.lit(',"pad":"'), F.repeat(F.lit("x"), 250000),
@@ -53,7 +64,7 @@ def wire_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(',"email_domain":'), _q(F.col("email_domain")), F.lit("}"),
         pad, F.lit("}"))
     return t.select("event_id", "event_no", "correlation_id", "created_us",
-                    payload.alias("payload"))
+                    F.when(r == 10, F.lit("[]")).otherwise(payload).alias("payload"))
 
 
 def _stored(spark: SparkSession, sf_dir: str, name: str, build,
@@ -64,13 +75,23 @@ def _stored(spark: SparkSession, sf_dir: str, name: str, build,
     from riskline.operators.sinks import _exists
     from riskline.session import checkpoint_path
 
-    tag = hashlib.sha1(os.path.abspath(sf_dir).encode()).hexdigest()[:12]
-    path = checkpoint_path(spark, f"wire-{WIRE_VERSION}/{tag}/{name}")
+    path = checkpoint_path(spark, f"wire-{WIRE_VERSION}/{_content_tag(spark, sf_dir)}/{name}")
     if not _exists(spark, f"{path}/{marker}"):
         build(path)
     return path
 
 
+def _content_tag(spark: SparkSession, sf_dir: str) -> str:
+    """Names, lengths and times of the input's files: a changed input gets new tables."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    parts = []
+    for f in sorted(spark.read.parquet(table_path(sf_dir, "events")).inputFiles()):
+        p = jvm.org.apache.hadoop.fs.Path(f)
+        status = p.getFileSystem(conf).getFileStatus(p)
+        parts.append(f"{f}:{status.getLen()}:{status.getModificationTime()}")
+    return hashlib.sha1("\n".join(parts).encode()).hexdigest()[:16]
+
+
 def envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Queue envelopes as ingest builds them, with one corruption per residue."""
     n = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
@@ -81,10 +102,13 @@ def envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     env = build_envelopes(wire_events(spark, sf_dir), received_col="created_us")
-    r = F.col("event_no") % 89
+    n = F.col("event_no")
+    r = n % 89
     bad_json = F.lit("{not json")
-    return env.select(
-        "event_id", "event_no", "correlation_id",
+    keys = ["event_id", "event_no", "correlation_id"]
+    content = ["payload_mode", "payload_inline", "payload_sha256", "s3_key"]
+    first = env.select(
+        *keys,
         F.when(r == 1, F.lit("BOGUS")).when(r.isin(3, 6), F.lit("S3"))
          .otherwise(F.col("payload_mode")).alias("payload_mode"),
         F.when(r.isin(2, 3, 6), F.lit(None).cast("string")).when(r == 5, bad_json)
@@ -94,7 +118,13 @@ def _envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(r == 3, F.lit(None).cast("string"))
          .when(r == 6, F.concat(F.lit("raw/missing/"), F.col("event_id"), F.lit(".json")))
          .otherwise(F.col("s3_key")).alias("s3_key"),
-        "received_us")
+        "received_us", F.lit(1).alias("delivery_no"))
+    copies = first.filter(n % 31 == 4).withColumn("delivery_no", F.lit(2)).withColumn(
+        "received_us", F.col("received_us") + 30_000_000)
+    sound = env.filter((r == 6) & (n % 3 == 0) | (r == 5) & (n % 2 == 0)).select(
+        *keys, *content, (F.col("received_us") + F.when(r == 6, 90).otherwise(10) * 1_000_000)
+        .alias("received_us"), F.lit(3).alias("delivery_no"))
+    return first.unionByName(copies).unionByName(sound)
 
 
 def objects(spark: SparkSession, sf_dir: str) -> DataFrame:
