@@ -17,13 +17,21 @@ SIMILARITY = 0.75
 # Rows of a side that is broadcast; beyond it the join is left to Spark's shuffle joins.
 BROADCAST_ROWS = 500_000
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and read it back: cuts the lineage with
-    a table that survives lost executors, and gives later readers column pruning."""
+    a table that survives lost executors, and gives later readers column pruning. Once the
+    table is written, the shuffle files that led to it are removed."""
     spark = df.sparkSession
     path = checkpoint_path(spark, f"llm/{name}-{uuid.uuid4().hex}")
-    df.write.parquet(path)
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

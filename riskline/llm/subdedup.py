@@ -12,7 +12,8 @@ Documents whose whole word sequence equals that of a smaller doc_id are known fr
 key of the sequence; all their windows start there too, so they take no part in the levels.
 Window keys have 64 bits.
 
-Counts per key are combined before the shuffle, and survivors are joined back by shuffle
+Each step ends in a written table, whose shuffles are then removed, so the disk in use is that
+of the largest step. Counts per key are combined before the shuffle, and survivors are joined back by shuffle
 joins that Spark can split, so a passage that a third of all documents share makes no long
 task.
 
@@ -164,7 +165,8 @@ def repeated_windows(d: DataFrame, copies: DataFrame, length: int) -> DataFrame:
         .select("doc_id", "text").mapInArrow(partial(_part_rows, part=part, length=length),
                                              "h long, doc_id long")
     alive = rows.groupBy("h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("h")
-    parts = join_split(rows, alive, ["h"], "left_semi").groupBy("doc_id").agg(F.collect_list("h").alias("parts"))
+    parts = stored(join_split(rows, alive, ["h"], "left_semi").groupBy("doc_id").agg(
+        F.collect_list("h").alias("parts")), "parts")
     return d.join(parts, "doc_id", "left").filter("parts is not null").mapInArrow(
         partial(_window_rows, part=part, length=length), "h long, doc_id long, start int")
 
@@ -177,8 +179,8 @@ def remove_repeats(docs: DataFrame, length: int = WINDOW) -> DataFrame:
     windows = repeated_windows(d, copies, length)
     first = windows.groupBy("h").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")) \
         .filter("first < last").select("h", "first")
-    covered = join_split(windows, first, ["h"]).filter("first < doc_id") \
-        .groupBy("doc_id").agg(F.collect_list("start").alias("starts"))
+    covered = stored(join_split(windows, first, ["h"]).filter("first < doc_id")
+                     .groupBy("doc_id").agg(F.collect_list("start").alias("starts")), "covered")
     full = d.join(covered, "doc_id", "left").join(copies, "doc_id", "left")
     return full.select("doc_id", "text", "starts", "is_copy").mapInArrow(
         partial(_digests, length=length),
