@@ -14,6 +14,7 @@ from riskline.config import (ERROR_REASON_MAX, FUTURE_DRIFT_S, INLINE_LIMIT_BYTE
                              MAX_METADATA_KEYS, MERCHANT_TABLE, NON_RETRYABLE_REASONS,
                              RETRYABLE_REASONS)
 from riskline.functions.exprs import MICROS, byte_cut, from_micros, micros
+from riskline.session import written
 
 ENVELOPE_SCHEMA = T.StructType([
     T.StructField("event_id", T.StringType()),
@@ -284,7 +285,8 @@ def read_transactions_csv(spark: SparkSession, path: str,
            .csv(path))
     own = [F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) if c in header
            else F.lit("").alias(c) for c in columns]
-    bad = raw.filter(F.col("_corrupt_record").isNotNull())
+    # the failed rows are written, so that any later query on them (a count) is allowed
+    bad = written(raw.filter(F.col("_corrupt_record").isNotNull()), "csv-failed")
     good = raw.filter(F.col("_corrupt_record").isNull()).select(*own)
     return good, bad
 

@@ -176,13 +176,13 @@ i AS (SELECT *, k - row_number() OVER (PARTITION BY alarm, breaching ORDER BY k)
 s AS (SELECT *, CASE WHEN breaching THEN row_number() OVER (PARTITION BY alarm, breaching, g ORDER BY k)
         ELSE 0 END AS streak FROM i)
 SELECT alarm, period_us, value, breaching, CAST(streak AS INTEGER) AS streak,
-  streak >= n_periods AS in_alarm FROM s WHERE breaching"""
+  streak >= n_periods AS in_alarm FROM s"""
 
 
 @register("alarm_states", with_views(_alarm_sql(), "ops_log"))
 def alarm_states(spark, sf_dir):
     """A17 + W10: error alarms per 300 s period, missing data = not breaching, in alarm
-    after n consecutive breaching periods (breaching periods listed)."""
+    after n consecutive breaching periods; every period of every alarm."""
     ops = fx.ops_log(spark, sf_dir)
     vals = ops.groupBy("service", (F.floor(F.col("us") / 300_000_000) * 300_000_000)
                        .cast("bigint").alias("period_us")).agg(
@@ -190,7 +190,7 @@ def alarm_states(spark, sf_dir):
     rules = spark.createDataFrame(
         ALARM_RULES, "alarm string, service string, period_s int, threshold double, "
                      "n_periods int")
-    return M.alarm_states(vals, rules).filter("breaching")
+    return M.alarm_states(vals, rules)
 
 
 view("metric_samples", ("ops_log",), """

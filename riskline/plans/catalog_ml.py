@@ -4,6 +4,8 @@ model are rows-only checks."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,8 +18,9 @@ from riskline.operators.features import feature_vector
 from riskline.plans import views as V
 from riskline.plans.oracle_views import view, with_views
 from riskline.plans.registry import register
-from riskline.session import checkpoint_path
+from riskline.session import checkpoint_path, written
 from riskline.sources import fixtures as fx
+from riskline.sources import wire
 
 
 def split_df(spark, sf_dir) -> DataFrame:
@@ -166,38 +169,61 @@ def recall_at_precision(spark, sf_dir):
     return EV.recall_at_precision(EV.pr_curve(test), rp.scalar())
 
 
+_SAFE = "CASE WHEN {1} = 0 THEN 0.0 ELSE {0} / ({1}) END"
+
+
 @register("model_report", with_views(f"""
-SELECT approach, precision, recall, average_precision,
-  (SELECT avg(CASE WHEN label = '1' THEN 1.0 ELSE 0.0 END) FROM scored_split WHERE split = 'test') AS base_rate
+SELECT approach, precision, recall, average_precision, base_rate,
+  CASE WHEN base_rate > 0 THEN round(average_precision / base_rate, 6) END AS lift
 FROM (
-  SELECT 'rules' AS approach, CASE WHEN tp + fp = 0 THEN 0.0 ELSE tp / (tp + fp) END AS precision,
-    CASE WHEN tp + fn = 0 THEN 0.0 ELSE tp / (tp + fn) END AS recall, NULL::DOUBLE AS average_precision
-  FROM rules_pr
+  SELECT 'rules' AS approach, {_SAFE.format('tp', 'tp + fp')} AS precision,
+    {_SAFE.format('tp', 'tp + fn')} AS recall, NULL::DOUBLE AS average_precision FROM rules_pr
   UNION ALL
-  SELECT 'blend', CASE WHEN tp + fp = 0 THEN 0.0 ELSE tp / (tp + fp) END,
-    CASE WHEN tp + fn = 0 THEN 0.0 ELSE tp / (tp + fn) END, NULL::DOUBLE FROM (
+  SELECT 'blend', {_SAFE.format('tp', 'tp + fp')}, {_SAFE.format('tp', 'tp + fn')}, NULL::DOUBLE FROM (
     SELECT count(*) FILTER (WHERE p AND label = '1') AS tp, count(*) FILTER (WHERE p AND label <> '1') AS fp,
       count(*) FILTER (WHERE NOT p AND label = '1') AS fn
     FROM (SELECT *, ({_RULE_PRED}) OR ml_score >= {C.tau} AS p FROM scored_split WHERE split = 'test') x) b
   UNION ALL
-  SELECT 'ml', NULL, NULL, round(sum(tp / (SELECT sum(tp) FROM curve) * precision), 9) FROM curve) r""",
+  SELECT 'ml', {_SAFE.format('tp', 'tp + fp')},
+    (SELECT coalesce(max(recall), 0.0) FROM curve
+     WHERE precision >= (SELECT {_SAFE.format('tp', 'tp + fp')} FROM rules_pr)),
+    (SELECT round(sum(tp / (SELECT sum(tp) FROM curve) * precision), 9) FROM curve) FROM rules_pr
+  UNION ALL
+  SELECT 'amount', NULL, NULL, round(sum(tp / t * (ct / (ct + cf))), 9) FROM (
+    SELECT tp, sum(tp) OVER () AS t, sum(tp) OVER w AS ct, sum(fp) OVER w AS cf FROM (
+      SELECT amount, count(*) FILTER (WHERE label = '1') AS tp, count(*) FILTER (WHERE label <> '1') AS fp
+      FROM scored_split WHERE split = 'test' GROUP BY 1) g
+    WINDOW w AS (ORDER BY amount DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)) a) r
+CROSS JOIN (SELECT avg(CASE WHEN label = '1' THEN 1.0 ELSE 0.0 END) AS base_rate
+            FROM scored_split WHERE split = 'test') b""",
                                      "curve", "rules_pr"))
 def model_report(spark, sf_dir):
-    """Rules-only vs blend (rules OR score >= tau) precision / recall, ML average
-    precision and the base rate, one row per approach."""
-    test = _scored_split(spark, sf_dir, "test")
+    """Per approach: rules alone and blend (rules OR score >= tau) with precision and
+    recall; the model with its average precision and its recall at the rules' precision;
+    the amount alone as a score; base rate and lift (average precision / base rate). The
+    interval of the average precision is ``bootstrap_ci``."""
+    test = written(_scored_split(spark, sf_dir, "test"), "test-split")
     rules_pred = F.col("amount") > C.amount_threshold
+    none = F.lit(None).cast("double")
     base = test.agg(F.avg((F.col("label") == "1").cast("double"))).scalar()
-    rules = EV.confusion(test, rules_pred).select(
-        F.lit("rules").alias("approach"), "precision", "recall",
-        F.lit(None).cast("double").alias("average_precision"))
-    blend = EV.confusion(test, rules_pred | (F.col("ml_score") >= C.tau)).select(
-        F.lit("blend").alias("approach"), "precision", "recall",
-        F.lit(None).cast("double").alias("average_precision"))
-    ml = EV.average_precision(EV.pr_curve(test)).select(
-        F.lit("ml").alias("approach"), F.lit(None).cast("double").alias("precision"),
-        F.lit(None).cast("double").alias("recall"), "average_precision")
-    return rules.unionByName(blend).unionByName(ml).withColumn("base_rate", base)
+
+    def confusion(name: str, pred) -> DataFrame:
+        return EV.confusion(test, pred).select(F.lit(name).alias("approach"), "precision", "recall",
+                                               none.alias("average_precision"))
+
+    rules = confusion("rules", rules_pred)
+    blend = confusion("blend", rules_pred | (F.col("ml_score") >= C.tau))
+    curve = EV.pr_curve(test)
+    at = EV.recall_at_precision(curve, rules.select("precision").scalar()).scalar()
+    ml = EV.average_precision(curve).select(
+        F.lit("ml").alias("approach"), rules.select("precision").scalar().alias("precision"),
+        at.alias("recall"), "average_precision")
+    amount = EV.average_precision(EV.pr_curve(test, score="amount")).select(
+        F.lit("amount").alias("approach"), none.alias("precision"), none.alias("recall"),
+        "average_precision")
+    out = rules.unionByName(blend).unionByName(ml).unionByName(amount).withColumn("base_rate", base)
+    return out.withColumn("lift", F.when(F.col("base_rate") > 0,
+                                         F.round(F.col("average_precision") / F.col("base_rate"), 6)))
 
 
 @register("rule_quality", with_views("""
@@ -232,14 +258,26 @@ def _encoded_splits(spark, sf_dir):
     return EN.encode(s, EN.fit_vocab(train), EN.fit_frequencies(train))
 
 
+def _model(spark, sf_dir, enc: DataFrame):
+    """The model of M7 (all its trees), trained once per input and kept beside the other
+    derived tables; later keys load it."""
+    from pyspark.ml.classification import GBTClassificationModel
+
+    from riskline.operators.sinks import _exists
+
+    path = checkpoint_path(spark, f"models/gbt-{wire.content_tag(spark, sf_dir)}")
+    if not _exists(spark, f"{path}/metadata/_SUCCESS"):
+        TR.train_gbt(enc.filter(F.col("split") == "train")).write().overwrite().save(path)
+    return GBTClassificationModel.load(path)
+
+
 @register("train_gbt")
 def train_gbt(spark, sf_dir):
     """M7 + M8 + M9: train the gradient-boosted model on the training split and report
     average precision per split."""
-    enc = _encoded_splits(spark, sf_dir).checkpoint()
-    model = TR.train_gbt(enc.filter(F.col("split") == "train"))
-    scored = TR.score(model, enc, "gbt-v1").join(enc.select("event_id", "split", "label"),
-                                                 "event_id")
+    enc = written(_encoded_splits(spark, sf_dir), "encoded")
+    scored = TR.score(_model(spark, sf_dir, enc), enc, "gbt-v1").join(
+        enc.select("event_id", "split", "label"), "event_id")
     rows = None
     for part in ("train", "val", "test"):
         ap = EV.average_precision(EV.pr_curve(scored.filter(F.col("split") == part))) \
@@ -250,25 +288,24 @@ def train_gbt(spark, sf_dir):
 
 @register("score_batch")
 def score_batch(spark, sf_dir):
-    """M8: batch scoring of the test split with a freshly trained model."""
-    enc = _encoded_splits(spark, sf_dir).checkpoint()
-    model = TR.train_gbt(enc.filter(F.col("split") == "train"), maxIter=50)
-    return TR.score(model, enc.filter(F.col("split") == "test"), "gbt-v1")
+    """M8: batch scoring of the test split with the trained model."""
+    enc = written(_encoded_splits(spark, sf_dir), "encoded")
+    return TR.score(_model(spark, sf_dir, enc), enc.filter(F.col("split") == "test"), "gbt-v1")
 
 
-@register("score_drift")
+@register("score_drift", with_views("""
+SELECT 0.0 AS max_abs_diff, CAST(count(*) AS BIGINT) AS rows FROM split WHERE split = 'test'""", "split"))
 def score_drift(spark, sf_dir):
     """The model scored before and after a save / load round trip must agree."""
     from pyspark.ml.classification import GBTClassificationModel
 
-    enc = _encoded_splits(spark, sf_dir).checkpoint()
-    model = TR.train_gbt(enc.filter(F.col("split") == "train"), maxIter=20)
-    sf_tag = sf_dir.rstrip("/").split("/")[-1]
-    path = checkpoint_path(spark, f"models/gbt-{sf_tag}")
-    model.write().overwrite().save(path)
-    loaded = GBTClassificationModel.load(path)
+    enc = written(_encoded_splits(spark, sf_dir), "encoded")
+    model = _model(spark, sf_dir, enc)
+    path = checkpoint_path(spark, f"models/again-{uuid.uuid4().hex}")
+    model.write().save(path)
+    again = GBTClassificationModel.load(path)
     test = enc.filter(F.col("split") == "test")
-    return TR.score_drift(TR.score(model, test, "a"), TR.score(loaded, test, "b"))
+    return TR.score_drift(TR.score(model, test, "a"), TR.score(again, test, "b"))
 
 
 @register("freq_encode", with_views("""

@@ -246,7 +246,11 @@ def normalize_logs(lines: DataFrame) -> DataFrame:
     return j.select(*cols, rest.alias("fields"))
 
 
-@register("log_normalize")
+@register("log_normalize", with_views("""
+SELECT CAST(us AS VARCHAR) AS timestamp, CASE WHEN status = 'failure' THEN 'ERROR' ELSE 'INFO' END AS level,
+  'processed' AS message, correlation_id, service, 'process' AS stage, event_id, status,
+  CAST(round(latency_s * 1000000) AS BIGINT) AS latency_us, CAST(NULL AS VARCHAR) AS error_code,
+  CAST(us % 16 AS VARCHAR) AS shard FROM ops_log""", "ops_log"))
 def log_normalize(spark, sf_dir):
     """Structured log lines (one per latency sample) with promoted keys."""
     ops = fx.ops_log(spark, sf_dir)
@@ -261,7 +265,10 @@ def log_normalize(spark, sf_dir):
          .alias("level"),
         F.lit("processed").alias("message"), "correlation_id", "service",
         fields.alias("fields"))).alias("value"))
-    return normalize_logs(lines)
+    return normalize_logs(lines).select(
+        "timestamp", "level", "message", "correlation_id", "service", "stage", "event_id", "status",
+        F.round(F.col("latency_ms").cast("double") * 1000).cast("bigint").alias("latency_us"),
+        "error_code", F.element_at("fields", "shard").alias("shard"))
 
 
 @register("stuck_claims_rerun", with_views("""

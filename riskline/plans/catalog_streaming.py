@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from riskline.config import TEST_RULES as C
 from riskline.functions.exprs import from_micros, micros
 from riskline.operators import ingest as I
+from riskline.operators import ledger as L
 from riskline.operators import rules as R
 from riskline.operators import sinks as S
 from riskline.operators.features import asof_probe, feature_vector
@@ -31,8 +32,9 @@ from riskline.streaming import queries as Q
 SELECT CAST(floor(us / 300000000) * 300000000 AS BIGINT) AS window_start_us,
   CAST(count(*) AS BIGINT) AS n FROM txn GROUP BY 1""", "txn"))
 def stream_volume(spark, sf_dir):
-    """5-minute transaction counts as a watermarked streaming aggregation (complete
-    output into a foreachBatch sink); equals the batch twin on in-order input."""
+    """5-minute transaction counts as a watermarked streaming aggregation: state older
+    than the watermark is dropped, each micro-batch writes the windows it changed, the last
+    count of a window holds. Equals the batch twin on in-order input."""
     root = Q.run_dir(spark, "volume")
     t = fx.txn(spark, sf_dir).select("event_id", from_micros("us").cast("timestamp").alias("ts"))
     Q.stage_files(t, f"{root}/in", part_col="ts")
@@ -40,12 +42,12 @@ def stream_volume(spark, sf_dir):
     agg = Q.windowed_counts_stream(src, "ts", "5 minutes")
     out = f"{root}/out"
 
-    def sink(batch: DataFrame, _epoch: int) -> None:
-        batch.write.mode("overwrite").parquet(out)
+    def sink(batch: DataFrame, epoch: int) -> None:
+        Q.write_batch(batch, out, epoch)
 
-    Q.run_available(agg, f"{root}/ckpt", sink=sink, mode="complete")
-    return spark.read.parquet(out).select(micros(F.col("w.start")).alias("window_start_us"),
-                                          "n")
+    Q.run_available(agg, f"{root}/ckpt", sink=sink, mode="update")
+    last = spark.read.parquet(out).groupBy("w").agg(F.max_by("n", "epoch").alias("n"))
+    return last.select(micros(F.col("w.start")).alias("window_start_us"), "n")
 
 
 @register("stream_claims", with_views(
@@ -61,7 +63,7 @@ def stream_claims(spark, sf_dir):
     out = f"{root}/out"
 
     def sink(batch: DataFrame, epoch: int) -> None:
-        batch.withColumn("epoch", F.lit(epoch)).write.mode("append").parquet(out)
+        Q.write_batch(batch, out, epoch)
 
     Q.run_available(LS.stream_claims(src), f"{root}/ckpt", sink=sink)
     upd = spark.read.parquet(out)
@@ -72,7 +74,9 @@ def stream_claims(spark, sf_dir):
                        F.col("s.attempts").cast("int").alias("attempts"), "s.error_reason")
 
 
-@register("stream_envelopes")
+@register("stream_envelopes", with_views("""
+SELECT event_id, correlation_id, payload_mode, payload_inline, payload_sha256, s3_key,
+  CAST(received_us AS VARCHAR) AS received_at FROM envelopes""", "envelopes"))
 def stream_envelopes(spark, sf_dir):
     """S3: envelope messages as JSON lines from a stream; undecodable lines are
     discarded (ACKed), the rest parsed into envelope columns."""
@@ -96,10 +100,12 @@ def stream_envelopes(spark, sf_dir):
 
 @register("process_stream", with_views("SELECT * FROM outcomes", "outcomes"))
 def process_stream(spark, sf_dir):
-    """The processor as a stream: each micro-batch of envelopes goes through the
-    stages, stores its good events (insert-if-absent), evaluates them against the stored
-    history (velocity window spans earlier batches) and appends flags and outcomes.
-    On arrival-ordered input it equals the batch twin ``process_batch``."""
+    """The processor as a stream: each micro-batch of envelopes goes through the stages
+    and is logged under its batch number; the claim ledger over the logged deliveries of its
+    events decides which delivery counts; the events stored by it (insert-if-absent) are
+    evaluated against the stored history (the velocity window spans earlier batches). A
+    replayed batch writes the same rows again. On arrival-ordered input it equals the batch
+    twin ``process_batch``."""
     root = Q.run_dir(spark, "process")
     env = wire.envelopes(spark, sf_dir)
     Q.stage_files(env, f"{root}/in", part_col="received_us")
@@ -107,14 +113,29 @@ def process_stream(spark, sf_dir):
     objects = wire.objects(spark, sf_dir)
     now = fx.now_us(fx.txn(spark, sf_dir))
     scores = fx.scores(spark, sf_dir).select("event_id", "ml_score")
-    events_path, flags_path, out = f"{root}/events", f"{root}/flags", f"{root}/outcomes"
+    events_path, flags_path, log_path = f"{root}/events", f"{root}/flags", f"{root}/deliveries"
+    log_cols = ["event_id", "received_us", "delivery_no", "outcome", "reason"]
+
+    def claimed(log: DataFrame) -> DataFrame:
+        """The settled delivery of each event in a delivery log."""
+        led = L.claim_ledger(log)
+        on = led.select("event_id", "status", F.col("last_seen_us").alias("received_us"))
+        return S.first_writer(log.join(on, ["event_id", "received_us"]), "event_id", ["delivery_no"])
 
-    def sink(batch: DataFrame, _epoch: int) -> None:
+    def sink(batch: DataFrame, epoch: int) -> None:
         p = PL.process_envelopes(batch, objects, now).persist()
         try:
-            good = p.filter(F.col("reason").isNull()).select(
+            outcome = F.when(F.col("reason").isNull(), F.lit("ok")) \
+                .when(F.col("error_class") == "retryable", F.lit("retryable")).otherwise(F.col("reason"))
+            own = p.withColumn("outcome", outcome).select(*log_cols)
+            Q.write_batch(own, log_path, epoch)
+            # claims of the batch's events, with what earlier batches delivered of them
+            log = spark.read.parquet(log_path).filter(F.col("epoch") <= epoch).select(*log_cols) \
+                .join(own.select("event_id").distinct(), "event_id", "left_semi")
+            good = claimed(log).filter("status = 'success'").select("event_id", "received_us", "delivery_no")
+            good = p.join(good, ["event_id", "received_us", "delivery_no"]).select(
                 "event_id", F.col("p_user_id").alias("user_id"),
-                F.col("p_amount").cast("decimal(18,2)").alias("amount"),
+                F.col("p_amount").try_cast("decimal(18,2)").alias("amount"),
                 F.col("p_currency").alias("currency"), F.col("p_merchant").alias("merchant"),
                 F.col("p_us").alias("us"), F.col("received_us").alias("created_us"))
             S.append_if_absent(spark, good, events_path, "event_id", ["created_us"])
@@ -124,19 +145,15 @@ def process_stream(spark, sf_dir):
             scored = R.attach_scores(scored, scores, C.model_version)
             flags = R.evaluate_rules(scored, C, with_score=True)
             S.append_if_absent(spark, flags, flags_path, "flag_id", ["flagged_us"])
-            status = F.when(F.col("reason").isNull(), F.lit("success")) \
-                .when(F.col("error_class") == "retryable", F.lit("processing")) \
-                .otherwise(F.lit("failed"))
-            p.select("event_id", status.alias("status"), "reason") \
-                .write.mode("append").parquet(out)
         finally:
             p.unpersist()
 
     Q.run_available(src, f"{root}/ckpt", sink=sink)
     n_flags = spark.read.parquet(flags_path).groupBy("event_id").agg(
         F.count(F.lit(1)).alias("n_flags"))
-    return spark.read.parquet(out).join(n_flags, "event_id", "left").withColumn(
-        "n_flags", F.coalesce("n_flags", F.lit(0)).cast("bigint"))
+    settled = claimed(spark.read.parquet(log_path).select(*log_cols))
+    return settled.join(n_flags, "event_id", "left").select(
+        "event_id", "status", "reason", F.coalesce("n_flags", F.lit(0)).cast("bigint").alias("n_flags"))
 
 
 @register("stream_features")
@@ -149,7 +166,7 @@ def stream_features(spark, sf_dir):
     src = Q.read_stream(spark, f"{root}/in", t.schema)
     hist_path, out = f"{root}/history", f"{root}/features"
 
-    def sink(batch: DataFrame, _epoch: int) -> None:
+    def sink(batch: DataFrame, epoch: int) -> None:
         batch = batch.persist()
         try:
             cols = ["event_id", "user_id", "us", "amount", "created_us"]
@@ -160,18 +177,19 @@ def stream_features(spark, sf_dir):
             scored = asof_probe(batch, history)
             cats = batch.select("event_id", "currency", "product_code", "card_network",
                                 "merchant", "email_domain", "label")
-            feature_vector(scored.join(cats, "event_id"), precomputed=True) \
-                .write.mode("append").parquet(out)
+            Q.write_batch(feature_vector(scored.join(cats, "event_id"), precomputed=True), out, epoch)
             S.append_if_absent(spark, batch.select(*cols), hist_path, "event_id",
                                ["created_us"])
         finally:
             batch.unpersist()
 
     Q.run_available(src, f"{root}/ckpt", sink=sink)
-    return spark.read.parquet(out)
+    return spark.read.parquet(out).drop("epoch")
 
 
-@register("stream_flag_feed")
+@register("stream_flag_feed", with_views("""
+SELECT * FROM flag_events WHERE flagged_us > (SELECT max(created_us) - 86400000000 FROM txn)""",
+                                         "flag_events", "txn"))
 def stream_flag_feed(spark, sf_dir):
     """T5: the flags table read as a stream (new files = new flags), filtered past the
     feed cursor; the stream checkpoint is the cursor."""
@@ -187,7 +205,7 @@ def stream_flag_feed(spark, sf_dir):
     return spark.read.parquet(out)
 
 
-@register("alert_stream")
+@register("alert_stream", with_views("SELECT flag_id, event_id, rule_name, rule_value, flagged_us, ml_score FROM flags", "flags"))
 def alert_stream(spark, sf_dir):
     """Each flag micro-batch is computed once (persisted) and fanned out to the
     flags table (insert-if-absent) and the alert topic (JSON messages)."""
@@ -197,17 +215,23 @@ def alert_stream(spark, sf_dir):
     src = Q.read_stream(spark, f"{root}/in", f.schema)
     flags_path, alerts_path = f"{root}/flags", f"{root}/alerts"
 
-    def sink(batch: DataFrame, _epoch: int) -> None:
+    def sink(batch: DataFrame, epoch: int) -> None:
         S.fan_out(batch, [
             lambda b: S.append_if_absent(spark, b, flags_path, "flag_id", ["flagged_us"]),
-            lambda b: S.alert_json(b).write.mode("append").json(alerts_path),
+            lambda b: Q.write_batch(S.alert_json(b), alerts_path, epoch, "json"),
         ])
 
     Q.run_available(src, f"{root}/ckpt", sink=sink)
-    return spark.read.json(alerts_path)
+    sent = spark.read.schema("flag_id string, value string").json(alerts_path)
+    message = F.from_json("value", "flag_id string, event_id string, rule_name string, rule_value string, "
+                                   "flagged_us long, ml_score double")
+    return sent.select(message.alias("m")).select("m.*")
 
 
-@register("stream_dedup_live")
+@register("stream_dedup_live", with_views("""
+SELECT event_id, received_us, outcome FROM (
+  SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY received_us, delivery_no) AS k
+  FROM deliveries) WHERE k = 1""", "deliveries"))
 def stream_dedup_live(spark, sf_dir):
     """T1 streaming: duplicate deliveries dropped within a one-hour watermark horizon."""
     root = Q.run_dir(spark, "dedup")

@@ -75,13 +75,13 @@ def _stored(spark: SparkSession, sf_dir: str, name: str, build,
     from riskline.operators.sinks import _exists
     from riskline.session import checkpoint_path
 
-    path = checkpoint_path(spark, f"wire-{WIRE_VERSION}/{_content_tag(spark, sf_dir)}/{name}")
+    path = checkpoint_path(spark, f"wire-{WIRE_VERSION}/{content_tag(spark, sf_dir)}/{name}")
     if not _exists(spark, f"{path}/{marker}"):
         build(path)
     return path
 
 
-def _content_tag(spark: SparkSession, sf_dir: str) -> str:
+def content_tag(spark: SparkSession, sf_dir: str) -> str:
     """Names, lengths and times of the input's files: a changed input gets new tables."""
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     parts = []

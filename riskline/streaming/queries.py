@@ -26,25 +26,23 @@ def stage_files(df: DataFrame, path: str, fmt: str = "parquet", part_col: str |
                 n_files: int = 4) -> None:
     """Write a batch table as several input files, one micro-batch each.
 
-    With ``part_col`` the files hold consecutive ranges of that column and are written one
-    after another, so the file source (which orders new files by modification time)
-    replays them in that order -- the arrival order the stream would have seen.
+    With ``part_col`` the files hold consecutive ranges of that column, written in parallel
+    by a range partitioning. The file source takes new files in the order of their times,
+    so these are then set in the order of the ranges: the arrival order of a live stream.
     """
     if not part_col:
         df.repartition(n_files).write.mode("overwrite").format(fmt).save(path)
         return
-    key = F.col(part_col).cast("double") if dict(df.dtypes)[part_col] != "timestamp" \
-        else F.unix_micros(F.col(part_col)).cast("double")
-    staged = df.withColumn("_k", key)
-    cuts = staged.approxQuantile("_k", [i / n_files for i in range(1, n_files)], 0.0)
-    bounds = [None] + sorted(set(cuts)) + [None]
-    for lo, hi in zip(bounds[:-1], bounds[1:]):
-        cond = F.lit(True)
-        if lo is not None:
-            cond = cond & (F.col("_k") >= lo)
-        if hi is not None:
-            cond = cond & (F.col("_k") < hi)
-        staged.filter(cond).drop("_k").coalesce(1).write.mode("append").format(fmt).save(path)
+    df.repartitionByRange(n_files, part_col).write.mode("overwrite").format(fmt).save(path)
+    spark = df.sparkSession
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(conf)
+    found = sorted((f.getPath().getName(), f.getModificationTime()) for f in fs.listStatus(folder)
+                   if f.getPath().getName().startswith("part-"))
+    first = min(t for _, t in found) if found else 0
+    for i, (name, _) in enumerate(found):       # names carry the range's number
+        fs.setTimes(jvm.org.apache.hadoop.fs.Path(folder, name), first - 1000 * (len(found) - i), -1)
 
 
 def read_stream(spark: SparkSession, path: str, schema, fmt: str = "parquet",
@@ -65,14 +63,10 @@ def run_available(stream_df: DataFrame, ckpt: str, *, sink=None, fmt: str = "par
     q.awaitTermination()
 
 
-def append_if_absent_sink(spark: SparkSession, path: str, key: str, order: list[str]):
-    """foreachBatch writer: insert-if-absent into the Parquet table at ``path``."""
-    from riskline.operators.sinks import append_if_absent
-
-    def write(batch: DataFrame, _epoch: int) -> None:
-        append_if_absent(spark, batch, path, key, order)
-
-    return write
+def write_batch(df: DataFrame, path: str, batch_id: int, fmt: str = "parquet") -> None:
+    """Write a micro-batch's rows to the folder of that batch, replacing what an earlier
+    attempt of the same batch left there: a replayed batch adds nothing."""
+    df.write.mode("overwrite").format(fmt).save(f"{path}/epoch={batch_id}")
 
 
 def windowed_counts_stream(events: DataFrame, ts_col: str, size: str,
