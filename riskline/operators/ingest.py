@@ -287,7 +287,9 @@ def read_transactions_csv(spark: SparkSession, path: str,
            else F.lit("").alias(c) for c in columns]
     # the failed rows are written, so that any later query on them (a count) is allowed
     bad = written(raw.filter(F.col("_corrupt_record").isNotNull()), "csv-failed")
-    good = raw.filter(F.col("_corrupt_record").isNull()).select(*own)
+    # a generator keeps later narrow queries (a count) from pruning the columns again
+    good = raw.filter(F.col("_corrupt_record").isNull()).select(
+        F.inline(F.array(F.struct(*own))))
     return good, bad
 
 
