@@ -32,9 +32,9 @@ from pyspark.sql import functions as F
 
 from riskline.llm.common import small_batches, text_or_empty
 
-CACHED_CHUNKS = 500_000
-CACHED_PREFIXES = 1_000_000
-CACHED_PAIRS = 500_000
+CACHED_CHUNKS = 800_000
+CACHED_PREFIXES = 1_600_000
+CACHED_PAIRS = 800_000
 LONGEST_CACHED = 64
 
 # Fixed: Unicode White_Space, which the pattern's \s stands for in the tokenizer's library.
@@ -125,12 +125,28 @@ class Vocabulary:
 
     def short_ids(self, data: bytes) -> list[int]:
         """Ids of a short piece; the last tokens of all prefixes met so far are shared."""
-        last, i = self._last, len(data)
+        last, stable, get, n = self._last, self._stable, self.ranks.get, len(data)
+        i = n
         while i and data[:i] not in last:
             i -= 1
-        before = lambda j: last[data[:j]]
-        for i in range(i + 1, len(data) + 1):
-            last[data[:i]] = self.last_token(data, i, before)
+        for i in range(i + 1, n + 1):       # last_token(), written out for speed
+            found = -1
+            for size in range(min(i, self.longest), 0, -1):
+                t = get(data[i - size:i])
+                if t is None:
+                    continue
+                if size == i:
+                    if self.whole(t):
+                        found = t
+                        break
+                    continue
+                p = last[data[:i - size]]
+                if p >= 0:
+                    ok = stable.get(p << 32 | t)
+                    if ok or ok is None and self.stable(p, t):
+                        found = t
+                        break
+            last[data[:i]] = found
         out, i = [], len(data)
         while i:
             t = last[data[:i]]
@@ -196,6 +212,7 @@ class BytePairCodec:
         self.v = Vocabulary(ranks)
         self.pattern = regex.compile(pattern.replace(r"[^\s", f"[^{_WHITE}").replace(
             r"\s", f"[{_WHITE}]").replace(r"\S", f"[^{_WHITE}]"))
+        self.letters_match = all(self.pattern.findall(x) == [x] for x in ("a", " a", "aé", " üßx漢"))
         self.white = regex.compile(f"[{_WHITE}]").match
         self.cut = regex.compile(f"(?<=[^{_WHITE}]) (?=[^{_WHITE}])")
         self.first, self.later = _Chunks(self, "", True), _Chunks(self, " ", True)
@@ -203,7 +220,9 @@ class BytePairCodec:
 
     def encode_chunk(self, chunk: str) -> bytes:
         ids: list[int] = []
-        for piece in self.pattern.findall(chunk):
+        word = chunk[1:] if chunk[:1] == " " else chunk
+        # letters only, with or without a blank before them, are one match of the pattern
+        for piece in (chunk,) if self.letters_match and word.isalpha() else self.pattern.findall(chunk):
             data = piece.encode()
             whole = self.v.ranks.get(data)
             if whole is not None:
