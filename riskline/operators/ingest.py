@@ -293,7 +293,7 @@ def read_transactions_csv(spark: SparkSession, path: str,
     return good, bad
 
 
-def request_to_event(req: DataFrame) -> DataFrame:
+def request_to_event(req: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Synchronous evaluation requests -> events. ``event_id`` and the transaction
     time are required (rows without them are rejected with the reason); the string map
     metadata becomes JSON text, an empty map becomes null."""
@@ -306,4 +306,4 @@ def request_to_event(req: DataFrame) -> DataFrame:
         F.col("transaction_us").alias("us"),
         F.when(F.coalesce(F.size(md), F.lit(0)) > 0, F.to_json(md)).alias("metadata_json"),
         F.coalesce(F.size(md), F.lit(0)).alias("metadata_keys"),
-        missing.alias("invalid_argument"))
+        missing.alias("invalid_argument"), *keep)

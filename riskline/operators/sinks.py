@@ -99,6 +99,31 @@ def write_feature_export(df: DataFrame, path: str, fmt: str = "parquet") -> None
            .write.mode("overwrite").option("header", True).csv(path))
 
 
+FEATURE_TEXT = ("currency", "product_code", "card_network", "merchant", "email_domain")
+
+
+def read_feature_csv(spark: SparkSession, path: str) -> DataFrame:
+    """The feature file read by header name: numbers typed (empty or NA: null), the
+    categoricals as text (empty or NA: ''), the label as int; ``place`` is the row's
+    position over all part files in the order of their names."""
+    from riskline.session import written
+
+    header = spark.read.option("header", True).csv(path).columns
+    raw = spark.read.option("header", True).option("enforceSchema", False) \
+        .schema(", ".join(f"`{c}` string" for c in header)).csv(path)
+    kept = {"event_id": "string", "us": "bigint", "label": "int"} | {
+        c: "bigint" for c in header if c.startswith("velocity_")}
+    known = lambda c: F.when(F.col(c).isin("", "NA", "NaN", "nan", "null"), F.lit(None)).otherwise(F.col(c))
+    cols = [F.coalesce(known(c), F.lit("")).alias(c) if c in FEATURE_TEXT
+            else known(c).try_cast(kept.get(c, "double")).alias(c) for c in header]
+    rows = raw.select(*cols, F.regexp_extract("_metadata.file_name", "part-([0-9]+)", 1).cast("int").alias("_file"),
+                      F.monotonically_increasing_id().alias("_id"))
+    rows = written(rows, "feature-csv")
+    from riskline.operators.ordinal import global_ordinal
+
+    return global_ordinal(rows, ["_file", "_id"], "place").drop("_file", "_id")
+
+
 def write_payload_objects(envelopes: DataFrame, root: str) -> None:
     """Oversized payloads under ``<root>/raw/<date>/`` (the object key's date part is
     the partition). Appends the keys that are not stored yet: objects of earlier calls

@@ -15,14 +15,11 @@ _MODULES = (
     "riskline.plans.catalog_ml",
     "riskline.plans.catalog_pipeline",
     "riskline.plans.catalog_streaming",
+    "riskline.plans.catalog_io",
 )
 
 for _m in _MODULES:
-    try:
-        importlib.import_module(_m)
-    except ModuleNotFoundError as exc:  # a module not written yet
-        if exc.name != _m:
-            raise
+    importlib.import_module(_m)
 
 
 def entries() -> dict[str, Entry]:

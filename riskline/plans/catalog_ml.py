@@ -294,7 +294,7 @@ def score_batch(spark, sf_dir):
 
 
 @register("score_drift", with_views("""
-SELECT 0.0 AS max_abs_diff, CAST(count(*) AS BIGINT) AS rows FROM split WHERE split = 'test'""", "split"))
+SELECT CAST(0 AS DOUBLE) AS max_abs_diff, CAST(count(*) AS BIGINT) AS rows FROM split WHERE split = 'test'""", "split"))
 def score_drift(spark, sf_dir):
     """The model scored before and after a save / load round trip must agree."""
     from pyspark.ml.classification import GBTClassificationModel
