@@ -21,6 +21,8 @@ from a per-(user, bucket) max table, which has at most one row per user and buck
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -153,6 +155,142 @@ def arrival_velocity(df: DataFrame, window_s: int, *, user: str = "user_id",
     return rows.withColumn(out, in_window(spec)).filter(F.col(_HOME)).drop(_B, _HOME)
 
 
+def _arrival_order(cfg: FeatureConfig):
+    """mapInPandas function over rows sorted by (user, bucket). In each such group events enter
+    in the order of arrival, and every home row asks for what has entered by then. Entered rows
+    are kept in trees over the ranks of their event times, so a question costs a logarithm of
+    the group's size."""
+    windows, stats = [w * MICROS for w in cfg.count_windows_s], cfg.stats_window_s * MICROS
+
+    names = ["event_id", *[f"velocity_{w}s" for w in cfg.count_windows_s], "sum", "max", "prev_us"]
+
+    def answer(pdf: pd.DataFrame) -> list[tuple]:
+        ids = pdf["event_id"].to_numpy()
+        ts, arrival, cents = (pdf[c].to_numpy(np.int64) for c in ("us", "created_us", "cents"))
+        home, older = pdf["_home"].to_numpy(), pdf["_prev_before"].to_numpy()
+        order = np.argsort(ts, kind="stable")
+        times, rank = ts[order], np.empty(len(ts), np.int64)
+        rank[order] = np.arange(len(ts))
+        size = 1 << max(1, (len(ts)).bit_length())
+        count, total, best = [0] * (2 * size), [0] * (2 * size), [0] * (2 * size)
+
+        def enter(i: int) -> None:
+            at = size + int(rank[i])
+            while at:
+                count[at] += 1
+                total[at] += int(cents[i])
+                best[at] = max(best[at], int(cents[i]))
+                at //= 2
+
+        def below(hi: int) -> tuple[int, int]:
+            """Number and sum of the entered rows of rank < hi."""
+            n = t = 0
+            at = size + hi
+            while at > 1:
+                if at & 1:
+                    n += count[at - 1]
+                    t += total[at - 1]
+                at //= 2
+            return n, t
+
+        def largest(lo: int, hi: int) -> int:
+            m, lo, hi = 0, lo + size, hi + size
+            while lo < hi:
+                if lo & 1:
+                    m, lo = max(m, best[lo]), lo + 1
+                if hi & 1:
+                    hi -= 1
+                    m = max(m, best[hi])
+                lo, hi = lo // 2, hi // 2
+            return m
+
+        def nth(k: int) -> int:
+            """Rank of the k-th entered row (from 1)."""
+            at = 1
+            while at < size:
+                at *= 2
+                if count[at] < k:
+                    k -= count[at]
+                    at += 1
+            return at - size
+
+        up_to = np.searchsorted(times, ts, "right")
+        before = np.searchsorted(times, ts, "left")
+        starts = [np.searchsorted(times, ts - w, "right") for w in (*windows, stats)]
+        rows, queue = [], np.argsort(arrival, kind="stable")
+        at = 0
+        while at < len(queue):
+            end = at
+            while end < len(queue) and arrival[queue[end]] == arrival[queue[at]]:
+                enter(queue[end])
+                end += 1
+            for i in queue[at:end]:
+                if home[i]:
+                    n, t = below(int(up_to[i]))
+                    lo = int(starts[-1][i])
+                    k = below(int(before[i]))[0]
+                    prev = int(times[nth(k)]) if k else older[i]
+                    rows.append((ids[i], *[n - below(int(x[i]))[0] for x in starts[:-1]],
+                                 t - below(lo)[1], largest(lo, int(up_to[i])),
+                                 None if prev is None or prev != prev else int(prev)))
+            at = end
+        return rows
+
+    def run(batches):
+        open_group: list[pd.DataFrame] = []      # parts of the group that may go on
+        for pdf in batches:
+            user, bucket = pdf.iloc[:, 0].to_numpy(), pdf["_bucket"].to_numpy()
+            cuts = np.flatnonzero((user[1:] != user[:-1]) | (bucket[1:] != bucket[:-1])) + 1
+            rows: list[tuple] = []
+            for lo, hi in zip([0, *cuts], [*cuts, len(pdf)]):
+                last = open_group[-1] if open_group else None
+                if last is not None and (last.iat[0, 0], last["_bucket"].iat[0]) != (user[lo], bucket[lo]):
+                    rows += answer(pd.concat(open_group, ignore_index=True))
+                    open_group = []
+                open_group.append(pdf.iloc[lo:hi])
+            if rows:
+                yield pd.DataFrame(rows, columns=names).astype({"prev_us": "Int64"})
+        if open_group:
+            yield pd.DataFrame(answer(pd.concat(open_group, ignore_index=True)),
+                               columns=names).astype({"prev_us": "Int64"})
+
+    return run
+
+
+def arrival_features(df: DataFrame, *, user: str = "user_id", cfg: FeatureConfig = FeatureConfig()
+                     ) -> DataFrame:
+    """T4: the as-of aggregates an online service sees: of the events up to ``us``, only those
+    that had arrived (``created_us``) when the event itself arrived.
+
+    Two times bound each answer, which no window frame expresses; rows are dealt by (user,
+    time bucket) like the other features and answered in the order of arrival. An event more
+    than a whole bucket older than its reader counts as arrived.
+    """
+    bucket_us = cfg.bucket_s * MICROS
+    reach = max(max(cfg.count_windows_s), cfg.stats_window_s) * MICROS
+    rows = df.filter("us IS NOT NULL AND created_us IS NOT NULL").select(
+        "event_id", user, "us", "created_us",
+        F.coalesce(F.col("amount") * 100, F.lit(0)).cast("bigint").alias("cents"))
+    bucket = F.floor(F.col("us") / F.lit(bucket_us)).cast("bigint")
+    per = rows.groupBy(user, bucket.alias(_B)).agg(F.max("us").alias("_last"))
+    # what lies before the replicated tail: buckets up to the last but one
+    older = per.select(user, _B, F.max("_last").over(
+        Window.partitionBy(user).orderBy(_B).rangeBetween(Window.unboundedPreceding, -2))
+        .alias("_prev_before"))
+    dealt = _bucketed(rows, user, "us", bucket_us, max(reach, bucket_us)).join(older, [user, _B])
+    counts = ", ".join(f"velocity_{w}s long" for w in cfg.count_windows_s)
+    got = dealt.select(user, _B, "event_id", "us", "created_us", "cents", _HOME, "_prev_before") \
+        .repartition(user, _B).sortWithinPartitions(user, _B).mapInPandas(
+        _arrival_order(cfg), f"event_id string, {counts}, sum long, max long, prev_us long")
+    money = lambda c, t: (F.col(c).cast("decimal(28,0)") / 100).cast(t)
+    got = got.select("event_id", *[f"velocity_{w}s" for w in cfg.count_windows_s],
+                     money("sum", "decimal(28,2)").alias(f"user_amt_sum_{cfg.stats_window_s}s"),
+                     money("max", "decimal(18,2)").alias(f"user_amt_max_{cfg.stats_window_s}s"), "prev_us")
+    out = df.join(got, "event_id", "left")
+    return out.withColumn("secs_since_prev", F.when(F.col("prev_us").isNull(), F.lit(-1.0)).otherwise(
+        (F.col("us") - F.col("prev_us")).cast("double") / MICROS))
+
+
 def feature_vector(df: DataFrame, cfg: FeatureConfig = FeatureConfig(), *,
                    metadata_col: str | None = None, skew_safe: bool = True,
                    precomputed: bool = False) -> DataFrame:

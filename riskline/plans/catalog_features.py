@@ -24,6 +24,14 @@ def features(spark, sf_dir):
     return V.features(spark, sf_dir)
 
 
+@register("arrival_features", with_views(f"SELECT {_FEATURE_COLS} FROM arrival_features", "arrival_features"))
+def arrival_features(spark, sf_dir):
+    """T4 (batch form): the features an online service sees, from events that had arrived."""
+    from riskline.operators.features import arrival_features as arrived
+
+    return feature_vector(arrived(fx.txn_m(spark, sf_dir)), precomputed=True)
+
+
 @register("velocity_asof", with_views(
     "SELECT event_id, user_id, us, velocity_60s, velocity_3600s, velocity_86400s "
     "FROM features", "features"))

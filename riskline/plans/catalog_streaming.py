@@ -17,7 +17,7 @@ from riskline.operators import ingest as I
 from riskline.operators import ledger as L
 from riskline.operators import rules as R
 from riskline.operators import sinks as S
-from riskline.operators.features import asof_probe, feature_vector
+from riskline.operators.features import arrival_features, feature_vector
 from riskline.plans import pipeline as PL
 from riskline.plans import views as V
 from riskline.plans.oracle_views import with_views
@@ -156,10 +156,16 @@ def process_stream(spark, sf_dir):
         "event_id", "status", "reason", F.coalesce("n_flags", F.lit(0)).cast("bigint").alias("n_flags"))
 
 
-@register("stream_features")
+_FEATURES = ("event_id, user_id, us, amount, velocity_60s, velocity_3600s, "
+             "velocity_86400s, secs_since_prev, user_amt_sum_3600s, user_amt_max_3600s, currency, product_code, "
+             "card_network, merchant, email_domain")
+
+
+@register("stream_features", with_views(f"SELECT {_FEATURES}, label FROM arrival_features", "arrival_features"))
 def stream_features(spark, sf_dir):
-    """T4: online features per micro-batch (arrival order): the batch's events are
-    scored against the events already stored (J8), then stored."""
+    """T4: online features per micro-batch (arrival order): the batch's events are stored,
+    and each is scored against the events that had arrived when it did; equals the batch
+    form ``arrival_features``, however the stream is cut into batches."""
     root = Q.run_dir(spark, "features")
     t = fx.txn_m(spark, sf_dir)
     Q.stage_files(t, f"{root}/in", part_col="created_us")
@@ -169,17 +175,13 @@ def stream_features(spark, sf_dir):
     def sink(batch: DataFrame, epoch: int) -> None:
         batch = batch.persist()
         try:
-            cols = ["event_id", "user_id", "us", "amount", "created_us"]
-            if S._exists(spark, hist_path):
-                history = spark.read.parquet(hist_path)
-            else:
-                history = batch.select(*cols).limit(0)
-            scored = asof_probe(batch, history)
-            cats = batch.select("event_id", "currency", "product_code", "card_network",
-                                "merchant", "email_domain", "label")
-            Q.write_batch(feature_vector(scored.join(cats, "event_id"), precomputed=True), out, epoch)
-            S.append_if_absent(spark, batch.select(*cols), hist_path, "event_id",
-                               ["created_us"])
+            S.append_if_absent(spark, batch, hist_path, "event_id", ["created_us"])
+            # the users of the batch; a replayed batch finds the same rows again
+            users = batch.select("user_id").distinct()
+            history = spark.read.parquet(hist_path).join(users, "user_id", "left_semi")
+            own = feature_vector(arrival_features(history), precomputed=True) \
+                .join(batch.select("event_id"), "event_id", "left_semi")
+            Q.write_batch(own, out, epoch)
         finally:
             batch.unpersist()
 
@@ -243,13 +245,18 @@ def stream_dedup_live(spark, sf_dir):
     return spark.read.parquet(out).select("event_id", "received_us", "outcome")
 
 
-@register("parity_diff")
+@register("parity_diff", with_views(f"""
+SELECT {_FEATURES}, 'offline' AS side FROM (SELECT {_FEATURES} FROM features EXCEPT ALL SELECT {_FEATURES} FROM arrival_features) a
+UNION ALL
+SELECT {_FEATURES}, 'online' FROM (SELECT {_FEATURES} FROM arrival_features EXCEPT ALL SELECT {_FEATURES} FROM features) b""",
+                                    "features", "arrival_features"))
 def parity_diff(spark, sf_dir):
     """train/serve parity witness: features exported offline (complete: every event
-    with ts <= t) against the online features of the arrival-ordered stream (only events
-    already stored). ``exceptAll`` both ways; every row is a skewed feature vector (late
-    arrivals, Q17), labelled with the side it came from."""
-    online = stream_features(spark, sf_dir).drop("label")
+    with ts <= t) against the online ones (only events that had arrived). ``exceptAll`` both
+    ways; every row is a skewed feature vector (late arrivals, Q17), labelled with the side
+    it came from."""
+    t = fx.txn_m(spark, sf_dir)
+    online = feature_vector(arrival_features(t), precomputed=True).drop("label")
     offline = V.features(spark, sf_dir).drop("label").select(*online.columns)
     return (offline.exceptAll(online).withColumn("side", F.lit("offline"))
             .unionByName(online.exceptAll(offline).withColumn("side", F.lit("online"))))

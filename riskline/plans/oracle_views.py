@@ -198,6 +198,19 @@ FROM txn_m WHERE us IS NOT NULL"""
 
 view("features", ("txn_m",), _features_sql())
 
+view("arrival_features", ("txn_m",), """
+SELECT e.event_id, e.user_id, e.us, CAST(e.amount AS DOUBLE) AS amount, velocity_60s, velocity_3600s, velocity_86400s,
+  coalesce(CAST(e.us - a.prev AS DOUBLE) / 1000000, -1.0) AS secs_since_prev,
+  CAST(coalesce(a.s, 0) AS DOUBLE) AS user_amt_sum_3600s, CAST(coalesce(a.m, 0) AS DOUBLE) AS user_amt_max_3600s,
+  lower(e.currency) AS currency, e.product_code, e.card_network, lower(e.merchant) AS merchant, e.email_domain, e.label
+FROM txn_m e JOIN (
+  SELECT e.event_id, count(*) FILTER (x.us > e.us - 60000000) AS velocity_60s,
+    count(*) FILTER (x.us > e.us - 3600000000) AS velocity_3600s,
+    count(*) FILTER (x.us > e.us - 86400000000) AS velocity_86400s, max(x.us) FILTER (x.us < e.us) AS prev,
+    sum(x.amount) FILTER (x.us > e.us - 3600000000) AS s, max(x.amount) FILTER (x.us > e.us - 3600000000) AS m
+  FROM txn_m e JOIN txn_m x ON x.user_id = e.user_id AND x.us <= e.us AND x.created_us <= e.created_us
+  GROUP BY e.event_id) a ON a.event_id = e.event_id""")
+
 view("txn_meta", ("txn_m",), """
 SELECT t.*, '{"product_code":"' || product_code || '","card_network":'
   || CASE WHEN event_no % 17 = 0 THEN '4' ELSE '"' || card_network || '"' END

@@ -93,3 +93,26 @@ def test_bucketed_windows_equal_brute_force(spark, seed):
     b60 = _brute(rows, 3600)
     for e, (cnt, _p) in b60.items():
         assert out[e]["velocity_3600s"] == cnt
+
+
+def test_arrival_features_equal_brute_force(spark):
+    """Late and tied arrivals, one burst, several days: only what had arrived counts."""
+    import numpy as np
+
+    from riskline.operators.features import arrival_features
+
+    rng = np.random.default_rng(3)
+    us = np.sort(rng.integers(0, 4 * 86_400, 250)) * 10**6
+    late = np.where(rng.random(250) < 0.3, rng.integers(0, 7200, 250), 0) * 10**6
+    amt = rng.integers(1, 999, 250)
+    rows = [(f"e{i}", "u" if i % 5 else "v", int(t), int(t + d), int(a))
+            for i, (t, d, a) in enumerate(zip(us, late, amt))]
+    df = spark.createDataFrame(rows, "event_id string, user_id string, us long, created_us long, amount int") \
+        .withColumn("amount", F.col("amount").cast("decimal(18,2)"))
+    for r in arrival_features(df).collect():
+        seen = [x for x in rows if x[1] == r["user_id"] and x[2] <= r["us"] and x[3] <= r["created_us"]]
+        for w in (60, 3600, 86400):
+            assert r[f"velocity_{w}s"] == sum(x[2] > r["us"] - w * 10**6 for x in seen)
+        own = [x[4] for x in seen if x[2] > r["us"] - 3600 * 10**6]
+        assert (float(r["user_amt_sum_3600s"]), float(r["user_amt_max_3600s"])) == (sum(own), max(own))
+        assert r["prev_us"] == max((x[2] for x in seen if x[2] < r["us"]), default=None)
