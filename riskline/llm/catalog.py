@@ -26,7 +26,8 @@ def tokenizer() -> tuple[str, str]:
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.quality_rules(read_table(spark, sf_dir, "documents"))
+    # as its SQL states them: documents are distinct whole texts
+    return quality.quality_rules(read_table(spark, sf_dir, "documents"), near_copies=False)
 
 
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,9 +2,11 @@
 
 Lines are normalised (white space collapsed, lower case) and hashed; for every host and
 line the distinct documents are counted, where rows with the same whole text count as one
-document, so that a group of exact copies does not look like boilerplate. A line is
-boilerplate if at least ``min_docs`` documents and ``min_share`` of the host's documents
-hold it. Boilerplate lines are removed; a document that keeps less than ``min_left`` of its
+document, so that a group of exact copies does not look like boilerplate. Among the texts that hold
+such a line, near copies (Jaccard similarity of 5-word shingles as in ``neardup``) count once
+too, or every member of a large group of them would be depleted; ``near_copies=False`` counts
+distinct whole texts only. A line is boilerplate if at least ``min_docs`` documents and
+``min_share`` of the host's distinct texts hold it. Boilerplate lines are removed; a document that keeps less than ``min_left`` of its
 words is depleted and rejected, as are documents that fail the base rules.
 
 Defined results: null or empty text has no words and no lines (base_failed); a null host is
@@ -18,13 +20,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskline.llm.common import SPACES, text_or_empty, words
+from riskline.llm.common import (SHINGLE_WORDS, SIMILARITY, SPACES, bounded, join_split, stored,
+                                 text_or_empty, words)
+from riskline.llm.components import components
 
 MIN_DOCS = 20
 MIN_SHARE = 0.05
 MIN_LEFT = 0.3
 MIN_WORDS = 50
 SYMBOLS = "[#*$%&|<>]"      # fixed by the contract
+BANDS = 16      # a pair at SIMILARITY shares none with probability of about 2e-6
 
 
 def base_measures(docs: DataFrame) -> DataFrame:
@@ -83,17 +88,66 @@ def _lines(docs: DataFrame) -> DataFrame:
         F.size(F.split("n", " ")).alias("line_words"))
 
 
-def boilerplate(docs: DataFrame, min_docs: int = MIN_DOCS,
-                min_share: float = MIN_SHARE) -> DataFrame:
+def _shingles(w):
+    """Distinct hashes of the 5-word windows; fewer words are one shingle."""
+    k = SHINGLE_WORDS
+    return F.when(F.size(w) >= k, F.array_distinct(F.transform(
+        F.sequence(F.lit(0), F.size(w) - k),
+        lambda i: F.xxhash64(*[F.get(w, i + j) for j in range(k)])))).otherwise(
+        F.array(F.xxhash64(F.array_join(w, " "))))
+
+
+def near_groups(docs: DataFrame, texts: DataFrame) -> DataFrame:
+    """text_hash, group of those ``texts`` (a written column text_hash) that are near copies.
+
+    Each band keeps the least shingle hash of two of 2 * BANDS classes of hashes. Texts with an
+    equal band are compared with the smallest of them on their full sets; components of the
+    links are the groups, so a text need not be like all of its group."""
+    t = docs.select(text_or_empty().alias("t")).select(F.xxhash64("t").alias("text_hash"), "t") \
+        .join(bounded(texts), "text_hash", "left_semi").dropDuplicates(["text_hash"])
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    w = t.select("text_hash", words(F.translate("t", upper, upper.lower())).alias("w"))
+    sets = stored(w.select("text_hash", _shingles(F.col("w")).alias("s")), "line-shingles")
+    least = lambda c: F.min(F.when(F.pmod("x", F.lit(2)) == c, F.col("x")))
+    bands = sets.select("text_hash", F.explode("s").alias("x")) \
+        .groupBy("text_hash", F.pmod(F.shiftright("x", 1), F.lit(BANDS)).alias("band")) \
+        .agg(least(0).alias("a"), least(1).alias("b")) \
+        .select("text_hash", F.xxhash64("band", F.coalesce("a", F.lit(0)), F.coalesce("b", F.lit(0))).alias("bucket"))
+    first = bands.groupBy("bucket").agg(F.min("text_hash").alias("first"), F.count(F.lit(1)).alias("n")) \
+        .filter("n > 1").drop("n")
+    pairs = join_split(bands, first, ["bucket"]).filter("text_hash <> first") \
+        .select("text_hash", "first").distinct()
+    both = pairs.join(sets, "text_hash").join(
+        sets.select(F.col("text_hash").alias("first"), F.col("s").alias("r")), "first")
+    shared = both.select("text_hash", "first", F.size(F.array_intersect("s", "r")).alias("n"),
+                         (F.size("s") + F.size("r")).alias("total"))
+    links = shared.filter(F.col("n") >= SIMILARITY * (F.col("total") - F.col("n")))
+    return components(links, "text_hash", "first").select(
+        F.col("node").alias("text_hash"), F.col("component").alias("group"))
+
+
+def boilerplate(docs: DataFrame, min_docs: int = MIN_DOCS, min_share: float = MIN_SHARE,
+                near_copies: bool = True) -> DataFrame:
     """host, line_hash, n_docs of the lines above both limits."""
     held = _lines(docs).select("host", "line_hash", "text_hash").distinct()
-    counts = held.groupBy("host", "line_hash").agg(F.count(F.lit(1)).alias("n_docs")) \
-        .filter(F.col("n_docs") >= min_docs)
     hosts = docs.select(F.coalesce(F.col("source").cast("string"), F.lit("\0")).alias("host"),
                         F.xxhash64(text_or_empty()).alias("text_hash")).distinct() \
         .groupBy("host").agg(F.count(F.lit(1)).alias("host_docs"))
-    return counts.join(hosts, "host").filter(
-        F.col("n_docs") >= min_share * F.col("host_docs")).select("host", "line_hash", "n_docs")
+
+    def often(count) -> DataFrame:
+        counts = count.groupBy("host", "line_hash").agg(F.count(F.lit(1)).alias("n_docs")) \
+            .filter(F.col("n_docs") >= min_docs)
+        return counts.join(hosts, "host").filter(
+            F.col("n_docs") >= min_share * F.col("host_docs")).select("host", "line_hash", "n_docs")
+
+    if not near_copies:
+        return often(held)
+    # near copies only lower a count, so lines below the limits need no second look
+    lines = stored(often(held), "lines").drop("n_docs")
+    held = stored(held.join(bounded(lines), ["host", "line_hash"]), "held")
+    groups = near_groups(docs, stored(held.select("text_hash").distinct(), "texts"))
+    return often(held.join(groups, "text_hash", "left").select(
+        "host", "line_hash", F.coalesce("group", "text_hash").alias("text_hash")).distinct())
 
 
 def removed_lines(docs: DataFrame, **limits) -> DataFrame:

@@ -56,6 +56,28 @@ def test_quality_boilerplate_and_copies(spark):
     assert "right1" not in out[0].text and out[0].n_chars == len(out[0].text) and out[0].removed == "x"
 
 
+def test_quality_keeps_near_copies(spark):
+    """Lines of near copies are not boilerplate, whatever line each copy has edited; a footer
+    of the same host still goes."""
+    import random
+    rng = random.Random(15)
+    foot = "all rights reserved by the owner of this site"
+    rows = []
+    for group, n_lines in enumerate((12, 3)):
+        base = [[f"g{group}x{i}w{j}" for j in range(240 // n_lines)] for i in range(n_lines)]
+        for copy in range(100):
+            lines = [list(x) for x in base]
+            lines[copy % n_lines][rng.randrange(240 // n_lines)] = f"edit{copy}"
+            rows.append((1000 * group + copy, "\n".join(map(" ".join, lines))))
+    rows += [(5000 + i, prose(rng, 80) + "\n" + foot) for i in range(60)]
+    d = spark.createDataFrame([(i, t, "host") for i, t in rows], "doc_id long, text string, source string")
+    out = {r.doc_id: r.text for r in quality.clean(d).collect()}
+    text = dict(rows)
+    assert set(out) == set(text)
+    assert all(out[i] == (t if i < 5000 else t[:-len(foot) - 1]) for i, t in rows)
+    assert {r.doc_id for r in neardup.keep_one(quality.clean(d)).collect()} == {0, 1000} | set(range(5000, 5060))
+
+
 def test_substring_repeats(docs):
     rows = docs.select("doc_id", "text").collect()
     first: dict = {}
