@@ -6,7 +6,8 @@ document, so that a group of exact copies does not look like boilerplate. Among
 such a line, near copies (Jaccard similarity of 5-word shingles as in ``neardup``) count once
 too, or every member of a large group of them would be depleted; ``near_copies=False`` counts
 distinct whole texts only. A line is boilerplate if at least ``min_docs`` documents and
-``min_share`` of the host's distinct texts hold it. Boilerplate lines are removed; a document that keeps less than ``min_left`` of its
+``min_share`` of the host's distinct texts hold it, or ``enough_docs`` documents whatever the
+size of the host (None: the share always counts). Boilerplate lines are removed; a document that keeps less than ``min_left`` of its
 words is depleted and rejected, as are documents that fail the base rules.
 
 Defined results: null or empty text has no words and no lines (base_failed); a null host is
@@ -26,6 +27,7 @@ from riskline.llm.components import components
 
 MIN_DOCS = 20
 MIN_SHARE = 0.05
+ENOUGH_DOCS = 200
 MIN_LEFT = 0.3
 MIN_WORDS = 50
 SYMBOLS = "[#*$%&|<>]"      # fixed by the contract
@@ -127,8 +129,8 @@ def near_groups(docs: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def boilerplate(docs: DataFrame, min_docs: int = MIN_DOCS, min_share: float = MIN_SHARE,
-                near_copies: bool = True) -> DataFrame:
-    """host, line_hash, n_docs of the lines above both limits."""
+                enough_docs: int | None = ENOUGH_DOCS, near_copies: bool = True) -> DataFrame:
+    """host, line_hash, n_docs of the lines above the limits."""
     held = _lines(docs).select("host", "line_hash", "text_hash").distinct()
     hosts = docs.select(F.coalesce(F.col("source").cast("string"), F.lit("\0")).alias("host"),
                         F.xxhash64(text_or_empty()).alias("text_hash")).distinct() \
@@ -137,8 +139,10 @@ def boilerplate(docs: DataFrame, min_docs: int = MIN_DOCS, min_share: float = MI
     def often(count) -> DataFrame:
         counts = count.groupBy("host", "line_hash").agg(F.count(F.lit(1)).alias("n_docs")) \
             .filter(F.col("n_docs") >= min_docs)
-        return counts.join(hosts, "host").filter(
-            F.col("n_docs") >= min_share * F.col("host_docs")).select("host", "line_hash", "n_docs")
+        high = F.col("n_docs") >= min_share * F.col("host_docs")
+        if enough_docs is not None:
+            high = high | (F.col("n_docs") >= enough_docs)
+        return counts.join(hosts, "host").filter(high).select("host", "line_hash", "n_docs")
 
     if not near_copies:
         return often(held)

@@ -4,6 +4,7 @@ import hashlib
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from riskline.llm import decontaminate, licenses, neardup, pii, quality, subdedup, toxicity, urlfilter, warc
 from riskline.llm.components import components
@@ -78,6 +79,17 @@ def test_quality_keeps_near_copies(spark):
     assert {r.doc_id for r in neardup.keep_one(quality.clean(d)).collect()} == {0, 1000} | set(range(5000, 5060))
 
 
+def test_quality_hot_host(spark):
+    """A footer on 1 % of a hot host's documents goes; a line on fewer than 200 of them stays."""
+    body = "array_join(transform(sequence(1, 60), j -> concat('w', id, 'x', j)), ' ')"
+    d = spark.range(21_000).selectExpr(
+        "id AS doc_id", "'hot' AS source", f"concat({body}, CASE WHEN id % 100 = 0 THEN '\nall rights reserved here' "
+        "WHEN id % 200 = 1 THEN '\nthe end of it' ELSE '' END) AS text")
+    n = {r.source: (r.a, r.b, r.n) for r in quality.clean(d).groupBy("source").agg(*map(F.expr, (
+        "count_if(text LIKE '%reserved%') AS a", "count_if(text LIKE '%the end%') AS b", "count(1) AS n"))).collect()}
+    assert n == {"hot": (0, 105, 21_000)}
+
+
 def test_substring_repeats(docs):
     rows = docs.select("doc_id", "text").collect()
     first: dict = {}
