@@ -2,20 +2,23 @@
 
 Terms of a text are its lower-cased words and the first four and five bytes of longer words
 (inflected and compounded insults share a stem), hashed to BUCKETS buckets. From the labelled
-rows that are not held out, Spark counts per bucket the toxic and other documents and keeps
-the TERMS buckets that tell most (log-likelihood ratio). A factorization machine (Spark ML's
-FMClassifier) learns a weight for each and a vector whose inner products weigh pairs of
-terms, so an insult beside the mention of a group counts differently from either alone. All
-texts are scored with the model inside Spark tasks.
+rows that are not held out, Spark counts per bucket the toxic and other documents; every bucket
+in MIN_DOCS documents is a feature. A factorization machine learns a weight for each and a
+vector whose inner products weigh pairs of terms, so an insult beside the mention of a group
+counts differently from either alone. A feature's value grows with what its bucket tells by
+itself (log-likelihood ratio), which keeps thousands of chance words small, but is never below
+FLOOR: terms that tell something only in pairs are learnt too. All texts are scored with the
+model inside Spark tasks. (Spark ML's FMClassifier makes a dense gradient of all weights for
+every row, which rules out more than a few hundred features.)
 
 The training sample is bounded: at most about SAMPLE labelled rows, chosen by a hash of the
-id; counts of buckets and the fit use that sample. Labels, language, source and id are never
+id; counts of buckets and the fit, in one task, use that sample. Labels, language, source and id are never
 inputs of a score.
 
 Defined results: empty and null texts have no terms and score by the intercept alone; rows
 are scored one by one; labels without a document, with null or other values than 0 and 1 are
 ignored, of several labels of one document the largest counts; with no label of one of the
-two classes every score is the share of toxic rows (0 without any row); an empty table gives
+two classes, or no feature, every score is the share of toxic rows (0 without any row); an empty table gives
 an empty result; of documents only doc_id and text are read.
 """
 
@@ -26,8 +29,6 @@ from typing import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.classification import FMClassifier
-from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -35,10 +36,13 @@ from riskline.llm.common import small_batches, stored, text_or_empty
 from riskline.llm.textops import NOT_LETTERS, word_runs
 
 BUCKETS = 1 << 20
-TERMS = 384
+MIN_DOCS = 5    # documents of the training rows; fewer tell nothing about others
+EVIDENCE = 10.0
+FLOOR = 0.2
 FACTORS = 6
 SAMPLE = 20_000
 ITERATIONS = 80
+STEP, DECAY, START = 0.1, 1e-4, 0.05
 FOLDS = 5       # fixed by the contract
 
 
@@ -84,26 +88,76 @@ def _chosen(w, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def _features(batches: Iterator[pa.RecordBatch], chosen: np.ndarray) -> Iterator[pa.RecordBatch]:
     for b in batches:
         for w in word_runs(b["text"], True, NOT_LETTERS):
-            x = np.zeros((w.rows, len(chosen)))
-            x[_chosen(w, chosen)] = 1.0
+            row, at = _chosen(w, chosen)
+            ends = np.cumsum(np.bincount(row, minlength=w.rows))
             yield pa.RecordBatch.from_arrays(
-                [b["toxic"].slice(w.row0, w.rows).cast(pa.float64()),
-                 pa.array(list(x), pa.list_(pa.float64()))], names=["label", "x"])
+                [b["toxic"].slice(w.row0, w.rows).cast(pa.int32()),
+                 pa.ListArray.from_arrays(np.append(0, ends).astype(np.int32), pa.array(at, pa.int32()))],
+                names=["toxic", "x"])
+
+
+def _sums(values: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """Sums of consecutive runs of ``values``; a run may be empty."""
+    end = np.zeros((1, *values.shape[1:]), values.dtype)
+    out = np.add.reduceat(np.concatenate([values, end]), np.cumsum(count) - count)
+    out[count == 0] = 0
+    return out
+
+
+def fit(toxic: np.ndarray, count: np.ndarray, at: np.ndarray, value: np.ndarray) -> tuple[float, np.ndarray]:
+    """Bias and (linear, factors) weights by Adam over all rows, values multiplied in.
+
+    Row r holds the features ``at`` of the r-th run of ``count``; ``value`` is per feature."""
+    f = np.float32
+    k, value = len(value), value.astype(f)[:, None]
+    w = np.random.default_rng(7).normal(0, START, (k, 1 + FACTORS)).astype(f)
+    w[:, 0] = 0
+    row = np.repeat(np.arange(len(count), dtype=np.int32), count)
+    by_feature = np.argsort(at, kind="stable")
+    row_of, per = row[by_feature], np.bincount(at, minlength=k)
+    bias = np.full(1, np.log(toxic.mean() / (1 - toxic.mean())))
+    state = [(x, np.zeros_like(x), np.zeros_like(x)) for x in (w, bias)]
+    for step in range(1, ITERATIONS + 1):
+        u = w * value
+        own = u[:, 0] - (u[:, 1:] ** 2).sum(axis=1) / 2
+        total = np.stack([_sums(u[at, 1 + j], count) for j in range(FACTORS)], axis=1)
+        z = bias[0] + _sums(own[at], count) + (total ** 2).sum(axis=1) / 2
+        error = ((1 / (1 + np.exp(-np.clip(z, -50, 50))) - toxic) / len(toxic)).astype(f)
+        g = np.empty_like(w)
+        g[:, 0] = _sums(error[row_of], per)
+        for j in range(FACTORS):
+            g[:, 1 + j] = _sums((error * total[:, j])[row_of], per) - g[:, 0] * u[:, 1 + j]
+        for (x, m, v), d in zip(state, (g * value + f(DECAY) * w, error.sum(keepdims=True))):
+            m += 0.1 * (d - m)
+            v += 0.001 * (d * d - v)
+            x -= (STEP * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.999 ** step)) + 1e-8)).astype(x.dtype)
+    return float(bias[0]), w * value
+
+
+def _fitted(batches: Iterator[pa.RecordBatch], value: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """One row with the weights, learnt from all rows of the one task."""
+    toxic, count, at = [], [], []
+    for b in batches:
+        toxic.append(b["toxic"].to_numpy(zero_copy_only=False))
+        count.append(np.diff(b["x"].offsets.to_numpy()))
+        at.append(b["x"].flatten().to_numpy(zero_copy_only=False))
+    bias, w = fit(*map(np.concatenate, (toxic, count, at)), value)
+    yield pa.RecordBatch.from_arrays([pa.array([bias]), pa.array([w.tobytes()], pa.binary())],
+                                     names=["bias", "weights"])
 
 
 def _scores(batches: Iterator[pa.RecordBatch], model: dict) -> Iterator[pa.RecordBatch]:
     bias, linear, factors, chosen = (model[k] for k in ("bias", "linear", "factors", "chosen"))
-    squares = (factors ** 2).sum(axis=1)
+    own = linear - (factors ** 2).sum(axis=1) / 2
     for b in batches:
         out = [np.zeros(0)]
         for w in word_runs(b["text"], True, NOT_LETTERS):
             z = np.full(w.rows, bias)
             if len(chosen):
                 row, at = _chosen(w, chosen)
-                z += np.bincount(row, linear[at] - squares[at] / 2, w.rows)
-                total = np.zeros((w.rows, factors.shape[1]))
-                np.add.at(total, row, factors[at])
-                z += (total ** 2).sum(axis=1) / 2
+                count = np.bincount(row, minlength=w.rows)
+                total = _sums(factors[at].astype(float), count)
+                z += _sums(own[at].astype(float), count) + (total ** 2).sum(axis=1) / 2
             out.append(1 / (1 + np.exp(-np.clip(z, -50, 50))))
         yield pa.RecordBatch.from_arrays([b["doc_id"], b["held_out"], pa.array(np.concatenate(out))],
                                          names=["doc_id", "held_out", "score"])
@@ -122,26 +176,27 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> dict:
     total = rows.agg(F.sum("toxic").alias("pos"), F.sum(1 - F.col("toxic")).alias("neg")).first()
     pos, neg = total["pos"] or 0, total["neg"] or 0
     none = {"linear": np.zeros(0), "factors": np.zeros((0, FACTORS)), "chosen": np.zeros(0, np.int64)}
+    share = np.clip(pos / max(1, pos + neg), 1e-9, 1 - 1e-9)
+    none |= {"bias": float(np.log(share / (1 - share)))}
     if not pos or not neg:
-        share = np.clip(pos / max(1, pos + neg), 1e-9, 1 - 1e-9)
-        return none | {"bias": float(np.log(share / (1 - share)))}
+        return none
     counts = rows.mapInArrow(_counts, "bucket long, pos long, neg long") \
-        .groupBy("bucket").agg(F.sum("pos").alias("p"), F.sum("neg").alias("n"))
+        .groupBy("bucket").agg(F.sum("pos").alias("p"), F.sum("neg").alias("n")) \
+        .filter(F.col("p") + F.col("n") >= MIN_DOCS)
     # log-likelihood ratio of bucket and label
     ln = lambda x, of: F.when(x > 0, x * F.log(x / of)).otherwise(0.0)
     share = (F.col("p") + F.col("n")) / F.lit(pos + neg)
     ratio = ln(F.col("p"), share * pos) + ln(F.col("n"), share * neg) \
         + ln(pos - F.col("p"), (1 - share) * pos) + ln(neg - F.col("n"), (1 - share) * neg)
-    best = counts.select("bucket", ratio.alias("ratio")).orderBy(F.desc("ratio"), "bucket").limit(TERMS)
-    chosen = np.sort(np.array([r["bucket"] for r in best.collect()], np.int64))
-    data = rows.mapInArrow(partial(_features, chosen=chosen), "label double, x array<double>") \
-        .select("label", array_to_vector("x").alias("features")).coalesce(4).persist()
-    fm = FMClassifier(factorSize=FACTORS, maxIter=ITERATIONS, stepSize=0.1, regParam=1e-4,
-                      initStd=0.05, seed=7, tol=0.0)
-    model = fm.fit(data)
-    data.unpersist()
-    return {"bias": float(model.intercept), "linear": model.linear.toArray(),
-            "factors": model.factors.toArray(), "chosen": chosen}
+    found = counts.select("bucket", ratio.alias("ratio")).orderBy("bucket").toArrow()  # at most BUCKETS rows
+    chosen, ratio = (found[c].to_numpy() for c in ("bucket", "ratio"))
+    if not len(chosen):
+        return none
+    value = np.maximum(FLOOR, ratio / (ratio + EVIDENCE))
+    model = rows.mapInArrow(partial(_features, chosen=chosen), "toxic int, x array<int>") \
+        .coalesce(1).mapInArrow(partial(_fitted, value=value), "bias double, weights binary").first()
+    w = np.frombuffer(model["weights"], np.float32).reshape(len(chosen), 1 + FACTORS)
+    return {"bias": model["bias"], "linear": w[:, 0], "factors": w[:, 1:], "chosen": chosen}
 
 
 def toxicity_scores(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:

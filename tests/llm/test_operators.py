@@ -355,6 +355,31 @@ def test_toxicity_pairs_and_edges(spark):
     assert all(r.score < 0.5 for r in same)
 
 
+def test_toxicity_terms_that_tell_only_in_pairs(spark):
+    """Neither mention nor insult separates the labels, only the pair; and 500 other insults
+    that are each on few documents."""
+    import random
+    rng = random.Random(8)
+    name = lambda n: "".join(chr(97 + int(c)) for c in f"{n:04d}")
+    rows, labels = [], []
+    for i in range(4000):
+        a, b = rng.random() < 0.5, rng.random() < 0.5
+        w = [name(rng.randrange(800)) for _ in range(30)] + ["scum"] * a + ["folk"] * b
+        rng.shuffle(w)
+        rows.append((i, " ".join(w)))
+        labels.append((i, int(a == b)))
+    held = lambda got: [r for r in got if r.held_out]
+    schema = "doc_id long, text string"
+    got = held(toxicity.toxicity_scores(spark.createDataFrame(rows, schema),
+                                        spark.createDataFrame(labels, "doc_id long, toxic int")).collect())
+    assert sum(r.predicted == dict(labels)[r.doc_id] for r in got) / len(got) > 0.95
+    rare = [(i, " ".join(["q" + name(i // 2 % 500)] * (i % 2) + [name(rng.randrange(800)) for _ in range(30)]))
+            for i in range(12_000)]
+    got = held(toxicity.toxicity_scores(spark.createDataFrame(rare, schema), spark.createDataFrame(
+        [(i, i % 2) for i, _ in rare], "doc_id long, toxic int")).collect())
+    assert sum(r.predicted == r.doc_id % 2 for r in got) / len(got) > 0.95
+
+
 def test_empty_tables(spark):
     e = empty_docs(spark)
     labels = spark.createDataFrame([], "doc_id long, toxic int")
