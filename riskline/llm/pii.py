@@ -32,6 +32,7 @@ from riskline.llm.common import small_batches, text_or_empty
 
 KINDS = ("email", "ip", "card", "phone", "secret")
 BASE_KINDS = 4
+SECRET = 4
 LABELERS = 5
 FEATURES = 12
 THRESHOLD = 0.5
@@ -50,7 +51,7 @@ _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _SPELLED = re.compile(r"[A-Za-z0-9._%+-]{1,64}[ ]?(?:[(\[{]at[)\]}]| at )[ ]?[A-Za-z0-9-]{1,63}"
                       r"(?:[ ]?(?:[(\[{]dot[)\]}]| dot )[ ]?[A-Za-z0-9-]{1,63})+")
 _GROUPED = re.compile(r"(?:\([0-9]{2,4}\)[ ]?|[0-9]{2,4}[ .-])[0-9]{3,4}(?:[ .-]?[0-9]{2,4}){1,3}(?![0-9])")
-_ASSIGNED = re.compile(r"[=:][ ]?[\"']?([A-Za-z0-9_+/-]{8,128})")
+_ASSIGNED = re.compile(r"[=:][ ]?[\"']?([A-Za-z0-9_+/-]{8,}+(?:\.[A-Za-z0-9_+/-]++)*+)")
 
 # Gazetteers and context words: small, stated lists.
 DOMAINS = frozenset("com org net edu gov info io de fr es it uk eu us".split())
@@ -187,12 +188,14 @@ def spans(text: str) -> list[Span]:
 
 
 def decide(found: list[Span], chosen: np.ndarray) -> list[Span]:
-    """Base spans and the accepted candidates that touch no span taken before them."""
+    """Base spans and the accepted candidates that touch no span taken before them; a secret may
+    hold such spans (digits that look like a card), else the rest of its value would stay."""
     taken = [s for s in found if s.base]
     places = sorted((s.start, s.end) for s in taken)
     for s in found:
         if not s.base and chosen[s.code]:
-            if not any(a < s.end and s.start < b for a, b in places):
+            if not any(a < s.end and s.start < b and not (s.kind == SECRET and s.start <= a and b <= s.end)
+                       for a, b in places):
                 taken.append(s)
                 places.append((s.start, s.end))
     return sorted(taken, key=lambda s: (s.kind, s.start, s.end))

@@ -314,6 +314,17 @@ def test_personal_data(docs, spark, sf):
     assert text[0] is None and "[EMAIL]" in text[29] and "@" not in text[29] and "[CARD]" in text[29]
 
 
+def test_long_secrets_are_masked_whole(spark):
+    import random
+    rng = random.Random(12)
+    chars = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
+    key = lambda n: "".join(rng.choice(chars) for _ in range(n))
+    values = [key(300), key(36) + "." + key(150) + "." + key(43), key(40) + "x4111111111111111x" + key(40), key(24)]
+    rows = [(i, f"The api_key={v}, was sent. Ask for it.") for i, v in enumerate(values * 10)]
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.text for r in pii.mask(d).collect()} == {"The api_key=[SECRET], was sent. Ask for it."}
+
+
 def test_reliabilities_find_the_bad_labeler():
     import numpy as np
     rng = np.random.default_rng(1)
