@@ -6,7 +6,8 @@ from typing import Callable, NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskline.llm import bpe, decontaminate, licenses, neardup, oracles, pii, quality, subdedup, toxicity, urlfilter, warc
+from riskline.llm import (bpe, collocations, decontaminate, hilbert, licenses, neardup, oracles, pii, quality, subdedup,
+                          toxicity, urlfilter, vafile, warc)
 from riskline.sources.tables import read_table
 
 
@@ -69,6 +70,18 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                                     read_table(spark, sf_dir, "labels"))
 
 
+def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vafile.cluster(read_table(spark, sf_dir, "embeddings", ["vec_id", "embedding"]))
+
+
+def op12_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hilbert.shards(read_table(spark, sf_dir, "documents", ["doc_id", "text", "lang", "source"]))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(read_table(spark, sf_dir, "documents", ["text", "lang"]))
+
+
 def entries() -> dict[str, Entry]:
     return {
         "op1_quality_rules": Entry(op1_quality_rules, oracles.quality_sql()),
@@ -81,4 +94,7 @@ def entries() -> dict[str, Entry]:
         "op8_license_scan": Entry(op8_license_scan, oracles.license_sql()),
         "op9_byte_bpe": Entry(op9_byte_bpe),
         "op10_toxicity": Entry(op10_toxicity),
+        "op11_centroid_clustering": Entry(op11_centroid_clustering, oracles.cluster_sql()),
+        "op12_hilbert_shards": Entry(op12_hilbert_shards),      # DuckDB has no crc32: brute force in tests
+        "op13_collocations": Entry(op13_collocations, oracles.collocation_sql()),
     }

@@ -146,3 +146,75 @@ b AS (SELECT page_id, strlen(t) payload_bytes, m, array_to_string(list_transform
       FROM p JOIN f USING (h))
 SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = m THEN 'response' ELSE 'revisit' END record_type,
        CASE WHEN page_id <> m THEN m END refers_to FROM b"""
+
+
+def cluster_sql(k: int = 40, rounds: int = 5, dims: int = 64) -> str:
+    """Lloyd's rounds written out, each an exact distance of all vectors to all centroids."""
+    parts = [f"""
+v AS MATERIALIZED (
+  SELECT row_number() OVER () AS row, vec_id,
+    list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings WHERE len(embedding) = {dims}
+    AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = {dims}),
+x AS MATERIALIZED (SELECT row, generate_subscripts(v, 1) AS i, unnest(v) AS x FROM v),
+s AS (SELECT row, row_number() OVER (ORDER BY sha256('2:' || vec_id), v) - 1 AS c FROM v),
+c0 AS MATERIALIZED (SELECT c, i, x AS y FROM s JOIN x USING (row) WHERE c < {k})"""]
+    for r in range(rounds + 1):
+        parts.append(f"""
+d{r} AS (SELECT row, c, CAST(sum((x - y) * (x - y)) AS BIGINT) AS d FROM x JOIN c{r} USING (i) GROUP BY row, c),
+a{r} AS MATERIALIZED (SELECT row, c, d FROM d{r}
+  QUALIFY row_number() OVER (PARTITION BY row ORDER BY d, c) = 1)""")
+        if r < rounds:
+            parts.append(f"""
+m{r} AS (SELECT c, i, CAST(sum(x) AS BIGINT) AS s, count(*) AS n FROM x JOIN a{r} USING (row) GROUP BY c, i),
+c{r + 1} AS MATERIALIZED (
+  SELECT o.c, o.i, CASE WHEN n IS NULL THEN y ELSE (s - ((s % n) + n) % n) // n END AS y
+  FROM c{r} o LEFT JOIN m{r} USING (c, i))""")
+    return f"""WITH {",".join(parts)},
+h AS (SELECT c, sha256(string_agg(CAST(y AS VARCHAR), ',' ORDER BY i)) AS h FROM c{rounds} GROUP BY c)
+SELECT vec_id, CAST(c AS INTEGER) AS cluster, d AS distance,
+  CAST(sum(d) OVER (PARTITION BY c) AS BIGINT) AS cluster_inertia,
+  CAST(sum(d) OVER () AS BIGINT) AS inertia, h AS centroid_sha256
+FROM a{rounds} JOIN v USING (row) JOIN h USING (c)"""
+
+
+def collocation_sql() -> str:
+    return r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, row_number() OVER () AS piece, p FROM (
+    SELECT lang, unnest(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+      'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS p FROM documents)),
+w AS MATERIALIZED (
+  SELECT lang, piece, generate_subscripts(ws, 1) AS i, unnest(ws) AS w FROM (
+    SELECT lang, piece, list_filter(regexp_split_to_array(p, '[\x20\x09]+'), lambda x: x <> '') AS ws FROM pieces)),
+g AS MATERIALIZED (
+  SELECT lang, w AS w1, lead(w, 1) OVER s AS w2, lead(w, 2) OVER s AS w3 FROM w
+  WINDOW s AS (PARTITION BY piece ORDER BY i)),
+f1 AS MATERIALIZED (SELECT lang, w1, count(*) AS f FROM g GROUP BY ALL),
+f2 AS MATERIALIZED (SELECT lang, w1, w2, count(*) AS f FROM g WHERE w2 IS NOT NULL GROUP BY ALL),
+f3 AS MATERIALIZED (SELECT lang, w1, w2, w3, count(*) AS f FROM g WHERE w3 IS NOT NULL GROUP BY ALL HAVING count(*) >= 10),
+n AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f1 GROUP BY lang),
+longer AS (
+  SELECT lang, w1, w2, max(f) AS f FROM (
+    SELECT lang, w1, w2, f FROM f3 UNION ALL SELECT lang, w2, w3, f FROM f3) GROUP BY lang, w1, w2),
+cuts AS (
+  SELECT c.lang, concat_ws(' ', c.w1, c.w2) AS phrase, 1 AS k, c.f AS a, x.f AS l, y.f AS r
+  FROM f2 c JOIN f1 x ON x.lang = c.lang AND x.w1 = c.w1 JOIN f1 y ON y.lang = c.lang AND y.w1 = c.w2
+  LEFT JOIN longer g ON g.lang = c.lang AND g.w1 = c.w1 AND g.w2 = c.w2
+  WHERE c.f >= 10 AND coalesce(100 * g.f < 50 * c.f, true)
+  UNION ALL
+  SELECT c.lang, concat_ws(' ', c.w1, c.w2, c.w3), 1, c.f, x.f, y.f
+  FROM f3 c JOIN f1 x ON x.lang = c.lang AND x.w1 = c.w1
+  JOIN f2 y ON y.lang = c.lang AND y.w1 = c.w2 AND y.w2 = c.w3
+  UNION ALL
+  SELECT c.lang, concat_ws(' ', c.w1, c.w2, c.w3), 2, c.f, x.f, y.f
+  FROM f3 c JOIN f2 x ON x.lang = c.lang AND x.w1 = c.w1 AND x.w2 = c.w2
+  JOIN f1 y ON y.lang = c.lang AND y.w1 = c.w3),
+scored AS (
+  SELECT *, CAST((1000000::HUGEINT * a * a) // (l::HUGEINT * r) AS BIGINT) AS score FROM cuts),
+best AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM best)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN n USING (lang) WHERE rank <= 2000
+"""
