@@ -22,12 +22,12 @@ only text and lang are read.
 
 from __future__ import annotations
 
-from collections import defaultdict
 from functools import partial
 from typing import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -37,60 +37,55 @@ from riskline.llm.quotient import Layout, Merger, counted, segments
 from riskline.operators.ordinal import global_ordinal
 
 MIN_COUNT, TOP = 10, 2000       # fixed by the operator's contract
-CHUNK_TOKENS = 1 << 20          # tokens of a chunk (a longer text is a chunk of its own)
+CHUNK_TOKENS = 1 << 20          # tokens of a chunk, about (an Arrow batch is not cut)
 SEGMENT_TOKENS = 1 << 21        # tokens whose n-grams one range of quotients takes, about
 
-#: A-Z lower-cased, separators of pieces to line feeds
-_TABLE = bytes(c + 32 if 65 <= c <= 90 else 10 if c in b".,;:!?\n\x0b\x0c\r" else c for c in range(256))
+#: A-Z lower-cased, tabs to blanks, separators of pieces to a byte that UTF-8 never has
+_BREAK = b"\xff"
+_TABLE = bytes(c + 32 if 65 <= c <= 90 else 255 if c in b".,;:!?\n\x0b\x0c\r" else 32 if c == 9 else c
+               for c in range(256))
 
 
 def _chunks(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
     """Rows (chunk, tokens, langs, words, counts): the chunk's tokens as numbers from 1 with 0
     between pieces; language, word and count of number i + 1 at place i."""
     part, seq = TaskContext.get().partitionId(), 0
-    numbers: dict[str, defaultdict] = {}
-    names: list[int] = []
-    parts: list[np.ndarray] = []
+    held: dict[str, list[pa.Array]] = {}
     size = 0
 
-    def next_number() -> int:
-        names.append(0)
-        return len(names)
-
     def out() -> pa.RecordBatch:
-        tokens = np.concatenate(parts)
-        lang, word, at = [], [], []
-        for name, known in numbers.items():
-            lang += [name] * len(known)
-            word += known.keys()
-            at += known.values()
-        order = np.argsort(np.array(at, np.int64), kind="stable")
-        table = pa.table({"l": pa.array(lang, pa.string()),
-                          "w": pa.array([x.decode() for x in word], pa.large_string())}).take(pa.array(order))
-        count = np.bincount(tokens, minlength=len(names) + 1)[1:]
-        row = pa.array([{"chunk": (part << 32) | seq, "tokens": tokens.tobytes(),
-                         "words": [{"lang": a, "word": b, "n": c} for a, b, c in
-                                   zip(table["l"].to_pylist(), table["w"].to_pylist(), count.tolist())]}],
-                       pa.struct([("chunk", pa.int64()), ("tokens", pa.binary()),
-                                  ("words", pa.list_(pa.struct([("lang", pa.string()), ("word", pa.string()),
-                                                                ("n", pa.int64())])))]))
-        return pa.RecordBatch.from_struct_array(row)
+        tokens, names, n = [], [], 0
+        for lang, arrays in held.items():
+            coded = pa.concat_arrays(arrays).dictionary_encode()
+            known = coded.dictionary
+            word = np.asarray(pc.and_(pc.greater(pc.binary_length(known), 0), pc.not_equal(known, _BREAK)))
+            number = np.zeros(len(known) + 1, np.int32)
+            number[:-1][word] = np.arange(n + 1, n + 1 + word.sum())
+            gap = np.append(np.asarray(pc.equal(pc.binary_length(known), 0)), False)    # between blanks
+            at = np.asarray(coded.indices)
+            tokens.append(number[at[~gap[at]]])
+            names.append(pa.StructArray.from_arrays(
+                [pa.repeat(lang, int(word.sum())), known.filter(pa.array(word)).cast(pa.large_string())], names=["lang", "word"]))
+            n += int(word.sum())
+        ids = np.concatenate(tokens)
+        both = pa.concat_arrays(names)
+        count = np.bincount(ids, minlength=n + 1)[1:]
+        words = pa.StructArray.from_arrays([*both.flatten(), pa.array(count)], names=["lang", "word", "n"])
+        return pa.RecordBatch.from_arrays(
+            [pa.array([(part << 32) | seq]), pa.array([ids.tobytes()], pa.binary()),
+             pa.ListArray.from_arrays(pa.array([0, n], pa.int32()), words)], names=["chunk", "tokens", "words"])
 
     for b in batches:
-        for text, lang in zip(b["text"], b["lang"].to_pylist()):
-            known = numbers.get(lang)
-            if known is None:
-                known = numbers[lang] = defaultdict(next_number)
-            for piece in text.as_py().encode().translate(_TABLE).split(b"\n"):
-                words = piece.split()           # blanks and tabs are what is left
-                if words:
-                    parts.append(np.fromiter(map(known.__getitem__, words), np.int32, len(words)))
-                    parts.append(np.zeros(1, np.int32))
-                    size += len(words) + 1
-            if size >= most:
-                yield out()
-                numbers, names, parts, size, seq = {}, [], [], 0, seq + 1
-    if parts:
+        for lang in b["lang"].unique():
+            texts = b["text"].filter(pc.equal(b["lang"], lang)).to_pylist()
+            data = "\n".join(texts).encode().translate(_TABLE).replace(_BREAK, b" \xff ") + b" \xff"
+            words = pc.split_pattern(pa.array([data], pa.large_binary()), " ").flatten()
+            held.setdefault(lang.as_py(), []).append(words)
+            size += len(words)
+        if size >= most:
+            yield out()
+            held, size, seq = {}, 0, seq + 1
+    if held:
         yield out()
 
 
@@ -114,7 +109,7 @@ def _filters(batches: Iterator[pa.RecordBatch], bits: int, prefix_bits: int) ->
             table = np.zeros(max(int(tokens.max()), int(local.max(initial=0))) + 1, np.uint64)
             table[local] = number.astype(np.uint64)
             high, low = layout.permute(*_ngrams(table[tokens], bits))
-            got = segments(layout, prefix_bits, *counted(high, low))
+            got = segments(layout, prefix_bits, *counted(high, low, low_bits=2 * bits))
             if got:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([s for s, _ in got], pa.int64()), pa.array([f for _, f in got], pa.binary())],

@@ -52,18 +52,34 @@ class Layout:
         return high, low
 
 
-def counted(high: np.ndarray, low: np.ndarray, count: np.ndarray | None = None
+def counted(high: np.ndarray, low: np.ndarray, count: np.ndarray | None = None, low_bits: int = 64
             ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Sorted distinct keys with the sums of their counts (one each by default)."""
-    order = np.lexsort((low, high))
-    high, low = high[order], low[order]
-    new = np.ones(len(high), bool)
-    new[1:] = (high[1:] != high[:-1]) | (low[1:] != low[:-1])
+    """Sorted distinct keys with the sums of their counts (one each by default). Keys that fit 64
+    bits are sorted as one number; sorted runs that were put together are merged by the sort."""
+    wide = low_bits < 64 and len(high) > 0 and int(high.max()).bit_length() + low_bits <= 64
+    if wide:
+        key = (high << _U(low_bits)) | low
+        if count is None:
+            key.sort()
+        else:
+            order = np.argsort(key, kind="stable")
+            key, count = key[order], count[order]
+        new = np.ones(len(key), bool)
+        np.not_equal(key[1:], key[:-1], out=new[1:])
+    else:
+        order = np.lexsort((low, high))
+        high, low = high[order], low[order]
+        count = None if count is None else count[order]
+        new = np.ones(len(high), bool)
+        new[1:] = (high[1:] != high[:-1]) | (low[1:] != low[:-1])
     first = np.flatnonzero(new)
     if count is None:
-        total = np.diff(np.append(first, len(high)))
+        total = np.diff(np.append(first, len(new)))
     else:
-        total = np.add.reduceat(count[order], first) if len(first) else count[:0]
+        total = np.add.reduceat(count, first) if len(first) else count[:0]
+    if wide:
+        key = key[first]
+        return key >> _U(low_bits), key & _U((1 << low_bits) - 1), total.astype(np.int64)
     return high[first], low[first], total.astype(np.int64)
 
 
@@ -129,25 +145,29 @@ def segments(layout: Layout, prefix_bits: int, high: np.ndarray, low: np.ndarray
 
 
 class Merger:
-    """Adds filters of one prefix. Sums are held as runs of doubling size, so each element is
-    moved a logarithm of their number of times."""
+    """Adds filters of one prefix. Elements wait until there are as many as distinct keys were
+    found so far (PENDING at least), then all are merged: each is moved few times, and no more
+    than twice the distinct keys and PENDING are held."""
+
+    PENDING = 1 << 20
 
     def __init__(self, layout: Layout, prefix_bits: int):
         self.layout, self.prefix_bits = layout, prefix_bits
         self.runs: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        self.known = self.waiting = 0
 
     def _join(self) -> None:
-        b, a = self.runs.pop(), self.runs.pop()
-        self.runs.append(counted(*(np.concatenate(x) for x in zip(a, b))))
+        self.runs = [counted(*(np.concatenate(x) for x in zip(*self.runs)), low_bits=self.layout.low_bits)]
+        self.known, self.waiting = len(self.runs[0][0]), 0
 
     def add(self, data: bytes) -> None:
         self.runs.append(unpack(self.layout, self.prefix_bits, data))
-        while len(self.runs) > 1 and len(self.runs[-2][0]) <= 2 * len(self.runs[-1][0]):
+        self.waiting += len(self.runs[-1][0])
+        if self.waiting > max(self.known, self.PENDING):
             self._join()
 
     def keys(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """The original keys (not sorted) and their counts."""
-        while len(self.runs) > 1:
-            self._join()
+        self._join()
         high, low, count = self.runs[0]
         return *self.layout.invert(high, low), count

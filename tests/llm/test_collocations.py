@@ -39,7 +39,7 @@ def test_filters_merge_exactly(high, low, prefix_bits, shards, rng):
         for k, w in zip(keys, weight):
             total[k] += w
         h, l = lay.permute(np.array([k[0] for k in keys], np.uint64), np.array([k[1] for k in keys], np.uint64))
-        s = quotient.counted(h, l, np.array(weight, np.int64))
+        s = quotient.counted(h, l, np.array(weight, np.int64), low_bits=rng.choice([low, 64]))
         for p, data in quotient.segments(lay, prefix_bits, *s):
             mergers.setdefault(p, quotient.Merger(lay, prefix_bits)).add(data)
     got = Counter()
