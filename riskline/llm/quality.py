@@ -3,9 +3,12 @@
 Lines are normalised (white space collapsed, lower case) and hashed; for every host and
 line the distinct documents are counted, where rows with the same whole text count as one
 document, so that a group of exact copies does not look like boilerplate. Among the texts that hold
-such a line, near copies (Jaccard similarity of 5-word shingles as in ``neardup``) count once
-too, or every member of a large group of them would be depleted; ``near_copies=False`` counts
-distinct whole texts only. A line is boilerplate if at least ``min_docs`` documents and
+such a line, near copies (linked by a Jaccard similarity of 5-word shingles of GROUP_SIMILARITY
+or more) count once too, or every member of a large group of them would be depleted: text is
+boilerplate if it recurs in documents that differ otherwise. GROUP_SIMILARITY is 0.55, the
+similarity of two texts that share 1 - MIN_LEFT of their words; at 0.75, members of a group with
+many edits would be no copies and deplete those with few. ``near_copies=False`` counts distinct
+whole texts only. A line is boilerplate if at least ``min_docs`` documents and
 ``min_share`` of the host's distinct texts hold it, or ``enough_docs`` documents whatever the
 size of the host (None: the share always counts). Boilerplate lines are removed; a document that keeps less than ``min_left`` of its
 words is depleted and rejected, as are documents that fail the base rules.
@@ -21,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskline.llm.common import (SHINGLE_WORDS, SIMILARITY, SPACES, bounded, join_split, stored,
+from riskline.llm.common import (SHINGLE_WORDS, SPACES, bounded, join_split, stored,
                                  text_or_empty, words)
 from riskline.llm.components import components
 
@@ -31,7 +34,9 @@ ENOUGH_DOCS = 200
 MIN_LEFT = 0.3
 MIN_WORDS = 50
 SYMBOLS = "[#*$%&|<>]"      # fixed by the contract
-BANDS = 16      # a pair at SIMILARITY shares none with probability of about 2e-6
+GROUP_SIMILARITY = 0.55
+BANDS = 16      # two minima each: a pair at 0.55 shares none with probability 0.003, at 0.75 2e-6
+FIRST_REPS, MORE_REPS = 2, 6    # members of a bucket that all others are compared with, per pass
 
 
 def base_measures(docs: DataFrame) -> DataFrame:
@@ -99,12 +104,25 @@ def _shingles(w):
         F.array(F.xxhash64(F.array_join(w, " "))))
 
 
-def near_groups(docs: DataFrame, texts: DataFrame) -> DataFrame:
+def _links(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """Those (text_hash, rep) ``pairs`` whose full shingle sets reach ``similarity``."""
+    both = pairs.join(sets, "text_hash").join(
+        sets.select(F.col("text_hash").alias("rep"), F.col("s").alias("r")), "rep")
+    shared = both.select("text_hash", "rep", F.size(F.array_intersect("s", "r")).alias("n"),
+                         (F.size("s") + F.size("r")).alias("total"))
+    percent = round(100 * similarity)
+    return shared.filter(100 * F.col("n") >= percent * (F.col("total") - F.col("n"))).select("text_hash", "rep")
+
+
+def near_groups(docs: DataFrame, texts: DataFrame, similarity: float = GROUP_SIMILARITY) -> DataFrame:
     """text_hash, group of those ``texts`` (a written column text_hash) that are near copies.
 
-    Each band keeps the least shingle hash of two of 2 * BANDS classes of hashes. Texts with an
-    equal band are compared with the smallest of them on their full sets; components of the
-    links are the groups, so a text need not be like all of its group."""
+    Each band keeps the least shingle hash of two of 2 * BANDS classes of hashes; texts with an
+    equal band share a bucket. A pass compares every text of a bucket with a few members chosen
+    by hash, on their full sets, and joins what is linked; the next pass chooses others and
+    compares only texts of another group than theirs, until a pass finds no link. Passes cost
+    members times chosen ones, never all pairs. Components of the links are the groups, so a text
+    need not be like all of its group."""
     t = docs.select(text_or_empty().alias("t")).select(F.xxhash64("t").alias("text_hash"), "t") \
         .join(bounded(texts), "text_hash", "left_semi").dropDuplicates(["text_hash"])
     upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -115,17 +133,30 @@ def near_groups(docs: DataFrame, texts: DataFrame) -> DataFrame:
         .groupBy("text_hash", F.pmod(F.shiftright("x", 1), F.lit(BANDS)).alias("band")) \
         .agg(least(0).alias("a"), least(1).alias("b")) \
         .select("text_hash", F.xxhash64("band", F.coalesce("a", F.lit(0)), F.coalesce("b", F.lit(0))).alias("bucket"))
-    first = bands.groupBy("bucket").agg(F.min("text_hash").alias("first"), F.count(F.lit(1)).alias("n")) \
-        .filter("n > 1").drop("n")
-    pairs = join_split(bands, first, ["bucket"]).filter("text_hash <> first") \
-        .select("text_hash", "first").distinct()
-    both = pairs.join(sets, "text_hash").join(
-        sets.select(F.col("text_hash").alias("first"), F.col("s").alias("r")), "first")
-    shared = both.select("text_hash", "first", F.size(F.array_intersect("s", "r")).alias("n"),
-                         (F.size("s") + F.size("r")).alias("total"))
-    links = shared.filter(F.col("n") >= SIMILARITY * (F.col("total") - F.col("n")))
-    return components(links, "text_hash", "first").select(
-        F.col("node").alias("text_hash"), F.col("component").alias("group"))
+    shared = bands.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
+    members = stored(join_split(bands, shared, ["bucket"]), "near-buckets")
+    groups = stored(members.select("text_hash", F.col("text_hash").alias("group")).distinct(), "near-groups")
+    turn, n_links = 0, 1
+    while n_links:
+        seeds = range(100 * turn, 100 * turn + (FIRST_REPS if turn == 0 else MORE_REPS))
+        own = join_split(members, groups, ["text_hash"])
+        chosen = own.groupBy("bucket").agg(
+            F.min("group").alias("lo"), F.max("group").alias("hi"),
+            F.array_distinct(F.array(*[F.min_by(F.struct(F.col("text_hash").alias("rep"), F.col("group").alias("rep_group")),
+                                                F.xxhash64("text_hash", "bucket", F.lit(i))) for i in seeds])).alias("reps")) \
+            .filter("lo < hi").select("bucket", "reps")
+        pairs = join_split(own, chosen, ["bucket"]).select("text_hash", "group", F.explode("reps").alias("x")) \
+            .filter("group <> x.rep_group").select("text_hash", F.col("x.rep").alias("rep")).distinct()
+        links = stored(_links(pairs, sets, similarity), "near-links")
+        n_links = links.count()
+        if n_links:
+            to = groups.select(F.col("text_hash").alias("rep"), F.col("group").alias("rep_group"))
+            edges = join_split(join_split(links, groups, ["text_hash"]), to, ["rep"]).select("group", "rep_group")
+            joined = components(edges, "group", "rep_group").withColumnRenamed("node", "group")
+            groups = stored(join_split(groups, joined, ["group"], "left").select(
+                "text_hash", F.coalesce("component", "group").alias("group")), "near-groups")
+        turn += 1
+    return groups
 
 
 def boilerplate(docs: DataFrame, min_docs: int = MIN_DOCS, min_share: float = MIN_SHARE,
