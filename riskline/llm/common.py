@@ -14,8 +14,9 @@ SPACES = r"[\x20\x09-\x0D]+"
 SHINGLE_WORDS = 5
 SIMILARITY = 0.75
 
-# Rows of a side that is broadcast; beyond it the join is left to Spark's shuffle joins.
+# Rows and bytes of a side that is broadcast; beyond either the join is left to Spark's joins.
 BROADCAST_ROWS = 500_000
+BROADCAST_BYTES = 64 << 20
 
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
@@ -71,10 +72,14 @@ def kgrams(name: str, k: int) -> Column:
         F.array().cast("array<string>"))
 
 
-def bounded(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """``df`` (a written table) marked for broadcast if it has at most ``rows`` rows;
-    else unchanged, so that a shuffle join is planned."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+def bounded(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> DataFrame:
+    """``df`` (a written table) marked for broadcast if it has at most ``rows`` rows that hold at
+    most ``size`` bytes of text, binary and fixed-width values; else unchanged, so that a shuffle
+    join is planned."""
+    wide = [f.name for f in df.schema.fields if f.dataType.simpleString() in ("string", "binary")]
+    text = sum((F.coalesce(F.octet_length(c), F.lit(0)) for c in wide), F.lit(16 * len(df.columns)))
+    n, b = df.limit(rows + 1).agg(F.count(F.lit(1)), F.coalesce(F.sum(text.cast("long")), F.lit(0))).first()
+    return F.broadcast(df) if n <= rows and b <= size else df
 
 
 def rekey(df: DataFrame, *keys: str) -> DataFrame:
