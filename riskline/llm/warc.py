@@ -4,7 +4,7 @@ A payload is handled as rows (record identifier, chunk number, bytes) of at most
 digests and lengths are carried from chunk to chunk, so no step after the source row holds a
 whole record. Writing: one pass over the chunks gives each payload's length and SHA-1; equal
 payloads are resolved by a grouped maximum (the largest page_id is the response, the others
-revisit it); a header row per record and the chunk rows are dealt out by page_id, ordered and
+revisit it); a header row per record and the chunk rows are dealt out by page_id and payload, ordered and
 streamed into gzip members, one per record. Files are named by a fresh identifier per task
 attempt and count only if the attempt's rows reach the manifest, so retries and lost executors
 leave no half record. Reading: the manifest's segments (byte ranges of whole records) are
@@ -14,8 +14,8 @@ record carries its length and digest.
 Archives lie in the shared checkpoint folder and are reached by pyarrow's file systems (local
 and shared folders, hdfs, s3, gcs).
 
-Defined results: null payloads are empty; rows equal in page_id and payload are one record;
-a null page_id is written with an empty identifier and never is the target of a revisit;
+Defined results: null payloads are empty; rows equal in page_id and payload are a record each, of
+the same type; a null page_id is written with an empty identifier and never is the target of a revisit;
 an empty table gives empty archives and an empty result; page_id, url and html are read.
 """
 
@@ -50,14 +50,15 @@ def digest_text(h) -> str:
 
 
 def payload_chunks(pages: DataFrame, chunk: int = CHUNK) -> DataFrame:
-    """page_id, tag (hash of the payload), url, chunk_no, last, data."""
-    p = pages.select(F.col("page_id").cast("long").alias("page_id"),
+    """page_id, tag (hash of the payload), url, row, chunk_no, last, data. ``row`` tells rows apart
+    that are equal in page_id and payload."""
+    p = pages.select(F.monotonically_increasing_id().alias("row"), F.col("page_id").cast("long").alias("page_id"),
                      F.coalesce(F.col("url").cast("string"), F.lit("")).alias("url"),
                      F.coalesce(F.col("html").cast("string"), F.lit("")).cast("binary").alias("p"))
     n = F.greatest(F.ceil(F.octet_length("p") / chunk), F.lit(1)).cast("int")
     p = p.withColumn("tag", F.xxhash64("p")).withColumn("n", n)
-    p = p.select("page_id", "tag", "url", "p", "n", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("chunk_no"))
-    return p.select("page_id", "tag", "url", F.col("chunk_no").cast("long").alias("chunk_no"),
+    p = p.select("row", "page_id", "tag", "url", "p", "n", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("chunk_no"))
+    return p.select("page_id", "tag", "url", "row", F.col("chunk_no").cast("long").alias("chunk_no"),
                     (F.col("chunk_no") == F.col("n") - 1).alias("last"),
                     F.substring("p", F.col("chunk_no") * chunk + 1, F.lit(chunk)).alias("data"))
 
@@ -162,24 +163,25 @@ class _Writer:
 
 
 def _write(batches: Iterator[pa.RecordBatch], base: str) -> Iterator[pa.RecordBatch]:
-    """Rows ordered by page_id, tag, chunk_no; chunk -1 is the header."""
+    """Rows ordered by page_id, tag, row, chunk_no. Row -1 is the header of all records of its
+    page_id and tag; each chunk 0 begins one."""
     w = _Writer(base)
-    record, done, revisit = None, -1, False
+    header, begun = None, False
     for b in batches:
         data = b["data"]
         head = b.drop_columns(["data"]).to_pylist()
         for i, row in enumerate(head):
-            if row["chunk_no"] < 0:
-                if record != (row["page_id"], row["tag"]):
-                    if record is not None:
-                        w.end()
-                    record, done, revisit = (row["page_id"], row["tag"]), -1, row["record_type"] == "revisit"
-                    w.begin(_head(row))
-            elif row["chunk_no"] == done + 1:       # a repeated row's chunks come once
-                done += 1
-                if not revisit:
-                    w.chunk(data[i].as_buffer())
-    if record is not None:
+            if row["row"] < 0:
+                header = row
+                continue
+            if row["chunk_no"] == 0:
+                if begun:
+                    w.end()
+                w.begin(_head(header))
+                begun = True
+            if header["record_type"] != "revisit":
+                w.chunk(data[i].as_buffer())
+    if begun:
         w.end()
     w.close()
     if w.segments:
@@ -195,11 +197,13 @@ def write_archives(pages: DataFrame, base: str, min_revisit_bytes: int = 0) -> D
     chunks = payload_chunks(pages)
     heads = decide(chunks, min_revisit_bytes)
     none = lambda t: F.lit(None).cast(t)
-    rows = heads.select("page_id", "tag", F.lit(-1).cast("long").alias("chunk_no"), "record_type",
+    no = F.lit(-1).cast("long")
+    rows = heads.select("page_id", "tag", no.alias("row"), no.alias("chunk_no"), "record_type",
                         "payload_bytes", "payload_digest", "refers_to", "url", none("binary").alias("data")) \
-        .union(chunks.select("page_id", "tag", "chunk_no", none("string"), none("long"), none("string"),
+        .union(chunks.select("page_id", "tag", "row", "chunk_no", none("string"), none("long"), none("string"),
                              none("long"), none("string"), "data"))
-    dealt = rows.repartition("page_id").sortWithinPartitions("page_id", "tag", "chunk_no")
+    # by page and payload, so rows without a page_id are spread by their payloads
+    dealt = rows.repartition("page_id", "tag").sortWithinPartitions("page_id", "tag", "row", "chunk_no")
     return stored(dealt.mapInArrow(partial(_write, base=base), "name string, start long, end long"), "manifest")
 
 
