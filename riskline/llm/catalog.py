@@ -27,8 +27,7 @@ def tokenizer() -> tuple[str, str]:
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # as its SQL states them: documents are distinct whole texts, the share always counts
-    return quality.quality_rules(read_table(spark, sf_dir, "documents"), enough_docs=None, near_copies=False)
+    return quality.quality_rules(read_table(spark, sf_dir, "documents", ["doc_id", "text", "source"]))
 
 
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,7 +10,7 @@ PLAIN = rf"regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'
 
 def quality_sql() -> str:
     return rf"""
-WITH d AS (SELECT doc_id, coalesce(text, '') t, coalesce(source, chr(1)) host,
+WITH RECURSIVE d AS (SELECT doc_id, coalesce(text, '') t, coalesce(source, chr(1)) host,
                   regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') w FROM documents),
 win AS (SELECT doc_id, i, w[i] || ' ' || w[i+1] || ' ' || w[i+2] g
         FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) i FROM d WHERE len(w) >= 3)),
@@ -20,9 +20,23 @@ raw AS (SELECT doc_id, host, t, unnest(string_split(t, chr(10))) line FROM d),
 ln AS (SELECT doc_id, host, t, line, lower(trim(regexp_replace(line, '[\x20\x09-\x0D]+', ' ', 'g'))) n FROM raw
        WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
 dup AS (SELECT doc_id, count(*) - count(DISTINCT line) n FROM ln GROUP BY 1),
-freq AS (SELECT host, n, count(DISTINCT t) c FROM ln GROUP BY 1, 2 HAVING count(DISTINCT t) >= {quality.MIN_DOCS}),
 hosts AS (SELECT host, count(DISTINCT t) c FROM d GROUP BY 1),
-boil AS (SELECT f.host, f.n FROM freq f JOIN hosts h USING (host) WHERE f.c >= {quality.MIN_SHARE} * h.c),
+often AS MATERIALIZED (SELECT host, n FROM (SELECT host, n, count(DISTINCT t) c FROM ln GROUP BY 1, 2) f JOIN hosts h USING (host)
+          WHERE f.c >= {quality.MIN_DOCS} AND (f.c >= {quality.MIN_SHARE} * h.c OR f.c >= {quality.ENOUGH_DOCS})),
+held AS MATERIALIZED (SELECT DISTINCT host, n, t FROM ln JOIN often USING (host, n)),
+texts AS MATERIALIZED (SELECT row_number() OVER () id, t, regexp_extract_all(translate(t, '{UPPER}', '{LOWER}'), '[^\x20\x09-\x0D]+') w
+          FROM (SELECT DISTINCT t FROM held)),
+sh AS MATERIALIZED (SELECT DISTINCT id, array_to_string(w[i:i+4], ' ') s
+       FROM (SELECT id, w, unnest(range(1, greatest(len(w) - 3, 2))) i FROM texts)),
+sn AS (SELECT id, count(*) n FROM sh GROUP BY 1),
+pr AS (SELECT a.id a, b.id b, count(*) n FROM sh a JOIN sh b USING (s) WHERE a.id < b.id GROUP BY 1, 2),
+lk AS MATERIALIZED (SELECT a, b FROM pr JOIN sn x ON x.id = a JOIN sn y ON y.id = b WHERE 100 * pr.n >= {round(100 * quality.GROUP_SIMILARITY)} * (x.n + y.n - pr.n)),
+sy AS MATERIALIZED (SELECT a, b FROM lk UNION ALL SELECT b, a FROM lk),
+reach(id, x) AS (SELECT id, id FROM texts UNION SELECT reach.id, sy.b FROM reach JOIN sy ON reach.x = sy.a),
+grp AS (SELECT t, min(x) g FROM reach JOIN texts USING (id) GROUP BY t),
+freq AS (SELECT host, n, count(DISTINCT g) c FROM held JOIN grp USING (t) GROUP BY 1, 2),
+boil AS (SELECT f.host, f.n FROM freq f JOIN hosts h USING (host) WHERE f.c >= {quality.MIN_DOCS}
+         AND (f.c >= {quality.MIN_SHARE} * h.c OR f.c >= {quality.ENOUGH_DOCS})),
 gone AS (SELECT doc_id, sum(len(string_split(n, ' '))) g FROM ln JOIN boil USING (host, n) GROUP BY 1),
 b AS (SELECT d.doc_id, len(w) n_words, length(array_to_string(w, '')) word_chars,
              length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) n_symbols,
@@ -40,11 +54,13 @@ def decontamination_sql() -> str:
     return rf"""
 WITH iw AS (SELECT item_id, {PLAIN} w FROM benchmark),
 its AS (SELECT DISTINCT item_id, array_to_string(w[i:i+4], ' ') s
-        FROM (SELECT item_id, w, unnest(range(1, len(w) - 3)) i FROM iw WHERE len(w) >= 5)),
+        FROM (SELECT item_id, w, unnest(range(1, len(w) - 3)) i FROM iw WHERE len(w) >= 5)
+        UNION SELECT item_id, array_to_string(w, ' ') FROM iw WHERE len(w) BETWEEN 1 AND 4),
 n AS (SELECT item_id, count(*) n_item FROM its GROUP BY 1),
 dw AS (SELECT doc_id, {PLAIN} w FROM documents),
-ds AS (SELECT DISTINCT doc_id, array_to_string(w[i:i+4], ' ') s
-       FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) i FROM dw WHERE len(w) >= 5)),
+ks AS (SELECT 5 k UNION SELECT len(w) FROM iw WHERE len(w) BETWEEN 1 AND 4),
+ds AS (SELECT DISTINCT doc_id, array_to_string(w[i:i+k-1], ' ') s
+       FROM (SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) i FROM dw, ks WHERE len(w) >= k)),
 m AS (SELECT doc_id, item_id, count(*) n_shared FROM ds JOIN its USING (s) GROUP BY 1, 2)
 SELECT doc_id, item_id, n_item, n_shared, round(n_shared / n_item, 6) containment
 FROM m JOIN n USING (item_id) WHERE 4 * n_shared >= 3 * n_item"""
@@ -59,27 +75,31 @@ def license_sql() -> str:
         slack = 0 if base else max(1, len(w) // 6)
         rows += [f"({t},'{label}',{str(base).lower()},{n},{slack},'{' '.join(w[q:q + licenses.K])}',{q})"
                  for q in range(n)]
-    found = f"(base AND cover = 1 OR NOT base AND cover >= {licenses.MIN_COVER})"
+    tell = [f"({t},{x})" for t, sets in licenses.telling_places().items() for x in sets]
+    found = f"(base AND cover = 1 OR NOT base AND cover >= {licenses.MIN_COVER} AND told)"
     names = "coalesce(array_to_string(list_sort(list(DISTINCT label) FILTER ({})), ','), '')"
     return rf"""
 WITH t(template, label, base, n_grams, slack, gram, q) AS (VALUES {', '.join(rows)}),
-d AS (SELECT doc_id, {PLAIN} w FROM documents),
-g AS (SELECT doc_id, i - 1 p, w[i] || ' ' || w[i+1] || ' ' || w[i+2] gram
-      FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) i FROM d WHERE len(w) >= 3)),
-v AS (SELECT doc_id, template, label, base, n_grams, slack, p - q diagonal, q FROM g JOIN t USING (gram)),
+tell(template, places) AS (VALUES {', '.join(tell)}),
+d AS MATERIALIZED (SELECT row_number() OVER () row, doc_id, {PLAIN} w FROM documents),
+g AS (SELECT row, i - 1 p, w[i] || ' ' || w[i+1] || ' ' || w[i+2] gram
+      FROM (SELECT row, w, unnest(range(1, len(w) - 1)) i FROM d WHERE len(w) >= 3)),
+v AS (SELECT row, template, label, base, n_grams, slack, p - q diagonal, q FROM g JOIN t USING (gram)),
 o AS (SELECT *, coalesce(diagonal - lag(diagonal) OVER x > slack, true)::INT new FROM v
-      WINDOW x AS (PARTITION BY doc_id, template ORDER BY diagonal, q)),
-s AS (SELECT *, sum(new) OVER (PARTITION BY doc_id, template ORDER BY diagonal, q) span FROM o),
-c AS (SELECT doc_id, label, base, min(diagonal) first_word, count(DISTINCT q) / n_grams cover
-      FROM s GROUP BY doc_id, template, label, base, n_grams, span),
-h AS (SELECT doc_id, count(*) FILTER (base AND cover = 1) n_base,
+      WINDOW x AS (PARTITION BY row, template ORDER BY diagonal, q)),
+s AS (SELECT *, sum(new) OVER (PARTITION BY row, template ORDER BY diagonal, q) span FROM o),
+e AS MATERIALIZED (SELECT row, template, label, base, span, min(diagonal) first_word, list(DISTINCT q) places,
+             count(DISTINCT q) / n_grams cover FROM s GROUP BY row, template, label, base, n_grams, span),
+missed AS (SELECT DISTINCT row, template, span FROM e JOIN tell USING (template) WHERE NOT list_has_any(tell.places, e.places)),
+c AS (SELECT e.*, missed.row IS NULL told FROM e LEFT JOIN missed USING (row, template, span)),
+h AS (SELECT row, count(*) FILTER (base AND cover = 1) n_base,
              min(first_word) FILTER (base AND cover = 1) first_word,
              max(first_word) FILTER (base AND cover = 1) last_word,
              {names.format('base AND cover = 1')} base_labels, {names.format(found)} labels,
              round(max(cover), 6) score FROM c GROUP BY 1)
 SELECT doc_id, len(w) n_words, coalesce(n_base, 0) n_base, first_word, last_word,
        coalesce(base_labels, '') base_labels, coalesce(labels, '') labels, coalesce(score, 0.0) score
-FROM d LEFT JOIN h USING (doc_id)"""
+FROM d LEFT JOIN h USING (row)"""
 
 
 WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
