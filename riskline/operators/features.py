@@ -21,13 +21,14 @@ from a per-(user, bucket) max table, which has at most one row per user and buck
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskline.config import FeatureConfig
 from riskline.functions.exprs import MICROS
+from riskline.operators import dominance
+from riskline.operators.ordinal import global_prefix_sums
+from riskline.session import written
 
 _B, _HOME = "_bucket", "_home"
 
@@ -155,138 +156,90 @@ def arrival_velocity(df: DataFrame, window_s: int, *, user: str = "user_id",
     return rows.withColumn(out, in_window(spec)).filter(F.col(_HOME)).drop(_B, _HOME)
 
 
-def _arrival_order(cfg: FeatureConfig):
-    """mapInPandas function over rows sorted by (user, bucket). In each such group events enter
-    in the order of arrival, and every home row asks for what has entered by then. Entered rows
-    are kept in trees over the ranks of their event times, so a question costs a logarithm of
-    the group's size."""
-    windows, stats = [w * MICROS for w in cfg.count_windows_s], cfg.stats_window_s * MICROS
-
-    names = ["event_id", *[f"velocity_{w}s" for w in cfg.count_windows_s], "sum", "max", "prev_us"]
-
-    def answer(pdf: pd.DataFrame) -> list[tuple]:
-        ids = pdf["event_id"].to_numpy()
-        ts, arrival, cents = (pdf[c].to_numpy(np.int64) for c in ("us", "created_us", "cents"))
-        home, older = pdf["_home"].to_numpy(), pdf["_prev_before"].to_numpy()
-        order = np.argsort(ts, kind="stable")
-        times, rank = ts[order], np.empty(len(ts), np.int64)
-        rank[order] = np.arange(len(ts))
-        size = 1 << max(1, (len(ts)).bit_length())
-        count, total, best = [0] * (2 * size), [0] * (2 * size), [0] * (2 * size)
-
-        def enter(i: int) -> None:
-            at = size + int(rank[i])
-            while at:
-                count[at] += 1
-                total[at] += int(cents[i])
-                best[at] = max(best[at], int(cents[i]))
-                at //= 2
-
-        def below(hi: int) -> tuple[int, int]:
-            """Number and sum of the entered rows of rank < hi."""
-            n = t = 0
-            at = size + hi
-            while at > 1:
-                if at & 1:
-                    n += count[at - 1]
-                    t += total[at - 1]
-                at //= 2
-            return n, t
-
-        def largest(lo: int, hi: int) -> int:
-            m, lo, hi = 0, lo + size, hi + size
-            while lo < hi:
-                if lo & 1:
-                    m, lo = max(m, best[lo]), lo + 1
-                if hi & 1:
-                    hi -= 1
-                    m = max(m, best[hi])
-                lo, hi = lo // 2, hi // 2
-            return m
-
-        def nth(k: int) -> int:
-            """Rank of the k-th entered row (from 1)."""
-            at = 1
-            while at < size:
-                at *= 2
-                if count[at] < k:
-                    k -= count[at]
-                    at += 1
-            return at - size
-
-        up_to = np.searchsorted(times, ts, "right")
-        before = np.searchsorted(times, ts, "left")
-        starts = [np.searchsorted(times, ts - w, "right") for w in (*windows, stats)]
-        rows, queue = [], np.argsort(arrival, kind="stable")
-        at = 0
-        while at < len(queue):
-            end = at
-            while end < len(queue) and arrival[queue[end]] == arrival[queue[at]]:
-                enter(queue[end])
-                end += 1
-            for i in queue[at:end]:
-                if home[i]:
-                    n, t = below(int(up_to[i]))
-                    lo = int(starts[-1][i])
-                    k = below(int(before[i]))[0]
-                    prev = int(times[nth(k)]) if k else older[i]
-                    rows.append((ids[i], *[n - below(int(x[i]))[0] for x in starts[:-1]],
-                                 t - below(lo)[1], largest(lo, int(up_to[i])),
-                                 None if prev is None or prev != prev else int(prev)))
-            at = end
-        return rows
-
-    def run(batches):
-        open_group: list[pd.DataFrame] = []      # parts of the group that may go on
-        for pdf in batches:
-            user, bucket = pdf.iloc[:, 0].to_numpy(), pdf["_bucket"].to_numpy()
-            cuts = np.flatnonzero((user[1:] != user[:-1]) | (bucket[1:] != bucket[:-1])) + 1
-            rows: list[tuple] = []
-            for lo, hi in zip([0, *cuts], [*cuts, len(pdf)]):
-                last = open_group[-1] if open_group else None
-                if last is not None and (last.iat[0, 0], last["_bucket"].iat[0]) != (user[lo], bucket[lo]):
-                    rows += answer(pd.concat(open_group, ignore_index=True))
-                    open_group = []
-                open_group.append(pdf.iloc[lo:hi])
-            if rows:
-                yield pd.DataFrame(rows, columns=names).astype({"prev_us": "Int64"})
-        if open_group:
-            yield pd.DataFrame(answer(pd.concat(open_group, ignore_index=True)),
-                               columns=names).astype({"prev_us": "Int64"})
-
-    return run
-
-
-def arrival_features(df: DataFrame, *, user: str = "user_id", cfg: FeatureConfig = FeatureConfig()
-                     ) -> DataFrame:
-    """T4: the as-of aggregates an online service sees: of the events up to ``us``, only those
-    that had arrived (``created_us``) when the event itself arrived.
+def reachable(history: DataFrame, probes: DataFrame, width_us: int, *, user: str = "user_id",
+              time_us: str = "created_us") -> DataFrame:
+    """The rows of ``history`` within ``width_us`` before a row of ``probes`` of the same user, or
+    nearly so: time is cut into bins of that width, and a probe asks for its own bin and the one
+    before. The probes' least and greatest times bound the scan (the filter reaches Parquet's
+    row groups), their (user, bin) pairs what leaves it, so the cost is that of the probes'
+    windows, not of the store."""
+    def bin_of(t: Column) -> Column:
+        return F.floor(t / F.lit(width_us)).cast("long")
+
+    wanted = probes.select(F.col(user).alias("_u"), F.explode(F.array(
+        bin_of(F.col(time_us)), bin_of(F.col(time_us)) - 1)).alias("_b")).distinct()
+    ends = probes.agg(F.min(time_us).alias("lo"), F.max(time_us).alias("hi"))
+    t = F.col(time_us)
+    cut = history.filter((t >= ends.select(F.col("lo") - F.lit(width_us)).scalar()) & (t <= ends.select("hi").scalar()))
+    return cut.join(wanted, cut[user].eqNullSafe(F.col("_u")) & (bin_of(cut[time_us]) == F.col("_b")), "left_semi")
 
-    Two times bound each answer, which no window frame expresses; rows are dealt by (user,
-    time bucket) like the other features and answered in the order of arrival. An event more
-    than a whole bucket older than its reader counts as arrived.
+
+def arrival_features(df: DataFrame, *, user: str = "user_id", cfg: FeatureConfig = FeatureConfig(),
+                     leaf_bits: int = dominance.LEAF_BITS, fan_bits: int = dominance.FAN_BITS) -> DataFrame:
+    """T4: the as-of aggregates an online service sees: of the events up to ``us``, only those
+    that had arrived (``created_us``) when the event itself arrived, however late they were.
+
+    Two times bound each answer, which no window frame expresses. Events get their place in the
+    global order (user, time); the ends of every window are places too, found by running counts
+    over events and window ends in that same order. What had arrived of a range of places is
+    answered by :mod:`riskline.operators.dominance`. The previous event is first looked for in
+    the leaf before the event's own time, and only where that holds none that had arrived, up to
+    the user's first event. No step groups by user.
     """
-    bucket_us = cfg.bucket_s * MICROS
-    reach = max(max(cfg.count_windows_s), cfg.stats_window_s) * MICROS
-    rows = df.filter("us IS NOT NULL AND created_us IS NOT NULL").select(
-        "event_id", user, "us", "created_us",
+    spans = sorted({w * MICROS for w in (*cfg.count_windows_s, cfg.stats_window_s)})
+    rows = written(df.withColumn("_row", F.monotonically_increasing_id()), "arrivals")
+    timed = rows.filter("us IS NOT NULL AND created_us IS NOT NULL").select(
+        "_row", F.col(user).alias("_user"), "us", F.col("created_us").alias("arrival"),
         F.coalesce(F.col("amount") * 100, F.lit(0)).cast("bigint").alias("cents"))
-    bucket = F.floor(F.col("us") / F.lit(bucket_us)).cast("bigint")
-    per = rows.groupBy(user, bucket.alias(_B)).agg(F.max("us").alias("_last"))
-    # what lies before the replicated tail: buckets up to the last but one
-    older = per.select(user, _B, F.max("_last").over(
-        Window.partitionBy(user).orderBy(_B).rangeBetween(Window.unboundedPreceding, -2))
-        .alias("_prev_before"))
-    dealt = _bucketed(rows, user, "us", bucket_us, max(reach, bucket_us)).join(older, [user, _B])
-    counts = ", ".join(f"velocity_{w}s long" for w in cfg.count_windows_s)
-    got = dealt.select(user, _B, "event_id", "us", "created_us", "cents", _HOME, "_prev_before") \
-        .repartition(user, _B).sortWithinPartitions(user, _B).mapInPandas(
-        _arrival_order(cfg), f"event_id string, {counts}, sum long, max long, prev_us long")
+
+    def mark(name: str, time: Column, side: int) -> Column:
+        """A row in the order: before (0), among (1) or behind (2) the events of its time."""
+        own = name == "pos"
+        return F.struct(F.lit(name).alias("_mark"), time.alias("_time"), F.lit(side).alias("_side"),
+                        *[(F.col(c) if own else F.lit(None).cast("long")).alias(c) for c in ("us", "arrival", "cents")])
+
+    marks = [mark("pos", F.col("us"), 1), mark("start", F.lit(None).cast("long"), 0),
+             mark("before", F.col("us"), 0), mark("hi", F.col("us"), 2)]
+    marks += [mark(f"lo{w}", F.col("us") - F.lit(w), 2) for w in spans]
+    order = timed.select("_row", "_user", F.explode(F.array(*marks)).alias("m")).select("_row", "_user", "m.*")
+    counted = global_prefix_sums(order, ["_user", "_time", "_side", "_row", "_mark"],
+                                 {"_n": (F.col("_mark") == "pos").cast("long")})
+    at = lambda name: F.max(F.when(F.col("_mark") == name, F.col("_n")))
+    placed = written(counted.groupBy("_row").agg(
+        (at("pos") - 1).alias("pos"), *[at(m).alias(m) for m in ("start", "before", "hi", *[f"lo{w}" for w in spans])],
+        *[F.max(c).alias(c) for c in ("us", "arrival", "cents")]), "places")
+    n = placed.count()
+
+    def answers(asked: DataFrame) -> DataFrame:
+        return dominance.range_values(placed, written(asked, "pieces"), leaf_bits=leaf_bits, fan_bits=fan_bits)
+
+    ranges = F.array(*[F.struct(F.lit(i).alias("_which"), F.col(f"lo{w}").alias("lo"), "hi") for i, w in enumerate(spans)])
+    windows = placed.select("_row", "arrival", F.explode(ranges).alias("r")).select("_row", "arrival", "r.*")
+    prev = F.lit(-1)
+    leaf = F.shiftright(F.col("before") - 1, leaf_bits)
+    base = F.shiftleft(leaf, leaf_bits)
+    near = placed.filter("before > start").select(
+        "_row", prev.alias("_which"), "arrival", F.lit(0).alias("tier"), leaf.alias("node"),
+        (F.greatest("start", base) - base).cast("int").alias("c1"), (F.col("before") - base).cast("int").alias("c2"))
+    asked = dominance.pieces(windows, n, leaf_bits, fan_bits)
+    got = answers(asked.unionByName(near))
+    value = lambda f, i, c: f(F.when(F.col("_which") == i, F.col(c)))
+    stats = spans.index(cfg.stats_window_s * MICROS)
+    got = written(got.groupBy("_row").agg(
+        *[value(F.sum, spans.index(w * MICROS), "n").alias(f"velocity_{w}s") for w in cfg.count_windows_s],
+        value(F.sum, stats, "total").alias("_sum"), value(F.max, stats, "largest").alias("_max"),
+        F.nullif(value(F.max, -1, "latest"), F.lit(dominance.NONE)).alias("_near")), "answers")
+    # none in the leaf that had arrived: the rest of the user's events
+    far = placed.filter("before > start").join(got.filter("_near IS NULL").select("_row"), "_row").select(
+        "_row", prev.alias("_which"), "arrival", F.col("start").alias("lo"), base.alias("hi")).filter("lo < hi")
+    older = answers(dominance.pieces(far, n, leaf_bits, fan_bits)).groupBy("_row").agg(
+        F.nullif(F.max("latest"), F.lit(dominance.NONE)).alias("_far"))
     money = lambda c, t: (F.col(c).cast("decimal(28,0)") / 100).cast(t)
-    got = got.select("event_id", *[f"velocity_{w}s" for w in cfg.count_windows_s],
-                     money("sum", "decimal(28,2)").alias(f"user_amt_sum_{cfg.stats_window_s}s"),
-                     money("max", "decimal(18,2)").alias(f"user_amt_max_{cfg.stats_window_s}s"), "prev_us")
-    out = df.join(got, "event_id", "left")
+    s = cfg.stats_window_s
+    got = got.join(older, "_row", "left").select(
+        "_row", *[f"velocity_{w}s" for w in cfg.count_windows_s], money("_sum", "decimal(28,2)").alias(f"user_amt_sum_{s}s"),
+        money("_max", "decimal(18,2)").alias(f"user_amt_max_{s}s"), F.coalesce("_near", "_far").alias("prev_us"))
+    out = rows.join(got, "_row", "left").drop("_row")
     return out.withColumn("secs_since_prev", F.when(F.col("prev_us").isNull(), F.lit(-1.0)).otherwise(
         (F.col("us") - F.col("prev_us")).cast("double") / MICROS))
 

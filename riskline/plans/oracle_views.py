@@ -37,6 +37,11 @@ SELECT t.*, CASE concat(lower(product_code), '+', lower(card_network))
   ELSE concat('merchant_', product_code, '_', card_network) END AS merchant
 FROM txn t""")
 
+view("late_txn", ("txn_m",), """
+SELECT * REPLACE (CASE WHEN event_no % 3 = 0 THEN 'hot' ELSE user_id END AS user_id,
+  created_us + CASE WHEN event_no % 50 = 10 THEN 259200000000 WHEN event_no % 70 = 20 THEN 93600000000 ELSE 0 END
+    AS created_us) FROM txn_m""")
+
 view("raw_txn", ("txn_m",), """
 SELECT event_id, event_no, correlation_id,
   CASE WHEN event_no % 97 = 1 THEN '' ELSE user_id END AS user_id,
@@ -178,7 +183,7 @@ SELECT f.flag_id, f.event_id, e.correlation_id, f.user_id, e.amount, e.currency,
 FROM flags f JOIN txn_m e ON f.event_id = e.event_id""")
 
 
-def _features_sql() -> str:
+def _features_sql(src: str = "txn_m") -> str:
     def frame(s: int) -> str:
         return f"RANGE BETWEEN {s * 1_000_000 - 1} PRECEDING AND CURRENT ROW"
 
@@ -193,22 +198,23 @@ SELECT event_id, user_id, us, CAST(amount AS DOUBLE) AS amount,
   CAST(coalesce(max(amount) OVER ({w} {frame(3600)}), 0) AS DOUBLE) AS user_amt_max_3600s,
   lower(currency) AS currency, product_code, card_network, lower(merchant) AS merchant,
   email_domain, label
-FROM txn_m WHERE us IS NOT NULL"""
+FROM {src} WHERE us IS NOT NULL"""
 
 
 view("features", ("txn_m",), _features_sql())
+view("late_features", ("late_txn",), _features_sql("late_txn"))
 
-view("arrival_features", ("txn_m",), """
+view("arrival_features", ("late_txn",), """
 SELECT e.event_id, e.user_id, e.us, CAST(e.amount AS DOUBLE) AS amount, velocity_60s, velocity_3600s, velocity_86400s,
   coalesce(CAST(e.us - a.prev AS DOUBLE) / 1000000, -1.0) AS secs_since_prev,
   CAST(coalesce(a.s, 0) AS DOUBLE) AS user_amt_sum_3600s, CAST(coalesce(a.m, 0) AS DOUBLE) AS user_amt_max_3600s,
   lower(e.currency) AS currency, e.product_code, e.card_network, lower(e.merchant) AS merchant, e.email_domain, e.label
-FROM txn_m e JOIN (
+FROM late_txn e JOIN (
   SELECT e.event_id, count(*) FILTER (x.us > e.us - 60000000) AS velocity_60s,
     count(*) FILTER (x.us > e.us - 3600000000) AS velocity_3600s,
     count(*) FILTER (x.us > e.us - 86400000000) AS velocity_86400s, max(x.us) FILTER (x.us < e.us) AS prev,
     sum(x.amount) FILTER (x.us > e.us - 3600000000) AS s, max(x.amount) FILTER (x.us > e.us - 3600000000) AS m
-  FROM txn_m e JOIN txn_m x ON x.user_id = e.user_id AND x.us <= e.us AND x.created_us <= e.created_us
+  FROM late_txn e JOIN late_txn x ON x.user_id = e.user_id AND x.us <= e.us AND x.created_us <= e.created_us
   GROUP BY e.event_id) a ON a.event_id = e.event_id""")
 
 view("txn_meta", ("txn_m",), """
@@ -250,8 +256,10 @@ FROM (SELECT *, row_number() OVER (ORDER BY us, event_id) - 1 AS rn,
 # --- wire fixtures (twins of riskline.sources.wire) -----------------------------------
 view("wire_events", ("txn_m",), """
 SELECT event_id, event_no, correlation_id, created_us,
-  CASE WHEN event_no % 89 = 10 THEN '[]' ELSE '{"event_id":"' || event_id || '","user_id":"' || user_id || '","amount":'
-  || CASE event_no % 89 WHEN 7 THEN '0.00' WHEN 8 THEN '"5"' WHEN 13 THEN '100000000000000000'
+  CASE WHEN event_no % 89 = 10 THEN '[]' ELSE '{"event_id":' || CASE WHEN event_no % 89 = 14 THEN CAST(event_no AS VARCHAR) ELSE '"' || event_id || '"' END
+  || CASE event_no % 89 WHEN 15 THEN ',"User_ID":"' WHEN 16 THEN ',"USER_ID":"zzz","user_id":"' ELSE ',"user_id":"' END
+  || user_id || '","amount":'
+  || CASE event_no % 89 WHEN 7 THEN '0.00' WHEN 8 THEN '"5"' WHEN 13 THEN '100000000000000000' WHEN 17 THEN '1e400'
           ELSE CAST(amount AS VARCHAR) END
   || ',"currency":"' || currency || '","merchant":"' || merchant
   || '","timestamp":"' || CASE event_no % 89 WHEN 9 THEN 'yesterday'
@@ -262,7 +270,7 @@ SELECT event_id, event_no, correlation_id, created_us,
   || '","email_domain":"' || email_domain || '"}'
   || CASE WHEN event_no % 997 = 0 THEN ',"pad":"' || repeat('x', 300000) || '"'
           WHEN event_no % 997 = 1 THEN ',"pad":"' || repeat('x', 250000) || '"' ELSE '' END
-  || '}' END AS payload
+  || '}' || CASE WHEN event_no % 89 = 18 THEN ' x' ELSE '' END END AS payload
 FROM txn_m""")
 
 view("built_envelopes", ("wire_events",), """
@@ -306,13 +314,15 @@ FROM envelopes e LEFT JOIN objects o ON e.payload_mode = 'S3' AND e.s3_key = o.k
 view("parsed", ("resolved",), """
 SELECT r.* EXCLUDE (sound, typed, ts), CASE WHEN fetch_error IS NULL THEN sha256(payload) = payload_sha256 END AS hash_ok,
   CASE WHEN fetch_error IS NULL AND sha256(payload) = payload_sha256 THEN typed END AS parse_ok,
-  CASE WHEN typed THEN payload->>'$.user_id' END AS p_user_id,
+  CASE WHEN typed THEN regexp_extract_all(left(payload, 2000), '"(?i:user_id)":"([^"]*)"', 1)[-1] END AS p_user_id,
   CASE WHEN typed THEN TRY_CAST(payload->>'$.amount' AS DOUBLE) END AS p_amount,
   CASE WHEN typed THEN payload->>'$.currency' END AS p_currency,
   CASE WHEN typed THEN payload->>'$.merchant' END AS p_merchant,
   CASE WHEN typed THEN epoch_us(ts) END AS p_us,
   CASE WHEN typed THEN CAST(len(json_keys(payload->'$.metadata')) AS INTEGER) END AS p_metadata_keys
 FROM (SELECT *, CASE WHEN NOT sound THEN false ELSE json_type(payload) = 'OBJECT'
+        AND coalesce(json_type(payload, '$.event_id') = 'VARCHAR', true)
+        AND coalesce(isfinite(TRY_CAST(payload->>'$.amount' AS DOUBLE)), true)
         AND coalesce(json_type(payload, '$.amount') IN ('DOUBLE', 'BIGINT', 'UBIGINT'), true) AND ts IS NOT NULL END AS typed
       FROM (SELECT *, CASE WHEN sound THEN TRY_CAST(payload->>'$.timestamp' AS TIMESTAMPTZ) END AS ts
             FROM (SELECT *, fetch_error IS NULL AND sha256(payload) = payload_sha256 AND json_valid(payload) AS sound

@@ -64,6 +64,15 @@ def txn_m(spark: SparkSession, sf_dir: str) -> DataFrame:
     return t.withColumn("merchant", merchant_expr(F.col("product_code"), F.col("card_network")))
 
 
+def late_txn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """txn_m with a hot user (a third of all events) and events that arrive days after their
+    time, for the features an online service sees."""
+    n = F.col("event_no")
+    late = F.when(n % 50 == 10, F.lit(3 * 86_400_000_000)).when(n % 70 == 20, F.lit(26 * 3_600_000_000)).otherwise(F.lit(0))
+    return txn_m(spark, sf_dir).withColumn("user_id", F.when(n % 3 == 0, F.lit("hot")).otherwise(F.col("user_id"))) \
+        .withColumn("created_us", F.col("created_us") + late)
+
+
 def raw_txn(spark: SparkSession, sf_dir: str) -> DataFrame:
     """txn_m with one invalid field per residue 1..7 of ``event_no % 97`` and an
     over-long currency at residue 8."""

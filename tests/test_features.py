@@ -116,3 +116,36 @@ def test_arrival_features_equal_brute_force(spark):
         own = [x[4] for x in seen if x[2] > r["us"] - 3600 * 10**6]
         assert (float(r["user_amt_sum_3600s"]), float(r["user_amt_max_3600s"])) == (sum(own), max(own))
         assert r["prev_us"] == max((x[2] for x in seen if x[2] < r["us"]), default=None)
+
+
+@pytest.mark.parametrize("bits", [(12, 6), (2, 1), (3, 2)])
+def test_arrival_features_days_late_and_hot_user(spark, bits):
+    """Lateness of days, ties in both times, a hot user and repeated rows; small trees make the
+    ranges cross leaves and several tiers of nodes."""
+    import numpy as np
+
+    from riskline.operators.features import arrival_features
+
+    rng = np.random.default_rng(7)
+    n = 400
+    us = np.sort(rng.integers(0, 6 * 86_400, n) // 40 * 40) * 10**6
+    late = np.where(rng.random(n) < 0.4, rng.integers(0, 5 * 86_400, n), 0) // 60 * 60 * 10**6
+    amt = rng.integers(1, 999, n)
+    rows = [(f"e{i}", "hot" if i % 3 else f"u{i % 7}", int(t), int(t + d), int(a))
+            for i, (t, d, a) in enumerate(zip(us, late, amt))]
+    # the case of a previous event that had not arrived yet
+    day = 86_400 * 10**6
+    rows += [("A", "x", 0, 5 * day, 5), ("B", "x", 3 * day, 3 * day, 7), ("C", None, 5, 6, 1), ("D", None, 9, 9, 1)]
+    df = spark.createDataFrame(rows + [("N", "x", None, 5, 1), ("M", "x", 5, None, 1)],
+                               "event_id string, user_id string, us long, created_us long, amount int") \
+        .withColumn("amount", F.col("amount").cast("decimal(18,2)"))
+    got = {r["event_id"]: r for r in arrival_features(df, leaf_bits=bits[0], fan_bits=bits[1]).collect()}
+    assert len(got) == len(rows) + 2 and got["N"]["velocity_60s"] is None and got["B"]["secs_since_prev"] == -1.0
+    for e, u, t, a, _ in rows:
+        r = got[e]
+        seen = [x for x in rows if x[1] == u and x[2] <= t and x[3] <= a]
+        for w in (60, 3600, 86400):
+            assert r[f"velocity_{w}s"] == sum(x[2] > t - w * 10**6 for x in seen), e
+        own = [x[4] for x in seen if x[2] > t - 3600 * 10**6]
+        assert (float(r["user_amt_sum_3600s"]), float(r["user_amt_max_3600s"])) == (sum(own), max(own))
+        assert r["prev_us"] == max((x[2] for x in seen if x[2] < t), default=None), e
