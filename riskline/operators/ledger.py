@@ -33,14 +33,14 @@ def _fold_sorted(lease_s: int):
 
         cols = ["event_id", "status", "first_seen_us", "last_seen_us", "attempts",
                 "error_reason", "claims", "receives"]
-        key, state, claims, receives = None, None, 0, 0
+        key, state, claims, receives = None, None, 0, 0     # no state: no event yet
         for pdf in batches:
             out = []
             for eid, rec, outcome in zip(pdf["event_id"].tolist(),
                                          pdf["received_us"].tolist(),
                                          pdf["outcome"].tolist()):
-                if eid != key:
-                    if key is not None:
+                if state is None or eid != key:
+                    if state is not None:
                         out.append((key, *state, claims, receives))
                     key, state, claims, receives = eid, None, 0, 0
                 state, claimed = _step(state, int(rec), outcome, lease_us)
@@ -48,7 +48,7 @@ def _fold_sorted(lease_s: int):
                 receives += 1
             if out:
                 yield pd.DataFrame(out, columns=cols)
-        if key is not None:
+        if state is not None:
             yield pd.DataFrame([(key, *state, claims, receives)], columns=cols)
 
     return run
@@ -60,7 +60,8 @@ def claim_ledger(deliveries: DataFrame, lease_s: int = LEASE_S) -> DataFrame:
     new -> claim; success -> skip; processing younger than the lease -> skip; stale
     processing or failed -> reclaim with attempts + 1. Processing of a claimed delivery
     is taken as instantaneous: its outcome is applied at ``received_us``. A null outcome is
-    a non-retryable failure with the reason ``unknown``.
+    a non-retryable failure with the reason ``unknown``. Deliveries without an event id share
+    one claim (the reference's empty id), with a null event_id.
     Output: event_id, status, first_seen_us, last_seen_us, attempts, error_reason,
     claims (deliveries that were claimed), receives (all deliveries).
     """
@@ -77,7 +78,8 @@ def claim_ledger(deliveries: DataFrame, lease_s: int = LEASE_S) -> DataFrame:
         F.col("_first.received_us").alias("last_seen_us"),
         F.lit(1).alias("attempts"), F.lit(None).cast("string").alias("error_reason"),
         F.lit(1).cast("bigint").alias("claims"), F.col("receives").cast("bigint"))
-    folded = (d.join(summary.filter(~first_ok).select("event_id"), "event_id")
+    again = summary.filter(~first_ok).select(F.col("event_id").alias("_again"))
+    folded = (d.join(again, F.col("event_id").eqNullSafe(F.col("_again"))).drop("_again")
               .repartition("event_id")
               .sortWithinPartitions("event_id", "received_us", "delivery_no")
               .mapInPandas(_fold_sorted(lease_s), LEDGER_COLS))

@@ -12,8 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskline.config import RULE_ORDER, SERVICE_VERSION, RulesConfig
-from riskline.functions.exprs import fixed2, fixed4, flag_id, go_quote
-from riskline.operators.features import arrival_velocity
+from riskline.functions.exprs import MICROS, fixed2, fixed4, flag_id, go_quote
+from riskline.operators.features import arrival_velocity, reachable
 
 FLAG_TYPE = "struct<rule_name:string,rule_value:string>"
 
@@ -68,17 +68,20 @@ def ml_triple(cfg: RulesConfig, score: str = "ml_score",
 
 def with_velocity(events: DataFrame, cfg: RulesConfig, history: DataFrame | None = None,
                   skew_safe: bool = True) -> DataFrame:
-    """Attach the arrival-time velocity count (W1) the velocity rule reads."""
+    """Attach the arrival-time velocity count (W1) the velocity rule reads. Of ``history`` only
+    what the window of an event can reach is read (see :func:`reachable`); an event stored there
+    keeps its stored arrival if that lies within reach."""
     if not (cfg.velocity_window_seconds > 0 and cfg.velocity_max_count > 0):
         return events
     if history is None:
         return arrival_velocity(events, cfg.velocity_window_seconds, skew_safe=skew_safe)
     cols = ["event_id", "user_id", "created_us"]
     ids = events.select("event_id").distinct().withColumn("_probe", F.lit(True))
-    h = (history.select(*cols).join(ids, "event_id", "left")
-                .withColumn("_probe", F.coalesce("_probe", F.lit(False))))
+    near = reachable(history.select(*cols), events, cfg.velocity_window_seconds * MICROS)
+    h = (near.join(ids, "event_id", "left")
+             .withColumn("_probe", F.coalesce("_probe", F.lit(False))))
     new = (events.select(*cols).dropDuplicates(["event_id"])
-                 .join(history.select("event_id"), "event_id", "left_anti")
+                 .join(near.select("event_id"), "event_id", "left_anti")
                  .withColumn("_probe", F.lit(True)))
     counted = arrival_velocity(h.unionByName(new), cfg.velocity_window_seconds,
                                skew_safe=skew_safe).filter("_probe")

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from riskline.config import TEST_RULES as C
 from riskline.functions.exprs import from_micros, micros
 from riskline.operators import ingest as I
+from riskline.operators import keystore as KS
 from riskline.operators import ledger as L
 from riskline.operators import rules as R
 from riskline.operators import sinks as S
@@ -26,6 +27,13 @@ from riskline.sources import fixtures as fx
 from riskline.sources import wire
 from riskline.streaming import ledger_state as LS
 from riskline.streaming import queries as Q
+from riskline.streaming.online_features import online_features
+
+_DAY_US = 86_400_000_000
+
+
+def _day(us):
+    return F.floor(us / F.lit(_DAY_US)).cast("long")
 
 
 @register("stream_volume", with_views("""
@@ -50,12 +58,8 @@ def stream_volume(spark, sf_dir):
     return last.select(micros(F.col("w.start")).alias("window_start_us"), "n")
 
 
-@register("stream_claims", with_views(
-    "SELECT event_id, status, first_seen_us, last_seen_us, attempts, error_reason FROM ledger",
-    "ledger"))
-def stream_claims(spark, sf_dir):
-    """T2 streaming: the claim ledger as keyed state (applyInPandasWithState) over the
-    delivery stream in arrival order; the final state per event equals the batch fold."""
+def _claim_updates(spark, sf_dir):
+    """Updates of the streaming ledger over the delivery stream, with their batch number."""
     root = Q.run_dir(spark, "claims")
     d = fx.deliveries(spark, sf_dir).drop("event_no")
     Q.stage_files(d, f"{root}/in", part_col="received_us")
@@ -65,13 +69,30 @@ def stream_claims(spark, sf_dir):
     def sink(batch: DataFrame, epoch: int) -> None:
         Q.write_batch(batch, out, epoch)
 
-    Q.run_available(LS.stream_claims(src), f"{root}/ckpt", sink=sink)
-    upd = spark.read.parquet(out)
-    last = upd.groupBy("event_id").agg(F.max_by(F.struct(
-        "status", "first_seen_us", "last_seen_us", "attempts", "error_reason"),
-        F.struct("epoch", "received_us")).alias("s"))
-    return last.select("event_id", "s.status", "s.first_seen_us", "s.last_seen_us",
-                       F.col("s.attempts").cast("int").alias("attempts"), "s.error_reason")
+    with Q.keyed_state(spark, partitions=4):
+        Q.run_available(LS.stream_claims(src, disorder="1 millisecond"), f"{root}/ckpt", sink=sink)
+    return spark.read.schema(LS.OUT_SCHEMA + ", epoch int").parquet(out)
+
+
+@register("stream_claims", with_views(
+    "SELECT event_id, status, first_seen_us, last_seen_us, attempts, error_reason FROM ledger",
+    "ledger"))
+def stream_claims(spark, sf_dir):
+    """T2 streaming: the claim ledger as keyed state over the delivery stream in arrival order;
+    the final state per event equals the batch fold."""
+    return LS.latest_claims(_claim_updates(spark, sf_dir)).drop("expired")
+
+
+@register("stream_stuck", with_views("""
+SELECT event_id, last_seen_us, attempts FROM ledger WHERE status = 'processing'
+  AND (last_seen_us + 60000000 + 999) // 1000 <= (SELECT max(received_us) // 1000 - 1 FROM deliveries)""",
+                                     "ledger", "deliveries"))
+def stream_stuck(spark, sf_dir):
+    """T3 streaming: leases that ran out, emitted by timers without a further delivery, and not
+    claimed again since; equals ``stuck_events`` but for the last millisecond (timers and
+    watermark run on whole ones)."""
+    return LS.latest_claims(_claim_updates(spark, sf_dir)).filter("expired").select(
+        "event_id", "last_seen_us", "attempts")
 
 
 @register("stream_envelopes", with_views("""
@@ -103,7 +124,8 @@ def process_stream(spark, sf_dir):
     """The processor as a stream: each micro-batch of envelopes goes through the stages
     and is logged under its batch number; the claim ledger over the logged deliveries of its
     events decides which delivery counts; the events stored by it (insert-if-absent) are
-    evaluated against the stored history (the velocity window spans earlier batches). A
+    evaluated against the stored history (the velocity window spans earlier batches). What a
+    batch reads of log, events and flags is bounded by its own keys (key index) and days. A
     replayed batch writes the same rows again. On arrival-ordered input it equals the batch
     twin ``process_batch``."""
     root = Q.run_dir(spark, "process")
@@ -113,14 +135,19 @@ def process_stream(spark, sf_dir):
     objects = wire.objects(spark, sf_dir)
     now = fx.now_us(fx.txn(spark, sf_dir))
     scores = fx.scores(spark, sf_dir).select("event_id", "ml_score")
-    events_path, flags_path, log_path = f"{root}/events", f"{root}/flags", f"{root}/deliveries"
+    events_path, flags_path = f"{root}/events", f"{root}/flags"
+    stored_schema = ("event_id string, user_id string, amount decimal(18,2), currency string, "
+                     "merchant string, us long, created_us long")
+    log = KS.KeyIndex(spark, f"{root}/log", buckets=8,
+                      columns="received_us long, delivery_no int, outcome string, reason string")
+    event_keys, flag_keys = (KS.KeyIndex(spark, f"{root}/{k}_keys", buckets=8) for k in ("event", "flag"))
     log_cols = ["event_id", "received_us", "delivery_no", "outcome", "reason"]
 
-    def claimed(log: DataFrame) -> DataFrame:
+    def claimed(rows: DataFrame) -> DataFrame:
         """The settled delivery of each event in a delivery log."""
-        led = L.claim_ledger(log)
+        led = L.claim_ledger(rows)
         on = led.select("event_id", "status", F.col("last_seen_us").alias("received_us"))
-        return S.first_writer(log.join(on, ["event_id", "received_us"]), "event_id", ["delivery_no"])
+        return S.first_writer(rows.join(on, ["event_id", "received_us"]), "event_id", ["delivery_no"])
 
     def sink(batch: DataFrame, epoch: int) -> None:
         p = PL.process_envelopes(batch, objects, now).persist()
@@ -128,30 +155,33 @@ def process_stream(spark, sf_dir):
             outcome = F.when(F.col("reason").isNull(), F.lit("ok")) \
                 .when(F.col("error_class") == "retryable", F.lit("retryable")).otherwise(F.col("reason"))
             own = p.withColumn("outcome", outcome).select(*log_cols)
-            Q.write_batch(own, log_path, epoch)
             # claims of the batch's events, with what earlier batches delivered of them
-            log = spark.read.parquet(log_path).filter(F.col("epoch") <= epoch).select(*log_cols) \
-                .join(own.select("event_id").distinct(), "event_id", "left_semi")
-            good = claimed(log).filter("status = 'success'").select("event_id", "received_us", "delivery_no")
+            known = log.rows(own, "event_id", epoch).select(*log_cols).unionByName(own)
+            good = claimed(known).filter("status = 'success'").select("event_id", "received_us", "delivery_no")
             good = p.join(good, ["event_id", "received_us", "delivery_no"]).select(
                 "event_id", F.col("p_user_id").alias("user_id"),
                 F.col("p_amount").try_cast("decimal(18,2)").alias("amount"),
                 F.col("p_currency").alias("currency"), F.col("p_merchant").alias("merchant"),
                 F.col("p_us").alias("us"), F.col("received_us").alias("created_us"))
-            S.append_if_absent(spark, good, events_path, "event_id", ["created_us"])
-            stored = spark.read.parquet(events_path)
-            batch_ids = good.select("event_id")
-            scored = R.with_velocity(stored.join(batch_ids, "event_id"), C, history=stored)
-            scored = R.attach_scores(scored, scores, C.model_version)
-            flags = R.evaluate_rules(scored, C, with_score=True)
-            S.append_if_absent(spark, flags, flags_path, "flag_id", ["flagged_us"])
+            new = KS.append_indexed(good, events_path, "event_id", ["created_us"], epoch, event_keys,
+                                    day=_day(F.col("created_us")))
+            ends = new.agg(F.min("created_us").alias("lo"), F.max("created_us").alias("hi")).first()
+            if ends.lo is not None:
+                # the days the velocity window of the new events can reach
+                history = KS.days(spark, events_path, (ends.lo - C.velocity_window_seconds * 1_000_000) // _DAY_US,
+                                  ends.hi // _DAY_US, stored_schema).filter(F.col("epoch") <= epoch)
+                scored = R.with_velocity(new, C, history=history)
+                scored = R.attach_scores(scored, scores, C.model_version)
+                flags = R.evaluate_rules(scored, C, with_score=True)
+                KS.append_indexed(flags, flags_path, "flag_id", ["flagged_us"], epoch, flag_keys)
+            log.add(own, "event_id", epoch)
         finally:
             p.unpersist()
 
     Q.run_available(src, f"{root}/ckpt", sink=sink)
     n_flags = spark.read.parquet(flags_path).groupBy("event_id").agg(
         F.count(F.lit(1)).alias("n_flags"))
-    settled = claimed(spark.read.parquet(log_path).select(*log_cols))
+    settled = claimed(log.everything().withColumnRenamed("key", "event_id"))
     return settled.join(n_flags, "event_id", "left").select(
         "event_id", "status", "reason", F.coalesce("n_flags", F.lit(0)).cast("bigint").alias("n_flags"))
 
@@ -163,29 +193,20 @@ _FEATURES = ("event_id, user_id, us, amount, velocity_60s, velocity_3600s, "
 
 @register("stream_features", with_views(f"SELECT {_FEATURES}, label FROM arrival_features", "arrival_features"))
 def stream_features(spark, sf_dir):
-    """T4: online features per micro-batch (arrival order): the batch's events are stored,
-    and each is scored against the events that had arrived when it did; equals the batch
-    form ``arrival_features``, however the stream is cut into batches."""
+    """T4: online features from keyed state (hours of the user's events on RocksDB, pruned), in
+    arrival order; equals the batch form ``arrival_features``, however the stream is cut into
+    batches."""
     root = Q.run_dir(spark, "features")
-    t = fx.txn_m(spark, sf_dir)
+    t = fx.late_txn(spark, sf_dir)
     Q.stage_files(t, f"{root}/in", part_col="created_us")
     src = Q.read_stream(spark, f"{root}/in", t.schema)
-    hist_path, out = f"{root}/history", f"{root}/features"
+    out = f"{root}/features"
 
     def sink(batch: DataFrame, epoch: int) -> None:
-        batch = batch.persist()
-        try:
-            S.append_if_absent(spark, batch, hist_path, "event_id", ["created_us"])
-            # the users of the batch; a replayed batch finds the same rows again
-            users = batch.select("user_id").distinct()
-            history = spark.read.parquet(hist_path).join(users, "user_id", "left_semi")
-            own = feature_vector(arrival_features(history), precomputed=True) \
-                .join(batch.select("event_id"), "event_id", "left_semi")
-            Q.write_batch(own, out, epoch)
-        finally:
-            batch.unpersist()
+        Q.write_batch(feature_vector(batch, precomputed=True), out, epoch)
 
-    Q.run_available(src, f"{root}/ckpt", sink=sink)
+    with Q.keyed_state(spark, partitions=4):
+        Q.run_available(online_features(src), f"{root}/ckpt", sink=sink)
     return spark.read.parquet(out).drop("epoch")
 
 
@@ -246,17 +267,17 @@ def stream_dedup_live(spark, sf_dir):
 
 
 @register("parity_diff", with_views(f"""
-SELECT {_FEATURES}, 'offline' AS side FROM (SELECT {_FEATURES} FROM features EXCEPT ALL SELECT {_FEATURES} FROM arrival_features) a
+SELECT {_FEATURES}, 'offline' AS side FROM (SELECT {_FEATURES} FROM late_features EXCEPT ALL SELECT {_FEATURES} FROM arrival_features) a
 UNION ALL
-SELECT {_FEATURES}, 'online' FROM (SELECT {_FEATURES} FROM arrival_features EXCEPT ALL SELECT {_FEATURES} FROM features) b""",
-                                    "features", "arrival_features"))
+SELECT {_FEATURES}, 'online' FROM (SELECT {_FEATURES} FROM arrival_features EXCEPT ALL SELECT {_FEATURES} FROM late_features) b""",
+                                    "late_features", "arrival_features"))
 def parity_diff(spark, sf_dir):
     """train/serve parity witness: features exported offline (complete: every event
     with ts <= t) against the online ones (only events that had arrived). ``exceptAll`` both
     ways; every row is a skewed feature vector (late arrivals, Q17), labelled with the side
     it came from."""
-    t = fx.txn_m(spark, sf_dir)
+    t = fx.late_txn(spark, sf_dir)
     online = feature_vector(arrival_features(t), precomputed=True).drop("label")
-    offline = V.features(spark, sf_dir).drop("label").select(*online.columns)
+    offline = feature_vector(t).drop("label").select(*online.columns)
     return (offline.exceptAll(online).withColumn("side", F.lit("offline"))
             .unionByName(online.exceptAll(offline).withColumn("side", F.lit("online"))))

@@ -1,9 +1,13 @@
-"""T2 streaming form: the claim ledger as a keyed stateful operator.
+"""T2 / T3 streaming form: the claim ledger as a keyed stateful operator with lease timers.
 
-Key = event id, state = (status, first_seen_us, last_seen_us, attempts, error_reason).
+Key = event id, state (RocksDB) = (status, first_seen_us, last_seen_us, attempts, error_reason).
 One task owns a key, so concurrent claims of the same event have exactly one winner (the
-reference needs a row lock for this). Deliveries of a key inside one micro-batch are
-applied in arrival order; each changed state is emitted (update mode).
+reference needs a row lock for this). Deliveries of a key inside one micro-batch are applied one
+by one in arrival order, each giving an update.
+
+A claim that is left ``processing`` sets an event-time timer for the end of its lease. When the
+watermark passes it without a further claim, the operator emits the expired lease by itself: no
+new delivery is needed to learn that an event is stuck.
 """
 
 from __future__ import annotations
@@ -12,12 +16,16 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql.streaming.state import GroupStateTimeout
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from riskline.config import ERROR_REASON_MAX, LEASE_S, UNKNOWN_OUTCOME
+from riskline.functions.exprs import from_micros
 
+_COLS = ["event_id", "status", "first_seen_us", "last_seen_us", "attempts", "error_reason", "claimed",
+         "received_us", "expired"]
 OUT_SCHEMA = ("event_id string, status string, first_seen_us long, last_seen_us long, "
-              "attempts int, error_reason string, claimed boolean, received_us long")
+              "attempts int, error_reason string, claimed boolean, received_us long, expired boolean")
 STATE_SCHEMA = ("status string, first_seen_us long, last_seen_us long, attempts int, "
                 "error_reason string")
 
@@ -44,21 +52,62 @@ def _step(state: tuple | None, received: int, outcome: str | None, lease_us: int
     return (status, first, received, attempts, reason), claim
 
 
-def claim_updates(key: tuple, pdfs: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-    """applyInPandasWithState function: fold this batch's deliveries into the state."""
-    lease_us = LEASE_S * 1_000_000
-    cur = tuple(state.get) if state.exists else None
-    rows = []
-    batch = pd.concat(list(pdfs)).sort_values(["received_us", "delivery_no"])
-    for rec, outcome, in zip(batch["received_us"].tolist(), batch["outcome"].tolist()):
-        cur, claimed = _step(cur, int(rec), outcome, lease_us)
-        rows.append((key[0], *cur, claimed, int(rec)))
-    state.update(cur)
-    yield pd.DataFrame(rows, columns=["event_id", "status", "first_seen_us", "last_seen_us",
-                                      "attempts", "error_reason", "claimed", "received_us"])
-
-
-def stream_claims(deliveries: DataFrame) -> DataFrame:
-    """Streaming ledger updates, one row per processed delivery."""
-    return deliveries.groupBy("event_id").applyInPandasWithState(
-        claim_updates, OUT_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout)
+class ClaimLedger(StatefulProcessor):
+    """transformWithStateInPandas over (event_id)."""
+
+    def __init__(self, lease_s: int):
+        self.lease_us = lease_s * 1_000_000
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.state = handle.getValueState("claim", STATE_SCHEMA)
+
+    def _expiry_ms(self, last_seen_us: int) -> int:
+        return -(-(last_seen_us + self.lease_us) // 1000)
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        cur = tuple(self.state.get()) if self.state.exists() else None
+        was = self._expiry_ms(cur[2]) if cur is not None and cur[0] == "processing" else None
+        # the rows of one key in one micro-batch, three narrow columns
+        batch = pd.concat([r[["received_us", "delivery_no", "outcome"]] for r in rows])
+        batch = batch.sort_values(["received_us", "delivery_no"])
+        out = []
+        for rec, outcome in zip(batch["received_us"].tolist(), batch["outcome"].tolist()):
+            cur, claimed = _step(cur, int(rec), outcome, self.lease_us)
+            out.append((key[0], *cur, claimed, int(rec), False))
+        self.state.update(cur)
+        now = self._expiry_ms(cur[2]) if cur[0] == "processing" else None
+        if was != now:
+            if was is not None:
+                self.handle.deleteTimer(was)
+            if now is not None:
+                self.handle.registerTimer(now)
+        yield pd.DataFrame(out, columns=_COLS)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        cur = tuple(self.state.get())
+        if cur[0] == "processing" and self._expiry_ms(cur[2]) == expiredTimerInfo.getExpiryTimeInMs():
+            yield pd.DataFrame([(key[0], *cur, False, cur[2] + self.lease_us, True)], columns=_COLS)
+
+    def close(self) -> None:
+        pass
+
+
+def stream_claims(deliveries: DataFrame, lease_s: int = LEASE_S, disorder: str = "1 second") -> DataFrame:
+    """Streaming ledger updates: one row per processed delivery, and one (``expired``) per lease
+    that ran out. ``disorder`` is how far deliveries may come out of order (at least 1 ms: a
+    delivery at the watermark itself is late); a lease is reported that much later, and
+    deliveries later than it are dropped by the watermark."""
+    timed = deliveries.withColumn(
+        "_ts", from_micros("received_us").cast("timestamp")).withWatermark("_ts", disorder)
+    return timed.groupBy("event_id").transformWithStateInPandas(
+        ClaimLedger(lease_s), OUT_SCHEMA, "Append", "EventTime")
+
+
+def latest_claims(updates: DataFrame) -> DataFrame:
+    """The last update of each event (a table of updates with their ``epoch``); an expired lease
+    comes after the delivery that set it."""
+    cols = ["status", "first_seen_us", "last_seen_us", "attempts", "error_reason", "expired"]
+    last = updates.groupBy("event_id").agg(F.max_by(F.struct(*cols), F.struct(
+        "epoch", "received_us", "expired")).alias("s"))
+    return last.select("event_id", "s.*")

@@ -10,6 +10,8 @@ Exactly-once comes from the checkpoint (replayed offsets) plus idempotent sinks
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -63,6 +65,30 @@ def run_available(stream_df: DataFrame, ckpt: str, *, sink=None, fmt: str = "par
     q.awaitTermination()
 
 
+_STATE_SETTINGS = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+}
+
+
+@contextmanager
+def keyed_state(spark: SparkSession, partitions: int | None = None) -> Iterator[None]:
+    """Settings of queries with ``transformWithState``: the RocksDB state store and, on their
+    first start, the number of state partitions (by default the session's shuffle partitions).
+    The session's own settings come back afterwards."""
+    want = dict(_STATE_SETTINGS)
+    if partitions:
+        want["spark.sql.shuffle.partitions"] = str(partitions)
+    before = {k: spark.conf.get(k, None) for k in want}
+    for k, v in want.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def write_batch(df: DataFrame, path: str, batch_id: int, fmt: str = "parquet") -> None:
     """Write a micro-batch's rows to the folder of that batch, replacing what an earlier
     attempt of the same batch left there: a replayed batch adds nothing."""
