@@ -94,7 +94,7 @@ def verify_hash(df: DataFrame) -> DataFrame:
 
 #: JSON types each field may have; a missing or null field keeps its zero value
 FIELD_TYPES = {
-    "user_id": ("STRING",), "currency": ("STRING",), "merchant": ("STRING",),
+    "event_id": ("STRING",), "user_id": ("STRING",), "currency": ("STRING",), "merchant": ("STRING",),
     "timestamp": ("STRING",), "amount": ("BIGINT", "DOUBLE", "DECIMAL"), "metadata": ("OBJECT",),
 }
 _RFC3339 = r"^([0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}:[0-9]{2})(?:\.([0-9]{1,9}))?(Z|[+-][0-9]{2}:[0-9]{2})$"
@@ -110,40 +110,73 @@ def rfc3339_micros(text: Column) -> Column:
                   .cast("timestamp_ntz"))
 
 
+def _type_of(v: Column) -> Column:
+    return F.regexp_extract(F.schema_of_variant(v), "^[A-Z]+", 0)
+
+
+def _keys_of(v: Column) -> Column:
+    return F.coalesce(F.map_keys(F.try_variant_get(v, "$", "map<string,variant>")), F.array().cast("array<string>"))
+
+
 def parse_events(df: DataFrame, payload: str = "payload") -> DataFrame:
-    """Decode the JSON body into event fields; ``parse_ok = false`` for a body that is
-    no JSON object, has a field of a wrong type, or a timestamp that is not RFC 3339.
+    """Decode the JSON body into event fields, by the rules of the reference's decoder:
 
-    The body is parsed once into a variant column (a separate projection, so Catalyst does
-    not re-inline the parser into every field access); fields are then read from it.
+    * field names match whatever their case; of repeated fields the last that is not null counts,
+      repeated metadata objects are merged;
+    * a field of a wrong type (in any of its places), a number beyond a double's range, or a
+      timestamp that is not RFC 3339 makes the body undecodable, as do text behind the value and
+      a body that is neither an object nor null.
+
+    The body is parsed once into its ordered entries (a separate projection, so Catalyst does
+    not re-inline the parser into every field access); fields are then read from them.
     """
-    staged = df.select("*", F.try_parse_json(F.col(payload)).alias("_v"))
+    text = F.col(payload)
+    whole = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
+    sound = F.coalesce(_type_of(F.try_variant_get(whole, "$[0]", "variant")).isin("OBJECT", "VOID")
+                       & F.try_variant_get(whole, "$[1]", "variant").isNull(), F.lit(False))
+    entries = F.map_entries(F.from_json(text, "map<string,variant>"))
+    # names fold by case; two letters outside ASCII fold to ASCII ones
+    folded = F.transform(entries, lambda e: F.struct(
+        F.lower(F.translate(e["key"], "\u017f\u212a", "sk")).alias("k"), e["value"].alias("v"), _type_of(e["value"]).alias("t")))
+    staged = df.select("*", sound.alias("_sound"), F.coalesce(folded, F.array().cast(
+        "array<struct<k:string,v:variant,t:string>>")).alias("_e"))
+
+    def places(name: str) -> Column:
+        return F.filter("_e", lambda e: (e["k"] == name) & (e["t"] != "VOID"))
+
+    def last(name: str, kind: str) -> Column:
+        return F.try_variant_get(F.element_at(places(name), -1)["v"], "$", kind)
+
+    def of_type(name: str, allowed: tuple[str, ...]) -> Column:
+        return F.forall("_e", lambda e: (e["k"] != name) | e["t"].isin("VOID", *allowed))
+
+    typed = F.col("_sound")
+    for name, allowed in FIELD_TYPES.items():
+        typed = typed & of_type(name, allowed)
+    finite = F.forall(places("amount"), lambda e: F.abs(F.try_variant_get(e["v"], "$", "double")) < F.lit(float("inf")))
+    keys = F.when(F.size(places("metadata")) > 0, F.size(F.array_distinct(F.flatten(
+        F.transform(places("metadata"), lambda e: _keys_of(e["v"]))))))
 
-    def kind(path: str) -> Column:
-        return F.schema_of_variant(F.try_variant_get(F.col("_v"), path, "variant"))
+    def read(name: str, kind: str) -> Column:
+        """The last place of a field; through a guard, since element -1 of none is an error."""
+        return F.when(F.size(places(name)) > 0, last(name, kind))
 
-    typed = F.lit(True)
-    for name, allowed in FIELD_TYPES.items():
-        k = F.regexp_extract(kind(f"$.{name}"), "^[A-Z]+", 0)
-        typed = typed & F.coalesce(k.isin("VOID", *allowed), F.lit(True))
-    text = lambda c: F.try_variant_get(F.col("_v"), f"$.{c}", "string")
     fields = staged.select(
-        *df.columns, "_v", F.col("_v").isNotNull()
-        & F.regexp_extract(F.schema_of_variant("_v"), "^[A-Z]+", 0).isin("OBJECT", "VOID") & typed,
-        text("timestamp").alias("_ts"), rfc3339_micros(text("timestamp")).alias("_us"))
-    fields = fields.toDF(*df.columns, "_v", "_typed", "_ts", "_us")
-    staged = fields.withColumn("parse_ok", F.coalesce(F.col("_typed"), F.lit(False))
-                               & (F.col("_ts").isNull() | F.col("_us").isNotNull()))
+        *df.columns, (typed & F.coalesce(finite, F.lit(False))).alias("_typed"), read("timestamp", "string").alias("_ts"),
+        *[read(c, k).alias(f"_{c}") for c, k in (("user_id", "string"), ("amount", "double"), ("currency", "string"),
+                                                 ("merchant", "string"))], keys.alias("_keys"))
+    fields = fields.select("*", rfc3339_micros(F.col("_ts")).alias("_us"))
+    ok = F.coalesce(F.col("_typed"), F.lit(False)) & (F.col("_ts").isNull() | F.col("_us").isNotNull())
+    staged = fields.withColumn("parse_ok", ok)
     ok = F.col("parse_ok")
-    keys = F.map_keys(F.try_variant_get(F.col("_v"), "$.metadata", "map<string,variant>"))
     return staged.select(
         *df.columns, F.when(F.col(payload).isNotNull(), ok).alias("parse_ok"),
-        F.when(ok, text("user_id")).alias("p_user_id"),
-        F.when(ok, F.try_variant_get(F.col("_v"), "$.amount", "double")).alias("p_amount"),
-        F.when(ok, text("currency")).alias("p_currency"),
-        F.when(ok, text("merchant")).alias("p_merchant"),
+        F.when(ok, F.col("_user_id")).alias("p_user_id"),
+        F.when(ok, F.col("_amount")).alias("p_amount"),
+        F.when(ok, F.col("_currency")).alias("p_currency"),
+        F.when(ok, F.col("_merchant")).alias("p_merchant"),
         F.when(ok, F.col("_us")).alias("p_us"),
-        F.when(ok, F.size(keys)).alias("p_metadata_keys"))
+        F.when(ok, F.col("_keys")).alias("p_metadata_keys"))
 
 
 # --- P2: validation -------------------------------------------------------------------

@@ -19,6 +19,7 @@ _REQUIRED = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.sql.variant.allowDuplicateKeys": "true",     # JSON bodies: the last of repeated keys counts
 }
 
 

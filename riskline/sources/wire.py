@@ -8,7 +8,9 @@ produces each quarantine reason:
 1 unknown mode, 2 missing inline payload, 3 missing object key, 4 wrong hash,
 5 undecodable JSON, 6 object missing from the store, 7 amount 0 (fails validation),
 8 amount as a string, 9 timestamp that is none, 10 body that is no object, 11 nanoseconds,
-12 an offset of two hours, 13 amount beyond the store's range.
+12 an offset of two hours, 13 amount beyond the store's range, 14 event id as a number,
+15 a field name in other case, 16 a repeated field (the last counts), 17 amount beyond a double,
+18 text behind the body.
 
 Envelopes are delivered at least once: plain copies 30 s later, and for some of the failing
 ones a sound delivery later (a missing object that arrived, a repaired body).
@@ -27,7 +29,7 @@ from riskline.sources import fixtures as fx
 from riskline.sources.tables import table_path
 
 IEEE_EPOCH_US = 1_704_067_200_000_000     # 2024-01-01T00:00:00Z
-WIRE_VERSION = "v3"                       # bump when the fixture definition changes
+WIRE_VERSION = "v4"                       # bump when the fixture definition changes
 
 
 def _q(c: Column) -> Column:
@@ -40,7 +42,7 @@ def wire_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = F.col("event_no")
     r = n % 89
     amount = F.when(r == 7, F.lit("0.00")).when(r == 8, F.lit('"5"')) \
-        .when(r == 13, F.lit("100000000000000000")).otherwise(F.col("amount").cast("string"))
+        .when(r == 13, F.lit("100000000000000000")).when(r == 17, F.lit("1e400")).otherwise(F.col("amount").cast("string"))
     second = "yyyy-MM-dd'T'HH:mm:ss"
     ts = F.when(r == 9, F.lit("yesterday")) \
         .when(r == 11, F.concat(F.date_format(from_micros("us"), second), F.lit(".123456789Z"))) \
@@ -53,8 +55,9 @@ def wire_events(spark: SparkSession, sf_dir: str) -> DataFrame:
                                          F.lit('"')))
             .otherwise(F.lit("")))
     payload = F.concat(
-        F.lit('{"event_id":'), _q(F.col("event_id")),
-        F.lit(',"user_id":'), _q(F.col("user_id")),
+        F.lit('{"event_id":'), F.when(r == 14, n.cast("string")).otherwise(_q(F.col("event_id"))),
+        F.when(r == 15, F.lit(',"User_ID":')).when(r == 16, F.lit(',"USER_ID":"zzz","user_id":'))
+         .otherwise(F.lit(',"user_id":')), _q(F.col("user_id")),
         F.lit(',"amount":'), amount,
         F.lit(',"currency":'), _q(F.col("currency")),
         F.lit(',"merchant":'), _q(F.col("merchant")),
@@ -62,7 +65,7 @@ def wire_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(',"metadata":{"product_code":'), _q(F.col("product_code")),
         F.lit(',"card_network":'), _q(F.col("card_network")),
         F.lit(',"email_domain":'), _q(F.col("email_domain")), F.lit("}"),
-        pad, F.lit("}"))
+        pad, F.lit("}"), F.when(r == 18, F.lit(" x")).otherwise(F.lit("")))
     return t.select("event_id", "event_no", "correlation_id", "created_us",
                     F.when(r == 10, F.lit("[]")).otherwise(payload).alias("payload"))
 

@@ -98,3 +98,31 @@ def test_windows_equal_brute_force_in_a_burst(spark):
             before = us[us < t]
             assert r["prev_us"] == (before.max() if len(before) else None)
             assert arrived[f"e{i}"] == ((us >= t - 3600 * 10**6) & (us <= t)).sum()
+
+
+def test_decoding_rules(spark):
+    """Names in any case, repeated fields, typed ids, number range, text behind the body."""
+    base = '"amount":2,"currency":"USD","merchant":"m","timestamp":"2024-01-02T03:04:05Z"'
+    cases = [
+        ('{"user_id":"a",%s}' % base, (True, "a", 0)),
+        ('{"User_ID":"a",%s}' % base, (True, "a", 0)),
+        ('{"user_id":"a","USER_ID":"b",%s}' % base, (True, "b", 0)),
+        ('{"u\u017fer_id":"a",%s}' % base, (True, "a", 0)),
+        ('{"user_id":"a","user_id":null,%s}' % base, (True, "a", 0)),
+        ('{"user_id":"a","user_id":5,%s}' % base, (False, None, None)),
+        ('{"event_id":5,"user_id":"a",%s}' % base, (False, None, None)),
+        ('{"event_id":null,"user_id":"a",%s}' % base, (True, "a", 0)),
+        ('{"user_id":"a","amount":1e400,%s}' % base[11:], (False, None, None)),
+        ('{"user_id":"a","metadata":{"x":1,"y":2},"Metadata":{"y":3,"z":4},%s}' % base, (True, "a", 3)),
+        ('{"user_id":"a","metadata":[],%s}' % base, (False, None, None)),
+        ('{"user_id":"a",%s} x' % base, (False, None, None)),
+        ('{"user_id":"a",%s} {}' % base, (False, None, None)),
+        (' {"user_id":"a",%s}\n' % base, (True, "a", 0)),
+        ("null", (True, None, 0)), ("[]", (False, None, None)), ("", (False, None, None)), ("{", (False, None, None)),
+        ("{}", (True, None, 0)), (None, (None, None, None)),
+    ]
+    df = spark.createDataFrame([(i, c[0]) for i, c in enumerate(cases)], "i int, payload string")
+    for r in I.parse_events(df).collect():
+        ok, user, keys = cases[r.i][1]
+        assert (r.parse_ok, r.p_user_id) == (ok, user), cases[r.i]
+        assert (r.p_metadata_keys or 0) == (keys or 0), cases[r.i]
