@@ -23,28 +23,33 @@ def meta_string(metadata_json: str, key: str) -> Column:
         .otherwise(F.lit(""))
 
 
-def labelled_events(events: DataFrame, metadata_json: str = "metadata_json") -> DataFrame:
-    """S6 + P20: events whose metadata has a non-null ground-truth label (``->> IS NOT
-    NULL``, so a numeric 1 passes) and the label as text: the string value when it is
-    a non-empty JSON string, else "0" (Q6)."""
+def labelled_label(metadata_json: str = "metadata_json") -> Column:
+    """P20: the label as text, null for an event without one: the string value when it is a
+    non-empty JSON string, else "0" (Q6; ``->> IS NOT NULL``, so a numeric 1 passes)."""
     v = F.try_parse_json(F.col(metadata_json))
     raw = F.try_variant_get(v, f"$.{LABEL_KEY}", "string")
-    label = F.when(_is_json_string(v, LABEL_KEY) & (raw != ""), raw).otherwise(F.lit("0"))
-    return events.filter(raw.isNotNull()).withColumn("gt_label", label)
+    text = F.when(_is_json_string(v, LABEL_KEY) & (raw != ""), raw).otherwise(F.lit("0"))
+    return F.when(raw.isNotNull(), text)
+
+
+def labelled_events(events: DataFrame, metadata_json: str = "metadata_json") -> DataFrame:
+    """S6 + P20: events whose metadata has a non-null ground-truth label, and the label."""
+    return events.withColumn("gt_label", labelled_label(metadata_json)).filter("gt_label IS NOT NULL")
 
 
 def feature_export(events: DataFrame, features_fn, metadata_json: str = "metadata_json"
                    ) -> DataFrame:
     """M1: the 12 raw features of every labelled event, categoricals read from metadata,
-    plus the label. Features see all events (labelled or not) as history."""
-    feats = features_fn(events)
-    lab = labelled_events(events.select("event_id", metadata_json), metadata_json)
-    return feats.drop("product_code", "card_network", "email_domain", "label").join(
-        lab.select("event_id", "gt_label",
-                   meta_string(metadata_json, "product_code").alias("product_code"),
-                   meta_string(metadata_json, "card_network").alias("card_network"),
-                   meta_string(metadata_json, "email_domain").alias("email_domain")),
-        "event_id").withColumnRenamed("gt_label", "label")
+    plus the label. Features see all events (labelled or not) as history.
+
+    Label and categoricals are read before the windows and carried through them as narrow
+    columns, so the features need no join back to the events."""
+    label = labelled_label(metadata_json)
+    cats = ("product_code", "card_network", "email_domain")
+    narrow = events.select(
+        *[c for c in events.columns if c not in (*cats, metadata_json, "label")],
+        *[meta_string(metadata_json, c).alias(c) for c in cats], label.alias("label"))
+    return features_fn(narrow).filter("label IS NOT NULL")
 
 
 def temporal_split(df: DataFrame, order_cols: list[str] | None = None,

@@ -4,6 +4,8 @@ model are rows-only checks."""
 
 from __future__ import annotations
 
+import hashlib
+import inspect
 import uuid
 
 from pyspark.sql import DataFrame
@@ -12,6 +14,7 @@ from pyspark.sql import functions as F
 from riskline.config import TEST_RULES as C
 from riskline.operators import encode as EN
 from riskline.operators import evaluation as EV
+from riskline.operators import keystore as S
 from riskline.operators import modeldata as MD
 from riskline.operators import training as TR
 from riskline.operators.features import feature_vector
@@ -51,6 +54,21 @@ SELECT "column", value, round(c / (SELECT count(*) FROM split WHERE split = 'tra
   FROM split WHERE split = 'train' GROUP BY 2) f""")
 
 
+# Uniforms of the replicates of each (score, label) group, and the Poisson distribution of
+# every count that occurs (counts up to 512, the operator's part size)
+view("boot_groups", ("scored_split",), """
+SELECT ml_score AS score, CASE WHEN label = '1' THEN 1 ELSE 0 END AS y, count(*) AS c,
+  CAST(CAST(floor(ml_score * 1e12 + 0.5) AS BIGINT) AS VARCHAR) AS k
+FROM scored_split WHERE split = 'test' GROUP BY 1, 2, 4""")
+view("uniforms", ("boot_groups",), """
+SELECT rep, score, y, c, CAST('0x' || substr(md5(k || '|' || y || '|' || (rep // 4)), CAST(1 + 8 * (rep % 4) AS BIGINT), 8) AS BIGINT)
+  / CAST(4294967296 AS DOUBLE) AS u FROM boot_groups, range(1000) r(rep)""")
+view("poisson", ("boot_groups",), """
+SELECT c, 0 AS k, exp(-c) AS p, exp(-c) AS cdf FROM (SELECT DISTINCT CAST(c AS DOUBLE) AS c FROM boot_groups) x
+UNION ALL
+SELECT c, k + 1, p * c / (k + 1), cdf + p * c / (k + 1) FROM poisson WHERE k < c + 40 + 12 * floor(sqrt(c))""")
+
+
 def _train(spark, sf_dir) -> DataFrame:
     return split_df(spark, sf_dir).filter(F.col("split") == "train")
 
@@ -245,10 +263,18 @@ def rule_quality(spark, sf_dir):
     return EV.rule_quality(V.flags(spark, sf_dir), fx.txn(spark, sf_dir))
 
 
-@register("bootstrap_ci")
+@register("bootstrap_ci", with_views("""
+SELECT quantile_cont(ap, 0.025) AS ci_low, quantile_cont(ap, 0.975) AS ci_high, CAST(count(*) AS BIGINT) AS replicates FROM (
+  SELECT rep, sum(t * CAST(ct AS DOUBLE) / greatest(ct + cf, 1)) / sum(t) AS ap FROM (
+    SELECT rep, score, t, sum(t) OVER o AS ct, sum(f) OVER o AS cf FROM (
+      SELECT rep, score, sum(CASE WHEN y = 1 THEN k ELSE 0 END) AS t, sum(CASE WHEN y = 0 THEN k ELSE 0 END) AS f FROM (
+        SELECT u.rep, u.score, u.y, count(p.k) AS k FROM uniforms u LEFT JOIN poisson p ON p.c = u.c AND p.cdf <= u.u
+        GROUP BY ALL) w GROUP BY rep, score) s
+    WINDOW o AS (PARTITION BY rep ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)) v
+  GROUP BY rep HAVING sum(t) > 0) r""", "uniforms", "poisson"))
 def bootstrap_ci(spark, sf_dir):
     """Poisson-bootstrap 95 % interval of the test average precision (1000
-    replicates over distinct (score, label) groups)."""
+    replicates over distinct (score, label) groups; weights from digests both engines share)."""
     return EV.bootstrap_ap(_scored_split(spark, sf_dir, "test"))
 
 
@@ -258,25 +284,42 @@ def _encoded_splits(spark, sf_dir):
     return EN.encode(s, EN.fit_vocab(train), EN.fit_frequencies(train))
 
 
+def _model_path(spark, sf_dir) -> str:
+    """Where the model of M7 lies: by input, parameters and encoder."""
+    text = repr(sorted(TR.GBT_PARAMS.items())) + inspect.getsource(EN) + inspect.getsource(TR)
+    return checkpoint_path(spark, f"models/gbt-{wire.content_tag(spark, sf_dir)}-"
+                                  f"{hashlib.sha256(text.encode()).hexdigest()[:12]}")
+
+
+def _save(spark, model, path: str) -> None:
+    """The marker is written last: a save that was lost half-way is no model."""
+    model.write().overwrite().save(f"{path}/model")
+    spark.range(1).write.mode("overwrite").parquet(f"{path}/complete")
+
+
+def _fit(spark, sf_dir, enc: DataFrame):
+    """Train the model of M7 and keep it beside the other derived tables."""
+    model = TR.train_gbt(enc.filter(F.col("split") == "train"))
+    _save(spark, model, _model_path(spark, sf_dir))
+    return model
+
+
 def _model(spark, sf_dir, enc: DataFrame):
-    """The model of M7 (all its trees), trained once per input and kept beside the other
-    derived tables; later keys load it."""
+    """The model of M7: the kept one, trained if there is none."""
     from pyspark.ml.classification import GBTClassificationModel
 
-    from riskline.operators.sinks import _exists
-
-    path = checkpoint_path(spark, f"models/gbt-{wire.content_tag(spark, sf_dir)}")
-    if not _exists(spark, f"{path}/metadata/_SUCCESS"):
-        TR.train_gbt(enc.filter(F.col("split") == "train")).write().overwrite().save(path)
-    return GBTClassificationModel.load(path)
+    path = _model_path(spark, sf_dir)
+    if not S.exists(spark, f"{path}/complete/_SUCCESS"):
+        return _fit(spark, sf_dir, enc)
+    return GBTClassificationModel.load(f"{path}/model")
 
 
 @register("train_gbt")
 def train_gbt(spark, sf_dir):
-    """M7 + M8 + M9: train the gradient-boosted model on the training split and report
-    average precision per split."""
+    """M7 + M8 + M9: train the gradient-boosted model on the training split (always anew) and
+    report average precision per split."""
     enc = written(_encoded_splits(spark, sf_dir), "encoded")
-    scored = TR.score(_model(spark, sf_dir, enc), enc, "gbt-v1").join(
+    scored = TR.score(_fit(spark, sf_dir, enc), enc, "gbt-v1").join(
         enc.select("event_id", "split", "label"), "event_id")
     rows = None
     for part in ("train", "val", "test"):
@@ -294,18 +337,24 @@ def score_batch(spark, sf_dir):
 
 
 @register("score_drift", with_views("""
-SELECT CAST(0 AS DOUBLE) AS max_abs_diff, CAST(count(*) AS BIGINT) AS rows FROM split WHERE split = 'test'""", "split"))
+SELECT scorer, true AS agrees, n AS rows FROM (SELECT CAST(count(*) AS BIGINT) AS n FROM split WHERE split = 'test') t,
+  (VALUES ('loaded'), ('nodes')) v(scorer)""", "split"))
 def score_drift(spark, sf_dir):
-    """The model scored before and after a save / load round trip must agree."""
+    """A freshly fitted model (20 trees) against two other scorers of it: the model saved
+    and loaded, and its node table walked by column expressions. Scores must agree to 1e-9."""
     from pyspark.ml.classification import GBTClassificationModel
 
     enc = written(_encoded_splits(spark, sf_dir), "encoded")
-    model = _model(spark, sf_dir, enc)
+    fitted = TR.train_gbt(enc.filter(F.col("split") == "train"), maxIter=20)
     path = checkpoint_path(spark, f"models/again-{uuid.uuid4().hex}")
-    model.write().save(path)
-    again = GBTClassificationModel.load(path)
+    _save(spark, fitted, path)
     test = enc.filter(F.col("split") == "test")
-    return TR.score_drift(TR.score(model, test, "a"), TR.score(again, test, "b"))
+    own = TR.score(fitted, test, "fitted")
+    others = {"loaded": TR.score(GBTClassificationModel.load(f"{path}/model"), test, "loaded"),
+              "nodes": TR.score_by_nodes(TR.node_table(spark, f"{path}/model"), test, "nodes")}
+    rows = [TR.score_drift(own, other).select(F.lit(k).alias("scorer"), (F.col("max_abs_diff") < 1e-9).alias("agrees"),
+                                              "rows") for k, other in others.items()]
+    return rows[0].unionByName(rows[1])
 
 
 @register("freq_encode", with_views("""
