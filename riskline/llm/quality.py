@@ -36,7 +36,7 @@ MIN_WORDS = 50
 SYMBOLS = "[#*$%&|<>]"      # fixed by the contract
 GROUP_SIMILARITY = 0.55
 BANDS = 16      # two minima each: a pair at 0.55 shares none with probability 0.003, at 0.75 2e-6
-FIRST_REPS, MORE_REPS = 2, 6    # members of a bucket that all others are compared with, per pass
+MORE_REPS = 3       # orders of a pass after the first one
 
 
 def base_measures(docs: DataFrame) -> DataFrame:
@@ -105,9 +105,18 @@ def _shingles(w):
 
 
 def _links(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """Those (text_hash, rep) ``pairs`` whose full shingle sets reach ``similarity``."""
-    both = pairs.join(sets, "text_hash").join(
-        sets.select(F.col("text_hash").alias("rep"), F.col("s").alias("r")), "rep")
+    """Those (text_hash, rep) ``pairs`` whose full shingle sets reach ``similarity``. The minima
+    are compared first: of 2 * BANDS, a linked pair shares fewer than the share asked for less
+    four standard deviations almost never, and most others share fewer."""
+    n = 2 * BANDS
+    enough = max(1, int(n * similarity - 4 * (n * similarity * (1 - similarity)) ** .5))
+    minima = sets.select("text_hash", "m")
+    other = lambda t, c: t.select(F.col("text_hash").alias("rep"), F.col(c).alias("r"))
+    alike = F.size(F.filter(F.zip_with("m", "r", lambda x, y: x == y), lambda e: e))
+    likely = pairs.join(minima, "text_hash").join(other(minima, "m"), "rep").filter(alike >= enough) \
+        .select("text_hash", "rep")
+    full = sets.select("text_hash", "s")
+    both = likely.join(full, "text_hash").join(other(full, "s"), "rep")
     shared = both.select("text_hash", "rep", F.size(F.array_intersect("s", "r")).alias("n"),
                          (F.size("s") + F.size("r")).alias("total"))
     percent = round(100 * similarity)
@@ -118,36 +127,40 @@ def near_groups(docs: DataFrame, texts: DataFrame, similarity: float = GROUP_SIM
     """text_hash, group of those ``texts`` (a written column text_hash) that are near copies.
 
     Each band keeps the least shingle hash of two of 2 * BANDS classes of hashes; texts with an
-    equal band share a bucket. A pass compares every text of a bucket with a few members chosen
-    by hash, on their full sets, and joins what is linked; the next pass chooses others and
-    compares only texts of another group than theirs, until a pass finds no link. Passes cost
-    members times chosen ones, never all pairs. Components of the links are the groups, so a text
-    need not be like all of its group."""
+    equal band share a bucket. A pass compares every text of a bucket with the bucket's first text
+    in an order of its own (a hash of the text, so one text is the first of many buckets and the
+    pairs are few), on their full sets, and joins what is linked; the next pass takes other orders
+    and compares only texts of another group than the chosen one's, until a pass finds no link.
+    Passes cost members times orders, never all pairs. Components of the links are the groups, so
+    a text need not be like all of its group."""
     t = docs.select(text_or_empty().alias("t")).select(F.xxhash64("t").alias("text_hash"), "t") \
         .join(bounded(texts), "text_hash", "left_semi").dropDuplicates(["text_hash"])
     upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
     w = t.select("text_hash", words(F.translate("t", upper, upper.lower())).alias("w"))
-    sets = stored(w.select("text_hash", _shingles(F.col("w")).alias("s")), "line-shingles")
-    least = lambda c: F.min(F.when(F.pmod("x", F.lit(2)) == c, F.col("x")))
-    bands = sets.select("text_hash", F.explode("s").alias("x")) \
-        .groupBy("text_hash", F.pmod(F.shiftright("x", 1), F.lit(BANDS)).alias("band")) \
-        .agg(least(0).alias("a"), least(1).alias("b")) \
-        .select("text_hash", F.xxhash64("band", F.coalesce("a", F.lit(0)), F.coalesce("b", F.lit(0))).alias("bucket"))
+    sets = w.select("text_hash", _shingles(F.col("w")).alias("s"))
+    minima = F.transform(F.sequence(F.lit(0), F.lit(2 * BANDS - 1)), lambda c: F.coalesce(
+        F.array_min(F.filter("s", lambda x: F.pmod(x, F.lit(2 * BANDS)) == c)), F.lit(0).cast("long")))
+    sets = stored(sets.select("text_hash", "s", minima.alias("m")), "line-shingles")
+    bucket = lambda i: F.xxhash64(i, F.get("m", 2 * i), F.get("m", 2 * i + 1))
+    bands = sets.select("text_hash", F.explode(F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), bucket)).alias("bucket"))
     shared = bands.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
     members = stored(join_split(bands, shared, ["bucket"]), "near-buckets")
     groups = stored(members.select("text_hash", F.col("text_hash").alias("group")).distinct(), "near-groups")
     turn, n_links = 0, 1
-    while n_links:
-        seeds = range(100 * turn, 100 * turn + (FIRST_REPS if turn == 0 else MORE_REPS))
+    while n_links or turn == 1:
+        seeds = [turn] if turn == 0 else range(10 * turn, 10 * turn + MORE_REPS)
         own = join_split(members, groups, ["text_hash"])
         chosen = own.groupBy("bucket").agg(
             F.min("group").alias("lo"), F.max("group").alias("hi"),
-            F.array_distinct(F.array(*[F.min_by(F.struct(F.col("text_hash").alias("rep"), F.col("group").alias("rep_group")),
-                                                F.xxhash64("text_hash", "bucket", F.lit(i))) for i in seeds])).alias("reps")) \
-            .filter("lo < hi").select("bucket", "reps")
-        pairs = join_split(own, chosen, ["bucket"]).select("text_hash", "group", F.explode("reps").alias("x")) \
-            .filter("group <> x.rep_group").select("text_hash", F.col("x.rep").alias("rep")).distinct()
-        links = stored(_links(pairs, sets, similarity), "near-links")
+            *[F.min_by(F.struct(F.col("text_hash").alias("rep"), F.col("group").alias("rep_group")),
+                       F.xxhash64("text_hash", F.lit(i))).alias(f"r{i}") for i in seeds]) \
+            .filter("lo < hi").drop("lo", "hi")
+        pairs = None
+        for i in seeds:         # a row per member and order
+            some = join_split(own, chosen.select("bucket", f"r{i}.*"), ["bucket"]).filter("group <> rep_group") \
+                .select("text_hash", "rep")
+            pairs = some if pairs is None else pairs.unionByName(some)
+        links = stored(_links(pairs.distinct(), sets, similarity), "near-links")
         n_links = links.count()
         if n_links:
             to = groups.select(F.col("text_hash").alias("rep"), F.col("group").alias("rep_group"))

@@ -52,6 +52,19 @@ def test_append_and_replace(codec):
         assert bytes(table.data) == data and table.ids() == bpe.PrefixTable(codec.v, data).ids()
 
 
+def test_replace_stops_where_the_table_agrees_again(codec):
+    """One byte in 4000: a few tokens' lengths are computed, and the table is that of the new text."""
+    rng = random.Random(6)
+    data = b" ".join(rng.choice([b"the", b"quick", b"water", b"history", b"x"]) for _ in range(900))[:4000]
+    table = bpe.PrefixTable(codec.v, data)
+    for at, new in ((10, b"z"), (2000, b""), (3000, b"more words "), (0, b"q")):
+        n = table.replace(at, at + 1, new)
+        data = data[:at] + new + data[at + 1:]
+        assert table.last == bpe.PrefixTable(codec.v, data).last
+        assert n <= len(new) + 2 * codec.v.longest + 40 < 1000, (n, codec.v.longest)
+    assert table.replace(len(data), len(data), b"!") == 1
+
+
 def test_full_caches_change_nothing(codec, library, monkeypatch):
     monkeypatch.setattr(bpe, "CACHED_CHUNKS", 3)
     monkeypatch.setattr(bpe, "CACHED_PREFIXES", 10)
