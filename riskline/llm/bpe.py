@@ -171,11 +171,26 @@ class PrefixTable:
         for i in range(len(last), len(text) + 1):
             last.append(self.v.last_token(text, i, last.__getitem__))
 
-    def replace(self, start: int, end: int, data: bytes) -> None:
-        """Put ``data`` in place of bytes start..end; entries up to start stay."""
-        tail = bytes(self.data[end:])
-        del self.data[start:], self.last[start + 1:]
-        self.append(data + tail)
+    def replace(self, start: int, end: int, data: bytes) -> int:
+        """Put ``data`` in place of bytes start..end; the number of entries computed anew.
+
+        Entries up to ``start`` stay. An entry depends on the bytes and entries of the longest
+        token's length before it, so once that many entries behind the edit equal the old ones,
+        all further ones do and are taken over.
+        """
+        old, delta = self.last, len(data) - (end - start)
+        self.data[start:end] = data
+        text = bytes(self.data)
+        self.last = last = old[:start + 1]
+        same = 0
+        for i in range(start + 1, len(text) + 1):
+            last.append(self.v.last_token(text, i, last.__getitem__))
+            before = i - delta
+            same = same + 1 if before > end and old[before] == last[i] else 0
+            if same >= self.v.longest:
+                last += old[before + 1:]
+                return i - start
+        return len(text) - start
 
     def ids(self) -> list[int]:
         out, i = [], len(self.data)
