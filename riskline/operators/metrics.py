@@ -178,3 +178,67 @@ def counter_increase(samples: DataFrame, series: str = "service", ts: str = "ts_
                           F.when(prev.isNull(), F.lit(None))
                            .when(F.col(value) < prev, F.col(value))
                            .otherwise(F.col(value) - prev).alias("increase"))
+
+
+def range_rate(samples: DataFrame, width_s: int, step_s: int, *, series: str = "service", ts: str = "ts_us",
+               value: str = "value") -> DataFrame:
+    """A9-A12 over scraped counters: at every step T (multiples of ``step_s``) the increase and
+    the rate of each series over the samples in (T - width, T].
+
+    The increase adds the deltas between the range's own samples (a drop restarts the counter at
+    the new value) and is extrapolated to the range's ends: by the gap to an end, or by half the
+    mean distance of samples where that gap is 1.1 times the distance or more, and at the start
+    never below zero of the counter. A step needs two samples of a series in its range.
+
+    A sample is sent to the ``width / step`` steps that see it, combined before the shuffle; the
+    rows of a step are one aggregate, so no range is sorted or held.
+    """
+    step, width = step_s * MICROS, width_s * MICROS
+    t = F.col(ts)
+    deltas = counter_increase(samples.select(series, ts, value), series, ts, value) \
+        .withColumn("increase", F.coalesce("increase", F.lit(0)).cast("double"))
+    first_step = (F.ceil(t / F.lit(step)) * F.lit(step)).cast("long")
+    last_step = (F.ceil((t + F.lit(width)) / F.lit(step)) * F.lit(step) - F.lit(step)).cast("long")
+    seen = deltas.filter(first_step <= last_step).select(
+        series, ts, value, "increase", F.explode(F.sequence(first_step, last_step, F.lit(step).cast("long"))).alias("at_us"))
+    g = seen.groupBy(series, "at_us").agg(
+        F.count(F.lit(1)).alias("n"), F.min(ts).alias("_lo"), F.max(ts).alias("_hi"), F.sum("increase").alias("_sum"),
+        F.min_by(F.struct(F.col(value).cast("double").alias("v"), "increase"), ts).alias("_first"))
+    second = lambda us: us.cast("double") / F.lit(float(MICROS))
+    inner = second(F.col("_hi") - F.col("_lo"))
+    gap = inner / (F.col("n") - 1)
+    far = gap * 1.1
+    to_start = second(F.col("_lo") - F.col("at_us") + F.lit(width))
+    to_end = second(F.col("at_us") - F.col("_hi"))
+    raw = F.col("_sum") - F.col("_first.increase")          # the first sample's delta lies before the range
+    to_start = F.when(to_start >= far, gap / 2).otherwise(to_start)
+    to_zero = F.when(F.col("_raw") > 0, inner * F.col("_first.v") / F.col("_raw"))
+    grown = F.col("_raw") * (inner + F.coalesce(F.least(to_start, to_zero), to_start)
+                             + F.when(to_end >= far, gap / 2).otherwise(to_end)) / inner
+    got = g.filter("n > 1").withColumn("_raw", raw).withColumn("increase", grown)
+    return got.select(series, "at_us", "n", "increase", (F.col("increase") / F.lit(float(width_s))).alias("rate"))
+
+
+def mean_depth(arrivals: DataFrame, us: str, period_s: int = 300, sample_s: int = 60) -> DataFrame:
+    """Mean queue depth per period of a queue that nothing leaves: the mean over the period's
+    samples (its depth at the end of each ``sample_s``), for every period from the first arrival
+    to the last. An arrival counts in its own and all later samples, so a period needs the depth
+    before it and a weighted count, never the samples themselves."""
+    from riskline.operators.ordinal import global_prefix_sums
+
+    period, sample = period_s * MICROS, sample_s * MICROS
+    k = period_s // sample_s
+    start = (F.floor(F.col(us) / F.lit(period)) * F.lit(period)).cast("long")
+    nth = F.floor((F.col(us) - start) / F.lit(sample))
+    per = arrivals.filter(F.col(us).isNotNull()).groupBy(start.alias("period_us")).agg(
+        F.count(F.lit(1)).alias("_n"), F.sum((F.lit(k) - nth).cast("long")).alias("_w"))
+    run = global_prefix_sums(per, ["period_us"], {"_end": F.col("_n")})
+    # a row per period: bounded by the time covered, whatever the number of arrivals
+    w = Window.orderBy("period_us")
+    upto = F.coalesce(F.lead("period_us").over(w), F.col("period_us") + F.lit(period))
+    spans = run.withColumn("_next", upto).select(
+        "period_us", "_end", "_n", "_w", F.explode(F.sequence("period_us", F.col("_next") - F.lit(period),
+                                                             F.lit(period).cast("long"))).alias("_at"))
+    depth = F.when(F.col("_at") == F.col("period_us"), F.col("_end") - F.col("_n") + F.col("_w") / F.lit(float(k))) \
+        .otherwise(F.col("_end").cast("double"))
+    return spans.select(F.col("_at").alias("period_us"), depth.cast("double").alias("value"))

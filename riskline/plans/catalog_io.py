@@ -12,12 +12,13 @@ from riskline.config import TEST_RULES as C
 from riskline.operators import encode as EN
 from riskline.operators import ingest as I
 from riskline.operators import ledger as L
+from riskline.operators import metrics as M
 from riskline.operators import sinks as S
 from riskline.plans import pipeline as PL
 from riskline.plans import views as V
 from riskline.plans.catalog_ledger import DLQ_RECEIVES, ledger_df
 from riskline.plans.catalog_ml import split_df
-from riskline.plans.oracle_views import with_views
+from riskline.plans.oracle_views import view, with_views
 from riskline.plans.registry import REGISTRY, register
 from riskline.session import checkpoint_path
 from riskline.sources import fixtures as fx
@@ -188,10 +189,41 @@ def dlq_depth(spark, sf_dir):
     """A21 (depth): dead letters waiting at the end of every minute in which one arrived."""
     from riskline.operators.ordinal import global_prefix_sums
 
-    led = ledger_df(spark, sf_dir)
-    dead = L.route_failures(led, DLQ_RECEIVES).filter("route = 'dlq'").join(
-        led.select("event_id", "last_seen_us"), "event_id")
-    per = dead.groupBy((F.floor(F.col("last_seen_us") / 60_000_000) * 60_000_000).cast("bigint")
+    per = _dead(spark, sf_dir).groupBy((F.floor(F.col("last_seen_us") / 60_000_000) * 60_000_000).cast("bigint")
                        .alias("minute_us")).agg(F.count(F.lit(1)).alias("n"))
     return global_prefix_sums(per, ["minute_us"], {"depth": F.col("n")}).select(
         "minute_us", F.col("depth").cast("bigint").alias("depth"))
+
+
+def _dead(spark, sf_dir):
+    """Dead letters with the time of their last receive."""
+    led = ledger_df(spark, sf_dir)
+    return L.route_failures(led, DLQ_RECEIVES).filter("route = 'dlq'").join(
+        led.select("event_id", "last_seen_us"), "event_id")
+
+
+view("dlq_periods", ("routes", "ledger"), """
+SELECT p.period_us, avg(d.depth) AS value FROM (
+  SELECT unnest(range(min(us) // 300000000 * 300000000, max(us) + 1, 300000000)) AS period_us FROM (
+    SELECT l.last_seen_us AS us FROM routes r JOIN ledger l USING (event_id) WHERE r.route = 'dlq') a) p,
+  LATERAL (SELECT s, (SELECT count(*) FROM routes r JOIN ledger l USING (event_id)
+                      WHERE r.route = 'dlq' AND l.last_seen_us < p.period_us + (s + 1) * 60000000) AS depth
+           FROM range(5) t(s)) d GROUP BY 1""")
+
+
+@register("dlq_mean_depth", with_views("SELECT * FROM dlq_periods", "dlq_periods"))
+def dlq_mean_depth(spark, sf_dir):
+    """Mean dead-letter depth per 300 s (of its one-minute samples)."""
+    return M.mean_depth(_dead(spark, sf_dir), "last_seen_us")
+
+
+@register("dlq_alarm", with_views("""
+SELECT 'dlq-depth' AS alarm, period_us, value, value > 0 AS breaching,
+  CAST(row_number() OVER (ORDER BY period_us) AS INTEGER) AS streak, true AS in_alarm FROM dlq_periods""", "dlq_periods"))
+def dlq_alarm(spark, sf_dir):
+    """The dead-letter alarm: mean depth of a 300 s period above 0, for one period (nothing
+    leaves the queue here, so it stays in alarm)."""
+    rules = spark.createDataFrame([("dlq-depth", "dlq", 300, 0.0, 1)],
+                                  "alarm string, service string, period_s int, threshold double, n_periods int")
+    depth = M.mean_depth(_dead(spark, sf_dir), "last_seen_us")
+    return M.alarm_states(depth.withColumn("service", F.lit("dlq")), rules)

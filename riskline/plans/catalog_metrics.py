@@ -14,7 +14,7 @@ from riskline.plans.registry import register
 from riskline.sources import fixtures as fx
 
 
-def _slide_sql(src: str, us: str, size_s: int, slide_s: int, labels: str = "") -> str:
+def slide_sql(src: str, us: str, size_s: int, slide_s: int, labels: str = "") -> str:
     """Rows expanded into their sliding windows [start, start + size)."""
     size, slide = size_s * MICROS, slide_s * MICROS
     k = size_s // slide_s
@@ -42,7 +42,7 @@ def tx_volume_5min(spark, sf_dir):
 
 @register("ingest_rate", with_views(f"""
 SELECT window_start_us, status, count(*) / 60.0 AS rate FROM (
-  {_slide_sql('ops_log', 'us', 60, 15, 'status')}) x GROUP BY 1, 2""", "ops_log"))
+  {slide_sql('ops_log', 'us', 60, 15, 'status')}) x GROUP BY 1, 2""", "ops_log"))
 def ingest_rate(spark, sf_dir):
     """Events per second by status, 1-minute windows sliding every 15 s."""
     return M.windowed_counts(fx.ops_log(spark, sf_dir), "us", 60, 15, ("status",), True)
@@ -50,7 +50,7 @@ def ingest_rate(spark, sf_dir):
 
 @register("flag_rate", with_views(f"""
 SELECT window_start_us, rule_name, count(*) / 60.0 AS rate FROM (
-  {_slide_sql('flags', 'flagged_us', 60, 15, 'rule_name')}) x GROUP BY 1, 2""", "flags"))
+  {slide_sql('flags', 'flagged_us', 60, 15, 'rule_name')}) x GROUP BY 1, 2""", "flags"))
 def flag_rate(spark, sf_dir):
     """A10: flags per second by rule, 1-minute windows sliding every 15 s."""
     return M.windowed_counts(V.flags(spark, sf_dir), "flagged_us", 60, 15, ("rule_name",),
@@ -59,7 +59,7 @@ def flag_rate(spark, sf_dir):
 
 @register("flag_increase", with_views(f"""
 SELECT window_start_us, rule_name, CAST(count(*) AS BIGINT) AS n FROM (
-  {_slide_sql('flags', 'flagged_us', 300, 15, 'rule_name')}) x GROUP BY 1, 2""", "flags"))
+  {slide_sql('flags', 'flagged_us', 300, 15, 'rule_name')}) x GROUP BY 1, 2""", "flags"))
 def flag_increase(spark, sf_dir):
     """Flags per rule over 5-minute windows sliding every 15 s (increase)."""
     return M.windowed_counts(V.flags(spark, sf_dir), "flagged_us", 300, 15, ("rule_name",))
@@ -157,7 +157,7 @@ ALARM_RULES = [
 ]
 
 
-def _alarm_sql() -> str:
+def alarm_sql(periods: str = "range(min(period_us), max(period_us) + 1, 300000000)") -> str:
     rules = ", ".join(f"('{a}', '{s}', {p}, {t}, {n})" for a, s, p, t, n in ALARM_RULES)
     return f"""
 WITH rules(alarm, service, period_s, threshold, n_periods) AS (VALUES {rules}),
@@ -165,7 +165,7 @@ vals AS (SELECT service, CAST(floor(us / 300000000) * 300000000 AS BIGINT) AS pe
            CAST(count(*) FILTER (WHERE status = 'failure') AS DOUBLE) AS value
          FROM ops_log GROUP BY 1, 2),
 j AS (SELECT r.alarm, v.period_us, v.value FROM vals v JOIN rules r ON v.service = r.service),
-grid AS (SELECT alarm, unnest(range(min(period_us), max(period_us) + 1, 300000000)) AS period_us
+grid AS (SELECT alarm, unnest({periods}) AS period_us
          FROM j GROUP BY alarm),
 d AS (SELECT g.alarm, g.period_us, coalesce(j.value, 0.0) AS value, r.threshold, r.n_periods,
         coalesce(j.value, 0.0) > r.threshold AS breaching
@@ -179,7 +179,7 @@ SELECT alarm, period_us, value, breaching, CAST(streak AS INTEGER) AS streak,
   streak >= n_periods AS in_alarm FROM s"""
 
 
-@register("alarm_states", with_views(_alarm_sql(), "ops_log"))
+@register("alarm_states", with_views(alarm_sql(), "ops_log"))
 def alarm_states(spark, sf_dir):
     """A17 + W10: error alarms per 300 s period, missing data = not breaching, in alarm
     after n consecutive breaching periods; every period of every alarm."""
@@ -225,3 +225,33 @@ FROM (SELECT *, lag(value) OVER (PARTITION BY service ORDER BY ts_us) AS prev
 def counter_increase(spark, sf_dir):
     """Reset-aware increase between consecutive samples of each counter."""
     return M.counter_increase(metric_samples(spark, sf_dir))
+
+
+def _range_sql(width_s: int, step_s: int) -> str:
+    """The range evaluation written out over the samples of each step."""
+    w, st = width_s * MICROS, step_s * MICROS
+    return f"""
+WITH deltas AS (
+  SELECT service, ts_us, value, CASE WHEN prev IS NULL THEN 0 WHEN value < prev THEN value ELSE value - prev END AS inc
+  FROM (SELECT *, lag(value) OVER (PARTITION BY service ORDER BY ts_us) AS prev FROM metric_samples) x),
+steps AS (SELECT service, unnest(range(lo, hi + {w} + {st}, {st})) AS at_us FROM (
+  SELECT service, CAST(ceil(min(ts_us) / {st}) * {st} AS BIGINT) AS lo, max(ts_us) AS hi FROM deltas GROUP BY 1) y),
+seen AS (SELECT s.service, s.at_us, d.ts_us, d.value, d.inc,
+    row_number() OVER (PARTITION BY s.service, s.at_us ORDER BY d.ts_us) AS k
+  FROM steps s JOIN deltas d ON d.service = s.service AND d.ts_us > s.at_us - {w} AND d.ts_us <= s.at_us),
+r AS (SELECT service, at_us, count(*) AS n, (max(ts_us) - min(ts_us)) / 1e6 AS span,
+    (min(ts_us) - at_us + {w}) / 1e6 AS a, (at_us - max(ts_us)) / 1e6 AS b,
+    CAST(sum(CASE WHEN k > 1 THEN inc ELSE 0 END) AS DOUBLE) AS raw, CAST(min(CASE WHEN k = 1 THEN value END) AS DOUBLE) AS v0
+  FROM seen GROUP BY service, at_us HAVING count(*) > 1),
+e AS (SELECT *, CASE WHEN a >= 1.1 * (span / (n - 1)) THEN span / (n - 1) / 2 ELSE a END AS a2,
+    CASE WHEN b >= 1.1 * (span / (n - 1)) THEN span / (n - 1) / 2 ELSE b END AS b2 FROM r),
+f AS (SELECT *, raw * (span + CASE WHEN raw > 0 THEN least(a2, span * v0 / raw) ELSE a2 END + b2) / span AS increase FROM e)
+SELECT service, at_us, CAST(n AS BIGINT) AS n, increase, increase / {float(width_s)} AS rate FROM f"""
+
+
+@register("rate_range", with_views(_range_sql(21_600, 3_600), "metric_samples"))
+def rate_range(spark, sf_dir):
+    """A9 + A11 over scraped counters (W11): increase and rate per service in ranges of 6 hours
+    (the test tables have an event or two an hour), evaluated every hour, with counter restarts
+    and extrapolation to the range's ends."""
+    return M.range_rate(metric_samples(spark, sf_dir), 21_600, 3_600)

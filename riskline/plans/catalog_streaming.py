@@ -21,10 +21,12 @@ from riskline.operators import sinks as S
 from riskline.operators.features import arrival_features, feature_vector
 from riskline.plans import pipeline as PL
 from riskline.plans import views as V
+from riskline.plans.catalog_metrics import ALARM_RULES, alarm_sql, slide_sql
 from riskline.plans.oracle_views import with_views
 from riskline.plans.registry import register
 from riskline.sources import fixtures as fx
 from riskline.sources import wire
+from riskline.streaming import alarms as AL
 from riskline.streaming import ledger_state as LS
 from riskline.streaming import queries as Q
 from riskline.streaming.online_features import online_features
@@ -58,6 +60,70 @@ def stream_volume(spark, sf_dir):
     return last.select(micros(F.col("w.start")).alias("window_start_us"), "n")
 
 
+def _latest(spark, path: str, keys: list[str], values: list[str]) -> DataFrame:
+    """The last update of each window from a table of a stream's updates."""
+    last = spark.read.parquet(path).groupBy(*keys).agg(F.max_by(F.struct(*values), "epoch").alias("_v"))
+    return last.select(*keys, *[F.col(f"_v.{v}").alias(v) for v in values])
+
+
+@register("stream_rate", with_views(f"""
+SELECT window_start_us, status, count(*) / 60.0 AS rate FROM (
+  {slide_sql('ops_log', 'us', 60, 15, 'status')}) x GROUP BY 1, 2""", "ops_log"))
+def stream_rate(spark, sf_dir):
+    """T8 (A9): events per second by status in 1-minute windows sliding every 15 s, as a
+    watermarked streaming aggregation; equals the batch twin on in-order input."""
+    root = Q.run_dir(spark, "rate")
+    t = fx.ops_log(spark, sf_dir).select("status", from_micros("us").cast("timestamp").alias("ts"))
+    Q.stage_files(t, f"{root}/in", part_col="ts")
+    src = Q.read_stream(spark, f"{root}/in", t.schema)
+    agg = Q.windowed_counts_stream(src, "ts", "60 seconds", slide="15 seconds", by=("status",))
+    Q.run_available(agg, f"{root}/ckpt", sink=lambda b, e: Q.write_batch(b, f"{root}/out", e), mode="update")
+    last = _latest(spark, f"{root}/out", ["w", "status"], ["n"])
+    return last.select(micros(F.col("w.start")).alias("window_start_us"), "status", (F.col("n") / 60.0).alias("rate"))
+
+
+@register("stream_fraud_rate", with_views("""
+SELECT w AS window_start_us, CAST(sum(f) AS BIGINT) AS flags, CAST(sum(p) AS BIGINT) AS processed,
+  round(CASE WHEN sum(p) = 0 THEN NULL ELSE sum(f) * 100.0 / sum(p) END, 6) AS fraud_rate_pct FROM (
+  SELECT CAST(floor(created_us / 300000000) * 300000000 AS BIGINT) AS w, 0 AS f, 1 AS p FROM txn
+  UNION ALL SELECT CAST(floor(flagged_us / 300000000) * 300000000 AS BIGINT), 1, 0 FROM flags) x GROUP BY 1""", "txn", "flags"))
+def stream_fraud_rate(spark, sf_dir):
+    """T8 (A12): flags / processed x 100 per 5-minute window. The two streams are united into
+    one of (time, is a flag), so one keyed count per window serves both sides and neither is
+    buffered for a join; equals the batch twin on in-order input."""
+    root = Q.run_dir(spark, "fraud-rate")
+    ts = lambda c: from_micros(c).cast("timestamp").alias("ts")
+    sides = {"flags": V.flags(spark, sf_dir).select(ts("flagged_us"), F.lit(True).alias("flag")),
+             "events": fx.txn(spark, sf_dir).select(ts("created_us"), F.lit(False).alias("flag"))}
+    streams = []
+    for name, df in sides.items():
+        Q.stage_files(df, f"{root}/{name}", part_col="ts")
+        streams.append(Q.read_stream(spark, f"{root}/{name}", df.schema).withWatermark("ts", "1 day"))
+    both = streams[0].unionByName(streams[1])
+    agg = both.groupBy(F.window("ts", "300 seconds").alias("w")).agg(
+        F.count_if("flag").alias("flags"), F.count_if(~F.col("flag")).alias("processed"))
+    Q.run_available(agg, f"{root}/ckpt", sink=lambda b, e: Q.write_batch(b, f"{root}/out", e), mode="update")
+    last = _latest(spark, f"{root}/out", ["w"], ["flags", "processed"])
+    return last.select(micros(F.col("w.start")).alias("window_start_us"), "flags", "processed",
+                       F.round(F.try_divide(F.col("flags") * 100.0, F.col("processed")), 6).alias("fraud_rate_pct"))
+
+
+@register("stream_alarms", with_views(alarm_sql(
+    "range(min(period_us), (SELECT max(us) // 1000 - 1 FROM ops_log) * 1000 // 300000000 * 300000000, 300000000)"), "ops_log"))
+def stream_alarms(spark, sf_dir):
+    """A17 as a stream: periods are closed by event-time timers, also where nothing arrived, up to
+    the watermark; equals ``alarm_states`` on the periods that are over."""
+    root = Q.run_dir(spark, "alarms")
+    t = fx.ops_log(spark, sf_dir).select("service", "status", "us")
+    Q.stage_files(t, f"{root}/in", part_col="us")
+    src = Q.read_stream(spark, f"{root}/in", t.schema)
+    rules = spark.createDataFrame(ALARM_RULES, "alarm string, service string, period_s int, threshold double, n_periods int")
+    with Q.keyed_state(spark, partitions=4):
+        Q.run_available(AL.stream_alarms(src, rules, disorder="1 millisecond"), f"{root}/ckpt",
+                        sink=lambda b, e: Q.write_batch(b, f"{root}/out", e))
+    return spark.read.schema(f"{AL.OUT_SCHEMA}, epoch int").parquet(f"{root}/out").drop("epoch")
+
+
 def _claim_updates(spark, sf_dir):
     """Updates of the streaming ledger over the delivery stream, with their batch number."""
     root = Q.run_dir(spark, "claims")

@@ -95,12 +95,13 @@ def write_batch(df: DataFrame, path: str, batch_id: int, fmt: str = "parquet") -
     df.write.mode("overwrite").format(fmt).save(f"{path}/epoch={batch_id}")
 
 
-def windowed_counts_stream(events: DataFrame, ts_col: str, size: str,
-                           watermark: str = "10 minutes") -> DataFrame:
-    """Tumbling-window counts with a watermark (late rows beyond it are dropped by
-    Spark; the batch twin has no watermark, as the reference has none)."""
+def windowed_counts_stream(events: DataFrame, ts_col: str, size: str, watermark: str = "10 minutes",
+                           slide: str | None = None, by: tuple[str, ...] = ()) -> DataFrame:
+    """Counts per tumbling or sliding window (and labels) with a watermark (late rows beyond
+    it are dropped by Spark; the batch twin has no watermark, as the reference has none)."""
+    window = F.window(ts_col, size, slide) if slide else F.window(ts_col, size)
     return (events.withWatermark(ts_col, watermark)
-            .groupBy(F.window(ts_col, size).alias("w")).agg(F.count(F.lit(1)).alias("n")))
+            .groupBy(window.alias("w"), *by).agg(F.count(F.lit(1)).alias("n")))
 
 
 def dedup_stream(deliveries: DataFrame, ts_col: str, horizon: str) -> DataFrame:

@@ -126,3 +126,21 @@ def test_decoding_rules(spark):
         ok, user, keys = cases[r.i][1]
         assert (r.parse_ok, r.p_user_id) == (ok, user), cases[r.i]
         assert (r.p_metadata_keys or 0) == (keys or 0), cases[r.i]
+
+
+def test_range_rate_by_hand(spark):
+    """Restarts, gaps, extrapolation to both ends and down to the counter's zero."""
+    from riskline.operators.metrics import range_rate
+
+    S = 1_000_000
+    rows = [("a", t * S, v) for t, v in ((15, 10), (30, 16), (45, 4), (60, 10), (200, 50))]
+    rows += [("b", t * S, v) for t, v in ((10, 1), (40, 4), (50, 5))] + [("one", 20 * S, 3)]
+    df = spark.createDataFrame(rows, "service string, ts_us long, value long")
+    got = {(r.service, r.at_us // S): r for r in range_rate(df, 60, 30).collect()}
+    assert not any(s == "one" for s, _ in got)
+    a = got["a", 60]                    # 15..60: +6, restart +4, +6; 15 s to the start, 0 to the end
+    assert a.n == 4 and abs(a.increase - 16 * (45 + 15 + 0) / 45) < 1e-12 and abs(a.rate - a.increase / 60) < 1e-12
+    a = got["a", 90]                    # 45, 60: the gap to the end is longer than 1.1 distances: half of one
+    assert a.n == 2 and abs(a.increase - 6 * (15 + min(15, 15 * 4 / 6) + 7.5) / 15) < 1e-12
+    b = got["b", 60]                    # the counter would be below zero 10 s before its first sample
+    assert b.n == 3 and abs(b.increase - 4 * (40 + min(10, 40 * 1 / 4) + 10) / 40) < 1e-12
