@@ -129,9 +129,9 @@ def near_groups(docs: DataFrame, texts: DataFrame, similarity: float = GROUP_SIM
     Each band keeps the least shingle hash of two of 2 * BANDS classes of hashes; texts with an
     equal band share a bucket. A pass compares every text of a bucket with the bucket's first text
     in an order of its own (a hash of the text, so one text is the first of many buckets and the
-    pairs are few), on their full sets, and joins what is linked; the next pass takes other orders
-    and compares only texts of another group than the chosen one's, until a pass finds no link.
-    Passes cost members times orders, never all pairs. Components of the links are the groups, so
+    pairs are few), on their full sets, and joins what is linked; the next passes take other orders,
+    of each bucket its own, and compare only texts of another group than the chosen one's, until a
+    pass finds no link. Passes cost members times orders, never all pairs. Components of the links are the groups, so
     a text need not be like all of its group."""
     t = docs.select(text_or_empty().alias("t")).select(F.xxhash64("t").alias("text_hash"), "t") \
         .join(bounded(texts), "text_hash", "left_semi").dropDuplicates(["text_hash"])
@@ -153,7 +153,7 @@ def near_groups(docs: DataFrame, texts: DataFrame, similarity: float = GROUP_SIM
         chosen = own.groupBy("bucket").agg(
             F.min("group").alias("lo"), F.max("group").alias("hi"),
             *[F.min_by(F.struct(F.col("text_hash").alias("rep"), F.col("group").alias("rep_group")),
-                       F.xxhash64("text_hash", F.lit(i))).alias(f"r{i}") for i in seeds]) \
+                       F.xxhash64("text_hash", *(["bucket"] if turn else []), F.lit(i))).alias(f"r{i}") for i in seeds]) \
             .filter("lo < hi").drop("lo", "hi")
         pairs = None
         for i in seeds:         # a row per member and order
