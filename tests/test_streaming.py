@@ -113,3 +113,44 @@ def test_days_reads_named_folders_only(spark, tmp_path):
     got = K.days(spark, path, 3, 4, "v long")
     assert sorted(r.v for r in got.collect()) == [6, 7, 8, 9] and len(got.inputFiles()) <= 4
     assert K.days(spark, path, 50, 60, "v long").count() == 0
+
+
+def test_claims_are_folded_on_rows():
+    """A delivery costs one read and at most one write of its event's state, without a data frame."""
+    from pyspark.sql import Row
+
+    class Handle:
+        def __init__(self):
+            self.value, self.writes, self.timers = None, 0, set()
+
+        def getValueState(self, *_):
+            return self
+
+        def get(self):
+            return self.value
+
+        def update(self, value):
+            self.value, self.writes = value, self.writes + 1
+
+        def registerTimer(self, at):
+            self.timers.add(at)
+
+        def deleteTimer(self, at):
+            self.timers.remove(at)
+
+    h = Handle()
+    ledger = LS.ClaimLedger(60)
+    ledger.init(h)
+    row = Row("received_us", "delivery_no", "outcome")
+    out = list(ledger.handleInputRows(("e",), iter([row(90 * S, 2, "retryable"), row(0, 1, "retryable")]), None))
+    assert [(r.received_us, r.status, r.attempts, r.claimed) for r in out] == [
+        (0, "processing", 1, True), (90 * S, "processing", 2, True)]
+    assert h.writes == 1 and h.timers == {150_000}
+    assert [r.status for r in ledger.handleInputRows(("e",), iter([row(200 * S, 3, "ok")]), None)] == ["success"]
+    assert h.writes == 2 and not h.timers
+    late = list(ledger.handleInputRows(("e",), iter([row(201 * S, None, None)]), None))
+    assert [(r.status, r.claimed) for r in late] == [("success", False)] and h.writes == 2
+
+
+def test_state_partitions_use_every_core(spark):
+    assert Q.state_partitions(spark) == max(4, spark.sparkContext.defaultParallelism)
