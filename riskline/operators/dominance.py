@@ -28,6 +28,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from riskline.operators.ordinal import part_count
+
 LEAF_BITS, FAN_BITS = 12, 6
 BLOCK_US = 3_600_000_000
 NONE = -(1 << 63)               # maximum of no rows
@@ -178,7 +180,7 @@ def _sweep(batches: Iterator[pd.DataFrame], fan: int) -> Iterator[pd.DataFrame]:
                                      for i, g in enumerate(grids)])
 
 
-def _leaves(data: DataFrame, asked: DataFrame, leaf_bits: int) -> DataFrame:
+def _leaves(data: DataFrame, asked: DataFrame, leaf_bits: int, parts: int) -> DataFrame:
     zero = F.lit(0).cast("long")
     mask = F.lit((1 << leaf_bits) - 1).cast("long")
     rows = data.select(F.shiftright("pos", leaf_bits).alias("node"), F.lit(False).alias("asks"), "arrival",
@@ -187,11 +189,12 @@ def _leaves(data: DataFrame, asked: DataFrame, leaf_bits: int) -> DataFrame:
                        zero.alias("_row"), F.lit(0).alias("_which"))
     asks = asked.filter("tier = 0").select("node", F.lit(True).alias("asks"), "arrival", "c1", "c2", zero.alias("total"),
                                            zero.alias("latest"), "_row", "_which")
-    return rows.unionByName(asks).repartition("node").sortWithinPartitions("node", "asks") \
+    return rows.unionByName(asks).repartition(parts, "node").sortWithinPartitions("node", "asks") \
         .mapInPandas(_ask_leaves, _OUT_SCHEMA)
 
 
-def _nodes(data: DataFrame, asked: DataFrame, tiers: list[int], leaf_bits: int, fan_bits: int, block_us: int) -> DataFrame:
+def _nodes(data: DataFrame, asked: DataFrame, tiers: list[int], leaf_bits: int, fan_bits: int, block_us: int,
+           parts: int) -> DataFrame:
     """Pieces above the leaves. Only nodes that are asked are read."""
     key = ["tier", "node"]
     block = F.floor(F.col("arrival") / F.lit(block_us)).cast("long")
@@ -221,7 +224,7 @@ def _nodes(data: DataFrame, asked: DataFrame, tiers: list[int], leaf_bits: int,
         *cols, F.lit(False).alias("asks"), F.lit(0).alias("c2"), F.lit(0).cast("long").alias("_row"), F.lit(0).alias("_which"))
     zero = [F.lit(0).cast("long").alias(v) for v in values]
     asks = asks.select(*key, "block", "arrival", "c1", *zero, F.lit(True).alias("asks"), "c2", "_row", "_which")
-    return known.unionByName(asks).repartition(*key, "block").sortWithinPartitions(*key, "block", "arrival", "asks") \
+    return known.unionByName(asks).repartition(parts, *key, "block").sortWithinPartitions(*key, "block", "arrival", "asks") \
         .mapInPandas(partial(_sweep, fan=1 << fan_bits), _OUT_SCHEMA)
 
 
@@ -230,6 +233,7 @@ def range_values(data: DataFrame, asked: DataFrame, *, leaf_bits: int = LEAF_BIT
     """Answers of the pieces ``asked`` (a written table, see :func:`pieces`) over ``data``
     (``pos``, ``arrival``, ``cents``, ``us``): a row per piece with n, total (of cents), largest
     (cents) and latest (us), the last two ``NONE`` without a row."""
-    out = _leaves(data, asked, leaf_bits)
+    parts = part_count(data.sparkSession, data.count() + asked.count())
+    out = _leaves(data, asked, leaf_bits, parts)
     tiers = sorted(r.tier for r in asked.select("tier").distinct().collect() if r.tier)     # a handful
-    return out.unionByName(_nodes(data, asked, tiers, leaf_bits, fan_bits, block_us)) if tiers else out
+    return out.unionByName(_nodes(data, asked, tiers, leaf_bits, fan_bits, block_us, parts)) if tiers else out

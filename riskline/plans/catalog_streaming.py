@@ -19,6 +19,7 @@ from riskline.operators import ledger as L
 from riskline.operators import rules as R
 from riskline.operators import sinks as S
 from riskline.operators.features import arrival_features, feature_vector
+from riskline.operators.ordinal import part_count
 from riskline.plans import pipeline as PL
 from riskline.plans import views as V
 from riskline.plans.catalog_metrics import ALARM_RULES, alarm_sql, slide_sql
@@ -135,7 +136,7 @@ def _claim_updates(spark, sf_dir):
     def sink(batch: DataFrame, epoch: int) -> None:
         Q.write_batch(batch, out, epoch)
 
-    with Q.keyed_state(spark, partitions=4):
+    with Q.keyed_state(spark, partitions=Q.state_partitions(spark)):
         Q.run_available(LS.stream_claims(src, disorder="1 millisecond"), f"{root}/ckpt", sink=sink)
     return spark.read.schema(LS.OUT_SCHEMA + ", epoch int").parquet(out)
 
@@ -271,7 +272,7 @@ def stream_features(spark, sf_dir):
     def sink(batch: DataFrame, epoch: int) -> None:
         Q.write_batch(feature_vector(batch, precomputed=True), out, epoch)
 
-    with Q.keyed_state(spark, partitions=4):
+    with Q.keyed_state(spark, partitions=Q.state_partitions(spark)):
         Q.run_available(online_features(src), f"{root}/ckpt", sink=sink)
     return spark.read.parquet(out).drop("epoch")
 
@@ -345,5 +346,9 @@ def parity_diff(spark, sf_dir):
     t = fx.late_txn(spark, sf_dir)
     online = feature_vector(arrival_features(t), precomputed=True).drop("label")
     offline = feature_vector(t).drop("label").select(*online.columns)
-    return (offline.exceptAll(online).withColumn("side", F.lit("offline"))
-            .unionByName(online.exceptAll(offline).withColumn("side", F.lit("online"))))
+    # both sides counted in one pass; what one side has more often comes out that many times
+    both = offline.withColumn("_d", F.lit(1)).unionByName(online.withColumn("_d", F.lit(-1)))
+    over = both.repartition(part_count(spark, 2 * t.count()), "event_id", "user_id", "us").groupBy(*offline.columns).agg(
+        F.sum("_d").alias("_d")).filter("_d <> 0")
+    return over.withColumn("side", F.when(F.col("_d") > 0, "offline").otherwise("online")).select(
+        *offline.columns, "side", F.explode(F.array_repeat(F.lit(0), F.abs("_d").cast("int"))).alias("_")).drop("_")

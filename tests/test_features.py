@@ -149,3 +149,18 @@ def test_arrival_features_days_late_and_hot_user(spark, bits):
         own = [x[4] for x in seen if x[2] > t - 3600 * 10**6]
         assert (float(r["user_amt_sum_3600s"]), float(r["user_amt_max_3600s"])) == (sum(own), max(own))
         assert r["prev_us"] == max((x[2] for x in seen if x[2] < t), default=None), e
+
+
+def test_partitions_follow_the_rows(spark, monkeypatch):
+    """Windows run on as many partitions as the rows need, whatever the session's setting."""
+    from riskline.operators import features, ordinal
+
+    monkeypatch.setattr(ordinal, "PART_ROWS", 10)
+    rows = [(f"e{i}", f"u{i % 7}", i * 3_600_000_000, i * 3_600_000_000, i) for i in range(300)]
+    df = spark.createDataFrame(rows, "event_id string, user_id string, us long, created_us long, amount int") \
+        .withColumn("amount", F.col("amount").cast("decimal(18,2)"))
+    assert ordinal.part_count(spark, 300) == 30
+    out = features.asof_features(df)
+    assert "hashpartitioning(user_id" in (plan := out._jdf.queryExecution().toString()) and ", 30)" in plan
+    few = {r.event_id: r for r in features.asof_features(df, parts=1).collect()}
+    assert {r.event_id: r for r in out.collect()} == few
