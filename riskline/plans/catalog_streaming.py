@@ -200,14 +200,17 @@ def process_stream(spark, sf_dir):
     Q.stage_files(env, f"{root}/in", part_col="received_us")
     src = Q.read_stream(spark, f"{root}/in", env.schema)
     objects = wire.objects(spark, sf_dir)
-    now = fx.now_us(fx.txn(spark, sf_dir))
+    t = fx.txn(spark, sf_dir)
+    now = fx.now_us(t)
     scores = fx.scores(spark, sf_dir).select("event_id", "ml_score")
     events_path, flags_path = f"{root}/events", f"{root}/flags"
     stored_schema = ("event_id string, user_id string, amount decimal(18,2), currency string, "
                      "merchant string, us long, created_us long")
-    log = KS.KeyIndex(spark, f"{root}/log", buckets=8,
+    # buckets by the size of the input: a bucket keeps its size and its Bloom words their use
+    buckets = max(8, part_count(spark, t.count()))
+    log = KS.KeyIndex(spark, f"{root}/log", buckets=buckets,
                       columns="received_us long, delivery_no int, outcome string, reason string")
-    event_keys, flag_keys = (KS.KeyIndex(spark, f"{root}/{k}_keys", buckets=8) for k in ("event", "flag"))
+    event_keys, flag_keys = (KS.KeyIndex(spark, f"{root}/{k}_keys", buckets=buckets) for k in ("event", "flag"))
     log_cols = ["event_id", "received_us", "delivery_no", "outcome", "reason"]
 
     def claimed(rows: DataFrame) -> DataFrame:
@@ -217,7 +220,8 @@ def process_stream(spark, sf_dir):
         return S.first_writer(rows.join(on, ["event_id", "received_us"]), "event_id", ["delivery_no"])
 
     def sink(batch: DataFrame, epoch: int) -> None:
-        p = PL.process_envelopes(batch, objects, now).persist()
+        # a micro-batch is one file; its stages (decode, hash, validate) run on every core
+        p = PL.process_envelopes(batch.repartition(Q.state_partitions(spark)), objects, now).persist()
         try:
             outcome = F.when(F.col("reason").isNull(), F.lit("ok")) \
                 .when(F.col("error_class") == "retryable", F.lit("retryable")).otherwise(F.col("reason"))

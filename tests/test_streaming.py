@@ -154,3 +154,28 @@ def test_claims_are_folded_on_rows():
 
 def test_state_partitions_use_every_core(spark):
     assert Q.state_partitions(spark) == max(4, spark.sparkContext.defaultParallelism)
+
+
+def test_processor_sizes_its_key_index_by_the_input(spark, tmp_path, monkeypatch):
+    """A bucket of the processor's key indexes keeps its size when the input grows."""
+    import datetime as dt
+
+    import pytest
+
+    from riskline.operators import ordinal
+    from riskline.plans import catalog_streaming as CS
+
+    class Stop(Exception):
+        pass
+
+    def index(spark, path, buckets, **_):
+        raise Stop(buckets)
+
+    rows = [(i, dt.datetime(2024, 1, 1) + dt.timedelta(minutes=i), i % 5, "click", float(i)) for i in range(240)]
+    spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, user_id long, event_type string, value double") \
+        .write.parquet(f"{tmp_path}/events.parquet")
+    monkeypatch.setattr(ordinal, "PART_ROWS", 10)
+    monkeypatch.setattr(CS.KS, "KeyIndex", index)
+    with pytest.raises(Stop) as e:
+        CS.process_stream(spark, str(tmp_path))
+    assert e.value.args == (24,)
