@@ -144,3 +144,16 @@ def test_range_rate_by_hand(spark):
     assert a.n == 2 and abs(a.increase - 6 * (15 + min(15, 15 * 4 / 6) + 7.5) / 15) < 1e-12
     b = got["b", 60]                    # the counter would be below zero 10 s before its first sample
     assert b.n == 3 and abs(b.increase - 4 * (40 + min(10, 40 * 1 / 4) + 10) / 40) < 1e-12
+
+
+def test_training_reads_equal_partitions(spark, monkeypatch):
+    """The fit's input is dealt over as many partitions as its rows need."""
+    from riskline.operators import ordinal, training
+
+    seen = {}
+    monkeypatch.setattr(ordinal, "PART_ROWS", 10)
+    monkeypatch.setattr(training.GBTClassifier, "fit", lambda self, df: seen.update(
+        parts=df.rdd.getNumPartitions(), rows=df.count(), columns=set(df.columns)))
+    rows = [(f"e{i}", str(i % 2), [float(i)]) for i in range(200)]
+    training.train_gbt(spark.createDataFrame(rows, "event_id string, label string, features array<float>").coalesce(1))
+    assert seen == {"parts": 20, "rows": 200, "columns": {"fv", "y", "w"}}
