@@ -164,3 +164,11 @@ def test_partitions_follow_the_rows(spark, monkeypatch):
     assert "hashpartitioning(user_id" in (plan := out._jdf.queryExecution().toString()) and ", 30)" in plan
     few = {r.event_id: r for r in features.asof_features(df, parts=1).collect()}
     assert {r.event_id: r for r in out.collect()} == few
+
+
+def test_previous_event_is_aggregated_after_the_deal(spark):
+    """An aggregate in the scan would hold every (user, day) of an input split in one task."""
+    rows = [(f"e{i}", f"u{i % 7}", i * 20_000 * S, i, 0) for i in range(60)]
+    plan = asof_features(_df(spark, rows), parts=5)._jdf.queryExecution().sparkPlan().toString().split("\n")
+    latest = [i for i, line in enumerate(plan) if "partial_max(us" in line]
+    assert latest and any("REPARTITION_BY_NUM" in line for line in plan[latest[-1] + 1:])
