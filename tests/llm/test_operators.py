@@ -119,6 +119,30 @@ def test_quality_varied_near_copies(spark):
     assert kept == set(sets)
 
 
+def test_quality_passes_shrink(spark, monkeypatch):
+    """Once a bucket's texts are one group no later pass reads them, and full sets are kept only
+    of texts that share a bucket."""
+    import random
+    rng = random.Random(22)
+    rows = [(i, " ".join(f"a{j}" if j != 5 * (i % 40) else f"e{i}" for j in range(240))) for i in range(80)]
+    rows += [(1000 + i, prose(rng, 80)) for i in range(60)]
+    d = spark.createDataFrame([(i, t, "host") for i, t in rows], "doc_id long, text string, source string")
+    texts = quality.stored(d.select(F.xxhash64("text").alias("text_hash")), "t")
+    n, plain = {}, quality.stored
+
+    def counted(df, name):
+        out = plain(df, name)
+        n.setdefault(name, []).append(out.count())
+        return out
+
+    monkeypatch.setattr(quality, "stored", counted)
+    family = d.filter("doc_id < 1000").select(F.xxhash64("text").alias("text_hash"))
+    got = quality.near_groups(d, texts).join(family, "text_hash")
+    assert got.count() == 80 and got.select("group").distinct().count() == 1
+    assert n["near-open"][0] > 500 and n["near-open"][-1] < 50
+    assert 80 <= n["line-shingles"][0] < 100
+
+
 def test_quality_hot_host(spark):
     """A footer on 1 % of a hot host's documents goes; a line on fewer than 200 of them stays."""
     body = "array_join(transform(sequence(1, 60), j -> concat('w', id, 'x', j)), ' ')"
