@@ -143,6 +143,33 @@ def test_quality_passes_shrink(spark, monkeypatch):
     assert 80 <= n["line-shingles"][0] < 100
 
 
+def test_quality_passes_follow_rows(spark, monkeypatch):
+    """Passes over few rows write few files, however many partitions a shuffle has."""
+    import random
+    rows = _families(random.Random(23))
+    d = spark.createDataFrame([(i, t, "host") for i, t in rows], "doc_id long, text string, source string")
+    texts = quality.stored(d.select(F.xxhash64("text").alias("text_hash")), "t")
+    files, plain = {}, quality.stored
+
+    def counted(df, name):
+        out = plain(df, name)
+        files.setdefault(name, []).append(len(out.inputFiles()))
+        return out
+
+    monkeypatch.setattr(quality, "stored", counted)
+    settings = {"spark.sql.shuffle.partitions": "60", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        assert quality.near_groups(d, texts).count() > 250
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    later = [n for k in ("near-texts", "near-likely", "near-joined", "near-groups") for n in files[k]]
+    assert max(later) == 1 and max(files["near-open"][1:]) == 1, files
+
+
 def test_quality_hot_host(spark):
     """A footer on 1 % of a hot host's documents goes; a line on fewer than 200 of them stays."""
     body = "array_join(transform(sequence(1, 60), j -> concat('w', id, 'x', j)), ' ')"
