@@ -129,15 +129,19 @@ def _claim_updates(spark, sf_dir):
     """Updates of the streaming ledger over the delivery stream, with their batch number."""
     root = Q.run_dir(spark, "claims")
     d = fx.deliveries(spark, sf_dir).drop("event_no")
-    Q.stage_files(d, f"{root}/in", part_col="received_us")
-    src = Q.read_stream(spark, f"{root}/in", d.schema)
+    rows = d.count()
+    split = Q.file_split(rows)
+    Q.stage_files(d, f"{root}/in", part_col="received_us", split=split)
+    src = Q.read_stream(spark, f"{root}/in", d.schema, files_per_trigger=split)
     out = f"{root}/out"
 
     def sink(batch: DataFrame, epoch: int) -> None:
         Q.write_batch(batch, out, epoch)
 
+    # pages by the size of the input: a page keeps its size
+    pages = max(8 * Q.state_partitions(spark), -(-rows // LS.PAGE_EVENTS))
     with Q.keyed_state(spark, partitions=Q.state_partitions(spark)):
-        Q.run_available(LS.stream_claims(src, disorder="1 millisecond"), f"{root}/ckpt", sink=sink)
+        Q.run_available(LS.stream_claims(src, disorder="1 millisecond", pages=pages), f"{root}/ckpt", sink=sink)
     return spark.read.schema(LS.OUT_SCHEMA + ", epoch int").parquet(out)
 
 

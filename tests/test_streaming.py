@@ -179,3 +179,61 @@ def test_processor_sizes_its_key_index_by_the_input(spark, tmp_path, monkeypatch
     with pytest.raises(Stop) as e:
         CS.process_stream(spark, str(tmp_path))
     assert e.value.args == (24,)
+
+
+def test_pages_of_claims_give_the_updates_of_single_events(spark, tmp_path):
+    """Events that share a key: the same updates and expired leases as with a key per event."""
+    rng = random.Random(9)
+    outcomes = ["ok", "retryable", "retryable", "hash_mismatch", None]
+    rows = [(None if i % 13 == 0 else f"e{i % 13}", 2 * i * S + i % 3 * 1000, i % 4 or None, rng.choice(outcomes))
+            for i in range(150)]
+    # leases that end at, just before and just behind the last watermark
+    rows += [("tie", 240 * S + 1000, 1, "retryable"), ("before", 240 * S, 1, "retryable"), ("behind", 240 * S + 2000, 1, "retryable"),
+             ("clock", 300 * S + 2000, 1, "ok")]
+    rows = [(e, DAY + t, n, o) for e, t, n, o in rows]
+    df = spark.createDataFrame(rows, "event_id string, received_us long, delivery_no int, outcome string") \
+        .withColumn("_at", F.col("received_us"))
+    got = {}
+    for name, pages in (("single", None), ("paged", 3)):
+        root = str(tmp_path / name)
+        build = lambda s: LS.stream_claims(s, disorder="1 millisecond", pages=pages)  # noqa: B023, E731
+        for tag, cond in (("a", f"received_us < {DAY + 130 * S}"), ("b", f"received_us >= {DAY + 130 * S}")):
+            _run(spark, df.filter(cond), build, root, 2, tag)
+        got[name] = sorted(map(repr, spark.read.schema(LS.OUT_SCHEMA + ", epoch int").parquet(f"{root}/out").collect()))
+    assert got["paged"] == got["single"] and len(got["single"]) > len(rows)
+
+
+def test_claims_are_read_once_per_page():
+    """A page costs one read and one write of state and one timer, however many events it holds."""
+    import pandas as pd
+
+    class Handle:
+        def __init__(self):
+            self.value, self.calls, self.timers = None, 0, set()
+
+        def getValueState(self, *_):
+            return self
+
+        def get(self):
+            self.calls += 1
+            return self.value
+
+        def update(self, value):
+            self.value, self.calls = value, self.calls + 1
+
+        def registerTimer(self, at):
+            self.calls, self.timers = self.calls + 1, self.timers | {at}
+
+        def deleteTimer(self, at):
+            self.calls, self.timers = self.calls + 1, self.timers - {at}
+
+    h = Handle()
+    pages = LS.ClaimPages(60)
+    pages.init(h)
+    rows = pd.DataFrame({"event_id": [f"e{i}" for i in range(500)], "received_us": [i * S for i in range(500)],
+                         "delivery_no": [1.0] * 499 + [None], "outcome": ["retryable", "ok"] * 250})
+    out = pd.concat(pages.handleInputRows((0,), iter([rows]), None))
+    assert len(out) == 500 and h.calls == 3 and h.timers == {60_000}
+    again = pd.DataFrame({"event_id": ["e0"], "received_us": [70 * S], "delivery_no": [2], "outcome": ["ok"]})
+    assert pd.concat(pages.handleInputRows((0,), iter([again]), None)).attempts.tolist() == [2]
+    assert h.timers == {62_000}
