@@ -237,3 +237,18 @@ def test_claims_are_read_once_per_page():
     again = pd.DataFrame({"event_id": ["e0"], "received_us": [70 * S], "delivery_no": [2], "outcome": ["ok"]})
     assert pd.concat(pages.handleInputRows((0,), iter([again]), None)).attempts.tolist() == [2]
     assert h.timers == {62_000}
+
+
+def test_a_large_micro_batch_is_several_files(spark, tmp_path, monkeypatch):
+    """Files follow the rows; those of one micro-batch are consecutive ranges, in order."""
+    monkeypatch.setattr(Q, "FILE_ROWS", 100)
+    assert Q.file_split(1) == 1 and Q.file_split(400) == 1 and Q.file_split(1001) == 3
+    df = spark.range(1200).selectExpr("(id * 7919) % 1200 AS at")
+    split = Q.file_split(df.count())
+    Q.stage_files(df, f"{tmp_path}/in", part_col="at", split=split)
+    src = Q.read_stream(spark, f"{tmp_path}/in", df.schema, files_per_trigger=split)
+    seen = []
+    Q.run_available(src, f"{tmp_path}/ckpt", sink=lambda b, e: seen.append(
+        (len(b.inputFiles()), *b.selectExpr("min(at)", "max(at)", "count(1)").first())))
+    assert split == 3 and [s[0] for s in seen] == [3, 3, 3, 3]
+    assert sum(s[3] for s in seen) == 1200 and all(a[2] < b[1] for a, b in zip(seen, seen[1:]))
