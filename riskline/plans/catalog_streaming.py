@@ -30,7 +30,7 @@ from riskline.sources import wire
 from riskline.streaming import alarms as AL
 from riskline.streaming import ledger_state as LS
 from riskline.streaming import queries as Q
-from riskline.streaming.online_features import online_features
+from riskline.streaming.online_features import PAGE_EVENTS, online_features
 
 _DAY_US = 86_400_000_000
 
@@ -268,20 +268,24 @@ _FEATURES = ("event_id, user_id, us, amount, velocity_60s, velocity_3600s, "
 
 @register("stream_features", with_views(f"SELECT {_FEATURES}, label FROM arrival_features", "arrival_features"))
 def stream_features(spark, sf_dir):
-    """T4: online features from keyed state (hours of the user's events on RocksDB, pruned), in
+    """T4: online features from keyed state (blocks of hours of a page of users on RocksDB, pruned), in
     arrival order; equals the batch form ``arrival_features``, however the stream is cut into
     batches."""
     root = Q.run_dir(spark, "features")
     t = fx.late_txn(spark, sf_dir)
-    Q.stage_files(t, f"{root}/in", part_col="created_us")
-    src = Q.read_stream(spark, f"{root}/in", t.schema)
+    rows = t.count()
+    split = Q.file_split(rows)
+    Q.stage_files(t, f"{root}/in", part_col="created_us", split=split)
+    src = Q.read_stream(spark, f"{root}/in", t.schema, files_per_trigger=split)
     out = f"{root}/features"
 
     def sink(batch: DataFrame, epoch: int) -> None:
         Q.write_batch(feature_vector(batch, precomputed=True), out, epoch)
 
+    # pages by the size of the input: a page keeps its size
+    pages = max(8 * Q.state_partitions(spark), -(-rows // PAGE_EVENTS))
     with Q.keyed_state(spark, partitions=Q.state_partitions(spark)):
-        Q.run_available(online_features(src), f"{root}/ckpt", sink=sink)
+        Q.run_available(online_features(src, pages=pages), f"{root}/ckpt", sink=sink)
     return spark.read.parquet(out).drop("epoch")
 
 

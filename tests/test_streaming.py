@@ -253,3 +253,68 @@ def test_a_large_micro_batch_is_several_files(spark, tmp_path, monkeypatch):
     files = [n for n in K.children(spark, f"{tmp_path}/in") if n.startswith("part-")]
     assert split == 3 and len(files) == 12 and len(seen) == 4
     assert sum(s[3] for s in seen) == 1200 and all(a[2] < b[1] for a, b in zip(seen, seen[1:]))
+
+
+def test_users_of_a_page_are_answered_together(spark, tmp_path):
+    """Users share a page and a micro-batch is cut into slices of few rows: the same features as in
+    the batch form, with ties, late events, users that stay quiet and a restart."""
+    rng = random.Random(11)
+    rows = []
+    for i in range(300):
+        t = (i // 60 * 4 * 86_400 + rng.randrange(0, 86_400) // 600 * 600) * S
+        late = rng.choice([0, 0, 0, 0, rng.randrange(0, 86_400) // 600 * 600 * S])
+        rows.append((f"e{i}", "hot" if i % 2 else f"u{rng.randrange(12)}" if i // 60 % 2 else "u0", t, t + late, rng.randrange(1, 900)))
+    df = _events(spark, rows)
+    cut = 9 * DAY
+    root = str(tmp_path)
+    build = lambda s: online_features(s, lateness_us=2 * DAY, pages=2, slice_rows=5)
+    _run(spark, df.filter(F.col("created_us") <= cut), build, root, 2, "a")
+    _run(spark, df.filter(F.col("created_us") > cut), build, root, 2, "b")
+    cols = ["velocity_60s", "velocity_3600s", "velocity_86400s", "user_amt_sum_3600s", "user_amt_max_3600s", "prev_us"]
+    got = {r.event_id: [r[c] for c in cols] for r in spark.read.parquet(f"{root}/out").filter("exact").collect()}
+    want = {r.event_id: [r[c] for c in cols] for r in arrival_features(df.drop("_at")).collect()}
+    assert got == want
+
+
+def test_state_of_a_page_is_read_by_blocks():
+    """State calls follow the blocks a micro-batch reaches, not its events or users."""
+    import pandas as pd
+
+    from riskline.config import FeatureConfig
+    from riskline.streaming.online_features import HOUR_US, LATENESS_US, OnlineFeatures
+
+    class State:
+        def __init__(self):
+            self.value, self.blocks, self.calls = None, {}, 0
+
+        def exists(self):
+            return self.value is not None
+
+        def get(self):
+            return self.value
+
+        def update(self, value):
+            self.value = value
+
+        def getValue(self, key):
+            self.calls += 1
+            return self.blocks[key]
+
+        def updateValue(self, key, value):
+            self.calls, self.blocks[key] = self.calls + 1, value
+
+        def getMapState(self, *_):
+            return self
+
+        getValueState = getMapState
+
+    state = State()
+    page = OnlineFeatures(FeatureConfig(), LATENESS_US, "user_id", 1 << 15)
+    page.init(state)
+    for day in (1, 2):
+        us = [day * DAY + i * HOUR_US // 100 for i in range(2000)]
+        rows = pd.DataFrame({"event_id": [f"{day}-{i}" for i in range(2000)], "user_id": [f"u{i % 50}" for i in range(2000)],
+                             "us": us, "created_us": us, "cents_": [100] * 2000, "page_": [0] * 2000})
+        out = pd.concat(page.handleInputRows((0,), iter([rows[:900], rows[900:]]), None))
+        assert len(out) == 2000 and out["exact"].all()
+    assert state.calls <= 3 * 4 + 2         # four blocks of a day: written, and read for the next day
