@@ -201,8 +201,9 @@ def process_stream(spark, sf_dir):
     twin ``process_batch``."""
     root = Q.run_dir(spark, "process")
     env = wire.envelopes(spark, sf_dir)
-    Q.stage_files(env, f"{root}/in", part_col="received_us")
-    src = Q.read_stream(spark, f"{root}/in", env.schema)
+    split = Q.file_split(env.count())
+    Q.stage_files(env, f"{root}/in", part_col="received_us", split=split)
+    src = Q.read_stream(spark, f"{root}/in", env.schema, files_per_trigger=split)
     objects = wire.objects(spark, sf_dir)
     t = fx.txn(spark, sf_dir)
     now = fx.now_us(t)
@@ -216,6 +217,7 @@ def process_stream(spark, sf_dir):
                       columns="received_us long, delivery_no int, outcome string, reason string")
     event_keys, flag_keys = (KS.KeyIndex(spark, f"{root}/{k}_keys", buckets=buckets) for k in ("event", "flag"))
     log_cols = ["event_id", "received_us", "delivery_no", "outcome", "reason"]
+    decoded = ["p_user_id", "p_amount", "p_currency", "p_merchant", "p_us"]
 
     def claimed(rows: DataFrame) -> DataFrame:
         """The settled delivery of each event in a delivery log."""
@@ -223,9 +225,17 @@ def process_stream(spark, sf_dir):
         on = led.select("event_id", "status", F.col("last_seen_us").alias("received_us"))
         return S.first_writer(rows.join(on, ["event_id", "received_us"]), "event_id", ["delivery_no"])
 
+    def asked(batch: DataFrame) -> DataFrame:
+        """The objects in the range of the batch's keys: other dates are not read."""
+        ends = batch.agg(F.min("s3_key").alias("lo"), F.max("s3_key").alias("hi")).first()
+        return objects.filter(F.lit(False) if ends.lo is None else F.col("key").between(ends.lo, ends.hi))
+
     def sink(batch: DataFrame, epoch: int) -> None:
-        # a micro-batch is one file; its stages (decode, hash, validate) run on every core
-        p = PL.process_envelopes(batch.repartition(Q.state_partitions(spark)), objects, now).persist()
+        # a micro-batch of one file or a few: its stages (decode, hash, validate) run on every core
+        cores = Q.state_partitions(spark)
+        # the rows that are kept leave the payloads behind
+        p = PL.process_envelopes(batch if split >= cores else batch.repartition(cores), asked(batch), now).select(
+            "event_id", "received_us", "delivery_no", *decoded, "reason", "error_class").persist()
         try:
             outcome = F.when(F.col("reason").isNull(), F.lit("ok")) \
                 .when(F.col("error_class") == "retryable", F.lit("retryable")).otherwise(F.col("reason"))
