@@ -40,3 +40,14 @@ def test_percentiles(spark):
     for r in grouped_exact_percentiles(df, ["g"], "v", probs, n_ranges=5).collect():
         own = v[np.arange(len(v)) % 3 == r.g]
         assert all(abs(r[k] - np.quantile(own, p)) < 1e-9 for k, p in probs.items())
+
+
+def test_passes_over_a_large_table_have_few_partitions(spark, monkeypatch):
+    from riskline.operators import ordinal
+
+    monkeypatch.setattr(ordinal, "PART_ROWS", 10)
+    cores = spark.sparkContext.defaultParallelism
+    assert ordinal.pass_count(spark, 1) == cores
+    assert ordinal.pass_count(spark, 60 * cores) == 6 * cores           # as many as the rows need
+    assert ordinal.pass_count(spark, 480 * cores) == 6 * cores          # not 48 per core
+    assert ordinal.pass_count(spark, 6400 * cores) == 80 * cores        # a share stays bounded
